@@ -13,6 +13,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clearbid.functions import day_floor
 from clearbid.operators.daily import upsert
@@ -75,17 +76,35 @@ def upsert_daily(spark: SparkSession, new_rows: DataFrame, path: str, keys: list
     the target.
     """
     new_rows = new_rows.withColumn("date", day_floor("date"))
+    schema = new_rows.schema
+    day = {"day": T.DateType()}
     if _exists(spark, path):
         # semi-join on the partition column: dynamic partition pruning reads
         # only the touched days of the target
         days = new_rows.select(F.to_date("date").alias("day")).distinct()
-        old = spark.read.parquet(path).join(days, "day", "left_semi")
+        old = read_written(spark, path, schema, day).join(days, "day", "left_semi")
         merged = upsert(old.select(*new_rows.columns), new_rows, keys)
     else:
         merged = new_rows
     stage = scratch_dir(spark, "daily-upsert")
     merged.write.mode("overwrite").parquet(stage)
-    overwrite_partitions(spark.read.parquet(stage).withColumn("day", F.to_date("date")), path, ["day"])
+    staged = read_written(spark, stage, schema)
+    overwrite_partitions(staged.withColumn("day", F.to_date("date")), path, ["day"])
+
+def read_written(spark: SparkSession, path: str, schema: T.StructType,
+                 partition_cols: dict[str, T.DataType] | None = None) -> DataFrame:
+    """Read a table this package wrote, with its declared schema.
+
+    Declaring the schema keeps partition values typed (``hour`` stays
+    ``timestamp_ntz``) and lets a run that wrote no row read back an empty
+    table instead of failing schema inference.
+    """
+    full = T.StructType(list(schema.fields) + [T.StructField(n, t, True)
+                                               for n, t in (partition_cols or {}).items()])
+    if not _exists(spark, path):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(path)
+
 
 def table_path(root: str, name: str) -> str:
     return os.path.join(root, name)
