@@ -54,11 +54,14 @@ def latest_touch_time(actions: DataFrame, touches: DataFrame, keys: list[str],
     # level 1: running max inside (key, hour)
     w1 = (Window.partitionBy(*keys, "_bucket").orderBy("_ts")
           .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    local = (u.withColumn("_local", F.max("_touch").over(w1))
-             .filter(F.col("_act").isNotNull()))
+    windowed = u.withColumn("_local", F.max("_touch").over(w1))
+    local = windowed.filter(F.col("_act").isNotNull())
 
-    # level 2: carry-in from earlier hours of the same key
-    per_bucket = u.groupBy(*keys, "_bucket").agg(F.max("_touch").alias("_bmax"))
+    # level 2: carry-in from earlier hours of the same key.  Catalyst drops
+    # the unused window from this branch and plans the per-hour maxima as a
+    # partial aggregation over the narrow (key, time) columns, so only one
+    # row per key and hour is shuffled.
+    per_bucket = windowed.groupBy(*keys, "_bucket").agg(F.max("_touch").alias("_bmax"))
     w2 = (Window.partitionBy(*keys).orderBy("_bucket")
           .rowsBetween(Window.unboundedPreceding, -1))
     carry = per_bucket.select(*keys, "_bucket", F.max("_bmax").over(w2).alias("_carry"))

@@ -27,8 +27,9 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearbid.functions import Interval, hour_floor, ts_lit
+from clearbid.functions import Interval, hour_floor
 from clearbid.operators.asof import latest_touch_time
+from clearbid.sources.tables import bounded
 
 KEYS = ["uuid", "advertiser"]
 ACTION_COLS = ["actionid", "tstamp", "uuid", "advertiser", "actionbeacon", "value"]
@@ -91,9 +92,9 @@ def imp_matched_actions(impressions: DataFrame, actions: DataFrame, auctions: Da
     """View attribution for actions in ``interval`` (lookback from the end)."""
     lo = interval.lookback_from_end(lookback_days)
     hit = _attribute(
-        actions.filter(interval.contains("tstamp")),
-        impressions.filter(F.col("tstamp") >= ts_lit(lo)),
-        auctions.filter(F.col("tstamp") >= ts_lit(lo)),
+        bounded(actions, "tstamp", interval.start, interval.end),
+        bounded(impressions, "tstamp", lo),
+        bounded(auctions, "tstamp", lo),
         ["impid", "campaign", "creativegroup", "creative", "adv_clique"], "imp_tstamp", None, None)
     return one_row_per(hit, "actionid", IMP_ORDER, IMP_OUTPUT)
 
@@ -104,9 +105,9 @@ def click_matched_actions(clicks: DataFrame, actions: DataFrame, auctions: DataF
     lo_touch = interval.lookback_from_end(lookback_days)
     lo_auction = interval.lookback_from_start(lookback_days)
     hit = _attribute(
-        actions.filter(interval.contains("tstamp")),
-        clicks.filter(F.col("tstamp") >= ts_lit(lo_touch)),
-        auctions.filter(F.col("tstamp") >= ts_lit(lo_auction)),
+        bounded(actions, "tstamp", interval.start, interval.end),
+        bounded(clicks, "tstamp", lo_touch),
+        bounded(auctions, "tstamp", lo_auction),
         ["impid", "clickid", "campaign", "creativegroup", "creative"], "click_tstamp", None, None)
     return one_row_per(hit, "actionid", CLICK_ORDER, CLICK_OUTPUT)
 
@@ -118,20 +119,22 @@ def _hour_bounds(lookback_days: int) -> tuple[Column, Column, Column]:
     return hour, end - back, hour - back
 
 
-def _span_filters(interval: Interval | None, lookback_days: int):
+def _span(actions: DataFrame, touches: DataFrame, auctions: DataFrame,
+          interval: Interval | None, lookback_days: int):
+    """Bound a whole-span run: actions to the span, touches and auctions to
+    the earliest lookback any hour of the span can reach."""
     if interval is None:
-        return None, None
-    return interval.contains("tstamp"), ts_lit(interval.start - timedelta(days=lookback_days))
+        return actions, touches, auctions
+    lo = interval.start - timedelta(days=lookback_days)
+    return (bounded(actions, "tstamp", interval.start, interval.end),
+            bounded(touches, "tstamp", lo), bounded(auctions, "tstamp", lo))
 
 
 def imp_matched_actions_hourly(impressions: DataFrame, actions: DataFrame, auctions: DataFrame,
                                lookback_days: int, interval: Interval | None = None) -> DataFrame:
     """View attribution of every hour in ``interval`` (whole table if None)."""
     _, lo_end, _ = _hour_bounds(lookback_days)
-    act_filter, scan_lo = _span_filters(interval, lookback_days)
-    acts = actions if act_filter is None else actions.filter(act_filter)
-    imps = impressions if scan_lo is None else impressions.filter(F.col("tstamp") >= scan_lo)
-    aucs = auctions if scan_lo is None else auctions.filter(F.col("tstamp") >= scan_lo)
+    acts, imps, aucs = _span(actions, impressions, auctions, interval, lookback_days)
     hit = _attribute(acts, imps, aucs, ["impid", "campaign", "creativegroup", "creative", "adv_clique"],
                      "imp_tstamp", lo_end, lo_end)
     return one_row_per(hit, "actionid", IMP_ORDER, IMP_OUTPUT)
@@ -141,10 +144,7 @@ def click_matched_actions_hourly(clicks: DataFrame, actions: DataFrame, auctions
                                  lookback_days: int, interval: Interval | None = None) -> DataFrame:
     """Click attribution of every hour in ``interval`` (whole table if None)."""
     _, lo_end, lo_start = _hour_bounds(lookback_days)
-    act_filter, scan_lo = _span_filters(interval, lookback_days)
-    acts = actions if act_filter is None else actions.filter(act_filter)
-    clk = clicks if scan_lo is None else clicks.filter(F.col("tstamp") >= scan_lo)
-    aucs = auctions if scan_lo is None else auctions.filter(F.col("tstamp") >= scan_lo)
+    acts, clk, aucs = _span(actions, clicks, auctions, interval, lookback_days)
     hit = _attribute(acts, clk, aucs, ["impid", "clickid", "campaign", "creativegroup", "creative"],
                      "click_tstamp", lo_end, lo_start)
     return one_row_per(hit, "actionid", CLICK_ORDER, CLICK_OUTPUT)

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearbid.functions import Interval, hour_floor
+from clearbid.sources.tables import bounded
 
 GROUP = ["auctionId", "impid", "adv_clique"]
 OUT_KEYS = ["tstamp", "auctionId", "uuid", "impid"]
@@ -65,10 +66,10 @@ def auction_stats(auctions: DataFrame, impressions: DataFrame, bids: DataFrame,
                   interval: Interval, widen_hours: int = 1) -> DataFrame:
     """Clearing price and bid count per priced auction slot in ``interval``."""
     wide = interval.widened(widen_hours)
-    a = (auctions.filter(interval.contains("tstamp") & (F.col("level") == "info"))
-         .select(*OUT_KEYS))
-    i = impressions.filter(wide.contains("tstamp")).select("impid", "adv_clique")
-    b = bids.filter(wide.contains("tstamp")).select("bidid", *GROUP, "bid")
+    a = (bounded(auctions, "tstamp", interval.start, interval.end)
+         .filter(F.col("level") == "info").select(*OUT_KEYS))
+    i = bounded(impressions, "tstamp", wide.start, wide.end).select("impid", "adv_clique")
+    b = bounded(bids, "tstamp", wide.start, wide.end).select("bidid", *GROUP, "bid")
     stats = bid_group_stats(b)
     return _finish(a.join(i, "impid").join(stats, GROUP))
 
@@ -88,10 +89,10 @@ def auction_stats_hourly(auctions: DataFrame, impressions: DataFrame, bids: Data
     i = impressions
     b = bids
     if interval is not None:
-        a = a.filter(interval.contains("tstamp"))
+        a = bounded(a, "tstamp", interval.start, interval.end)
         wide = interval.widened(w)
-        i = i.filter(wide.contains("tstamp"))
-        b = b.filter(wide.contains("tstamp"))
+        i = bounded(i, "tstamp", wide.start, wide.end)
+        b = bounded(b, "tstamp", wide.start, wide.end)
     a = a.select(*OUT_KEYS, hour_floor("tstamp").alias("auction_hour"))
     i = i.select("impid", "adv_clique", F.col("tstamp").alias("imp_tstamp"))
     # a bid in hour bucket h_b is visible to auction hours h_b - w .. h_b + w
@@ -119,7 +120,7 @@ def auction_stats_defaults(auctions: DataFrame, interval: Interval | None) -> Da
     """Zero-bid rows for errored auctions (no bids, price 0.0)."""
     a = auctions.filter(F.col("level") == "error")
     if interval is not None:
-        a = a.filter(interval.contains("tstamp"))
+        a = bounded(a, "tstamp", interval.start, interval.end)
     return a.select(*OUT_KEYS).dropDuplicates(OUT_KEYS).select(
         *OUT_KEYS,
         F.lit(0).cast("bigint").alias("num_bids"),
@@ -137,7 +138,8 @@ def losing_bids(bids: DataFrame, interval: Interval | None = None, widen_hours:
     """
     b = bids
     if interval is not None:
-        b = b.filter(interval.widened(widen_hours).contains("tstamp"))
+        wide = interval.widened(widen_hours)
+        b = bounded(b, "tstamp", wide.start, wide.end)
     b = b.select("bidid", *GROUP, "bid", "tstamp")
     mx = b.groupBy(*GROUP).agg(F.max("bid").alias("group_max"))
     return (b.join(mx, GROUP)

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearbid.functions import Interval, geo_region, hour_floor, split_keywords, ts_lit
+from clearbid.sources.tables import bounded
 
 CPM, CPC = "CPM", "CPC"
 
@@ -109,7 +110,7 @@ def joined_impressions(auctions: DataFrame, impressions: DataFrame, auction_stat
     All joins key on impid (auction_stats also on auctionId), so with
     impid-based co-partitioning every input is shuffled once.
     """
-    a = auctions if interval is None else auctions.filter(interval.contains("tstamp"))
+    a = auctions if interval is None else bounded(auctions, "tstamp", interval.start, interval.end)
     a = a.select(_label(per_hour, interval, "tstamp"), "impid", "auctionId", "uuid",
                  *_auction_dims(auctions))
     i = impressions.select("impid", "advertiser", "campaign", "creativegroup", "creative", "adv_clique")
@@ -171,7 +172,7 @@ def conversions(imp_matched: DataFrame, click_matched: DataFrame, grain: Grain,
 def defaults(auctions: DataFrame, auction_defaults: DataFrame, grain: Grain,
              interval: Interval | None, per_hour: bool = False) -> DataFrame:
     """Default (no-fill) counts and unique users of one grain."""
-    a = auctions if interval is None else auctions.filter(interval.contains("tstamp"))
+    a = auctions if interval is None else bounded(auctions, "tstamp", interval.start, interval.end)
     a = a.select(_label(per_hour, interval, "tstamp"), "auctionId", "uuid", *_auction_dims(auctions))
     d = auction_defaults.select(F.col("auctionId"), F.col("auctionId").alias("_default_id"))
     out = a.join(d, "auctionId").groupBy("hour", *grain.default_dims).agg(

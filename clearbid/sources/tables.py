@@ -14,7 +14,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearbid.functions import Interval, in_range, ts_lit
+from clearbid.functions import Interval, ts_lit
 from clearbid.schemas import AD_TABLES, check_columns
 
 
@@ -26,20 +26,31 @@ def read_table(spark: SparkSession, root: str, name: str, check: bool = True) ->
     return df
 
 
-def _date_bound(df: DataFrame, lo: datetime | None, hi: datetime | None) -> DataFrame:
-    if "date" not in df.columns:
-        return df
+def bounded(df: DataFrame, col: str = "tstamp", lo: datetime | None = None,
+            hi: datetime | None = None) -> DataFrame:
+    """``lo <= col < hi`` (either side optional), plus partition bounds.
+
+    When ``df`` carries the ``date`` partition column (UTC day of ``col``),
+    the same bounds are stated on ``date`` so the scan lists only the touched
+    day folders (``PartitionFilters``); the ``col`` bounds reach the Parquet
+    reader as ``PushedFilters``.
+    """
     cond = F.lit(True)
     if lo is not None:
-        cond = cond & (F.col("date") >= F.lit(lo.date()))
+        cond = cond & (F.col(col) >= ts_lit(lo))
     if hi is not None:
-        cond = cond & (F.col("date") <= F.lit(hi.date()))
+        cond = cond & (F.col(col) < ts_lit(hi))
+    if "date" in df.columns and col == "tstamp":
+        if lo is not None:
+            cond = cond & (F.col("date") >= F.lit(lo.date()))
+        if hi is not None:
+            cond = cond & (F.col("date") <= F.lit(hi.date()))
     return df.filter(cond)
 
 
 def time_range(df: DataFrame, interval: Interval, col: str = "tstamp") -> DataFrame:
     """S2/S6: rows with ``interval.start <= col < interval.end``."""
-    return _date_bound(df.filter(in_range(col, interval.start, interval.end)), interval.start, interval.end)
+    return bounded(df, col, interval.start, interval.end)
 
 
 def widened_range(df: DataFrame, interval: Interval, hours: int = 1, col: str = "tstamp") -> DataFrame:
@@ -49,5 +60,4 @@ def widened_range(df: DataFrame, interval: Interval, hours: int = 1, col: str =
 
 def lookback(df: DataFrame, anchor: datetime, days: int, col: str = "tstamp") -> DataFrame:
     """S4: rows with ``col >= anchor - days`` (no upper bound)."""
-    lo = anchor - timedelta(days=days)
-    return _date_bound(df.filter(F.col(col) >= ts_lit(lo)), lo, None)
+    return bounded(df, col, anchor - timedelta(days=days), None)
