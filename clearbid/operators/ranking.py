@@ -52,6 +52,5 @@ def stale_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, r
     Computed as all rows minus the kept ones (anti-join on ``row_id``) so the
     ranking step keeps its partial group limit.
     """
-    kept = keep_newest_per_key(df.select(*keys, *row_id, *[c for c in df.columns if c not in keys + row_id]),
-                               keys, order, n).select(*row_id)
+    kept = keep_newest_per_key(df, keys, order, n).select(*row_id)
     return df.join(kept, row_id, "left_anti")

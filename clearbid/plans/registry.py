@@ -195,6 +195,27 @@ def q_table_migration(spark, sf):
     return u.groupBy("table_name").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def q_environment_sync(spark, sf):
+    """Write the aggregate tables to a 'production' folder, sync them to a
+    'development' folder (newest N per aggregate table, copy-once for the
+    rest) and report the rows that arrived."""
+    from clearbid.plans.maintenance import sync_environment
+    from clearbid.session import scratch_dir
+    prod, dev = scratch_dir(spark, "prod"), scratch_dir(spark, "dev")
+    hourly = jobs.hourly_backfill(_tables(spark, sf))
+    hourly.write.parquet(f"{prod}/hourlyadstats")
+    spark.read.parquet(f"{prod}/hourlyadstats").transform(jobs.daily_backfill).write.parquet(f"{prod}/dailyadstats")
+    spark.read.parquet(f"{sf}/customer.parquet").write.parquet(f"{prod}/cliques")
+    done = sync_environment(spark, prod, dev, full=[],
+                            newest=[("hourlyadstats", "hour"), ("dailyadstats", "date")], once=["cliques"])
+    parts = [spark.read.parquet(f"{dev}/{name}").select(F.lit(name).alias("table_name"))
+             for name in sorted(done)]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.groupBy("table_name").agg(F.count(F.lit(1)).alias("rows"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "auction_stats": q_auction_stats,
     "auction_stats_defaults": q_auction_stats_defaults,
@@ -225,6 +246,7 @@ QUERIES.update({
     "lookback_scan": q_lookback_scan,
     "copy_once": q_copy_once,
     "table_migration": q_table_migration,
+    "environment_sync": q_environment_sync,
 })
 
 
@@ -340,7 +362,10 @@ def _o_dailyadstats() -> str:
 
 def _o_daily_backfill() -> str:
     sql = O.with_fixtures(*_span_ctes(True), _stats_union_cte("hs", "hourly", True))
-    return sql + "\n" + O.finalize(DAILY_OUT, _daily_select("hs", "date_trunc('day', hour)"))
+    return sql + "\n" + O.finalize(DAILY_OUT, _daily_select("hs", DAY_OF_HOUR))
+
+
+DAY_OF_HOUR = "date_trunc('day', hour)"
 
 
 def _o_daily_upsert() -> str:
@@ -348,8 +373,8 @@ def _o_daily_upsert() -> str:
     match = " AND ".join(f"o.{k} IS NOT DISTINCT FROM n.{k}" for k in keys)
     sql = O.with_fixtures(
         *_span_ctes(True), _stats_union_cte("hs", "hourly", True),
-        f"old AS ({_daily_select('hs', 'date_trunc(' + chr(39) + 'day' + chr(39) + ', hour)', 'hour(hour) < 12')})",
-        f"new AS ({_daily_select('hs', 'date_trunc(' + chr(39) + 'day' + chr(39) + ', hour)')})",
+        f"old AS ({_daily_select('hs', DAY_OF_HOUR, 'date_part(' + repr('hour') + ', hour) < 12')})",
+        f"new AS ({_daily_select('hs', DAY_OF_HOUR)})",
         f"merged AS (SELECT o.* FROM old o WHERE NOT EXISTS (SELECT 1 FROM new n WHERE {match}) "
         f"UNION ALL BY NAME SELECT * FROM new)")
     return sql + "\n" + O.finalize(DAILY_OUT, "SELECT * FROM merged")
@@ -393,6 +418,15 @@ def _o_migration() -> str:
     return O.with_fixtures() + "\n" + body
 
 
+def _o_environment_sync() -> str:
+    sql = O.with_fixtures(*_span_ctes(True), _stats_union_cte("hs", "hourly", True),
+                          f"dl AS ({_daily_select('hs', DAY_OF_HOUR)})")
+    return sql + f"""
+SELECT 'cliques' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows FROM customer
+UNION ALL SELECT 'dailyadstats', CAST(LEAST(COUNT(*), {SYNC_LIMIT}) AS BIGINT) FROM dl
+UNION ALL SELECT 'hourlyadstats', CAST(LEAST(COUNT(*), {SYNC_LIMIT}) AS BIGINT) FROM hs"""
+
+
 ORACLES: dict[str, str] = {
     "auction_stats": _o_auction_stats(),
     "auction_stats_defaults": _o_auction_defaults(),
@@ -423,4 +457,5 @@ ORACLES.update({
     "lookback_scan": _o_lookback(),
     "copy_once": "SELECT * FROM orders",
     "table_migration": _o_migration(),
+    "environment_sync": _o_environment_sync(),
 })

@@ -1,0 +1,11 @@
+"""Streaming: intentionally empty.
+
+The analytics this package rebuilds run as hourly batches over event time:
+each run reads a closed hour (plus a one-hour widening for bids and
+impressions, and a lookback for attribution) and late rows are picked up by
+re-running that hour, which our partition-overwrite sinks make idempotent.
+There is no watermark, streaming window or per-key state in the original
+work, so no Structured Streaming operator is defined here.  A scheduler that
+wants a continuous form can call ``clearbid.plans.hourly.run`` for each
+newly closed hour.
+"""
