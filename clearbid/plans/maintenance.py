@@ -54,8 +54,11 @@ def migrate_tables(spark: SparkSession, sources: dict[str, DataFrame], dest_root
         if tcol is None:
             df.write.mode("overwrite").parquet(path)
         else:
-            out = df.withColumn("day", F.to_date(tcol))
-            sinks.overwrite_partitions(out, path, ["day"])
+            # event tables get the ``date`` partition column the bounded scans
+            # prune on; tables that already hold a ``date`` field use ``day``
+            part = "day" if "date" in df.columns else "date"
+            out = df.withColumn(part, F.to_date(tcol))
+            sinks.overwrite_partitions(out, path, [part])
         written[name] = path
     return written
 
