@@ -2,11 +2,10 @@
 
 ``newest_n`` serves the environment sync (latest N rows of an aggregate table
 by its hour/date field).  A global ``orderBy().limit(N)`` funnels N rows from
-every partition into one task, so instead a histogram of the sort field
-(one row per distinct hour or day, bounded by the time span) gives, for each
-value, how many newer rows exist; values entirely inside the first N keep all
-their rows through an equi-join, and only the single boundary value is ranked
-by the tie-break columns.
+every partition into one task, so instead a histogram over hour buckets of the
+sort field (bounded by the time span) gives, for each bucket, how many newer
+rows exist; buckets entirely inside the first N keep all their rows through a
+semi-join, and only the single boundary bucket is ranked row by row.
 
 ``keep_newest_per_key`` is the snapshot-retention rule re-aimed at table rows:
 per key keep the N newest, the rest are stale.  ``row_number() <= N`` is
@@ -18,24 +17,39 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def newest_n(df: DataFrame, sort_col: str, n: int, tiebreak: list[str]) -> DataFrame:
-    """The ``n`` rows with the largest ``sort_col`` (ties broken by ``tiebreak`` ascending)."""
+    """The ``n`` rows with the largest ``sort_col`` (ties broken by ``tiebreak`` ascending).
+
+    The histogram is taken over hour buckets of a timestamp sort field (or the
+    value itself for a date/number field), so its size is bounded by the time
+    span, never by the row count; its running sum is the only unpartitioned
+    window.  Buckets wholly inside the first ``n`` rows are kept by a semi-join;
+    only the one boundary bucket is ranked row by row.
+    """
     if n <= 0:
         return df.limit(0)
-    hist = df.groupBy(sort_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    newer = Window.orderBy(F.col(sort_col).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    dtype = df.schema[sort_col].dataType
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        bucket = F.date_trunc("hour", F.col(sort_col)).cast(dtype)
+    else:
+        bucket = F.col(sort_col)
+    b = df.withColumn("_bucket", bucket)
+    hist = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    newer = Window.orderBy(F.col("_bucket").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     hist = (hist.withColumn("_above", F.coalesce(F.sum("_cnt").over(newer), F.lit(0)))
             .filter(F.col("_above") < n)
             .withColumn("_room", F.lit(n) - F.col("_above")))
-    whole = hist.filter(F.col("_cnt") <= F.col("_room")).select(sort_col)
-    edge = hist.filter(F.col("_cnt") > F.col("_room")).select(sort_col, "_room")
-    full = df.join(whole, df[sort_col].eqNullSafe(whole[sort_col]), "left_semi")
-    e = df.join(edge, df[sort_col].eqNullSafe(edge[sort_col]), "inner").drop(edge[sort_col])
-    rank = F.row_number().over(Window.partitionBy(sort_col).orderBy(*[F.col(c).asc_nulls_first() for c in tiebreak]))
+    whole = hist.filter(F.col("_cnt") <= F.col("_room")).select("_bucket")
+    edge = hist.filter(F.col("_cnt") > F.col("_room")).select(F.col("_bucket").alias("_edge"), "_room")
+    full = b.join(whole, b["_bucket"].eqNullSafe(whole["_bucket"]), "left_semi")
+    e = b.join(edge, b["_bucket"].eqNullSafe(edge["_edge"]), "inner").drop("_edge")
+    order = [F.col(sort_col).desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in tiebreak]
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
     part = e.withColumn("_rn", rank).filter(F.col("_rn") <= F.col("_room")).drop("_rn", "_room")
-    return full.unionByName(part)
+    return full.unionByName(part).drop("_bucket")
 
 
 def keep_newest_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:

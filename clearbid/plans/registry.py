@@ -37,8 +37,6 @@ WEEK_LOOKBACK = 7
 SYNC_LIMIT = 100_000   # rows per aggregate table in the environment sync
 RETAIN = 5             # versions kept per key by retention
 
-_CACHE: dict = {}
-
 
 def _tables(spark: SparkSession, sf_dir: str) -> jobs.AdTables:
     return jobs.AdTables.of(ad_tables(spark, sf_dir))

@@ -98,3 +98,15 @@ def test_newest_n_boundary_ties(spark):
 
 def test_measures_schema_declared():
     assert [f.name for f in MEASURES.fields][:3] == ["clearprice", "bids", "spend"]
+
+
+def test_newest_n_fine_timestamps_matches_sort(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(datetime(2024, 1, 1) + timedelta(seconds=rnd.randrange(0, 3 * 3600)), f"n{k}") for k in range(300)]
+    rows += [(rows[0][0], "tie-a"), (rows[0][0], "tie-b")]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, name string")
+    for n in (1, 57, 150, 299, 302, 400):
+        want = sorted(rows, key=lambda r: (-r[0].timestamp(), r[1]))[:n]
+        got = newest_n(df, "ts", n, ["name"]).collect()
+        assert sorted((r.ts, r.name) for r in got) == sorted(want)
