@@ -20,13 +20,20 @@ the aggregation, so 'a,b' and 'b,a' stay apart).
 ``per_hour=True`` it is the hour of the event, which is what a loop of
 one-hour runs would produce, but computed in one job.
 
-Only ``auctions.tstamp`` (or the action time) is bounded; impressions, clicks,
-stats and defaults are joined unbounded so late clicks still count.
+Only ``auctions.tstamp`` (or the action time) is bounded above; impressions,
+clicks, stats and defaults have no upper bound, so late clicks still count.
+``history_hours`` adds a *lower* bound (interval start minus that many hours)
+to those scans so an hourly run does not read the whole history.  It is exact
+when impid (and auctionId) identify one auction slot, which the data model
+states: a priced slot's impression lies in the one-hour widened window, and
+clicks and defaults follow their auction.  ``history_hours=None`` joins them
+unbounded.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,13 +110,25 @@ def _zero_long(*names: str) -> list[Column]:
     return [F.lit(0).cast("bigint").alias(n) for n in names]
 
 
+def _history_lo(interval: Interval | None, history_hours: int | None):
+    if interval is None or history_hours is None:
+        return None
+    return interval.start - timedelta(hours=history_hours)
+
+
 def joined_impressions(auctions: DataFrame, impressions: DataFrame, auction_stats: DataFrame,
-                       clicks: DataFrame, interval: Interval | None, per_hour: bool = False) -> DataFrame:
+                       clicks: DataFrame, interval: Interval | None, per_hour: bool = False,
+                       history_hours: int | None = 1) -> DataFrame:
     """The shared 4-way join behind every imps/clicks rollup (all grains).
 
     All joins key on impid (auction_stats also on auctionId), so with
     impid-based co-partitioning every input is shuffled once.
     """
+    lo = _history_lo(interval, history_hours)
+    if lo is not None:
+        impressions = bounded(impressions, "tstamp", lo)
+        clicks = bounded(clicks, "tstamp", lo)
+        auction_stats = bounded(auction_stats, "tstamp", lo)
     a = auctions if interval is None else bounded(auctions, "tstamp", interval.start, interval.end)
     a = a.select(_label(per_hour, interval, "tstamp"), "impid", "auctionId", "uuid",
                  *_auction_dims(auctions))
@@ -141,18 +160,21 @@ def imps_clicks(joined: DataFrame, grain: Grain, pricing: str = CPM) -> DataFram
 
 def conversions(imp_matched: DataFrame, click_matched: DataFrame, grain: Grain,
                 interval: Interval | None, auctions: DataFrame | None = None,
-                per_hour: bool = False) -> DataFrame:
+                per_hour: bool = False, auction_lo=None) -> DataFrame:
     """View/click conversion counts of one grain.
 
     Dims come from the impression match; click matches without one are not
     counted.  Geo and keyword grains fetch their dims from the auction of the
-    matched impression (unbounded auctions scan, as in the reference).
+    matched impression.  ``auction_lo`` lower-bounds that auctions scan (the
+    attribution already required the auction to be at or after its own
+    lookback bound); None scans all auctions.
     """
     i = imp_matched if interval is None else imp_matched.filter(interval.contains("action_tstamp"))
     i = i.select(_label(per_hour, interval, "action_tstamp"), "actionid", "imp_tstamp", "impid",
                  *[d for d in grain.conv_dims if d not in grain.auction_extra])
     if grain.auction_extra:
-        a = auctions.select("impid", *_auction_dims(auctions)).select("impid", *grain.auction_extra)
+        au = auctions if auction_lo is None else bounded(auctions, "tstamp", auction_lo)
+        a = au.select("impid", *_auction_dims(au)).select("impid", *grain.auction_extra)
         i = i.join(a, "impid")
     c = click_matched.select("actionid", "click_tstamp")
     j = i.join(c, "actionid", "left")
@@ -170,8 +192,12 @@ def conversions(imp_matched: DataFrame, click_matched: DataFrame, grain: Grain,
 
 
 def defaults(auctions: DataFrame, auction_defaults: DataFrame, grain: Grain,
-             interval: Interval | None, per_hour: bool = False) -> DataFrame:
+             interval: Interval | None, per_hour: bool = False,
+             history_hours: int | None = 1) -> DataFrame:
     """Default (no-fill) counts and unique users of one grain."""
+    lo = _history_lo(interval, history_hours)
+    if lo is not None:
+        auction_defaults = bounded(auction_defaults, "tstamp", lo)
     a = auctions if interval is None else bounded(auctions, "tstamp", interval.start, interval.end)
     a = a.select(_label(per_hour, interval, "tstamp"), "auctionId", "uuid", *_auction_dims(auctions))
     d = auction_defaults.select(F.col("auctionId"), F.col("auctionId").alias("_default_id"))

@@ -83,7 +83,8 @@ def run(spark: SparkSession, tables: AdTables, out_root: str, interval: Interval
     try:
         # 3. three row kinds per grain
         for g in grains:
-            frames = grain_frames(tables, stored, g, interval, per_hour, pricing, joined=joined)
+            frames = grain_frames(tables, stored, g, interval, per_hour, pricing, joined=joined,
+                                  view_lookback=view_lookback)
             kinds = [frames["imps"].withColumn("kind", F.lit("imps")),
                      frames["convs"].withColumn("kind", F.lit("convs")),
                      frames["defaults"].withColumn("kind", F.lit("defaults"))]

@@ -8,6 +8,7 @@ The imps/clicks join is built once and aggregated for all three grains.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
 
@@ -59,15 +60,18 @@ def intermediates(t: AdTables, interval: Interval | None, per_hour: bool,
 
 def grain_frames(t: AdTables, mid: Intermediates, grain: ru.Grain, interval: Interval | None,
                  per_hour: bool, pricing: str = ru.CPM,
-                 joined: DataFrame | None = None) -> dict[str, DataFrame]:
+                 joined: DataFrame | None = None,
+                 view_lookback: int = DEFAULT_LOOKBACK_DAYS) -> dict[str, DataFrame]:
     """The three row kinds of one grain."""
     if joined is None:
         joined = ru.joined_impressions(t.auctions, t.impressions, mid.auction_stats, t.clicks,
                                        interval, per_hour)
+    # matched impressions only ever point at auctions inside the view lookback
+    auction_lo = None if interval is None else interval.start - timedelta(days=view_lookback)
     return {
         "imps": ru.imps_clicks(joined, grain, pricing),
         "convs": ru.conversions(mid.imp_matched_actions, mid.click_matched_actions, grain, interval,
-                                t.auctions, per_hour),
+                                t.auctions, per_hour, auction_lo),
         "defaults": ru.defaults(t.auctions, t.auction_defaults, grain, interval, per_hour),
     }
 
