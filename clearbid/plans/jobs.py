@@ -1,8 +1,9 @@
 """Multi-operator jobs: the hourly run, hourly/daily backfill.
 
-``hourly_frames`` wires every operator of one interval run (or of a whole
-span, one label per hour) into DataFrames; ``plans.hourly_run`` writes them.
-The imps/clicks join is built once and aggregated for all three grains.
+``intermediates`` and ``grain_frames`` wire every operator of one interval
+run (or of a whole span, one label per hour) into DataFrames;
+``plans.hourly.run`` writes them, sharing one imps/clicks join across the
+three grains.
 """
 
 from __future__ import annotations

@@ -123,6 +123,11 @@ def q_hourly_backfill(spark, sf):
     return _round(jobs.hourly_backfill(_tables(spark, sf)))
 
 
+def q_keyword_backfill(spark, sf):
+    """The keyword catch-up: keyword stats of every hour of the table, one job."""
+    return _round(jobs.hourly_backfill(_tables(spark, sf), grain=ru.KEYWORD))
+
+
 def q_dailyadstats(spark, sf):
     t = _tables(spark, sf)
     hourly = jobs.stats_table(t, ru.HOURLY, SPAN, False)
@@ -234,6 +239,7 @@ QUERIES.update({
     "geoadstats_all": _union_grain(ru.GEO),
     "keywordadstats_all": _union_grain(ru.KEYWORD),
     "hourly_backfill": q_hourly_backfill,
+    "keyword_backfill": q_keyword_backfill,
     "dailyadstats": q_dailyadstats,
     "daily_backfill": q_daily_backfill,
     "daily_upsert": q_daily_upsert,
@@ -333,9 +339,9 @@ def _o_union(grain: str) -> str:
     return sql + "\n" + O.finalize(_stat_cols(grain), "SELECT * FROM hs")
 
 
-def _o_hourly_backfill() -> str:
-    sql = O.with_fixtures(*_span_ctes(True), _stats_union_cte("hs", "hourly", True))
-    return sql + "\n" + O.finalize(_stat_cols("hourly"), "SELECT * FROM hs")
+def _o_hourly_backfill(grain: str = "hourly") -> str:
+    sql = O.with_fixtures(*_span_ctes(True), _stats_union_cte("hs", grain, True))
+    return sql + "\n" + O.finalize(_stat_cols(grain), "SELECT * FROM hs")
 
 
 DAILY_GROUP = ["advertiser", "campaign", "adv_clique", "publisher", "site", "pub_clique"]
@@ -445,6 +451,7 @@ ORACLES.update({
     "geoadstats_all": _o_union("geo"),
     "keywordadstats_all": _o_union("keyword"),
     "hourly_backfill": _o_hourly_backfill(),
+    "keyword_backfill": _o_hourly_backfill("keyword"),
     "dailyadstats": _o_dailyadstats(),
     "daily_backfill": _o_daily_backfill(),
     "daily_upsert": _o_daily_upsert(),
