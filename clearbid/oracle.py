@@ -281,7 +281,7 @@ def _kw_out(col: str) -> str:
             "ELSE string_split(keywords, ',') END AS keywords")
 
 
-def imps_rollup_sql(grain: str, pricing: str, label: str, where: str, stats: str) -> str:
+def imps_rollup_sql(grain: str, pricing: str, label: str, where: str, stats: str) -> tuple[list[str], str]:
     """stats: name of an auction_stats CTE; label: SQL for the hour column."""
     dims = DIMS[grain]["imps"]
     sel = [f"{('i.' + d) if d in IMP_SIDE else _auction_expr(d)} AS {d}" for d in dims]

@@ -133,3 +133,35 @@ def read_stats(spark: SparkSession, path: str, grain: ru.Grain = ru.HOURLY) -> D
     """A stats table with ``hour`` (``timestamp_ntz``) and ``kind`` partition columns."""
     return sinks.read_written(spark, path, stats_schema(grain),
                               {"hour": T.TimestampNTZType(), "kind": T.StringType()})
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit -m clearbid.plans.hourly --tables ROOT --out ROOT [--start --end]``.
+
+    Reads the six ad tables below ``--tables``; the interval defaults to the
+    last full UTC hour; ``--backfill`` labels every hour of the interval.
+    """
+    import argparse
+
+    from clearbid.sources.tables import read_table
+
+    p = argparse.ArgumentParser(description="hourly ad stats job")
+    p.add_argument("--tables", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--start", help="UTC '%%Y-%%m-%%d %%H:%%M:%%S', inclusive")
+    p.add_argument("--end", help="UTC '%%Y-%%m-%%d %%H:%%M:%%S', exclusive")
+    p.add_argument("--pricing", default=ru.CPM)
+    p.add_argument("--view-lookback", type=int, default=DEFAULT_LOOKBACK_DAYS)
+    p.add_argument("--click-lookback", type=int, default=DEFAULT_LOOKBACK_DAYS)
+    p.add_argument("--backfill", action="store_true")
+    args = p.parse_args(argv)
+    default = Interval.default()
+    interval = Interval(args.start or default.start, args.end or default.end)
+    spark = SparkSession.builder.appName("clearbid-hourly").getOrCreate()
+    tables = AdTables.of({n: read_table(spark, args.tables, n) for n in AdTables.__dataclass_fields__})
+    run(spark, tables, args.out, interval, args.pricing, per_hour=args.backfill,
+        view_lookback=args.view_lookback, click_lookback=args.click_lookback)
+
+
+if __name__ == "__main__":
+    main()
