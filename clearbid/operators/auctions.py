@@ -11,13 +11,16 @@ Semantics kept from the reference queries:
   auctions in the interval; bids and impressions are read one hour wider on
   both sides.
 
-Plan shape (scale): bids are never windowed row by row.  They are first
-collapsed to distinct prices per group with a partial (map-side) aggregation,
-so a hot auction costs one row per distinct price, then one window over those
-distinct prices finds the group maximum, and a second aggregation leaves one
-row per group: (num_bids, max_bid, second).  Only that one-row-per-group frame
-meets the auctions/impressions join.  Bid IDs are assumed unique (the winner
-mark in the reference joins on bidid alone).
+Plan shape (scale): bids are shuffled once, hash-partitioned by ``impid``.
+Every later step keys on a superset of impid - distinct prices per group,
+the window for the group maximum (over distinct prices, not bids), the
+one-row-per-group statistics (num_bids, max_bid, second), the join with
+auctions ⋈ impressions (also partitioned by impid) and the final per-slot
+aggregation - so none of them shuffles again.  A group is one auction slot
+and one advertiser clique: its bids are bounded by the bidders invited to
+that auction, so grouping by slot cannot concentrate a large share of all
+bids in one task the way user or publisher keys can.  Bid IDs are assumed
+unique (the winner mark in the reference joins on bidid alone).
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ def bid_group_stats(bids: DataFrame, extra_keys: list[str] | None = None) -> Dat
     ``extra_keys``).  NULL bids count in ``num_bids`` but never price.
     """
     keys = GROUP + list(extra_keys or [])
-    per_price = bids.groupBy(*keys, "bid").agg(F.count("bidid").alias("n"))
+    per_price = bids.repartition("impid").groupBy(*keys, "bid").agg(F.count("bidid").alias("n"))
     top = per_price.withColumn("group_max", F.max("bid").over(Window.partitionBy(*keys)))
     return top.groupBy(*keys).agg(
         F.sum("n").alias("num_bids"),
@@ -98,6 +101,7 @@ def auction_stats_hourly(auctions: DataFrame, impressions: DataFrame, bids: Data
     # a bid in hour bucket h_b is visible to auction hours h_b - w .. h_b + w
     offsets = F.sequence(F.lit(-w), F.lit(w))
     b = (b.select("bidid", *GROUP, "bid", hour_floor("tstamp").alias("bid_hour"))
+         .repartition("impid")
          .groupBy(*GROUP, "bid_hour", "bid").agg(F.count("bidid").alias("n"))
          .select(*GROUP, "bid", "n",
                  F.explode(offsets).alias("off"), "bid_hour")
@@ -132,15 +136,14 @@ def auction_stats_defaults(auctions: DataFrame, interval: Interval | None) -> Da
 def losing_bids(bids: DataFrame, interval: Interval | None = None, widen_hours: int = 1) -> DataFrame:
     """Bids below their group maximum (the reference's anti-join marker).
 
-    The group maximum comes from a partial aggregation and meets the bids in
-    an equi-join on the group key, so a hot auction is a plain (AQE-splittable)
-    join partition rather than one window buffer.
+    Bids are partitioned by impid once; the group maximum and its join back
+    to the bids reuse that partitioning.
     """
     b = bids
     if interval is not None:
         wide = interval.widened(widen_hours)
         b = bounded(b, "tstamp", wide.start, wide.end)
-    b = b.select("bidid", *GROUP, "bid", "tstamp")
+    b = b.select("bidid", *GROUP, "bid", "tstamp").repartition("impid")
     mx = b.groupBy(*GROUP).agg(F.max("bid").alias("group_max"))
     return (b.join(mx, GROUP)
             .filter(F.col("bid") < F.col("group_max"))
