@@ -68,13 +68,23 @@ def run(spark: SparkSession, tables: AdTables, out_root: str, interval: Interval
     sinks.overwrite_partitions(
         mid.click_matched_actions.withColumn("hour", _hour_col(per_hour, interval, "action_tstamp")),
         paths["click_matched_actions"], ["hour"])
+    # Read back only the partitions this run wrote: rows of other hours can
+    # never join this interval's auctions (impid/auctionId name one slot) or
+    # fall in its action range, so the scan lists one folder per hour run.
     hour = {"hour": T.TimestampNTZType()}
+
+    def own(path, schema):
+        df = sinks.read_written(spark, path, schema, hour)
+        if per_hour:
+            df = df.filter((F.col("hour") >= ts_lit(interval.start)) & (F.col("hour") < ts_lit(interval.end)))
+        else:
+            df = df.filter(F.col("hour") == ts_lit(interval.start))
+        return df.drop("hour")
+
     stored = type(mid)(
-        auction_stats=sinks.read_written(spark, paths["auction_stats"], S.AUCTION_STATS, hour).drop("hour"),
-        imp_matched_actions=sinks.read_written(spark, paths["imp_matched_actions"],
-                                               S.IMP_MATCHED_ACTIONS, hour).drop("hour"),
-        click_matched_actions=sinks.read_written(spark, paths["click_matched_actions"],
-                                                 S.CLICK_MATCHED_ACTIONS, hour).drop("hour"),
+        auction_stats=own(paths["auction_stats"], S.AUCTION_STATS),
+        imp_matched_actions=own(paths["imp_matched_actions"], S.IMP_MATCHED_ACTIONS),
+        click_matched_actions=own(paths["click_matched_actions"], S.CLICK_MATCHED_ACTIONS),
     )
 
     # 2. the shared imps/clicks join, computed once for all grains
