@@ -83,3 +83,10 @@ def test_interval_rules():
     assert Interval("2024-01-01 00:00:00", "2024-01-01 00:00:00").days() == []
     with pytest.raises(ValueError):
         Interval("2024-01-02 00:00:00", "2024-01-01 00:00:00")
+
+
+def test_default_interval_is_last_full_hour():
+    iv = Interval.default(datetime(2024, 1, 10, 13, 42, 7))
+    assert (iv.start, iv.end) == (datetime(2024, 1, 10, 12), datetime(2024, 1, 10, 13))
+    assert Interval("2024-01-10 12:00:00", "2024-01-11 01:00:00").days() == [datetime(2024, 1, 10),
+                                                                            datetime(2024, 1, 11)]
