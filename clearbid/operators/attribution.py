@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from clearbid.functions import Interval, hour_floor
 from clearbid.operators.asof import latest_touch_time
-from clearbid.sources.tables import bounded
+from clearbid.sources.tables import bounded, prefilter_by_keys
 
 KEYS = ["uuid", "advertiser"]
 ACTION_COLS = ["actionid", "tstamp", "uuid", "advertiser", "actionbeacon", "value"]
@@ -66,7 +66,15 @@ def one_row_per(df: DataFrame, key: str, order: list[str], output: list[str]) ->
 def _attribute(actions: DataFrame, touches: DataFrame, auctions: DataFrame,
                touch_cols: list[str], touch_time: str,
                touch_bound: Column | None, auction_bound: Column | None) -> DataFrame:
-    """Shared body; bounds are columns over the action row (or None = unbounded)."""
+    """Shared body; bounds are columns over the action row (or None = unbounded).
+
+    Touches of users without an action in the interval can never match, and
+    auctions only matter for those touches: both are cut down map-side by a
+    size-checked broadcast semi-join before anything is shuffled, so an
+    hourly run shuffles the lookback history of its active users only.
+    """
+    touches = prefilter_by_keys(touches, actions, KEYS)
+    auctions = prefilter_by_keys(auctions, touches, ["impid"])
     a = actions.select(*ACTION_COLS)
     if touch_bound is not None:
         a = a.withColumn("_touch_lo", touch_bound)

@@ -48,6 +48,27 @@ def bounded(df: DataFrame, col: str = "tstamp", lo: datetime | None = None,
     return df.filter(cond)
 
 
+# Largest key set shipped to every executor for a map-side semi-join
+# (about 40-80 MB of string keys).
+BROADCAST_KEY_LIMIT = 1_000_000
+
+
+def prefilter_by_keys(big: DataFrame, keys_from: DataFrame, keys: list[str],
+                      limit: int = BROADCAST_KEY_LIMIT) -> DataFrame:
+    """Keep rows of ``big`` whose ``keys`` occur in ``keys_from``, map-side.
+
+    The distinct key set is counted first; only when it holds at most
+    ``limit`` rows is it broadcast for a semi-join, so the broadcast size is
+    checked, never assumed.  Above the limit ``big`` is returned unchanged:
+    the prefilter only removes rows that could not match later anyway, so
+    skipping it never changes a result.
+    """
+    k = keys_from.select(*keys).distinct()
+    if k.count() > limit:
+        return big
+    return big.join(F.broadcast(k), keys, "left_semi")
+
+
 def time_range(df: DataFrame, interval: Interval, col: str = "tstamp") -> DataFrame:
     """S2/S6: rows with ``interval.start <= col < interval.end``."""
     return bounded(df, col, interval.start, interval.end)

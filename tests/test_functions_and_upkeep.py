@@ -58,3 +58,15 @@ def test_sync_environment(spark, tmp_root):
     assert got == ["p3", "p4"]
     again = sync_environment(spark, prod, dev, full=[], newest=[], once=["cliques"])
     assert again == {"cliques": "kept"}
+
+
+def test_prefilter_by_keys_checks_size(spark):
+    from clearbid.sources.tables import prefilter_by_keys
+    big = spark.createDataFrame([(f"u{n}", n) for n in range(20)], "uuid string, v int")
+    small = spark.createDataFrame([("u1",), ("u3",), ("u3",), (None,)], "uuid string")
+    kept = prefilter_by_keys(big, small, ["uuid"])
+    assert sorted(r.v for r in kept.collect()) == [1, 3]
+    assert "BroadcastHashJoin" in kept._jdf.queryExecution().executedPlan().toString()
+    # above the limit the input comes back untouched (no broadcast of a large key set)
+    same = prefilter_by_keys(big, small, ["uuid"], limit=1)
+    assert same is big
