@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearbid.functions import Interval, geo_region, hour_floor, split_keywords, ts_lit
-from clearbid.sources.tables import bounded
+from clearbid.sources.tables import bounded, prefilter_by_keys
 
 CPM, CPC = "CPM", "CPC"
 
@@ -174,6 +174,7 @@ def conversions(imp_matched: DataFrame, click_matched: DataFrame, grain: Grain,
                  *[d for d in grain.conv_dims if d not in grain.auction_extra])
     if grain.auction_extra:
         au = auctions if auction_lo is None else bounded(auctions, "tstamp", auction_lo)
+        au = prefilter_by_keys(au, i, ["impid"])   # only the matched impressions' auctions
         a = au.select("impid", *_auction_dims(au)).select("impid", *grain.auction_extra)
         i = i.join(a, "impid")
     c = click_matched.select("actionid", "click_tstamp")
