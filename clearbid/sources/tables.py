@@ -57,15 +57,17 @@ def prefilter_by_keys(big: DataFrame, keys_from: DataFrame, keys: list[str],
                       limit: int = BROADCAST_KEY_LIMIT) -> DataFrame:
     """Keep rows of ``big`` whose ``keys`` occur in ``keys_from``, map-side.
 
-    The distinct key set is counted first; only when it holds at most
-    ``limit`` rows is it broadcast for a semi-join, so the broadcast size is
-    checked, never assumed.  Above the limit ``big`` is returned unchanged:
-    the prefilter only removes rows that could not match later anyway, so
-    skipping it never changes a result.
+    The size is checked before anything is broadcast: the rows of
+    ``keys_from`` bound its distinct keys, and counting them under a
+    ``limit + 1`` cap stops early, so the check stays cheap even when the
+    answer is "too many".  Only then are the distinct keys broadcast for a
+    semi-join.  Above the limit ``big`` is returned unchanged: the prefilter
+    only removes rows that could not match later anyway, so skipping it
+    never changes a result.
     """
-    k = keys_from.select(*keys).distinct()
-    if k.count() > limit:
+    if keys_from.limit(limit + 1).count() > limit:
         return big
+    k = keys_from.select(*keys).distinct()
     return big.join(F.broadcast(k), keys, "left_semi")
 
 
