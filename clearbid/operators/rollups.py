@@ -160,7 +160,7 @@ def imps_clicks(joined: DataFrame, grain: Grain, pricing: str = CPM) -> DataFram
 
 def conversions(imp_matched: DataFrame, click_matched: DataFrame, grain: Grain,
                 interval: Interval | None, auctions: DataFrame | None = None,
-                per_hour: bool = False, auction_lo=None) -> DataFrame:
+                per_hour: bool = False, auction_lo=None, prefilter: bool = False) -> DataFrame:
     """View/click conversion counts of one grain.
 
     Dims come from the impression match; click matches without one are not
@@ -174,7 +174,8 @@ def conversions(imp_matched: DataFrame, click_matched: DataFrame, grain: Grain,
                  *[d for d in grain.conv_dims if d not in grain.auction_extra])
     if grain.auction_extra:
         au = auctions if auction_lo is None else bounded(auctions, "tstamp", auction_lo)
-        au = prefilter_by_keys(au, i, ["impid"])   # only the matched impressions' auctions
+        if prefilter:   # only the matched impressions' auctions, when that set is small
+            au = prefilter_by_keys(au, i, ["impid"])
         a = au.select("impid", *_auction_dims(au)).select("impid", *grain.auction_extra)
         i = i.join(a, "impid")
     c = click_matched.select("actionid", "click_tstamp")

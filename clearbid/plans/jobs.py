@@ -72,7 +72,8 @@ def grain_frames(t: AdTables, mid: Intermediates, grain: ru.Grain, interval: Int
     return {
         "imps": ru.imps_clicks(joined, grain, pricing),
         "convs": ru.conversions(mid.imp_matched_actions, mid.click_matched_actions, grain, interval,
-                                t.auctions, per_hour, auction_lo),
+                                t.auctions, per_hour, auction_lo,
+                                attr.worth_prefilter(interval, view_lookback)),
         "defaults": ru.defaults(t.auctions, t.auction_defaults, grain, interval, per_hour),
     }
 
