@@ -1,7 +1,6 @@
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from clearbid.functions import decode_cells, geo_region, hour_floor, parse_rfc3339
 from clearbid.plans.maintenance import migrate_tables, sync_environment
