@@ -95,3 +95,17 @@ def test_backfill_equals_union_of_hour_runs(spark):
     r = lambda df: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in row)
                           for row in df.collect())
     assert r(one) == r(loop) and one.count() > 0
+
+
+def test_daily_sums_equal_hourly_sums(spark):
+    from clearbid.operators.daily import daily_ad_stats
+    t = jobs.AdTables.of(ad_tables(spark, "/root/testdata/sf0.001"))
+    hourly = jobs.hourly_backfill(t)
+    daily = daily_ad_stats(hourly)
+    for m in ("bids", "imps", "clicks", "view_convs", "click_convs", "defaults"):
+        h = hourly.agg(F.coalesce(F.sum(m), F.lit(0))).first()[0]
+        d = daily.agg(F.sum(m)).first()[0]
+        assert h == d, m
+    hs = hourly.agg(F.sum("spend")).first()[0]
+    ds = daily.agg(F.sum("spend")).first()[0]
+    assert abs(hs - ds) < 1e-9
