@@ -1,23 +1,25 @@
-"""Latest-preceding ("as-of") match: for each action, the newest touch of the
-same key with ``touch.tstamp <= action.tstamp``.
+"""Latest-preceding ("as-of") match: for each action, the newest touches of the
+same key with ``touch.tstamp <= action.tstamp`` — every touch tied at that
+newest time, since ties are all candidates for the caller.
 
 Spark has no as-of join, and a join of actions to every earlier touch of the
-same user is quadratic per user.  This operator instead unions the narrow
-touch times with the actions and takes a running maximum, split in two levels
-so that no single key (a bot uuid can hold a large share of all rows) lands in
-one window buffer:
-
-1. rows are windowed per (key, hour bucket): a RANGE frame up to the current
-   row gives the newest touch at or before each action *within its hour*
-   (RANGE includes peers, which yields the ``<=`` rule);
-2. per (key, hour bucket) the newest touch is aggregated (partial aggregation),
-   and a running maximum over *earlier* buckets of the same key gives the
-   carry-in; a key holds at most one row per hour it was active in, which the
-   lookback bounds.
-
-The result is ``greatest(within-bucket, carry-in)``.  Ties between touches at
-the same time are not resolved here: callers re-join touches on
-(key, tstamp) and keep every tied touch, as the reference does.
+same user is quadratic per user.  The plan here shuffles each input once:
+
+1. touches are hash-partitioned by (key, hour) and gathered, still inside
+   their partition, into one row per (key, touch time) holding all tied
+   touches (ties at one instant are bounded: one page view's ads);
+2. actions are hash-partitioned the same way and unioned with those rows;
+   Spark keeps the shared partitioning through the union, so a window per
+   (key, hour) ordered by time carries the newest tie group at or before each
+   action (touches sort before actions at equal times, giving ``<=``);
+3. the carry-in from earlier hours comes from the same gathered rows (the
+   exchange is reused): the newest tie group per (key, hour), then a running
+   "latest earlier hour" over one row per active (key, hour) — bounded by the
+   lookback, and the only step partitioned by key alone.
+
+Windows never span more than one key-hour of raw rows, so a bot user holding
+a large share of all touches is split across as many tasks as it has active
+hours.
 """
 
 from __future__ import annotations
@@ -29,45 +31,64 @@ from pyspark.sql import types as T
 from clearbid.functions import hour_floor
 
 
-def latest_touch_time(actions: DataFrame, touches: DataFrame, keys: list[str],
-                      out_col: str = "touch_tstamp") -> DataFrame:
-    """Add ``out_col`` = newest ``touches.tstamp`` <= ``actions.tstamp`` per key.
-
-    ``actions`` keeps all its columns; rows with no earlier touch get NULL.
-    Rows with a NULL key never match (equality semantics).
-    """
+def _newest_ties(actions: DataFrame, touches: DataFrame, keys: list[str],
+                 touch_cols: list[str]) -> DataFrame:
+    """Action rows with ``_best`` = struct(t, ties) of the newest earlier touch time (or NULL)."""
     act_cols = actions.columns
     has_key = F.lit(True)
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
-    t = touches.filter(has_key).select(*keys, F.col("tstamp").alias("_t"))
+
+    payload = F.struct(*[F.col(c) for c in touch_cols]) if touch_cols else F.struct(F.col("tstamp"))
+    grouped = (touches.filter(has_key & F.col("tstamp").isNotNull())
+               .select(*keys, F.col("tstamp").alias("_ts"), payload.alias("_p"))
+               .withColumn("_bucket", hour_floor("_ts"))
+               .repartition(*keys, "_bucket")
+               .groupBy(*keys, "_bucket", "_ts").agg(F.collect_list("_p").alias("_ties")))
+    ties_type = grouped.schema["_ties"].dataType
     act_type = T.StructType([actions.schema[c] for c in act_cols])
-    touch_rows = t.select(
-        *keys, F.col("_t").alias("_ts"), F.col("_t").alias("_touch"),
-        F.lit(None).cast(act_type).alias("_act"))
-    action_rows = actions.select(
-        *[F.col(k) for k in keys], F.col("tstamp").alias("_ts"),
-        F.lit(None).cast("timestamp_ntz").alias("_touch"),
-        F.struct(*[F.col(c) for c in act_cols]).alias("_act"))
-    u = touch_rows.unionByName(action_rows).withColumn("_bucket", hour_floor("_ts"))
-
-    # level 1: running max inside (key, hour)
-    w1 = (Window.partitionBy(*keys, "_bucket").orderBy("_ts")
-          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    windowed = u.withColumn("_local", F.max("_touch").over(w1))
-    local = windowed.filter(F.col("_act").isNotNull())
-
-    # level 2: carry-in from earlier hours of the same key.  Catalyst drops
-    # the unused window from this branch and plans the per-hour maxima as a
-    # partial aggregation over the narrow (key, time) columns, so only one
-    # row per key and hour is shuffled.
-    per_bucket = windowed.groupBy(*keys, "_bucket").agg(F.max("_touch").alias("_bmax"))
-    w2 = (Window.partitionBy(*keys).orderBy("_bucket")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    carry = per_bucket.select(*keys, "_bucket", F.max("_bmax").over(w2).alias("_carry"))
+    acts = (actions.select(*keys, F.col("tstamp").alias("_ts"), F.struct(*[F.col(c) for c in act_cols]).alias("_act"))
+            .withColumn("_bucket", hour_floor("_ts"))
+            .repartition(*keys, "_bucket"))
+
+    # level 1: newest tie group at or before each action, inside its (key, hour)
+    u = (grouped.select(*keys, "_bucket", "_ts", "_ties", F.lit(None).cast(act_type).alias("_act"))
+         .unionByName(acts.select(*keys, "_bucket", "_ts", F.lit(None).cast(ties_type).alias("_ties"), "_act")))
+    w1 = (Window.partitionBy(*keys, "_bucket").orderBy("_ts", F.col("_act").isNotNull())
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    group = F.when(F.col("_ties").isNotNull(), F.struct(F.col("_ts").alias("t"), F.col("_ties").alias("ties")))
+    local = (u.select(*keys, "_bucket", "_act", F.last(group, ignorenulls=True).over(w1).alias("_local"))
+             .filter(F.col("_act").isNotNull()))
+
+    # level 2: newest tie group of the latest earlier hour of the same key
+    top = grouped.groupBy(*keys, "_bucket").agg(
+        F.max_by(F.struct(F.col("_ts").alias("t"), F.col("_ties").alias("ties")), F.col("_ts")).alias("_top"))
+    hours = acts.select(*keys, "_bucket", F.lit(None).cast(top.schema["_top"].dataType).alias("_top"))
+    per_hour = top.unionByName(hours).groupBy(*keys, "_bucket").agg(F.max("_top").alias("_top"))
+    w2 = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_hour.select(*keys, "_bucket", F.last("_top", ignorenulls=True).over(w2).alias("_carry"))
 
     joined = local.join(carry, keys + ["_bucket"], "left")
-    return joined.select(
-        *[F.col("_act")[c].alias(c) for c in act_cols],
-        F.greatest("_local", "_carry").alias(out_col),
-    )
+    # a touch in the action's own hour is always newer than any earlier hour's
+    return joined.select("_act", F.coalesce("_local", "_carry").alias("_best"))
+
+
+def latest_touches(actions: DataFrame, touches: DataFrame, keys: list[str], touch_cols: list[str],
+                   out_col: str = "touch_tstamp") -> DataFrame:
+    """One row per (action, tied newest touch): action columns, ``out_col`` and ``touch_cols``.
+
+    Actions with no touch at or before them are dropped; rows with a NULL key
+    never match (equality semantics).
+    """
+    best = _newest_ties(actions, touches, keys, touch_cols).filter(F.col("_best").isNotNull())
+    rows = best.select("_act", F.col("_best.t").alias(out_col), F.explode("_best.ties").alias("_p"))
+    return rows.select(*[F.col("_act")[c].alias(c) for c in actions.columns], out_col,
+                       *[F.col("_p")[c].alias(c) for c in touch_cols])
+
+
+def latest_touch_time(actions: DataFrame, touches: DataFrame, keys: list[str],
+                      out_col: str = "touch_tstamp") -> DataFrame:
+    """Add ``out_col`` = newest ``touches.tstamp`` <= ``actions.tstamp`` per key (NULL if none)."""
+    best = _newest_ties(actions, touches.select(*keys, "tstamp"), keys, [])
+    return best.select(*[F.col("_act")[c].alias(c) for c in actions.columns],
+                       F.col("_best.t").alias(out_col))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearbid.functions import Interval, hour_floor
-from clearbid.operators.asof import latest_touch_time
+from clearbid.operators.asof import latest_touches
 from clearbid.sources.tables import bounded, prefilter_by_keys
 
 KEYS = ["uuid", "advertiser"]
@@ -90,14 +90,11 @@ def _attribute(actions: DataFrame, touches: DataFrame, auctions: DataFrame,
         a = a.withColumn("_touch_lo", touch_bound)
     if auction_bound is not None:
         a = a.withColumn("_auction_lo", auction_bound)
-    matched = latest_touch_time(a, touches.select(*KEYS, "tstamp"), KEYS, out_col=touch_time)
-    matched = matched.filter(F.col(touch_time).isNotNull())
+    # every touch tied at the newest time comes back with its payload: no re-join
+    hit = latest_touches(a, touches, KEYS, touch_cols, out_col=touch_time)
     if touch_bound is not None:
-        matched = matched.filter(F.col(touch_time) >= F.col("_touch_lo"))
-    matched = matched.withColumnRenamed("tstamp", "action_tstamp")
-
-    t = touches.select(*KEYS, F.col("tstamp").alias(touch_time), *touch_cols)
-    hit = matched.join(t, KEYS + [touch_time])
+        hit = hit.filter(F.col(touch_time) >= F.col("_touch_lo"))
+    hit = hit.withColumnRenamed("tstamp", "action_tstamp")
     au = auctions.select("impid", F.col("tstamp").alias("_auction_tstamp"), *PUB_COLS)
     hit = hit.join(au, "impid")
     if auction_bound is not None:

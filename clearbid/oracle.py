@@ -5,7 +5,7 @@ the same rules as ``clearbid.sources.fixtures`` and then states the query in a
 *different* formulation from the Spark plan (self-join to the group maximum,
 rank over the full touch join, literal per-interval templates), so a shared
 mistake shows up as a mismatch.  Doubles are rounded to 6 places on both
-sides; counts are cast to BIGINT (DuckDB sums integers to HUGEINT).
+sides (see ``R``); counts are cast to BIGINT (DuckDB sums integers to HUGEINT).
 """
 
 from __future__ import annotations
@@ -19,6 +19,17 @@ def T(dt: datetime) -> str:
     return f"TIMESTAMP '{dt.strftime(FMT)}'"
 
 
+def R(expr: str) -> str:
+    """Round a double to 6 places for comparison, nudged 1e-12 away from zero.
+
+    Averages whose exact value sits on a half-way point (e.g. 2.8728125) come
+    out a few ulps either side of it depending on summation order, which
+    differs between engines and even between Spark runs; the nudge makes both
+    round such values the same way.  Spark applies the same rule.
+    """
+    return f"round(({expr}) + sign({expr}) * 1e-12, 6)"
+
+
 FIXTURES = """
 ev_auc AS (
   SELECT e.event_id AS eid, e.ts, e.user_id AS uid, e.event_type,
@@ -234,7 +245,7 @@ def click_matched_hourly_cte(name: str, lookback: int) -> str:
 
 
 def rounded_select(cols: list[str], doubles: set[str], src: str) -> str:
-    sel = [f"round({c}, 6) AS {c}" if c in doubles else c for c in cols]
+    sel = [f"{R(c)} AS {c}" if c in doubles else c for c in cols]
     return f"SELECT {', '.join(sel)} FROM {src}"
 
 
@@ -345,7 +356,7 @@ def finalize(cols: list[str], inner: str, doubles: set[str] = frozenset({"clearp
     out = []
     for c in cols:
         if c in doubles:
-            out.append(f"round({c}, 6) AS {c}")
+            out.append(f"{R(c)} AS {c}")
         else:
             out.append(_kw_out(c))
     return f"SELECT {', '.join(out)} FROM ({inner}) q"

@@ -46,7 +46,8 @@ def _round(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType):
-            cols.append(F.round(f.name, 6).alias(f.name))
+            c = F.col(f.name)   # same nudged rounding as oracle.R
+            cols.append(F.round(c + F.signum(c) * F.lit(1e-12), 6).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -259,7 +260,7 @@ QUERIES.update({
 def _o_auction_stats() -> str:
     cols = ["tstamp", "auctionId", "uuid", "impid", "num_bids", "max_bid", "clearprice"]
     sql = O.with_fixtures(O.auction_stats_cte("ast", START, END))
-    q = ", ".join(f'round({c}, 6) AS {c}' if c in ("max_bid", "clearprice") else f'"{c}"' for c in cols)
+    q = ", ".join(f'{O.R(c)} AS {c}' if c in ("max_bid", "clearprice") else f'"{c}"' for c in cols)
     return f"{sql}\nSELECT {q} FROM ast_info"
 
 
@@ -270,8 +271,8 @@ def _o_auction_defaults() -> str:
 
 def _o_auction_hourly() -> str:
     sql = O.with_fixtures(O.auction_stats_hourly_cte("ash"))
-    return (f'{sql}\nSELECT tstamp, "auctionId", uuid, impid, num_bids, round(max_bid, 6) AS max_bid, '
-            f'round(clearprice, 6) AS clearprice FROM ash')
+    return (f'{sql}\nSELECT tstamp, "auctionId", uuid, impid, num_bids, {O.R("max_bid")} AS max_bid, '
+            f'{O.R("clearprice")} AS clearprice FROM ash')
 
 
 def _o_losers() -> str:
@@ -280,7 +281,7 @@ def _o_losers() -> str:
 b AS (SELECT * FROM bids WHERE tstamp >= {ws} AND tstamp < {we}),
 m AS (SELECT "auctionId", impid, adv_clique, MAX(bid) AS group_max FROM b GROUP BY 1, 2, 3),
 winners AS (SELECT b.bidid FROM b JOIN m USING ("auctionId", impid, adv_clique) WHERE b.bid = m.group_max)""") + """
-SELECT b.tstamp, b.bidid, b."auctionId", b.impid, b.adv_clique, round(b.bid, 6) AS bid, round(m.group_max, 6) AS group_max
+SELECT b.tstamp, b.bidid, b."auctionId", b.impid, b.adv_clique, """ + O.R("b.bid") + " AS bid, " + O.R("m.group_max") + """ AS group_max
 FROM b LEFT JOIN winners w ON b.bidid = w.bidid JOIN m USING ("auctionId", impid, adv_clique)
 WHERE w.bidid IS NULL AND b.bid IS NOT NULL"""
 
@@ -399,13 +400,13 @@ def _o_retention() -> str:
 
 
 def _o_time_range() -> str:
-    return O.with_fixtures() + (f"\nSELECT tstamp, actionid, uuid, advertiser, actionbeacon, round(value, 6) AS value "
+    return O.with_fixtures() + (f"\nSELECT tstamp, actionid, uuid, advertiser, actionbeacon, {O.R("value")} AS value "
                                 f"FROM actions WHERE tstamp >= {O.T(WEEK.start)} AND tstamp < {O.T(WEEK.end)}")
 
 
 def _o_widened() -> str:
     ws, we = O.T(WEEK.start - timedelta(hours=1)), O.T(WEEK.end + timedelta(hours=1))
-    return O.with_fixtures() + (f'\nSELECT tstamp, bidid, "auctionId", impid, adv_clique, round(bid, 6) AS bid '
+    return O.with_fixtures() + (f'\nSELECT tstamp, bidid, "auctionId", impid, adv_clique, {O.R("bid")} AS bid '
                                 f"FROM bids WHERE tstamp >= {ws} AND tstamp < {we}")
 
 
