@@ -110,3 +110,13 @@ def test_newest_n_fine_timestamps_matches_sort(spark):
         want = sorted(rows, key=lambda r: (-r[0].timestamp(), r[1]))[:n]
         got = newest_n(df, "ts", n, ["name"]).collect()
         assert sorted((r.ts, r.name) for r in got) == sorted(want)
+
+
+def test_append_skips_empty_results(spark, tmp_root):
+    path = tmp_root + "/appended"
+    empty = spark.createDataFrame([], "hour timestamp_ntz, v int")
+    assert sinks.append(empty, path, ["hour"]) is False
+    rows = spark.createDataFrame([(DAY, 1)], "hour timestamp_ntz, v int")
+    assert sinks.append(rows, path, ["hour"]) is True
+    assert sinks.append(rows, path, ["hour"]) is True   # append semantics: a second load adds rows
+    assert spark.read.parquet(path).count() == 2
