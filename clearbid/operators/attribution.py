@@ -2,8 +2,9 @@
 
 For every action in the interval, the newest touch (impression or click) of
 the same (uuid, advertiser) at or before the action time and inside the
-lookback is found; every touch tied at that time is re-joined, joined to its
-auction for publisher data, and one row per actionid is kept.
+lookback is found together with every touch tied at that time (gathered by
+the as-of operator, no re-join), joined to its auction for publisher data, and
+one row per actionid is kept.
 
 Rules kept from the reference queries:
 
