@@ -146,7 +146,7 @@ def read_stats(spark: SparkSession, path: str, grain: ru.Grain = ru.HOURLY) -> D
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``spark-submit -m clearbid.plans.hourly --tables ROOT --out ROOT [--start --end]``.
+    """``spark-submit --py-files clearbid.zip clearbid/plans/hourly.py --tables ROOT --out ROOT``.
 
     Reads the six ad tables below ``--tables``; the interval defaults to the
     last full UTC hour; ``--backfill`` labels every hour of the interval.
