@@ -37,6 +37,7 @@ from clearbid.functions import Interval, hour_floor, ts_lit
 from clearbid.operators import rollups as ru
 from clearbid.operators.daily import daily_ad_stats
 from clearbid.plans.jobs import DEFAULT_LOOKBACK_DAYS, AdTables, grain_frames, intermediates
+from clearbid.session import SESSION_DEFAULTS, ensure_checkpoint_dir
 from clearbid.sources import sinks
 
 STATS_TABLES = {"hourly": "hourlyadstats", "geo": "geoadstats", "keyword": "keywordadstats"}
@@ -167,7 +168,11 @@ def main(argv: list[str] | None = None) -> None:
     args = p.parse_args(argv)
     default = Interval.default()
     interval = Interval(args.start or default.start, args.end or default.end)
-    spark = SparkSession.builder.appName("clearbid-hourly").getOrCreate()
+    builder = SparkSession.builder.appName("clearbid-hourly")
+    for key, value in SESSION_DEFAULTS.items():   # master and sizes come from spark-submit
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    ensure_checkpoint_dir(spark)
     tables = AdTables.of({n: read_table(spark, args.tables, n) for n in AdTables.__dataclass_fields__})
     run(spark, tables, args.out, interval, args.pricing, per_hour=args.backfill,
         view_lookback=args.view_lookback, click_lookback=args.click_lookback)
