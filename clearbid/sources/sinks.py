@@ -32,11 +32,18 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str],
                          files_per_partition: int | None = None) -> None:
     """K1 (idempotent form): replace only the partitions present in ``df``.
 
-    Rows are clustered by the partition columns first so each output
-    partition is written by few tasks (no small-file explosion).
+    Rows are clustered by the partition columns with a ``rebalance`` hint:
+    under AQE a large partition (a busy hour) is split across several write
+    tasks at the advisory size and small ones are coalesced, so neither one
+    task writes a whole hour nor do small hours scatter into many files.
+    ``files_per_partition`` instead spreads each partition over that many
+    files by a deterministic row hash (stable under task retries).
     """
-    out = df.repartition(files_per_partition, *partition_cols) if files_per_partition \
-        else df.repartition(*partition_cols)
+    if files_per_partition:
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
+        out = df.repartition(*[F.col(c) for c in partition_cols], spread)
+    else:
+        out = df.hint("rebalance", *partition_cols)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols).parquet(path))
 
