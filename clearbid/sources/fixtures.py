@@ -142,7 +142,7 @@ def write_ad_tables(spark: SparkSession, sf_dir: str, root: str) -> dict[str, st
     for name, df in ad_tables(spark, sf_dir).items():
         path = f"{root}/{name}"
         (df.withColumn("date", F.to_date("tstamp"))
-           .repartition("date")
+           .hint("rebalance", "date")
            .write.mode("overwrite").partitionBy("date").parquet(path))
         paths[name] = path
     return paths
