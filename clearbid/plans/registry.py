@@ -148,7 +148,12 @@ def q_daily_upsert(spark, sf):
 
 
 def q_latest_n_sync(spark, sf):
-    hourly = jobs.hourly_backfill(_tables(spark, sf))
+    """Newest rows of a stored aggregate table (the sync reads tables, not plans):
+    the hourly backfill is written once to the shared scratch folder first."""
+    from clearbid.session import scratch_dir
+    path = scratch_dir(spark, "hourlyadstats")
+    jobs.hourly_backfill(_tables(spark, sf)).write.parquet(path)
+    hourly = spark.read.parquet(path)
     tiebreak = [c for c in hourly.columns if c != "hour"]
     return _round(newest_n(hourly, "hour", SYNC_LIMIT, tiebreak))
 
