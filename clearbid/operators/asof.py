@@ -3,66 +3,69 @@ same key with ``touch.tstamp <= action.tstamp`` — every touch tied at that
 newest time, since ties are all candidates for the caller.
 
 Spark has no as-of join, and a join of actions to every earlier touch of the
-same user is quadratic per user.  The plan here shuffles each input once:
+same user is quadratic per user.  The plan here:
 
-1. touches are hash-partitioned by (key, hour) and gathered, still inside
-   their partition, into one row per (key, touch time) holding all tied
-   touches (ties at one instant are bounded: one page view's ads);
-2. actions are hash-partitioned the same way and unioned with those rows;
+1. touch keys and times are hash-partitioned by (key, hour); their distinct
+   times per (key, hour) are found inside that partitioning;
+2. actions are hash-partitioned the same way and unioned with those times;
    Spark keeps the shared partitioning through the union, so a window per
-   (key, hour) ordered by time carries the newest tie group at or before each
-   action (touches sort before actions at equal times, giving ``<=``);
-3. the carry-in from earlier hours comes from the same gathered rows (the
-   exchange is reused): the newest tie group per (key, hour), then a running
-   "latest earlier hour" over one row per active (key, hour) — bounded by the
-   lookback, and the only step partitioned by key alone.
-
-Windows never span more than one key-hour of raw rows, so a bot user holding
-a large share of all touches is split across as many tasks as it has active
-hours.
+   (key, hour) ordered by time carries the newest touch time at or before
+   each action (touches sort before actions at equal times, giving ``<=``);
+3. the carry-in from earlier hours: the newest time per active (key, hour),
+   then a running "latest earlier hour" over one row per active (key, hour) —
+   bounded by the lookback, and the only step partitioned by key alone;
+4. the tied touches come back by an equi-join of the matched actions with
+   the touch payload on (key, hour, time).  Ties stay rows of a join (a
+   sort-merge join buffers and spills them), never a list collected into one
+   row, so a burst of touches at one instant cannot outgrow a task.  The
+   cost is one more exchange of the touch payload and of the actions.
+
+Only times and actions travel through the windows, and they never span more
+than one key-hour of rows, so a bot user holding a large share of all
+touches is split across as many tasks as it has active hours.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clearbid.functions import hour_floor
 
 
-def _newest_ties(actions: DataFrame, touches: DataFrame, keys: list[str],
-                 touch_cols: list[str]) -> DataFrame:
-    """Action rows with ``_best`` = struct(t, ties) of the newest earlier touch time (or NULL)."""
+def _newest_time(actions: DataFrame, touches: DataFrame, keys: list[str],
+                 touch_cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(actions with ``_act`` struct and ``_best`` = newest touch time or NULL,
+    touches with ``_bucket``/``_ts``/``_p`` partitioned by (key, hour))."""
     act_cols = actions.columns
     has_key = F.lit(True)
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
 
     payload = F.struct(*[F.col(c) for c in touch_cols]) if touch_cols else F.struct(F.col("tstamp"))
-    grouped = (touches.filter(has_key & F.col("tstamp").isNotNull())
-               .select(*keys, F.col("tstamp").alias("_ts"), payload.alias("_p"))
-               .withColumn("_bucket", hour_floor("_ts"))
-               .repartition(*keys, "_bucket")
-               .groupBy(*keys, "_bucket", "_ts").agg(F.collect_list("_p").alias("_ties")))
-    ties_type = grouped.schema["_ties"].dataType
-    act_type = T.StructType([actions.schema[c] for c in act_cols])
+    part = (touches.filter(has_key & F.col("tstamp").isNotNull())
+            .select(*keys, F.col("tstamp").alias("_ts"), payload.alias("_p"))
+            .withColumn("_bucket", hour_floor("_ts"))
+            .repartition(*keys, "_bucket"))
+    # distinct touch times, inside the (key, hour) partitioning; only key and
+    # time columns reach this exchange (Catalyst prunes the payload)
+    times = part.select(*keys, "_bucket", "_ts").distinct()
     acts = (actions.select(*keys, F.col("tstamp").alias("_ts"), F.struct(*[F.col(c) for c in act_cols]).alias("_act"))
             .withColumn("_bucket", hour_floor("_ts"))
             .repartition(*keys, "_bucket"))
 
-    # level 1: newest tie group at or before each action, inside its (key, hour)
-    u = (grouped.select(*keys, "_bucket", "_ts", "_ties", F.lit(None).cast(act_type).alias("_act"))
-         .unionByName(acts.select(*keys, "_bucket", "_ts", F.lit(None).cast(ties_type).alias("_ties"), "_act")))
+    # level 1: newest touch time at or before each action, inside its (key, hour)
+    act_type = acts.schema["_act"].dataType
+    u = (times.select(*keys, "_bucket", "_ts", F.lit(None).cast(act_type).alias("_act"))
+         .unionByName(acts.select(*keys, "_bucket", "_ts", "_act")))
     w1 = (Window.partitionBy(*keys, "_bucket").orderBy("_ts", F.col("_act").isNotNull())
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    group = F.when(F.col("_ties").isNotNull(), F.struct(F.col("_ts").alias("t"), F.col("_ties").alias("ties")))
-    local = (u.select(*keys, "_bucket", "_act", F.last(group, ignorenulls=True).over(w1).alias("_local"))
+    touch_time = F.when(F.col("_act").isNull(), F.col("_ts"))
+    local = (u.select(*keys, "_bucket", "_act", F.last(touch_time, ignorenulls=True).over(w1).alias("_local"))
              .filter(F.col("_act").isNotNull()))
 
-    # level 2: newest tie group of the latest earlier hour of the same key
-    top = grouped.groupBy(*keys, "_bucket").agg(
-        F.max_by(F.struct(F.col("_ts").alias("t"), F.col("_ties").alias("ties")), F.col("_ts")).alias("_top"))
+    # level 2: newest touch time of the latest earlier hour of the same key
+    top = times.groupBy(*keys, "_bucket").agg(F.max("_ts").alias("_top"))
     hours = acts.select(*keys, "_bucket", F.lit(None).cast(top.schema["_top"].dataType).alias("_top"))
     per_hour = top.unionByName(hours).groupBy(*keys, "_bucket").agg(F.max("_top").alias("_top"))
     w2 = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -70,7 +73,8 @@ def _newest_ties(actions: DataFrame, touches: DataFrame, keys: list[str],
 
     joined = local.join(carry, keys + ["_bucket"], "left")
     # a touch in the action's own hour is always newer than any earlier hour's
-    return joined.select("_act", F.coalesce("_local", "_carry").alias("_best"))
+    best = joined.select(*keys, "_act", F.coalesce("_local", "_carry").alias("_best"))
+    return best, part
 
 
 def latest_touches(actions: DataFrame, touches: DataFrame, keys: list[str], touch_cols: list[str],
@@ -80,15 +84,17 @@ def latest_touches(actions: DataFrame, touches: DataFrame, keys: list[str], touc
     Actions with no touch at or before them are dropped; rows with a NULL key
     never match (equality semantics).
     """
-    best = _newest_ties(actions, touches, keys, touch_cols).filter(F.col("_best").isNotNull())
-    rows = best.select("_act", F.col("_best.t").alias(out_col), F.explode("_best.ties").alias("_p"))
-    return rows.select(*[F.col("_act")[c].alias(c) for c in actions.columns], out_col,
+    best, part = _newest_time(actions, touches, keys, touch_cols)
+    hits = (best.filter(F.col("_best").isNotNull())
+            .select(*keys, "_act", hour_floor("_best").alias("_bucket"), F.col("_best").alias("_ts")))
+    rows = hits.join(part, keys + ["_bucket", "_ts"])
+    return rows.select(*[F.col("_act")[c].alias(c) for c in actions.columns], F.col("_ts").alias(out_col),
                        *[F.col("_p")[c].alias(c) for c in touch_cols])
 
 
 def latest_touch_time(actions: DataFrame, touches: DataFrame, keys: list[str],
                       out_col: str = "touch_tstamp") -> DataFrame:
     """Add ``out_col`` = newest ``touches.tstamp`` <= ``actions.tstamp`` per key (NULL if none)."""
-    best = _newest_ties(actions, touches.select(*keys, "tstamp"), keys, [])
+    best, _ = _newest_time(actions, touches.select(*keys, "tstamp"), keys, [])
     return best.select(*[F.col("_act")[c].alias(c) for c in actions.columns],
-                       F.col("_best.t").alias(out_col))
+                       F.col("_best").alias(out_col))

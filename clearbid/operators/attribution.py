@@ -2,9 +2,9 @@
 
 For every action in the interval, the newest touch (impression or click) of
 the same (uuid, advertiser) at or before the action time and inside the
-lookback is found together with every touch tied at that time (gathered by
-the as-of operator, no re-join), joined to its auction for publisher data, and
-one row per actionid is kept.
+lookback is found together with every touch tied at that time (returned by
+the as-of operator as join rows), joined to its auction for publisher data,
+and one row per actionid is kept.
 
 Rules kept from the reference queries:
 
@@ -91,7 +91,7 @@ def _attribute(actions: DataFrame, touches: DataFrame, auctions: DataFrame,
         a = a.withColumn("_touch_lo", touch_bound)
     if auction_bound is not None:
         a = a.withColumn("_auction_lo", auction_bound)
-    # every touch tied at the newest time comes back with its payload: no re-join
+    # every touch tied at the newest time comes back with its payload, one row each
     hit = latest_touches(a, touches, KEYS, touch_cols, out_col=touch_time)
     if touch_bound is not None:
         hit = hit.filter(F.col(touch_time) >= F.col("_touch_lo"))

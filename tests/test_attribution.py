@@ -35,6 +35,16 @@ def test_tie_with_one_auction_picks_it(spark):
     assert [(r.actionid, r.impid) for r in rows] == [("x1", "i3")]
 
 
+def test_burst_of_tied_touches_keeps_every_candidate(spark):
+    # 2000 touches at one instant, only one with an auction, and older touches
+    # with auctions that must not be used as a fall-back
+    burst = [_imp(f"b{n:04d}", 8) for n in range(2000)]
+    older = [_imp("o1", 5), _imp("o2", 6)]
+    rows = _run(spark, burst + older, [_auction("b1234"), _auction("o1"), _auction("o2")],
+                [_action("x1", 9), _action("x2", 8), _action("x3", 7)])
+    assert sorted((r.actionid, r.impid) for r in rows) == [("x1", "b1234"), ("x2", "b1234"), ("x3", "o2")]
+
+
 def test_latest_touch_without_auction_drops_action(spark):
     rows = _run(spark, [_imp("i9", 9), _imp("i7", 7)], [_auction("i7")], [_action("x1", 10)])
     assert rows == []
