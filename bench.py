@@ -20,7 +20,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 from datetime import datetime, timedelta
 
@@ -36,7 +35,7 @@ from clearbid.operators import auctions as auc  # noqa: E402
 from clearbid.operators import rollups as ru  # noqa: E402
 from clearbid.plans import hourly as hourly_job  # noqa: E402
 from clearbid.plans import jobs  # noqa: E402
-from clearbid.session import build_session  # noqa: E402
+from clearbid.session import build_session, scratch_dir  # noqa: E402
 from clearbid.sources.fixtures import write_ad_tables  # noqa: E402
 
 SPAN = Interval(datetime(2024, 1, 1), datetime(2024, 1, 31))
@@ -101,10 +100,9 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     warmup = int(os.environ.get("BENCH_WARMUP", "2"))
-    scratch = tempfile.mkdtemp(prefix="clearbid-bench-")
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(2, cpus),
-                          extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt")}
-                          if not os.environ.get("SPARK_CHECKPOINT_DIR") else None)
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(2, cpus))
+    # below the shared checkpoint folder the session names (a private one only if unset)
+    scratch = scratch_dir(spark, "bench")
 
     t0 = time.time()
     paths = write_ad_tables(spark, sf_dir, os.path.join(scratch, "ad"))
@@ -152,7 +150,7 @@ def main() -> None:
         "hourly_backfill_6h": backfill_one_job,
         "hourly_backfill_all": lambda: run(jobs.hourly_backfill(t)),
         "daily_backfill": lambda: run(jobs.daily_backfill(jobs.hourly_backfill(t))),
-        "hourly_job_written": lambda: hourly_job.run(spark, t, tempfile.mkdtemp(prefix="job-", dir=scratch),
+        "hourly_job_written": lambda: hourly_job.run(spark, t, scratch_dir(spark, "bench-job"),
                                                      Interval(DAY, DAY + timedelta(hours=1))),
     }
     naive = {
