@@ -5,7 +5,8 @@ by its hour/date field).  A global ``orderBy().limit(N)`` funnels N rows from
 every partition into one task, so instead a histogram over hour buckets of the
 sort field (bounded by the time span) gives, for each bucket, how many newer
 rows exist; buckets entirely inside the first N keep all their rows through a
-semi-join, and only the single boundary bucket is ranked row by row.
+semi-join, and only the single boundary bucket is ranked row by row — by a
+range partitioning and per-partition counts, not in one task.
 
 ``keep_newest_per_key`` is the snapshot-retention rule re-aimed at table rows:
 per key keep the N newest, the rest are stale.  ``row_number() <= N`` is
@@ -19,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clearbid.session import ensure_checkpoint_dir
+
 
 def newest_n(df: DataFrame, sort_col: str, n: int, tiebreak: list[str]) -> DataFrame:
     """The ``n`` rows with the largest ``sort_col`` (ties broken by ``tiebreak`` ascending).
@@ -47,11 +50,37 @@ def newest_n(df: DataFrame, sort_col: str, n: int, tiebreak: list[str]) -> DataF
     full = b.join(whole, b["_bucket"].eqNullSafe(whole["_bucket"]), "left_semi")
     e = b.join(edge, b["_bucket"].eqNullSafe(edge["_edge"]), "inner").drop("_edge")
     order = [F.col(sort_col).desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in tiebreak]
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
-    part = e.withColumn("_rn", rank).filter(F.col("_rn") <= F.col("_room")).drop("_rn", "_room")
+    part = _positions(e, order).filter(F.col("_rn") <= F.col("_room")).drop("_rn", "_room")
     return full.unionByName(part).drop("_bucket")
 
 
+def _positions(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Add ``_rn``, the 1-based position of each row in ``order``, without one
+    task ranking them all (the boundary bucket can be a whole busy hour whose
+    rows share one sort value).
+
+    A range partitioning by ``order`` spreads the rows in order, each
+    partition sorts its own, and a row's position is the row count of the
+    partitions before it plus its place in its partition.  The spread rows are
+    checkpointed (to the session's checkpoint folder) so the counts and the
+    rows come from the same sampled range bounds; the offsets table has one
+    row per partition, so broadcasting it is bounded by the partition count.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    spread = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .checkpoint())
+    counts = spread.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # monotonically_increasing_id = partition index << 33 | place in partition
+    place = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    return (spread.join(F.broadcast(offsets), "_pid")
+            .withColumn("_rn", F.col("_off") + place + 1)
+            .drop("_pid", "_mid", "_off"))
+
+
 def keep_newest_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
     """Rows ranked 1..n per key by ``order`` (e.g. ``[F.desc('created')]``), with ``rank`` column."""
     if n < 1:

@@ -112,6 +112,22 @@ def test_newest_n_fine_timestamps_matches_sort(spark):
         assert sorted((r.ts, r.name) for r in got) == sorted(want)
 
 
+def test_newest_n_busy_boundary_hour_spread_over_partitions(spark):
+    # one hour holds most rows (all with the same sort value), spread over many
+    # input partitions; the boundary hour is ranked by the tie-break alone
+    import random
+    rnd = random.Random(11)
+    busy = datetime(2024, 1, 1, 5)
+    rows = [(busy, f"b{rnd.randrange(0, 400):03d}", k) for k in range(3000)]
+    rows += [(datetime(2024, 1, 1, 6), f"q{k}", k) for k in range(40)]
+    rows += [(datetime(2024, 1, 1, 4), f"o{k}", k) for k in range(40)]
+    df = spark.createDataFrame(rows, "hour timestamp_ntz, name string, k int").repartition(13)
+    for n in (41, 500, 3039, 3041):
+        want = sorted(rows, key=lambda r: (-r[0].timestamp(), r[1], r[2]))[:n]
+        got = newest_n(df, "hour", n, ["name", "k"]).collect()
+        assert sorted((r.hour, r.name, r.k) for r in got) == sorted(want)
+
+
 def test_append_skips_empty_results(spark, tmp_root):
     path = tmp_root + "/appended"
     empty = spark.createDataFrame([], "hour timestamp_ntz, v int")
