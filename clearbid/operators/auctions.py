@@ -11,16 +11,16 @@ Semantics kept from the reference queries:
   auctions in the interval; bids and impressions are read one hour wider on
   both sides.
 
-Plan shape (scale): bids are shuffled once, hash-partitioned by ``impid``.
-Every later step keys on a superset of impid - distinct prices per group,
-the window for the group maximum (over distinct prices, not bids), the
-one-row-per-group statistics (num_bids, max_bid, second), the join with
-auctions ⋈ impressions (also partitioned by impid) and the final per-slot
-aggregation - so none of them shuffles again.  A group is one auction slot
-and one advertiser clique: its bids are bounded by the bidders invited to
-that auction, so grouping by slot cannot concentrate a large share of all
-bids in one task the way user or publisher keys can.  Bid IDs are assumed
-unique (the winner mark in the reference joins on bidid alone).
+Plan shape (scale): bids are first reduced to distinct prices per group
+(a partial aggregation map-side, so a slot with a huge number of bids ships
+one row per price, never every bid), then hash-partitioned by ``impid``.
+Every later step keys on a superset of impid - the window for the group
+maximum (over distinct prices, not bids), the one-row-per-group statistics
+(num_bids, max_bid, second), the join with auctions ⋈ impressions (also
+partitioned by impid) and the final per-slot aggregation - so none of them
+shuffles again.  A group's distinct prices are bounded by the price grid
+(cents), not by its bid count.  Bid IDs are assumed unique (the winner mark
+in the reference joins on bidid alone).
 """
 
 from __future__ import annotations
@@ -42,7 +42,11 @@ def bid_group_stats(bids: DataFrame, extra_keys: list[str] | None = None) -> Dat
     ``extra_keys``).  NULL bids count in ``num_bids`` but never price.
     """
     keys = GROUP + list(extra_keys or [])
-    per_price = bids.repartition("impid").groupBy(*keys, "bid").agg(F.count("bidid").alias("n"))
+    # distinct prices first (partially aggregated map-side, so a slot with a
+    # huge number of bids sends one row per price, never every bid), then one
+    # hash partitioning by impid that every later step and the joins reuse
+    per_price = (bids.groupBy(*keys, "bid").agg(F.count("bidid").alias("n"))
+                 .repartition("impid"))
     top = per_price.withColumn("group_max", F.max("bid").over(Window.partitionBy(*keys)))
     return top.groupBy(*keys).agg(
         F.sum("n").alias("num_bids"),
@@ -101,8 +105,8 @@ def auction_stats_hourly(auctions: DataFrame, impressions: DataFrame, bids: Data
     # a bid in hour bucket h_b is visible to auction hours h_b - w .. h_b + w
     offsets = F.sequence(F.lit(-w), F.lit(w))
     b = (b.select("bidid", *GROUP, "bid", hour_floor("tstamp").alias("bid_hour"))
-         .repartition("impid")
          .groupBy(*GROUP, "bid_hour", "bid").agg(F.count("bidid").alias("n"))
+         .repartition("impid")
          .select(*GROUP, "bid", "n",
                  F.explode(offsets).alias("off"), "bid_hour")
          .select(*GROUP, "bid", "n",
