@@ -36,7 +36,7 @@ from clearbid.functions import hour_floor
 def _newest_time(actions: DataFrame, touches: DataFrame, keys: list[str],
                  touch_cols: list[str]) -> tuple[DataFrame, DataFrame]:
     """(actions with ``_act`` struct and ``_best`` = newest touch time or NULL,
-    touches with ``_bucket``/``_ts``/``_p`` partitioned by (key, hour))."""
+    touches with ``_bucket``/``_ts``/``_p``: the payload side of the tie join)."""
     act_cols = actions.columns
     has_key = F.lit(True)
     for k in keys:
