@@ -30,7 +30,8 @@ MAX_LEN = 4096
 END_ID = 2
 CLASS_STEP = 128       # size classes are 1/128 of their size apart
 TOLERANCE = 1e-3       # the linear program stops this close to its lower bound
-MAX_PRICINGS = 400     # or after so many knapsack pricings; only padding depends on it
+MAX_PRICINGS = 400     # or after so many knapsack pricings,
+MAX_PIVOTS = 20        # or so many pivots per class; only the padding depends on it
 CACHE_WORDS = 300_000  # words whose ids one task keeps; others are encoded again
 
 PIECES = "array<struct<start:bigint,length:bigint,doc_tokens:bigint,ids:binary>>"
@@ -180,11 +181,13 @@ def cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[
     """
     m = len(sizes)
     fits = capacity // sizes
-    basis, x = np.diag(fits.astype(float)), demand / fits
+    # unequal tiny additions keep ties from turning the simplex in circles
+    basis, x = np.diag(fits.astype(float)), (demand + 1e-7 * np.arange(1, m + 1) / m) / fits
     inverse = np.diag(1.0 / fits)
     pool = np.array([p for p, _ in largest_first(sizes, demand, capacity)], float).reshape(-1, m)
-    bound, pricings = float(demand @ (sizes / capacity)), 0
-    while x.sum() > bound * (1 + TOLERANCE) and pricings < MAX_PRICINGS:
+    bound, pricings, pivots = float(demand @ (sizes / capacity)), 0, 0
+    while x.sum() > bound * (1 + TOLERANCE) and pricings < MAX_PRICINGS and pivots < MAX_PIVOTS * m:
+        pivots += 1
         duals = inverse.sum(axis=0)
         worth = pool @ duals
         column = pool[int(worth.argmax())]

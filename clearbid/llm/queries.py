@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from clearbid.llm import chat, decontaminate, licenses, line_dedup, packing, quality, revisits, sharding, simhash, toxicity
 from clearbid.llm.common import materialize, read_table
+from clearbid.llm.oracles import ORACLES  # noqa: F401
 
 TOKENIZER = "word_bpe_49k.json"
 BOTH = "<|im_end|><|im_start|>assistant ok"   # text of the two turns of conversation -1
@@ -136,4 +137,3 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_revisits, op4_line_dedup, op5_licenses, op6_chat,
                                    op7_decontaminate, op8_simhash, op9_toxicity, op10_sharding)}
-ORACLES: dict[str, str] = {}

@@ -1,0 +1,24 @@
+"""Small hand-made tables and brute-force forms for the tests of this folder."""
+
+import zlib
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, fp string, key string, slot string, host string"
+
+
+def documents(spark, texts, source="s"):
+    """Rows (doc_id, text) with columns whose names clash with those the operators make."""
+    rows = [(i, t, "en", source, None if t is None else len(t), "x", "x", "x", "x", "x") for i, t in texts]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+LONG = "word " * 30000 + "end"
+ODD = [(1, None), (2, ""), (3, " \n\t "), (4, "Hello, world"), (4, "Hello, world"), (None, "no id here"), (5, LONG),
+       (6, "İK É ß <|endoftext|> it's x y\x1cz " + "é " * 3), (7, "Hello, world")]
+
+
+def rows(df, *cols):
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=lambda r: tuple((x is not None, x) for x in r))
+
+
+def crc(data: bytes) -> int:
+    return zlib.crc32(data)

@@ -1,0 +1,107 @@
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from clearbid.llm import packing, queries
+from tests.llm.cases import ODD, crc, documents
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+SF = "/root/testdata/sf0.001"
+
+
+def check_pieces(found, texts, max_len=4096):
+    """Every id of every text lies in one piece; sequences are gapless and fit."""
+    tokenizer = Tokenizer.from_file(PATH)
+    want = {}
+    for i, t in texts:
+        ids = np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
+        want.setdefault(i, []).append(ids)
+    got, sequences = {}, {}
+    for r in found:
+        got.setdefault(r["doc_id"], []).append(r)
+        sequences.setdefault(r["sequence_id"], []).append(r)
+    assert set(got) == set(want)
+    for i, pieces in got.items():
+        expect = sorted((s, min(max_len, len(ids) - s), crc(ids[s:s + max_len].tobytes()), len(ids))
+                        for ids in want[i] for s in range(0, len(ids), max_len))
+        assert sorted((p["start"], p["length"], p["ids_crc32"], p["doc_tokens"]) for p in pieces) == expect
+    for pieces in sequences.values():
+        end = 0
+        for p in sorted(pieces, key=lambda p: p["offset"]):
+            assert p["offset"] == end
+            end += p["length"]
+        assert end <= max_len
+    assert sorted(sequences) == list(range(len(sequences)))
+    return sequences
+
+
+def test_odd_rows_and_extra_columns(spark):
+    check_pieces(queries.packed_digest(documents(spark, ODD)).collect(), ODD)
+
+
+def test_empty_table(spark):
+    assert queries.packed_digest(documents(spark, [])).count() == 0
+
+
+def test_query_round_trip_and_padding(spark):
+    texts = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    sequences = check_pieces(queries.op1_packing(spark, SF).collect(), texts)
+    used = sum(p["length"] for s in sequences.values() for p in s)
+    assert used / (4096 * len(sequences)) > 0.93   # 200 documents; larger tables pad under one percent
+
+
+def test_ids_come_with_the_general_form(spark):
+    docs = documents(spark, [(1, "one two three")])
+    r = packing.pack(docs, PATH).first()
+    assert np.frombuffer(r["ids"], "<u4").tolist() == Tokenizer.from_file(PATH).encode("one two three", add_special_tokens=False).ids + [2]
+
+
+def test_words_encode_as_the_tokenizer_does():
+    tokenizer = Tokenizer.from_file(PATH)
+    with open(PATH, encoding="utf-8") as f:
+        encode = packing.word_encoder(f.read())
+    for text in ["Don't WE'LL 'tis a_b--c 3.14 x9y", "a<|endoftext|>b <|ENDOFTEXT|>", "naïve ΣΑΣ İstanbul ﬁ é", "a\x1cb\x85c d\x7f \x01"]:
+        assert np.frombuffer(encode(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("kind", ["spread", "one length", "whole sequences", "short"])
+def test_plan_covers_the_histogram_exactly(kind):
+    rng = np.random.default_rng(5)
+    lengths = {"spread": rng.integers(1, 4097, 30000), "one length": np.full(20000, 1366),
+               "whole sequences": np.full(50, 4096), "short": rng.integers(1, 50, 20000)}[kind]
+    histogram = {int(a): int(n) for a, n in zip(*np.unique(lengths, return_counts=True))}
+    edges, seen, load = packing.size_classes(4096), {}, {}
+    for c, lo, hi, per, first, _slot in packing.plan(histogram, 4096):
+        assert seen.get(c, 0) == lo and (hi - lo) % per == 0
+        seen[c] = hi
+        for s in range(first, first + (hi - lo) // per):
+            load[s] = load.get(s, 0) + per * int(edges[c])
+    classes = {}
+    for length, n in histogram.items():
+        c = int(np.searchsorted(edges, length))
+        classes[c] = classes.get(c, 0) + n
+    assert seen == classes and max(load.values()) <= 4096
+    if kind == "spread":
+        assert lengths.sum() / (4096 * len(load)) > 0.98
+
+
+def test_knapsack_finds_the_best_pattern():
+    sizes, values = np.array([3, 5, 7]), np.array([0.31, 0.55, 0.74])
+    best = max(a * 0.31 + b * 0.55 + c * 0.74 for a in range(8) for b in range(5) for c in range(4) if 3 * a + 5 * b + 7 * c <= 22)
+    pattern = packing.price(sizes, values, 22)
+    assert pattern @ sizes <= 22 and pattern @ values == pytest.approx(best)
+
+
+def test_hot_length_is_ranked_in_cells(spark):
+    pieces = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("start"),
+                                      F.when(F.col("id") % 3 == 0, F.lit(100)).otherwise(F.col("id") % 900 + 1).cast("long").alias("length"),
+                                      F.lit(1).cast("long").alias("doc_tokens"))
+    found = packing.assign_sequences(pieces).collect()
+    assert len(found) == 5000
+    ends = {}
+    for r in sorted(found, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 4096

@@ -1,0 +1,57 @@
+import heapq
+
+from pyspark.sql import functions as F
+
+from clearbid.llm import queries, sharding
+from tests.llm.cases import ODD, crc, documents
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_odd_rows_stay_together_and_slots_are_gapless(spark):
+    found = sharding.shard_documents(documents(spark, ODD)).collect()
+    assert len(found) == len(ODD)
+    by_crc, slots = {}, {}
+    for r in found:
+        by_crc.setdefault(r["text_crc32"], set()).add(r["shard"])
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(len(s) == 1 for s in by_crc.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    want = sorted((len((t or "").encode()) + 1, crc((t or "").encode())) for _, t in ODD)
+    assert sorted((r["size"], r["text_crc32"]) for r in found) == want
+
+
+def test_query_equals_plain_scheduling(spark):
+    """With fewer groups than bundles the loads are those of a plain longest-first schedule, but for shared bundles."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    groups = {}
+    for r in docs:
+        groups[r["text"] or ""] = groups.get(r["text"] or "", 0) + len((r["text"] or "").encode()) + 1
+    heap = [(0, s) for s in range(8)]
+    for size in sorted(groups.values(), reverse=True):
+        load, s = heapq.heappop(heap)
+        heapq.heappush(heap, (load + size, s))
+    plain = max(load for load, _ in heap)
+    found = queries.op10_sharding(spark, SF).collect()
+    loads = [sum(r["size"] for r in found if r["shard"] == s) for s in range(8)]
+    assert len(found) == len(docs) and sum(loads) == sum(groups.values())
+    assert max(loads) <= plain * 1.005 and min(loads) >= max(loads) * 0.99
+    for s in range(8):
+        slots = sorted(r["slot"] for r in found if r["shard"] == s)
+        assert slots == list(range(len(slots)))
+    assert {r["law"] for r in found} == {"bytes"} and {r["grown_shard"] for r in found} == {None}
+
+
+def test_few_bundles_and_a_hot_group(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("hot text")).otherwise(
+        F.concat(F.lit("text "), F.col("id").cast("string"))).alias("text"))
+    found = sharding.shard_documents(docs, bundles=64).collect()
+    hot = {r["shard"] for r in found if r["doc_id"] % 3 == 0}
+    assert len(hot) == 1
+    for s in range(8):
+        slots = sorted(r["slot"] for r in found if r["shard"] == s)
+        assert slots == list(range(len(slots)))
+
+
+def test_empty_table(spark):
+    assert sharding.shard_documents(documents(spark, [])).count() == 0
