@@ -37,54 +37,73 @@ CACHE_WORDS = 300_000  # words whose ids one task keeps; others are encoded agai
 PIECES = "array<struct<start:bigint,length:bigint,doc_tokens:bigint,ids:binary>>"
 
 
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary.
+
+    Printable bytes stand for themselves, the others for 256, 257, ... in order.
+    """
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(printable)]
+    code = dict(zip(printable, printable)) | {b: 256 + n for n, b in enumerate(others)}
+    return [chr(code[b]) for b in range(256)]
+
+
 def word_encoder(tokenizer_json: str):
-    """Function bytes -> little-endian unsigned 32-bit ids of a text.
+    """Function text -> its ids, little-endian unsigned 32 bit.
 
-    The tokenizer splits at white space and encodes each pre-token alone, so
-    the ids of a text are those of its white-space separated words in order.
-    Words are encoded once per task.  A word of plain ASCII goes straight to
-    the BPE model of the same file; any other word goes through the whole
-    tokenizer, as do words holding a special token.
+    The tokenizer splits at white space and encodes each pre-token alone.  A
+    text of ASCII and Latin-1 letters is cut into its pre-tokens here and each
+    distinct one goes to the BPE model of the file once per task.  In any other
+    text the words of that kind do, and the rest, as well as words holding a
+    special token, go through the whole tokenizer one by one.
     """
     import re
 
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(tokenizer_json)
-    specials = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
-    split = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
-    model, plain = tokenizer.model, True
-    known: dict[bytes, bytes] = {}
+    specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    # printable ASCII and the letters of Latin-1: composed, and each with one lower-case form
+    simple = re.compile("[\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*").fullmatch
+    letter = "a-z\u00df-\u00f6\u00f8-\u00ff"
+    split = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[0-9]|[^\\s{letter}0-9]+").findall
+    letters, model, blank = byte_letters(), tokenizer.model, re.compile("[\t-\r ]+").split
+    known: dict[str, bytes] = {}
     pieces: dict[str, bytes] = {}
 
     def piece_ids(piece: str) -> bytes:
         got = pieces.get(piece)
         if got is None:
-            got = np.array([t.id for t in model.tokenize(piece)], "<u4").tobytes()
+            spelled = piece if piece.isascii() else "".join([letters[b] for b in piece.encode()])
+            got = b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(spelled)])
             if len(pieces) < CACHE_WORDS:
                 pieces[piece] = got
         return got
 
-    def whole(word: bytes) -> bytes:
-        return np.array(tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode_word(word: bytes) -> bytes:
-        # control characters are left to the tokenizer: byte-level pre-tokens rename them
-        if plain and word.isascii() and min(word) > 32 and max(word) < 127 and not any(s in word for s in specials):
-            got = b"".join(map(piece_ids, split(word.decode().lower())))
-        else:
-            got = whole(word)
-        if len(known) < CACHE_WORDS:
-            known[word] = got
-        return got
+    def whole(word: str) -> bytes:
+        return b"".join([i.to_bytes(4, "little") for i in tokenizer.encode(word, add_special_tokens=False).ids])
+
+    def cut(text: str) -> bytes:
+        get = pieces.get
+        return b"".join([get(p) or piece_ids(p) for p in split(text.lower())])
 
     # the short way only where it gives the tokenizer's own ids
-    probe = b"Don't we'll 'd x9 CC-BY a_b $$$ (i.e.) it's [x]!!"
-    plain = all(b"".join(map(piece_ids, split(w.decode().lower()))) == whole(w) for w in probe.split())
+    probe = "Don't we'll 'd x9 CC-BY a_b $$$ (i.e.) it's [x]!! \u00c9cole \u00fcber\u00dftra\u00dfe \u00d1u's\n 1 23"
+    plain = cut(probe) == whole(probe)
+
+    def short(text: str) -> bool:
+        return plain and simple(text) is not None and not ("|>" in text and any(s in text for s in specials))
+
+    def word_ids(word: str) -> bytes:
+        got = known.get(word)
+        if got is None:
+            got = cut(word) if short(word) else whole(word)
+            if len(known) < CACHE_WORDS:
+                known[word] = got
+        return got
 
-    def encode(text: bytes) -> bytes:
-        get = known.get
-        return b"".join([get(w) or encode_word(w) for w in text.split()])
+    def encode(text: str) -> bytes:
+        return cut(text) if short(text) else b"".join([word_ids(w) for w in blank(text) if w])
 
     return encode
 
@@ -104,8 +123,8 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN
         encode = word_encoder(shared.value)
         for batch in batches:
             ids, starts, lengths, totals, offsets = [], [], [], [], [0]
-            for text in batch.cast(pa.large_binary()):
-                got = encode(text.as_py() or b"") + end
+            for text in batch:
+                got = encode(text.as_py() or "") + end
                 for k in range(0, len(got), size):
                     ids.append(got[k:k + size])
                     starts.append(k // 4)
