@@ -25,13 +25,29 @@ def ts_lit(value: datetime | str) -> Column:
 
 
 def hour_floor(col: Column | str) -> Column:
-    """Start of the UTC hour holding ``col``, as ``timestamp_ntz``."""
-    return F.date_trunc("hour", F.col(col) if isinstance(col, str) else col).cast(T.TimestampNTZType())
+    """Start of the UTC hour holding ``col``, as ``timestamp_ntz``.
+
+    Built from the day and the hour field, which Spark takes from the wall
+    clock: ``date_trunc`` would go through the session time zone.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    return day_floor(c) + F.make_dt_interval(F.lit(0), F.hour(c))
 
 
 def day_floor(col: Column | str) -> Column:
     """Start of the UTC day holding ``col``, as ``timestamp_ntz``."""
-    return F.date_trunc("day", F.col(col) if isinstance(col, str) else col).cast(T.TimestampNTZType())
+    c = F.col(col) if isinstance(col, str) else col
+    return c.cast("date").cast(T.TimestampNTZType())
+
+
+def utc_clock(instant: Column) -> Column:
+    """An instant (``timestamp``) as its UTC wall clock, whatever the session time zone."""
+    micros = F.unix_micros(instant)
+    day = F.lit(86_400_000_000)
+    whole = F.floor(micros / day).cast("int")
+    rest = micros - whole.cast("bigint") * day
+    seconds = (rest.cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    return ts_lit("1970-01-01 00:00:00") + F.make_dt_interval(whole, F.lit(0), F.lit(0), seconds)
 
 
 def in_range(col: Column | str, start: datetime | str, end: datetime | str) -> Column:
@@ -117,8 +133,7 @@ def geo_region(country: Column | str, region: Column | str) -> Column:
 def parse_rfc3339(col: Column | str) -> Column:
     """RFC 3339 text (with any offset) -> UTC wall clock ``timestamp_ntz``."""
     c = F.col(col) if isinstance(col, str) else col
-    local = F.to_timestamp(c).cast(T.TimestampNTZType())
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
+    return utc_clock(F.to_timestamp(c))
 
 
 # The five cell types the warehouse result decoder knows, and the
@@ -148,8 +163,7 @@ def decode_cells(df: DataFrame, field_types: dict[str, str], strict: bool = True
         src = F.col(name)
         if isinstance(target, T.TimestampNTZType):
             secs = src.try_cast("double") if not strict else src.cast("double")
-            val = F.timestamp_seconds(F.floor(secs))
-            val = F.convert_timezone(F.current_timezone(), F.lit("UTC"), val.cast(T.TimestampNTZType()))
+            val = utc_clock(F.timestamp_seconds(F.floor(secs)))
         elif isinstance(target, T.BooleanType):
             low = F.lower(src)
             val = F.when(low == "true", F.lit(True)).when(low == "false", F.lit(False))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from clearbid.functions import Interval, hour_floor
 from clearbid.operators.asof import latest_touches
-from clearbid.sources.tables import bounded, prefilter_by_keys
+from clearbid.sources.tables import bounded, only_keys_of
 
 KEYS = ["uuid", "advertiser"]
 ACTION_COLS = ["actionid", "tstamp", "uuid", "advertiser", "actionbeacon", "value"]
@@ -64,28 +64,15 @@ def one_row_per(df: DataFrame, key: str, order: list[str], output: list[str]) ->
     return best.select(*[(F.col(key) if c == key else F.col("_best")[c]).alias(c) for c in output])
 
 
-def worth_prefilter(interval: Interval | None, lookback_days: int) -> bool:
-    """The prefilter pays when the interval is short next to the lookback:
-    the users active in one hour are a small share of those with touches in
-    30 days.  For spans as long as the lookback it would keep nearly all
-    rows, so it is skipped (it never changes a result either way)."""
-    return interval is not None and (interval.end - interval.start) * 4 <= timedelta(days=lookback_days)
-
-
 def _attribute(actions: DataFrame, touches: DataFrame, auctions: DataFrame,
                touch_cols: list[str], touch_time: str,
-               touch_bound: Column | None, auction_bound: Column | None,
-               prefilter: bool = True) -> DataFrame:
+               touch_bound: Column | None, auction_bound: Column | None) -> DataFrame:
     """Shared body; bounds are columns over the action row (or None = unbounded).
 
-    Touches of users without an action in the interval can never match, and
-    auctions only matter for those touches: both are cut down map-side by a
-    size-checked broadcast semi-join before anything is shuffled, so an
-    hourly run shuffles the lookback history of its active users only.
+    Touches of users without an action in the interval can never match; a
+    plain semi-join on the actions' keys drops them before the as-of.
     """
-    if prefilter:
-        touches = prefilter_by_keys(touches, actions, KEYS)
-        auctions = prefilter_by_keys(auctions, touches, ["impid"])
+    touches = only_keys_of(touches, actions, KEYS)
     a = actions.select(*ACTION_COLS)
     if touch_bound is not None:
         a = a.withColumn("_touch_lo", touch_bound)
@@ -111,8 +98,7 @@ def imp_matched_actions(impressions: DataFrame, actions: DataFrame, auctions: Da
         bounded(actions, "tstamp", interval.start, interval.end),
         bounded(impressions, "tstamp", lo),
         bounded(auctions, "tstamp", lo),
-        ["impid", "campaign", "creativegroup", "creative", "adv_clique"], "imp_tstamp", None, None,
-        worth_prefilter(interval, lookback_days))
+        ["impid", "campaign", "creativegroup", "creative", "adv_clique"], "imp_tstamp", None, None)
     return one_row_per(hit, "actionid", IMP_ORDER, IMP_OUTPUT)
 
 
@@ -125,8 +111,7 @@ def click_matched_actions(clicks: DataFrame, actions: DataFrame, auctions: DataF
         bounded(actions, "tstamp", interval.start, interval.end),
         bounded(clicks, "tstamp", lo_touch),
         bounded(auctions, "tstamp", lo_auction),
-        ["impid", "clickid", "campaign", "creativegroup", "creative"], "click_tstamp", None, None,
-        worth_prefilter(interval, lookback_days))
+        ["impid", "clickid", "campaign", "creativegroup", "creative"], "click_tstamp", None, None)
     return one_row_per(hit, "actionid", CLICK_ORDER, CLICK_OUTPUT)
 
 
@@ -154,7 +139,7 @@ def imp_matched_actions_hourly(impressions: DataFrame, actions: DataFrame, aucti
     _, lo_end, _ = _hour_bounds(lookback_days)
     acts, imps, aucs = _span(actions, impressions, auctions, interval, lookback_days)
     hit = _attribute(acts, imps, aucs, ["impid", "campaign", "creativegroup", "creative", "adv_clique"],
-                     "imp_tstamp", lo_end, lo_end, worth_prefilter(interval, lookback_days))
+                     "imp_tstamp", lo_end, lo_end)
     return one_row_per(hit, "actionid", IMP_ORDER, IMP_OUTPUT)
 
 
@@ -164,6 +149,5 @@ def click_matched_actions_hourly(clicks: DataFrame, actions: DataFrame, auctions
     _, lo_end, lo_start = _hour_bounds(lookback_days)
     acts, clk, aucs = _span(actions, clicks, auctions, interval, lookback_days)
     hit = _attribute(acts, clk, aucs, ["impid", "clickid", "campaign", "creativegroup", "creative"],
-                     "click_tstamp", lo_end, lo_start,
-                     worth_prefilter(interval, lookback_days))
+                     "click_tstamp", lo_end, lo_start)
     return one_row_per(hit, "actionid", CLICK_ORDER, CLICK_OUTPUT)

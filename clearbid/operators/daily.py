@@ -51,17 +51,28 @@ def daily_ad_stats(hourly: DataFrame, day_start: datetime | None = None,
     return out.select(*OUTPUT)
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str] = DAILY_KEYS) -> DataFrame:
+def upsert(old: DataFrame, new: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Keyed upsert as a set operation: new rows replace old rows of equal key.
 
     Keys match NULL to NULL (default rows carry no advertiser/campaign), old
-    keys absent from ``new`` stay untouched, nothing is deleted.  The
-    null-safe anti-join plans as a hash/sort-merge join on coalesced keys.
+    keys absent from ``new`` stay untouched, nothing is deleted.  Columns of
+    ``old`` that ``new`` lacks keep the old value of the key (NULL for a new
+    key); columns only ``new`` has are added.  The null-safe joins plan as
+    hash/sort-merge joins on coalesced keys.
     """
+    keys = keys or DAILY_KEYS
     cond = None
     nk = new.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
     for k in keys:
         c = old[k].eqNullSafe(nk[f"_k_{k}"])
         cond = c if cond is None else cond & c
     kept = old.join(nk, cond, "left_anti")
-    return kept.unionByName(new.select(*old.columns))
+    lacking = [c for c in old.columns if c not in new.columns]
+    if lacking:
+        was = old.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *lacking)
+        match = None
+        for k in keys:
+            c = new[k].eqNullSafe(was[f"_k_{k}"])
+            match = c if match is None else match & c
+        new = new.join(was, match, "left").drop(*[f"_k_{k}" for k in keys])
+    return kept.unionByName(new, allowMissingColumns=True)

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearbid.functions import Interval, geo_region, hour_floor, split_keywords, ts_lit
-from clearbid.sources.tables import bounded, prefilter_by_keys
+from clearbid.sources.tables import bounded
 
 CPM, CPC = "CPM", "CPC"
 
@@ -100,7 +100,7 @@ def _label(per_hour: bool, interval: Interval | None, ts: str) -> Column:
     return ts_lit(interval.start).alias("hour")
 
 
-def _finish(df: DataFrame, grain: Grain, dims: tuple[str, ...]) -> DataFrame:
+def _finish(df: DataFrame, grain: Grain) -> DataFrame:
     if grain.keywords:
         df = df.withColumn("keywords", split_keywords("keywords"))
     return df
@@ -118,11 +118,14 @@ def _history_lo(interval: Interval | None, history_hours: int | None):
 
 def joined_impressions(auctions: DataFrame, impressions: DataFrame, auction_stats: DataFrame,
                        clicks: DataFrame, interval: Interval | None, per_hour: bool = False,
-                       history_hours: int | None = 1) -> DataFrame:
+                       history_hours: int | None = None) -> DataFrame:
     """The shared 4-way join behind every imps/clicks rollup (all grains).
 
     All joins key on impid (auction_stats also on auctionId), so with
-    impid-based co-partitioning every input is shuffled once.
+    impid-based co-partitioning every input is shuffled once.  Only auctions
+    are bounded by the interval; ``history_hours`` is an opt-in that also drops
+    impressions, clicks and stats older than so many hours before it, for
+    tables where such rows cannot belong to the interval's auctions.
     """
     lo = _history_lo(interval, history_hours)
     if lo is not None:
@@ -155,12 +158,12 @@ def imps_clicks(joined: DataFrame, grain: Grain, pricing: str = CPM) -> DataFram
     )
     out = out.select("hour", *grain.imps_dims, "clearprice", "bids", "spend", "imps", "uniques",
                      "clicks", *_zero_long("view_convs", "click_convs"))
-    return _finish(out, grain, grain.imps_dims)
+    return _finish(out, grain)
 
 
 def conversions(imp_matched: DataFrame, click_matched: DataFrame, grain: Grain,
                 interval: Interval | None, auctions: DataFrame | None = None,
-                per_hour: bool = False, auction_lo=None, prefilter: bool = False) -> DataFrame:
+                per_hour: bool = False, auction_lo=None) -> DataFrame:
     """View/click conversion counts of one grain.
 
     Dims come from the impression match; click matches without one are not
@@ -174,8 +177,6 @@ def conversions(imp_matched: DataFrame, click_matched: DataFrame, grain: Grain,
                  *[d for d in grain.conv_dims if d not in grain.auction_extra])
     if grain.auction_extra:
         au = auctions if auction_lo is None else bounded(auctions, "tstamp", auction_lo)
-        if prefilter:   # only the matched impressions' auctions, when that set is small
-            au = prefilter_by_keys(au, i, ["impid"])
         a = au.select("impid", *_auction_dims(au)).select("impid", *grain.auction_extra)
         i = i.join(a, "impid")
     c = click_matched.select("actionid", "click_tstamp")
@@ -190,12 +191,12 @@ def conversions(imp_matched: DataFrame, click_matched: DataFrame, grain: Grain,
     out = out.select("hour", *grain.conv_dims, *_zero_long("bids"),
                      F.lit(0.0).cast("double").alias("spend"),
                      *_zero_long("imps", "uniques", "clicks"), "view_convs", "click_convs")
-    return _finish(out, grain, grain.conv_dims)
+    return _finish(out, grain)
 
 
 def defaults(auctions: DataFrame, auction_defaults: DataFrame, grain: Grain,
              interval: Interval | None, per_hour: bool = False,
-             history_hours: int | None = 1) -> DataFrame:
+             history_hours: int | None = None) -> DataFrame:
     """Default (no-fill) counts and unique users of one grain."""
     lo = _history_lo(interval, history_hours)
     if lo is not None:
@@ -208,7 +209,7 @@ def defaults(auctions: DataFrame, auction_defaults: DataFrame, grain: Grain,
         F.countDistinct("uuid").alias("uniques"),
     )
     out = out.select("hour", *grain.default_dims, "defaults", "uniques")
-    return _finish(out, grain, grain.default_dims)
+    return _finish(out, grain)
 
 
 # Column order of the stored hourly tables (dims then measures).

@@ -24,6 +24,7 @@ current stage from the last written table in the shared folder.
 from __future__ import annotations
 
 import os
+import warnings
 from datetime import timedelta
 
 from pyspark import StorageLevel
@@ -37,7 +38,7 @@ from clearbid.functions import Interval, hour_floor, ts_lit
 from clearbid.operators import rollups as ru
 from clearbid.operators.daily import daily_ad_stats
 from clearbid.plans.jobs import DEFAULT_LOOKBACK_DAYS, AdTables, grain_frames, intermediates
-from clearbid.session import SESSION_DEFAULTS, ensure_checkpoint_dir
+from clearbid.session import SESSION_DEFAULTS, ensure_checkpoint_dir, scratch_dir
 from clearbid.sources import sinks
 
 STATS_TABLES = {"hourly": "hourlyadstats", "geo": "geoadstats", "keyword": "keywordadstats"}
@@ -54,19 +55,28 @@ def run(spark: SparkSession, tables: AdTables, out_root: str, interval: Interval
         grains: tuple[ru.Grain, ...] = (ru.HOURLY, ru.GEO, ru.KEYWORD)) -> dict[str, str]:
     """Run the hourly job for ``interval``; returns table name -> path."""
     if pricing not in (ru.CPM, ru.CPC):
-        pricing = ru.CPM   # the reference falls back to CPM for any other setting
+        warnings.warn(f"pricing {pricing!r} is unknown, falling back to {ru.CPM}", stacklevel=2)
+        pricing = ru.CPM
+    if per_hour and any((t.minute, t.second, t.microsecond) != (0, 0, 0) for t in (interval.start, interval.end)):
+        raise ValueError("a per-hour run replaces whole hours: its bounds must be full hours")
     paths = {n: os.path.join(out_root, n) for n in
              ["auction_stats", "imp_matched_actions", "click_matched_actions", "dailyadstats",
               *[STATS_TABLES[g.name] for g in grains]]}
 
+    # hours this run owns: a single-interval run labels all its rows with the start
+    owned = (interval.start, interval.end) if per_hour else (interval.start, interval.start + timedelta(microseconds=1))
+
+    def own_hours(df: DataFrame, path: str, partition_cols: list[str]) -> None:
+        sinks.overwrite_span(df, path, *owned, partition_cols)
+
     # 1. intermediates, partitioned by the hour they belong to
     mid = intermediates(tables, interval, per_hour, view_lookback, click_lookback)
-    sinks.overwrite_partitions(mid.auction_stats.withColumn("hour", _hour_col(per_hour, interval, "tstamp")),
+    own_hours(mid.auction_stats.withColumn("hour", _hour_col(per_hour, interval, "tstamp")),
                                paths["auction_stats"], ["hour"])
-    sinks.overwrite_partitions(
+    own_hours(
         mid.imp_matched_actions.withColumn("hour", _hour_col(per_hour, interval, "action_tstamp")),
         paths["imp_matched_actions"], ["hour"])
-    sinks.overwrite_partitions(
+    own_hours(
         mid.click_matched_actions.withColumn("hour", _hour_col(per_hour, interval, "action_tstamp")),
         paths["click_matched_actions"], ["hour"])
     # Read back only the partitions this run wrote: rows of other hours can
@@ -90,7 +100,14 @@ def run(spark: SparkSession, tables: AdTables, out_root: str, interval: Interval
 
     # 2. the shared imps/clicks join, computed once for all grains
     joined = ru.joined_impressions(tables.auctions, tables.impressions, stored.auction_stats,
-                                   tables.clicks, interval, per_hour).persist(StorageLevel.MEMORY_AND_DISK)
+                                   tables.clicks, interval, per_hour)
+    kept = None
+    if per_hour:   # a span may be months: written, not held on executors
+        path = scratch_dir(spark, "joined-impressions")
+        joined.write.parquet(path)
+        joined = sinks.read_written(spark, path, joined.schema, must_exist=True)
+    else:
+        kept = joined = joined.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # 3. three row kinds per grain
         for g in grains:
@@ -102,17 +119,20 @@ def run(spark: SparkSession, tables: AdTables, out_root: str, interval: Interval
             cols = ru.stat_columns(g) + ["kind"]
             u = kinds[0].unionByName(kinds[1], allowMissingColumns=True) \
                         .unionByName(kinds[2], allowMissingColumns=True).select(*cols)
-            sinks.overwrite_partitions(u, paths[STATS_TABLES[g.name]], ["hour", "kind"])
+            own_hours(u, paths[STATS_TABLES[g.name]], ["hour", "kind"])
     finally:
-        joined.unpersist()
+        if kept is not None:
+            kept.unpersist()
 
-    # 4. daily rollup of every touched day, upserted
+    # 4. daily rollup of every touched day, from all its stored hours; it replaces the day
     days = interval.days()
     if ru.HOURLY in grains and days:
         hourly = read_stats(spark, paths["hourlyadstats"], ru.HOURLY).drop("kind")
         touched = hourly.filter((F.col("hour") >= ts_lit(days[0]))
                                 & (F.col("hour") < ts_lit(days[-1] + timedelta(days=1))))
-        sinks.upsert_daily(spark, daily_ad_stats(touched), paths["dailyadstats"])
+        daily = daily_ad_stats(touched)
+        sinks.overwrite_span(daily.withColumn("day", F.to_date("date")), paths["dailyadstats"],
+                             days[0], days[-1] + timedelta(days=1), ["day"])
     return paths
 
 

@@ -71,26 +71,26 @@ def sync_environment(spark: SparkSession, source_root: str, dest_root: str,
     ``full`` tables are replaced whole, ``newest`` aggregate tables keep their
     newest ``limit`` rows by the sort field (ties broken by all other columns),
     ``once`` tables are copied only if the target is missing or empty.
-    Tables missing at the source are skipped.
+    A table missing at the source raises before anything is touched.
     """
     done = {}
+    absent = [n for n in [*full, *[n for n, _ in newest], *once] if not sinks._exists(spark, os.path.join(source_root, n))]
+    if absent:
+        raise FileNotFoundError(f"not at the source: {', '.join(absent)}")
     for name in full:
         src = os.path.join(source_root, name)
-        if sinks._exists(spark, src):
-            sinks.replace(spark.read.parquet(src), os.path.join(dest_root, name))
-            done[name] = "replaced"
+        sinks.replace(spark.read.parquet(src), os.path.join(dest_root, name))
+        done[name] = "replaced"
     for name, field in newest:
         src = os.path.join(source_root, name)
-        if sinks._exists(spark, src):
-            df = spark.read.parquet(src)
-            tie = [c for c in df.columns if c != field]
-            sinks.replace(newest_n(df, field, limit, tie), os.path.join(dest_root, name))
-            done[name] = f"newest {limit}"
+        df = spark.read.parquet(src)
+        tie = [c for c in df.columns if c != field]
+        sinks.replace(newest_n(df, field, limit, tie), os.path.join(dest_root, name))
+        done[name] = f"newest {limit}"
     for name in once:
         src = os.path.join(source_root, name)
-        if sinks._exists(spark, src):
-            copied = sinks.copy_once(spark.read.parquet(src), os.path.join(dest_root, name))
-            done[name] = "copied" if copied else "kept"
+        copied = sinks.copy_once(spark.read.parquet(src), os.path.join(dest_root, name))
+        done[name] = "copied" if copied else "kept"
     return done
 
 

@@ -3,8 +3,8 @@
 Every query reads the driver tables of ``sf_dir`` and derives the ad tables
 from them, so its work grows with the data.  Interval runs use the whole
 event span [2024-01-01, 2024-01-31) with the reference's 30-day lookback, so
-they cover every row; the hourly/daily backfills label each hour (day) and
-apply the per-hour bounds, which is where the interval edges cut rows.
+they cover every row; the hourly/daily backfills label each hour (day).  The
+per-hour attribution queries look back 7 days, so their bounds cut rows.
 Doubles are rounded to 6 places in both engines.
 """
 
@@ -22,7 +22,7 @@ from clearbid.functions import Interval
 from clearbid.operators import attribution as attr
 from clearbid.operators import auctions as auc
 from clearbid.operators import rollups as ru
-from clearbid.operators.daily import daily_ad_stats, upsert
+from clearbid.operators.daily import daily_ad_stats
 from clearbid.operators.ranking import newest_n, stale_per_key
 from clearbid.plans import jobs
 from clearbid.sources import tables as src
@@ -35,6 +35,7 @@ LOOKBACK = 30
 WEEK = Interval(datetime(2024, 1, 8), datetime(2024, 1, 15))
 WEEK_LOOKBACK = 7
 SYNC_LIMIT = 100_000   # rows per aggregate table in the environment sync
+NEWEST_LIMIT = 3_000   # of the newest-N query: well inside the table at every scale, within an hour's rows
 RETAIN = 5             # versions kept per key by retention
 
 
@@ -91,12 +92,12 @@ def q_click_matched(spark, sf):
 
 def q_imp_matched_hourly(spark, sf):
     t = _tables(spark, sf)
-    return _round(attr.imp_matched_actions_hourly(t.impressions, t.actions, t.auctions, LOOKBACK))
+    return _round(attr.imp_matched_actions_hourly(t.impressions, t.actions, t.auctions, WEEK_LOOKBACK))
 
 
 def q_click_matched_hourly(spark, sf):
     t = _tables(spark, sf)
-    return _round(attr.click_matched_actions_hourly(t.clicks, t.actions, t.auctions, LOOKBACK))
+    return _round(attr.click_matched_actions_hourly(t.clicks, t.actions, t.auctions, WEEK_LOOKBACK))
 
 
 def _rollup(grain: ru.Grain, family: str, pricing: str = ru.CPM):
@@ -124,6 +125,21 @@ def q_hourly_backfill(spark, sf):
     return _round(jobs.hourly_backfill(_tables(spark, sf)))
 
 
+def _run_hourly_job(spark, sf, out: str) -> DataFrame:
+    """Run the written hourly job over the whole table and read its hourly stats back."""
+    from clearbid.plans import hourly
+    t = ad_tables(spark, sf)
+    paths = hourly.run(spark, jobs.AdTables.of(t), out, SPAN, per_hour=True, view_lookback=LOOKBACK,
+                       click_lookback=LOOKBACK, grains=(ru.HOURLY,))
+    return hourly.read_stats(spark, paths["hourlyadstats"]).select(*ru.stat_columns(ru.HOURLY))
+
+
+def q_hourly_job(spark, sf):
+    """The hourly job itself: intermediates, hourly stats and daily rows, written and read back."""
+    from clearbid.session import scratch_dir
+    return _round(_run_hourly_job(spark, sf, scratch_dir(spark, "hourly-job")))
+
+
 def q_keyword_backfill(spark, sf):
     """The keyword catch-up: keyword stats of every hour of the table, one job."""
     return _round(jobs.hourly_backfill(_tables(spark, sf), grain=ru.KEYWORD))
@@ -144,7 +160,12 @@ def q_daily_upsert(spark, sf):
     # the daily table as it stood at noon of each day, then refreshed with full days
     old = daily_ad_stats(hourly.filter(F.hour("hour") < 12))
     new = daily_ad_stats(hourly)
-    return _round(upsert(old, new))
+    from clearbid.session import scratch_dir
+    from clearbid.sources import sinks
+    path = scratch_dir(spark, "dailyadstats")
+    sinks.upsert_daily(spark, old, path)
+    sinks.upsert_daily(spark, new, path)
+    return _round(spark.read.schema(new.schema).parquet(path).drop("day"))
 
 
 def q_latest_n_sync(spark, sf):
@@ -155,7 +176,7 @@ def q_latest_n_sync(spark, sf):
     jobs.hourly_backfill(_tables(spark, sf)).write.parquet(path)
     hourly = spark.read.parquet(path)
     tiebreak = [c for c in hourly.columns if c != "hour"]
-    return _round(newest_n(hourly, "hour", SYNC_LIMIT, tiebreak))
+    return _round(newest_n(hourly, "hour", NEWEST_LIMIT, tiebreak))
 
 
 def q_retention_keep_n(spark, sf):
@@ -245,6 +266,7 @@ QUERIES.update({
     "geoadstats_all": _union_grain(ru.GEO),
     "keywordadstats_all": _union_grain(ru.KEYWORD),
     "hourly_backfill": q_hourly_backfill,
+    "hourly_job": q_hourly_job,
     "keyword_backfill": q_keyword_backfill,
     "dailyadstats": q_dailyadstats,
     "daily_backfill": q_daily_backfill,
@@ -394,7 +416,7 @@ def _o_latest_n() -> str:
     cols = _stat_cols("hourly")
     order = ", ".join(["hour DESC NULLS LAST"] + [f"{c} ASC NULLS FIRST" for c in cols if c != "hour"])
     sql = O.with_fixtures(*_span_ctes(True), _stats_union_cte("hs", "hourly", True))
-    return sql + "\n" + O.finalize(cols, f"SELECT * FROM hs ORDER BY {order} LIMIT {SYNC_LIMIT}")
+    return sql + "\n" + O.finalize(cols, f"SELECT * FROM hs ORDER BY {order} LIMIT {NEWEST_LIMIT}")
 
 
 def _o_retention() -> str:
@@ -444,8 +466,8 @@ ORACLES: dict[str, str] = {
     "anti_join_losers": _o_losers(),
     "imp_matched_actions": _o_matched(O.imp_matched_cte("mt", START, END, LOOKBACK), O.IMP_COLS),
     "click_matched_actions": _o_matched(O.click_matched_cte("mt", START, END, LOOKBACK), O.CLICK_COLS),
-    "imp_matched_actions_hourly": _o_matched(O.imp_matched_hourly_cte("mt", LOOKBACK), O.IMP_COLS),
-    "click_matched_actions_hourly": _o_matched(O.click_matched_hourly_cte("mt", LOOKBACK), O.CLICK_COLS),
+    "imp_matched_actions_hourly": _o_matched(O.imp_matched_hourly_cte("mt", WEEK_LOOKBACK), O.IMP_COLS),
+    "click_matched_actions_hourly": _o_matched(O.click_matched_hourly_cte("mt", WEEK_LOOKBACK), O.CLICK_COLS),
 }
 for _g in ("hourly", "geo", "keyword"):
     ORACLES[f"{_g}_cpm"] = _o_rollup(_g, "imps", "CPM")
@@ -457,6 +479,7 @@ ORACLES.update({
     "geoadstats_all": _o_union("geo"),
     "keywordadstats_all": _o_union("keyword"),
     "hourly_backfill": _o_hourly_backfill(),
+    "hourly_job": _o_hourly_backfill(),
     "keyword_backfill": _o_hourly_backfill("keyword"),
     "dailyadstats": _o_dailyadstats(),
     "daily_backfill": _o_daily_backfill(),

@@ -50,7 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     Reads ``spark.checkpoint.dir`` (or the context's directory) from the
-    session; only when neither is set (local tests) a private folder is made.
+    session; only when neither is set on a local master (tests) a private
+    folder is made.  On any other master an unset folder is an error: what
+    executors wrote to their own disks would be missing to all others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = sc.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir is not set, and {master} needs a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="clearbid-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

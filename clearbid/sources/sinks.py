@@ -1,15 +1,17 @@
 """Sinks (K1-K6): partition overwrite, keyed upsert, replace, copy-once.
 
-Writes are idempotent by construction: an interval run overwrites exactly the
-partitions it produced (dynamic partition overwrite), so re-running an hour
-replaces its rows instead of appending duplicates.  Rows of several kinds
-share a table through a ``kind`` partition column so that the kinds never
-overwrite each other.
+``overwrite_partitions`` replaces the partitions present in a frame, which
+suits a sink that is fed one kind of rows at a time.  A job that writes all
+rows of an interval uses ``overwrite_span``: it also clears the interval's
+partitions for which the new run has no row.  Rows of several kinds share a
+table through a ``kind`` partition column.
 """
 
 from __future__ import annotations
 
 import os
+from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +50,25 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str],
         .partitionBy(*partition_cols).parquet(path))
 
 
+def overwrite_span(df: DataFrame, path: str, start, end, partition_cols: list[str]) -> None:
+    """K1 for a job that owns an interval: its hours (or days) become exactly the rows of ``df``.
+
+    Folders of the first partition column in ``[start, end)`` go before the write, so an hour or a kind
+    without a new row keeps no old one.  A run that dies in between is mended by
+    running it again: ``df`` must not read from ``path``.
+    """
+    spark = df.sparkSession
+    if _exists(spark, path):
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in fs.listStatus(root):   # one folder per hour or day
+            name, _, value = status.getPath().getName().partition("=")
+            if name == partition_cols[0] and value and start <= datetime.fromisoformat(unquote(value)) < end:
+                fs.delete(status.getPath(), True)
+    overwrite_partitions(df, path, partition_cols)
+
+
 def append(df: DataFrame, path: str, partition_cols: list[str] | None = None) -> bool:
     """K1/K2 as in the reference: append, skip the write when there is no row."""
     if df.isEmpty():
@@ -73,33 +94,51 @@ def copy_once(df: DataFrame, path: str) -> bool:
     return True
 
 
-def upsert_daily(spark: SparkSession, new_rows: DataFrame, path: str, keys: list[str] = DAILY_KEYS) -> None:
+def upsert_daily(spark: SparkSession, new_rows: DataFrame, path: str, keys: tuple[str, ...] = tuple(DAILY_KEYS)) -> dict[str, int]:
     """K3/C18: upsert daily rows into a ``date``-partitioned table.
 
     Only the dates present in ``new_rows`` are read, merged (null-safe keys,
-    stale keys kept) and rewritten.  The merged rows are first written to a
+    stale keys kept, fields that the new rows lack keep their old values) and
+    rewritten; ``new_rows`` is computed once.  Returns how many rows were
+    updated and inserted.  The merged rows are first written to a
     staging folder under the shared checkpoint folder, which cuts the lineage
     to the partitions being replaced, so a failed task can never lose rows of
     the target.
     """
-    new_rows = new_rows.withColumn("date", day_floor("date"))
+    staged_new = scratch_dir(spark, "daily-new")
+    dated = new_rows.withColumn("date", day_floor("date"))
+    dated.write.mode("overwrite").parquet(staged_new)
+    new_rows = read_written(spark, staged_new, dated.schema, must_exist=True)
+    total = new_rows.count()
     schema = new_rows.schema
+    updated = 0
     day = {"day": T.DateType()}
     if _exists(spark, path):
+        # fields of the target that the new rows lack belong to the merged schema too
+        have = spark.read.parquet(path).schema
+        schema = T.StructType([*schema.fields, *[f for f in have.fields if f.name not in {*schema.names, "day"}]])
         # semi-join on the partition column: dynamic partition pruning reads
         # only the touched days of the target
         days = new_rows.select(F.to_date("date").alias("day")).distinct()
         old = read_written(spark, path, schema, day).join(days, "day", "left_semi")
-        merged = upsert(old.select(*new_rows.columns), new_rows, keys)
+        old = old.select(*schema.names)
+        merged = upsert(old, new_rows, list(keys))
+        same = [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
+        both = same[0]
+        for c in same[1:]:
+            both = both & c
+        updated = new_rows.alias("n").join(old.select(*keys).distinct().alias("o"), both, "left_semi").count()
     else:
         merged = new_rows
     stage = scratch_dir(spark, "daily-upsert")
     merged.write.mode("overwrite").parquet(stage)
-    staged = read_written(spark, stage, schema)
+    staged = read_written(spark, stage, schema, must_exist=True)
     overwrite_partitions(staged.withColumn("day", F.to_date("date")), path, ["day"])
+    return {"updated": updated, "inserted": total - updated}
+
 
 def read_written(spark: SparkSession, path: str, schema: T.StructType,
-                 partition_cols: dict[str, T.DataType] | None = None) -> DataFrame:
+                 partition_cols: dict[str, T.DataType] | None = None, must_exist: bool = False) -> DataFrame:
     """Read a table this package wrote, with its declared schema.
 
     Declaring the schema keeps partition values typed (``hour`` stays
@@ -109,6 +148,8 @@ def read_written(spark: SparkSession, path: str, schema: T.StructType,
     full = T.StructType(list(schema.fields) + [T.StructField(n, t, True)
                                                for n, t in (partition_cols or {}).items()])
     if not _exists(spark, path):
+        if must_exist:   # this run has just written it
+            raise FileNotFoundError(path)
         return spark.createDataFrame([], full)
     return spark.read.schema(full).parquet(path)
 

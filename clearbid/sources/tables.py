@@ -48,27 +48,13 @@ def bounded(df: DataFrame, col: str = "tstamp", lo: datetime | None = None,
     return df.filter(cond)
 
 
-# Largest key set shipped to every executor for a map-side semi-join
-# (about 40-80 MB of string keys).
-BROADCAST_KEY_LIMIT = 1_000_000
-
-
-def prefilter_by_keys(big: DataFrame, keys_from: DataFrame, keys: list[str],
-                      limit: int = BROADCAST_KEY_LIMIT) -> DataFrame:
-    """Keep rows of ``big`` whose ``keys`` occur in ``keys_from``, map-side.
-
-    The size is checked before anything is broadcast: the rows of
-    ``keys_from`` bound its distinct keys, and counting them under a
-    ``limit + 1`` cap stops early, so the check stays cheap even when the
-    answer is "too many".  Only then are the distinct keys broadcast for a
-    semi-join.  Above the limit ``big`` is returned unchanged: the prefilter
-    only removes rows that could not match later anyway, so skipping it
-    never changes a result.
+def only_keys_of(big: DataFrame, keys_from: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``big`` whose ``keys`` occur in ``keys_from``: a plain semi-join.
+
+    No action, no hint and no size switch: the plan has one shape for every
+    interval, and Spark picks the join from the sizes it measures.
     """
-    if keys_from.limit(limit + 1).count() > limit:
-        return big
-    k = keys_from.select(*keys).distinct()
-    return big.join(F.broadcast(k), keys, "left_semi")
+    return big.join(keys_from.select(*keys).distinct(), keys, "left_semi")
 
 
 def time_range(df: DataFrame, interval: Interval, col: str = "tstamp") -> DataFrame:

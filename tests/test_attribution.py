@@ -123,18 +123,3 @@ def test_hourly_equals_loop_of_hours(spark):
     one_clk = click_matched_actions_hourly(t["clicks"], t["actions"], t["auctions"], 7, span).collect()
     assert sorted(loop_imp) == sorted(one_imp) and len(one_imp) > 0
     assert sorted(loop_clk) == sorted(one_clk)
-
-
-def test_prefilter_never_changes_results(spark):
-    from clearbid.operators.attribution import IMP_ORDER, IMP_OUTPUT, _attribute, one_row_per, worth_prefilter
-    from clearbid.sources.fixtures import ad_tables
-    t = ad_tables(spark, "/root/testdata/sf0.01")
-    iv = Interval(datetime(2024, 1, 20, 9), datetime(2024, 1, 20, 15))
-    assert worth_prefilter(iv, 30) and not worth_prefilter(Interval(datetime(2024, 1, 1), datetime(2024, 1, 31)), 30)
-    acts = t["actions"].filter(iv.contains("tstamp"))
-    cols = ["impid", "campaign", "creativegroup", "creative", "adv_clique"]
-    got = {}
-    for flag in (True, False):
-        hit = _attribute(acts, t["impressions"], t["auctions"], cols, "imp_tstamp", None, None, flag)
-        got[flag] = sorted(one_row_per(hit, "actionid", IMP_ORDER, IMP_OUTPUT).collect())
-    assert got[True] == got[False] and len(got[True]) > 0

@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 import pytest
@@ -50,7 +51,7 @@ def test_sync_environment(spark, tmp_root):
     spark.createDataFrame(hours, "hour timestamp_ntz, publisher string").write.parquet(prod + "/hourlyadstats")
     spark.createDataFrame([(1,)], "x int").write.parquet(prod + "/cliques")
     spark.createDataFrame([(1,)], "x int").write.parquet(prod + "/users")
-    done = sync_environment(spark, prod, dev, full=["users", "missing"], newest=[("hourlyadstats", "hour")],
+    done = sync_environment(spark, prod, dev, full=["users"], newest=[("hourlyadstats", "hour")],
                             once=["cliques"], limit=2)
     assert done == {"users": "replaced", "hourlyadstats": "newest 2", "cliques": "copied"}
     got = sorted(r.publisher for r in spark.read.parquet(dev + "/hourlyadstats").collect())
@@ -59,13 +60,29 @@ def test_sync_environment(spark, tmp_root):
     assert again == {"cliques": "kept"}
 
 
-def test_prefilter_by_keys_checks_size(spark):
-    from clearbid.sources.tables import prefilter_by_keys
+def test_sync_names_missing_tables_and_touches_nothing(spark, tmp_root):
+    prod, dev = tmp_root + "/prod", tmp_root + "/dev"
+    spark.createDataFrame([(1,)], "x int").write.parquet(prod + "/users")
+    with pytest.raises(FileNotFoundError, match="missing"):
+        sync_environment(spark, prod, dev, full=["users", "missing"], newest=[], once=[])
+    assert not os.path.exists(dev + "/users")
+
+
+def test_only_keys_of_is_a_plain_semi_join(spark):
     big = spark.createDataFrame([(f"u{n}", n) for n in range(20)], "uuid string, v int")
     small = spark.createDataFrame([("u1",), ("u3",), ("u3",), (None,)], "uuid string")
-    kept = prefilter_by_keys(big, small, ["uuid"])
-    assert sorted(r.v for r in kept.collect()) == [1, 3]
-    assert "BroadcastHashJoin" in kept._jdf.queryExecution().executedPlan().toString()
-    # above the limit the input comes back untouched (no broadcast of a large key set)
-    same = prefilter_by_keys(big, small, ["uuid"], limit=1)
-    assert same is big
+    assert sorted(r.v for r in src.only_keys_of(big, small, ["uuid"]).collect()) == [1, 3]
+
+
+def test_wall_clock_does_not_follow_the_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        # the hour that spring skips and the one that autumn repeats
+        df = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:00' t, '2024-11-03T05:30:00Z' a, '2024-11-03T06:30:00Z' b, '1730611800.9' c, '-1.5' d")
+        r = df.select(hour_floor("t").alias("h"), parse_rfc3339("a").alias("a"), parse_rfc3339("b").alias("b"), "c", "d").first()
+        assert (r.h, r.a, r.b) == (datetime(2024, 3, 10, 2), datetime(2024, 11, 3, 5, 30), datetime(2024, 11, 3, 6, 30))
+        got = decode_cells(df.select("c", "d"), {"c": "TIMESTAMP", "d": "TIMESTAMP"}).first()
+        assert (got.c, got.d) == (datetime(2024, 11, 3, 5, 30), datetime(1969, 12, 31, 23, 59, 58))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from clearbid.functions import Interval
@@ -73,3 +74,23 @@ def test_single_hour_runs_label_with_start(spark, tmp_root):
     assert kinds <= {"imps", "convs", "defaults"}
     day = busy[0].replace(hour=0)
     assert spark.read.parquet(paths["dailyadstats"]).filter(F.col("date") == day).count() > 0
+
+
+def test_rerun_with_fewer_rows_leaves_nothing_stale(spark, tmp_root):
+    t = ad_tables(spark, "/root/testdata/sf0.001")
+    span = Interval(DAY, DAY + timedelta(hours=12))
+    paths = job.backfill(spark, jobs.AdTables.of(t), tmp_root, span, view_lookback=7, click_lookback=7)
+    before = job.read_stats(spark, paths["hourlyadstats"])
+    assert before.filter("kind = 'convs'").count() > 0
+    t["actions"] = t["actions"].filter("false")
+    job.backfill(spark, jobs.AdTables.of(t), tmp_root, span, view_lookback=7, click_lookback=7)
+    after = job.read_stats(spark, paths["hourlyadstats"])
+    assert after.filter("kind = 'convs'").count() == 0 and after.filter("kind = 'imps'").count() > 0
+    daily = spark.read.parquet(paths["dailyadstats"]).agg(F.sum("view_convs").alias("v"), F.sum("click_convs").alias("c")).first()
+    assert (daily.v, daily.c) == (0, 0)
+
+
+def test_per_hour_runs_need_whole_hours(spark, tmp_root):
+    t = jobs.AdTables.of(ad_tables(spark, "/root/testdata/sf0.001"))
+    with pytest.raises(ValueError):
+        job.backfill(spark, t, tmp_root, Interval(DAY + timedelta(minutes=30), DAY + timedelta(hours=2)))
