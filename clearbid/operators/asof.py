@@ -1,28 +1,25 @@
-"""Latest-preceding ("as-of") match: for each action, the newest touches of the
-same key with ``touch.tstamp <= action.tstamp`` — every touch tied at that
-newest time, since ties are all candidates for the caller.
+"""Latest-preceding ("as-of") match: for each action, the newest state of the
+same key with ``state.tstamp <= action.tstamp``.
+
+A state is one row per (key, time): callers with several touches at one time
+reduce them first, so a match is one row per action and never the product of
+tied touches and actions.
 
 Spark has no as-of join, and a join of actions to every earlier touch of the
 same user is quadratic per user.  The plan here:
 
-1. touch keys and times are hash-partitioned by (key, hour); their distinct
-   times per (key, hour) are found inside that partitioning;
-2. actions are hash-partitioned the same way and unioned with those times;
-   Spark keeps the shared partitioning through the union, so a window per
-   (key, hour) ordered by time carries the newest touch time at or before
-   each action (touches sort before actions at equal times, giving ``<=``);
-3. the carry-in from earlier hours: the newest time per active (key, hour),
-   then a running "latest earlier hour" over one row per active (key, hour) —
-   bounded by the lookback, and the only step partitioned by key alone;
-4. the tied touches come back by an equi-join of the matched actions with
-   the touch payload on (key, hour, time).  Ties stay rows of a join (a
-   sort-merge join buffers and spills them), never a list collected into one
-   row, so a burst of touches at one instant cannot outgrow a task.  The
-   cost is one more exchange of the touch payload and of the actions.
-
-Only times and actions travel through the windows, and they never span more
-than one key-hour of rows, so a bot user holding a large share of all
-touches is split across as many tasks as it has active hours.
+1. states (``by_key_hour``) and actions are hash-partitioned by (key, hour)
+   and unioned; Spark keeps the shared partitioning through the union, so a
+   window per (key, hour) ordered by time carries the newest state at or
+   before each action (states sort before actions at equal times, giving
+   ``<=``);
+2. the carry-in from earlier hours: the newest state per active (key, hour),
+   then a running "latest earlier hour" over one row per active (key, hour) -
+   bounded by the lookback, and the only step partitioned by key alone.  Its
+   input is the same exchange of states, read again.
+
+No window spans more than one key-hour of rows, so a bot user holding a large
+share of all touches is split across as many tasks as it has active hours.
 """
 
 from __future__ import annotations
@@ -33,68 +30,57 @@ from pyspark.sql import functions as F
 from clearbid.functions import hour_floor
 
 
-def _newest_time(actions: DataFrame, touches: DataFrame, keys: list[str],
-                 touch_cols: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(actions with ``_act`` struct and ``_best`` = newest touch time or NULL,
-    touches with ``_bucket``/``_ts``/``_p``: the payload side of the tie join)."""
-    act_cols = actions.columns
-    has_key = F.lit(True)
+def by_key_hour(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with a key and a time, with ``_bucket`` (the hour), partitioned by (key, hour).
+
+    Groupings on the keys, ``_bucket`` and more columns need no further exchange.
+    """
+    has_key = F.col("tstamp").isNotNull()
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
+    return df.filter(has_key).withColumn("_bucket", hour_floor("tstamp")).repartition(*keys, "_bucket")
 
-    payload = F.struct(*[F.col(c) for c in touch_cols]) if touch_cols else F.struct(F.col("tstamp"))
-    part = (touches.filter(has_key & F.col("tstamp").isNotNull())
-            .select(*keys, F.col("tstamp").alias("_ts"), payload.alias("_p"))
-            .withColumn("_bucket", hour_floor("_ts"))
-            .repartition(*keys, "_bucket"))
-    # distinct touch times, inside the (key, hour) partitioning; only key and
-    # time columns reach this exchange (Catalyst prunes the payload)
-    times = part.select(*keys, "_bucket", "_ts").distinct()
-    acts = (actions.select(*keys, F.col("tstamp").alias("_ts"), F.struct(*[F.col(c) for c in act_cols]).alias("_act"))
+
+def latest_state(actions: DataFrame, states: DataFrame, keys: list[str], value_cols: list[str],
+                 out_col: str = "touch_tstamp") -> DataFrame:
+    """Action columns, ``out_col`` (time of the newest state, NULL if none) and its ``value_cols``.
+
+    ``states`` come from ``by_key_hour``, one row per (keys, tstamp).  Rows with
+    a NULL key never match (equality semantics).
+    """
+    act_cols = actions.columns
+    acts = (actions.select(*keys, F.col("tstamp").alias("_ts"), F.struct(*act_cols).alias("_act"))
             .withColumn("_bucket", hour_floor("_ts"))
             .repartition(*keys, "_bucket"))
+    held = states.select(*keys, "_bucket", F.col("tstamp").alias("_ts"), F.struct("tstamp", *value_cols).alias("_state"))
+    state_type, act_type = held.schema["_state"].dataType, acts.schema["_act"].dataType
 
-    # level 1: newest touch time at or before each action, inside its (key, hour)
-    act_type = acts.schema["_act"].dataType
-    u = (times.select(*keys, "_bucket", "_ts", F.lit(None).cast(act_type).alias("_act"))
-         .unionByName(acts.select(*keys, "_bucket", "_ts", "_act")))
+    # level 1: newest state at or before each action, inside its (key, hour)
+    u = (held.withColumn("_act", F.lit(None).cast(act_type))
+         .unionByName(acts.withColumn("_state", F.lit(None).cast(state_type))))
     w1 = (Window.partitionBy(*keys, "_bucket").orderBy("_ts", F.col("_act").isNotNull())
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    touch_time = F.when(F.col("_act").isNull(), F.col("_ts"))
-    local = (u.select(*keys, "_bucket", "_act", F.last(touch_time, ignorenulls=True).over(w1).alias("_local"))
+    local = (u.select(*keys, "_bucket", "_act", F.last("_state", ignorenulls=True).over(w1).alias("_local"))
              .filter(F.col("_act").isNotNull()))
 
-    # level 2: newest touch time of the latest earlier hour of the same key
-    top = times.groupBy(*keys, "_bucket").agg(F.max("_ts").alias("_top"))
-    hours = acts.select(*keys, "_bucket", F.lit(None).cast(top.schema["_top"].dataType).alias("_top"))
-    per_hour = top.unionByName(hours).groupBy(*keys, "_bucket").agg(F.max("_top").alias("_top"))
-    w2 = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_hour.select(*keys, "_bucket", F.last("_top", ignorenulls=True).over(w2).alias("_carry"))
+    # level 2: newest state of the latest earlier hour of the same key, for hours with an action
+    top = held.groupBy(*keys, "_bucket").agg(F.max_by("_state", "_ts").alias("_top")).withColumn("_asked", F.lit(False))
+    hours = (acts.select(*keys, "_bucket").distinct()
+             .select(*keys, "_bucket", F.lit(None).cast(state_type).alias("_top"), F.lit(True).alias("_asked")))
+    # an hour's own state follows its question: it only serves later hours
+    w2 = Window.partitionBy(*keys).orderBy("_bucket", F.col("_asked").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = (top.unionByName(hours).withColumn("_carry", F.last("_top", ignorenulls=True).over(w2))
+             .filter("_asked").select(*keys, "_bucket", "_carry"))
 
     joined = local.join(carry, keys + ["_bucket"], "left")
-    # a touch in the action's own hour is always newer than any earlier hour's
-    best = joined.select(*keys, "_act", F.coalesce("_local", "_carry").alias("_best"))
-    return best, part
-
-
-def latest_touches(actions: DataFrame, touches: DataFrame, keys: list[str], touch_cols: list[str],
-                   out_col: str = "touch_tstamp") -> DataFrame:
-    """One row per (action, tied newest touch): action columns, ``out_col`` and ``touch_cols``.
-
-    Actions with no touch at or before them are dropped; rows with a NULL key
-    never match (equality semantics).
-    """
-    best, part = _newest_time(actions, touches, keys, touch_cols)
-    hits = (best.filter(F.col("_best").isNotNull())
-            .select(*keys, "_act", hour_floor("_best").alias("_bucket"), F.col("_best").alias("_ts")))
-    rows = hits.join(part, keys + ["_bucket", "_ts"])
-    return rows.select(*[F.col("_act")[c].alias(c) for c in actions.columns], F.col("_ts").alias(out_col),
-                       *[F.col("_p")[c].alias(c) for c in touch_cols])
+    # a state in the action's own hour is always newer than any earlier hour's
+    best = joined.select("_act", F.coalesce("_local", "_carry").alias("_state"))
+    return best.select(*[F.col("_act")[c].alias(c) for c in act_cols], F.col("_state.tstamp").alias(out_col),
+                       *[F.col("_state")[c].alias(c) for c in value_cols])
 
 
 def latest_touch_time(actions: DataFrame, touches: DataFrame, keys: list[str],
                       out_col: str = "touch_tstamp") -> DataFrame:
     """Add ``out_col`` = newest ``touches.tstamp`` <= ``actions.tstamp`` per key (NULL if none)."""
-    best, _ = _newest_time(actions, touches.select(*keys, "tstamp"), keys, [])
-    return best.select(*[F.col("_act")[c].alias(c) for c in actions.columns],
-                       F.col("_best").alias(out_col))
+    times = by_key_hour(touches.select(*keys, "tstamp"), keys).distinct()
+    return latest_state(actions, times, keys, [], out_col)

@@ -2,15 +2,16 @@
 
 For every action in the interval, the newest touch (impression or click) of
 the same (uuid, advertiser) at or before the action time and inside the
-lookback is found together with every touch tied at that time (returned by
-the as-of operator as join rows), joined to its auction for publisher data,
-and one row per actionid is kept.
+lookback is found.  Touches are joined to their auctions and those tied at one
+time are reduced to the one that wins the tie before the as-of match, so an
+action meets one state, never each of the tied touches; one row per actionid
+is kept.
 
 Rules kept from the reference queries:
 
-* the auction join comes *after* the newest-time pick: if no tied touch at
-  that time has an auction, the action is dropped (no fall-back to an older
-  touch);
+* the newest time is picked whether or not its touches have an auction: if no
+  tied touch at that time has one, the action is dropped (no fall-back to an
+  older touch);
 * touches are looked back from the interval **end**; auctions from the end for
   view attribution but from the **start** for click attribution;
 * one row per actionid: ties are broken deterministically by the smallest
@@ -25,11 +26,11 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearbid.functions import Interval, hour_floor
-from clearbid.operators.asof import latest_touches
+from clearbid.operators.asof import by_key_hour, latest_state
 from clearbid.sources.tables import bounded, only_keys_of
 
 KEYS = ["uuid", "advertiser"]
@@ -51,55 +52,67 @@ CLICK_ORDER = ["action_tstamp", "uuid", "advertiser", "actionbeacon", "value", "
                "placement", "pub_clique"]
 
 
-def one_row_per(df: DataFrame, key: str, order: list[str], output: list[str]) -> DataFrame:
-    """Keep, per ``key``, the row with the smallest ``order`` tuple (NULLs first).
+def one_row_per(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
+    """Keep, per ``key``, the first row by ``order`` (NULLs first).
 
-    ``min(struct(...))`` is an ordinary aggregate, so it is partially
-    aggregated before the shuffle: a hot key never gathers its rows in one
-    task.
+    Where rows are shuffled for it, Spark limits each group to one row
+    map-side, so a hot key never gathers its rows in one task.
     """
-    rest = [c for c in output if c != key and c not in order]
-    packed = F.struct(*[F.col(c) for c in order + rest])
-    best = df.groupBy(key).agg(F.min(packed).alias("_best"))
-    return best.select(*[(F.col(key) if c == key else F.col("_best")[c]).alias(c) for c in output])
+    w = Window.partitionBy(*key).orderBy(*order)
+    return df.withColumn("_nth", F.row_number().over(w)).filter("_nth = 1").drop("_nth")
 
 
-def _attribute(actions: DataFrame, touches: DataFrame, auctions: DataFrame,
-               touch_cols: list[str], touch_time: str,
-               touch_bound: Column | None, auction_bound: Column | None) -> DataFrame:
+def _attribute(actions: DataFrame, touches: DataFrame, auctions: DataFrame, touch_cols: list[str], touch_time: str,
+               order: list[str], output: list[str], touch_bound: Column | None, auction_bound: Column | None) -> DataFrame:
     """Shared body; bounds are columns over the action row (or None = unbounded).
 
     Touches of users without an action in the interval can never match; a
-    plain semi-join on the actions' keys drops them before the as-of.
+    plain semi-join on the actions' keys drops them first.  The others are
+    joined to their auctions, and of the touches tied at one time the first by
+    ``order`` that has an auction is kept.  Which auctions count depends on the
+    action's hour in the per-hour form; its bounds are full hours, so one touch
+    per hour of auctions is kept there, at most the hours of the lookback.
+    A time at which no touch has an auction stays, since it is still the newest.
     """
-    touches = only_keys_of(touches, actions, KEYS)
+    touches = only_keys_of(touches, actions, KEYS).select(*KEYS, "tstamp", *touch_cols)
+    au = auctions.select("impid", F.col("tstamp").alias("_auction"), *PUB_COLS)
+    fields = [c for c in order if c in touch_cols + PUB_COLS]   # the other columns are those of the action or the time
+    # a touch without an impid, or whose auction has no time, has no auction
+    seen = by_key_hour(touches.join(au, "impid", "left"), KEYS)
+    seen = seen.withColumn("_hour", hour_floor("_auction") if auction_bound is not None else F.col("_auction").isNotNull())
+    best = one_row_per(seen, [*KEYS, "_bucket", "tstamp", *(["_hour"] if auction_bound is not None else [])],
+                       [F.col("_auction").isNull(), *[F.col(c) for c in fields]])
+    choice = F.when(F.col("_auction").isNotNull(), F.struct(*fields))
+    if auction_bound is None:
+        states = best.select(*KEYS, "_bucket", "tstamp", choice.alias("_choice"))
+    else:
+        option = F.when(F.col("_auction").isNotNull(), F.struct(F.struct(*fields).alias("choice"), F.col("_hour").alias("hour")))
+        states = best.groupBy(*KEYS, "_bucket", "tstamp").agg(F.collect_list(option).alias("_choice"))
     a = actions.select(*ACTION_COLS)
     if touch_bound is not None:
         a = a.withColumn("_touch_lo", touch_bound)
     if auction_bound is not None:
         a = a.withColumn("_auction_lo", auction_bound)
-    # every touch tied at the newest time comes back with its payload, one row each
-    hit = latest_touches(a, touches, KEYS, touch_cols, out_col=touch_time)
+    hit = latest_state(a, states, KEYS, ["_choice"], out_col=touch_time).withColumnRenamed("tstamp", "action_tstamp")
     if touch_bound is not None:
         hit = hit.filter(F.col(touch_time) >= F.col("_touch_lo"))
-    hit = hit.withColumnRenamed("tstamp", "action_tstamp")
-    au = auctions.select("impid", F.col("tstamp").alias("_auction_tstamp"), *PUB_COLS)
-    hit = hit.join(au, "impid")
     if auction_bound is not None:
-        hit = hit.filter(F.col("_auction_tstamp") >= F.col("_auction_lo"))
-    return hit
+        usable = F.filter("_choice", lambda o: o["hour"] >= F.col("_auction_lo"))
+        hit = hit.withColumn("_choice", F.array_min(usable)["choice"])
+    hit = hit.filter(F.col("_choice").isNotNull()).select(
+        *[c for c in hit.columns if c[0] != "_"], *[F.col("_choice")[c].alias(c) for c in fields])
+    return one_row_per(hit, ["actionid"], [F.col(c) for c in order]).select(*output)
 
 
 def imp_matched_actions(impressions: DataFrame, actions: DataFrame, auctions: DataFrame,
                         interval: Interval, lookback_days: int) -> DataFrame:
     """View attribution for actions in ``interval`` (lookback from the end)."""
     lo = interval.lookback_from_end(lookback_days)
-    hit = _attribute(
+    return _attribute(
         bounded(actions, "tstamp", interval.start, interval.end),
         bounded(impressions, "tstamp", lo),
         bounded(auctions, "tstamp", lo),
-        ["impid", "campaign", "creativegroup", "creative", "adv_clique"], "imp_tstamp", None, None)
-    return one_row_per(hit, "actionid", IMP_ORDER, IMP_OUTPUT)
+        ["impid", "campaign", "creativegroup", "creative", "adv_clique"], "imp_tstamp", IMP_ORDER, IMP_OUTPUT, None, None)
 
 
 def click_matched_actions(clicks: DataFrame, actions: DataFrame, auctions: DataFrame,
@@ -107,12 +120,11 @@ def click_matched_actions(clicks: DataFrame, actions: DataFrame, auctions: DataF
     """Click attribution (touch lookback from the end, auctions from the start)."""
     lo_touch = interval.lookback_from_end(lookback_days)
     lo_auction = interval.lookback_from_start(lookback_days)
-    hit = _attribute(
+    return _attribute(
         bounded(actions, "tstamp", interval.start, interval.end),
         bounded(clicks, "tstamp", lo_touch),
         bounded(auctions, "tstamp", lo_auction),
-        ["impid", "clickid", "campaign", "creativegroup", "creative"], "click_tstamp", None, None)
-    return one_row_per(hit, "actionid", CLICK_ORDER, CLICK_OUTPUT)
+        ["impid", "clickid", "campaign", "creativegroup", "creative"], "click_tstamp", CLICK_ORDER, CLICK_OUTPUT, None, None)
 
 
 def _hour_bounds(lookback_days: int) -> tuple[Column, Column, Column]:
@@ -138,9 +150,8 @@ def imp_matched_actions_hourly(impressions: DataFrame, actions: DataFrame, aucti
     """View attribution of every hour in ``interval`` (whole table if None)."""
     _, lo_end, _ = _hour_bounds(lookback_days)
     acts, imps, aucs = _span(actions, impressions, auctions, interval, lookback_days)
-    hit = _attribute(acts, imps, aucs, ["impid", "campaign", "creativegroup", "creative", "adv_clique"],
-                     "imp_tstamp", lo_end, lo_end)
-    return one_row_per(hit, "actionid", IMP_ORDER, IMP_OUTPUT)
+    return _attribute(acts, imps, aucs, ["impid", "campaign", "creativegroup", "creative", "adv_clique"],
+                      "imp_tstamp", IMP_ORDER, IMP_OUTPUT, lo_end, lo_end)
 
 
 def click_matched_actions_hourly(clicks: DataFrame, actions: DataFrame, auctions: DataFrame,
@@ -148,6 +159,5 @@ def click_matched_actions_hourly(clicks: DataFrame, actions: DataFrame, auctions
     """Click attribution of every hour in ``interval`` (whole table if None)."""
     _, lo_end, lo_start = _hour_bounds(lookback_days)
     acts, clk, aucs = _span(actions, clicks, auctions, interval, lookback_days)
-    hit = _attribute(acts, clk, aucs, ["impid", "clickid", "campaign", "creativegroup", "creative"],
-                     "click_tstamp", lo_end, lo_start)
-    return one_row_per(hit, "actionid", CLICK_ORDER, CLICK_OUTPUT)
+    return _attribute(acts, clk, aucs, ["impid", "clickid", "campaign", "creativegroup", "creative"],
+                      "click_tstamp", CLICK_ORDER, CLICK_OUTPUT, lo_end, lo_start)

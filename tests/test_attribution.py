@@ -123,3 +123,27 @@ def test_hourly_equals_loop_of_hours(spark):
     one_clk = click_matched_actions_hourly(t["clicks"], t["actions"], t["auctions"], 7, span).collect()
     assert sorted(loop_imp) == sorted(one_imp) and len(one_imp) > 0
     assert sorted(loop_clk) == sorted(one_clk)
+
+
+def test_tied_touches_meet_actions_as_one_state(spark):
+    # 1,000 touches and 1,000 actions at one instant: the match works on one state per time
+    imps = [_imp(f"t{n:04d}", 8) for n in range(1000)]
+    acts = [_action(f"x{n:04d}", 9) for n in range(1000)]
+    i, a, x = (spark.createDataFrame(imps, IMPRESSIONS), spark.createDataFrame([_auction("t0007"), _auction("t0500")], AUCTIONS),
+               spark.createDataFrame(acts, ACTIONS))
+    df = imp_matched_actions(i, x, a, IV, 30)
+    assert {r.impid for r in df.collect()} == {"t0007"} and df.count() == 1000
+    # actions meet the carried state, one row per key and hour, and no touches
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Join LeftOuter, (((uuid" in line for line in plan.splitlines()) == 1 and "Join Inner" not in plan
+
+
+def test_per_hour_click_auction_between_the_two_bounds(spark):
+    # clicks look back from the hour's end, auctions from its start: an auction in between counts only there
+    clicks = [(at(70), "k1", "i1", "u1", "adv1", "cmp", "cg", "cr")]
+    day = 24 * 60
+    c = spark.createDataFrame(clicks, CLICKS)
+    x = spark.createDataFrame([_action("x1", day + 10)], ACTIONS)   # hour [24 h, 25 h): clicks from 1 h, auctions from 0 h
+    for minute, found in ((30, 1), (-30, 0)):
+        a = spark.createDataFrame([_auction("i1", minute)], AUCTIONS)
+        assert click_matched_actions_hourly(c, x, a, 1).count() == found
