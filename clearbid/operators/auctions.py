@@ -87,9 +87,9 @@ def auction_stats_hourly(auctions: DataFrame, impressions: DataFrame, bids: Data
 
     Each auction slot sees the bids and impressions of
     [hour - widen, hour + 1h + widen) around its own hour.  Bids are bucketed
-    by their own hour and each bucket is offered to the auction hours that can
-    see it, so the per-hour group statistics come out of the same partial
-    aggregations as the single-interval form; no per-hour job loop.
+    by their own hour and joined to the slots that can see that hour before the
+    group maximum is taken: no copies of a bid, bids of unpriced slots vanish
+    early, no per-hour job loop.
     """
     w = widen_hours
     a = auctions.filter(F.col("level") == "info")
@@ -102,26 +102,19 @@ def auction_stats_hourly(auctions: DataFrame, impressions: DataFrame, bids: Data
         b = bounded(b, "tstamp", wide.start, wide.end)
     a = a.select(*OUT_KEYS, hour_floor("tstamp").alias("auction_hour"))
     i = i.select("impid", "adv_clique", F.col("tstamp").alias("imp_tstamp"))
-    # a bid in hour bucket h_b is visible to auction hours h_b - w .. h_b + w
-    offsets = F.sequence(F.lit(-w), F.lit(w))
-    b = (b.select("bidid", *GROUP, "bid", hour_floor("tstamp").alias("bid_hour"))
-         .groupBy(*GROUP, "bid_hour", "bid").agg(F.count("bidid").alias("n"))
-         .repartition("impid")
-         .select(*GROUP, "bid", "n",
-                 F.explode(offsets).alias("off"), "bid_hour")
-         .select(*GROUP, "bid", "n",
-                 (F.col("bid_hour") + F.make_dt_interval(hours=F.col("off"))).alias("auction_hour")))
-    keys = GROUP + ["auction_hour"]
-    top = b.withColumn("group_max", F.max("bid").over(Window.partitionBy(*keys)))
-    stats = top.groupBy(*keys).agg(
-        F.sum("n").alias("num_bids"),
-        F.max("bid").alias("max_bid"),
-        F.max(F.when(F.col("bid") < F.col("group_max"), F.col("bid"))).alias("second_bid"),
-    )
-    lo = F.col("auction_hour") - F.expr(f"INTERVAL {w} HOURS")
-    hi = F.col("auction_hour") + F.expr(f"INTERVAL {1 + w} HOURS")
-    ai = a.join(i, "impid").filter((F.col("imp_tstamp") >= lo) & (F.col("imp_tstamp") < hi))
-    return _finish(ai.join(stats, keys))
+    # distinct prices per hour of bids, partially aggregated map-side; then partitioned like the slots
+    prices = (b.select("bidid", *GROUP, "bid", hour_floor("tstamp").alias("bid_hour"))
+              .groupBy(*GROUP, "bid_hour", "bid").agg(F.count("bidid").alias("n"))
+              .repartition("impid"))
+    hours = lambda k: F.expr(f"INTERVAL {k} HOURS")
+    slots = a.join(i, "impid").filter((F.col("imp_tstamp") >= F.col("auction_hour") - hours(w))
+                                      & (F.col("imp_tstamp") < F.col("auction_hour") + hours(1 + w)))
+    # bids in hours auction_hour - w .. auction_hour + w
+    seen = slots.join(prices, GROUP).filter((F.col("bid_hour") >= F.col("auction_hour") - hours(w))
+                                            & (F.col("bid_hour") <= F.col("auction_hour") + hours(w)))
+    top = seen.withColumn("group_max", F.max("bid").over(Window.partitionBy(*GROUP, "auction_hour")))
+    return _finish(top.select(*OUT_KEYS, F.col("n").alias("num_bids"), F.col("bid").alias("max_bid"),
+                              F.when(F.col("bid") < F.col("group_max"), F.col("bid")).alias("second_bid")))
 
 
 def auction_stats_defaults(auctions: DataFrame, interval: Interval | None) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from clearbid import oracle as O
 from clearbid.functions import Interval
+from clearbid.functions.core import decode_cells, parse_rfc3339
 from clearbid.operators import attribution as attr
 from clearbid.operators import auctions as auc
 from clearbid.operators import rollups as ru
@@ -34,7 +35,7 @@ SPAN = Interval(START, END)
 LOOKBACK = 30
 WEEK = Interval(datetime(2024, 1, 8), datetime(2024, 1, 15))
 WEEK_LOOKBACK = 7
-SYNC_LIMIT = 100_000   # rows per aggregate table in the environment sync
+SYNC_LIMIT = 1_000     # rows per aggregate table in the environment sync: it cuts at every scale checked
 NEWEST_LIMIT = 3_000   # of the newest-N query: well inside the table at every scale, within an hour's rows
 RETAIN = 5             # versions kept per key by retention
 
@@ -58,8 +59,39 @@ def _span_mid(t: jobs.AdTables, per_hour: bool) -> jobs.Intermediates:
     return jobs.intermediates(t, None if per_hour else SPAN, per_hour, LOOKBACK, LOOKBACK)
 
 
+# columns compared per table by the migration and sync queries: time, texts and numbers, amounts
+MIGRATED = {
+    "actions": ("tstamp", ["actionid", "uuid", "advertiser", "actionbeacon"], "value"),
+    "auction_defaults": ("tstamp", ["auctionId"], None),
+    "auctions": ("tstamp", ["auctionId", "impid", "uuid", "level", "publisher", "site", "page", "placement", "pub_clique",
+                            "country", "region", "city", "metro", "zip", "keywords"], None),
+    "bids": ("tstamp", ["bidid", "auctionId", "impid", "adv_clique"], "bid"),
+    "clicks": ("tstamp", ["clickid", "impid", "uuid", "advertiser", "campaign", "creativegroup", "creative"], None),
+    "impressions": ("tstamp", ["auctionId", "impid", "uuid", "advertiser", "campaign", "creativegroup", "creative", "adv_clique"], None),
+}
+SYNCED = {
+    "advertisers": (None, ["s_suppkey", "s_name", "s_nationkey"], "s_acctbal"),
+    "cliques": (None, ["c_custkey", "c_name", "c_nationkey"], "c_acctbal"),
+    "dailyadstats": ("date", ["advertiser", "campaign", "adv_clique", "publisher", "site", "pub_clique", "bids", "imps",
+                              "defaults", "clicks", "view_convs", "click_convs"], "spend"),
+    "hourlyadstats": ("hour", [c for c in ru.stat_columns(ru.HOURLY) if c not in ("hour", "spend", "clearprice")], "spend"),
+}
+
+
 # ----------------------------------------------------------------------- Spark side
 
+def _contents(tables: dict[str, DataFrame], plan: dict) -> DataFrame:
+    """The rows of several tables as (table_name, at, body, amount)."""
+    u = None
+    for name, df in tables.items():
+        at, texts, amount = plan[name]
+        body = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in texts])
+        part = df.select(F.lit(name).alias("table_name"), (F.col(at) if at else F.lit(None)).cast("timestamp_ntz").alias("at"),
+                         body.alias("body"), (F.col(amount) if amount else F.lit(None)).cast("double").alias("amount"))
+        u = part if u is None else u.unionByName(part)
+    return _round(u)
+
+
 def q_auction_stats(spark, sf):
     t = _tables(spark, sf)
     return _round(auc.auction_stats(t.auctions, t.impressions, t.bids, SPAN))
@@ -157,9 +189,10 @@ def q_daily_backfill(spark, sf):
 
 def q_daily_upsert(spark, sf):
     hourly = jobs.hourly_backfill(_tables(spark, sf))
-    # the daily table as it stood at noon of each day, then refreshed with full days
+    # the daily table as it stood at noon of each day, then refreshed with the hours from 6 on:
+    # keys seen only before 6 are the target's alone and must stay
     old = daily_ad_stats(hourly.filter(F.hour("hour") < 12))
-    new = daily_ad_stats(hourly)
+    new = daily_ad_stats(hourly.filter(F.hour("hour") >= 6))
     from clearbid.session import scratch_dir
     from clearbid.sources import sinks
     path = scratch_dir(spark, "dailyadstats")
@@ -217,33 +250,47 @@ def q_table_migration(spark, sf):
     tables = ad_tables(spark, sf)
     written = migrate_tables(spark, {k: v.drop(*[c for c in ("eid", "slot") if c in v.columns])
                                      for k, v in tables.items()}, root)
-    parts = [spark.read.parquet(path).select(F.lit(name).alias("table_name"))
-             for name, path in sorted(written.items())]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.groupBy("table_name").agg(F.count(F.lit(1)).alias("rows"))
+    return _contents({name: spark.read.parquet(path) for name, path in written.items()}, MIGRATED)
 
 
 def q_environment_sync(spark, sf):
     """Write the aggregate tables to a 'production' folder, sync them to a
-    'development' folder (newest N per aggregate table, copy-once for the
-    rest) and report the rows that arrived."""
+    'development' folder (whole tables over an older copy, newest N per
+    aggregate table, copy-once for the rest) and return the rows that arrived."""
     from clearbid.plans.maintenance import sync_environment
     from clearbid.session import scratch_dir
     prod, dev = scratch_dir(spark, "prod"), scratch_dir(spark, "dev")
     hourly = jobs.hourly_backfill(_tables(spark, sf))
     hourly.write.parquet(f"{prod}/hourlyadstats")
     spark.read.parquet(f"{prod}/hourlyadstats").transform(jobs.daily_backfill).write.parquet(f"{prod}/dailyadstats")
+    supplier = spark.read.parquet(f"{sf}/supplier.parquet")
+    supplier.write.parquet(f"{prod}/advertisers")
+    supplier.union(supplier).write.parquet(f"{dev}/advertisers")   # an older copy that must go whole
     spark.read.parquet(f"{sf}/customer.parquet").write.parquet(f"{prod}/cliques")
-    done = sync_environment(spark, prod, dev, full=[],
-                            newest=[("hourlyadstats", "hour"), ("dailyadstats", "date")], once=["cliques"])
-    parts = [spark.read.parquet(f"{dev}/{name}").select(F.lit(name).alias("table_name"))
-             for name in sorted(done)]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.groupBy("table_name").agg(F.count(F.lit(1)).alias("rows"))
+    done = sync_environment(spark, prod, dev, full=["advertisers"],
+                            newest=[("hourlyadstats", "hour"), ("dailyadstats", "date")], once=["cliques"],
+                            limit=SYNC_LIMIT)
+    return _contents({name: spark.read.parquet(f"{dev}/{name}") for name in done}, SYNCED)
+
+
+def q_rfc3339_parse(spark, sf):
+    """Event times written as RFC 3339 text with three kinds of offset and read back."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    text = F.replace(F.col("ts").cast("timestamp_ntz").cast("string"), F.lit(" "), F.lit("T"))
+    zone = F.element_at(F.array(F.lit("Z"), F.lit("+05:30"), F.lit("-08:00")), (F.col("event_id") % 3 + 1).cast("int"))
+    return events.select("event_id", parse_rfc3339(F.concat(text, zone)).alias("utc"))
+
+
+def q_cell_decode(spark, sf):
+    """Order lines written as text cells and decoded by warehouse type name."""
+    day = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01")).cast("long") * 86400
+    cells = spark.read.parquet(f"{sf}/lineitem.parquet").select(
+        F.col("l_returnflag").alias("flag"), F.col("l_orderkey").cast("string").alias("orderkey"),
+        F.col("l_extendedprice").cast("double").cast("string").alias("price"),
+        F.when(F.col("l_linenumber") % 2 == 0, "True").otherwise("false").alias("even"),
+        F.concat((day + F.col("l_linenumber")).cast("string"), F.lit(".75")).alias("shipped"))
+    return _round(decode_cells(cells, {"flag": "STRING", "orderkey": "INTEGER", "price": "FLOAT",
+                                       "even": "BOOLEAN", "shipped": "TIMESTAMP"}))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -279,6 +326,8 @@ QUERIES.update({
     "copy_once": q_copy_once,
     "table_migration": q_table_migration,
     "environment_sync": q_environment_sync,
+    "rfc3339_parse": q_rfc3339_parse,
+    "cell_decode": q_cell_decode,
 })
 
 
@@ -406,7 +455,7 @@ def _o_daily_upsert() -> str:
     sql = O.with_fixtures(
         *_span_ctes(True), _stats_union_cte("hs", "hourly", True),
         f"old AS ({_daily_select('hs', DAY_OF_HOUR, 'date_part(' + repr('hour') + ', hour) < 12')})",
-        f"new AS ({_daily_select('hs', DAY_OF_HOUR)})",
+        f"new AS ({_daily_select('hs', DAY_OF_HOUR, 'date_part(' + repr('hour') + ', hour) >= 6')})",
         f"merged AS (SELECT o.* FROM old o WHERE NOT EXISTS (SELECT 1 FROM new n WHERE {match}) "
         f"UNION ALL BY NAME SELECT * FROM new)")
     return sql + "\n" + O.finalize(DAILY_OUT, "SELECT * FROM merged")
@@ -443,20 +492,30 @@ def _o_lookback() -> str:
                                 f"creative, adv_clique FROM impressions WHERE tstamp >= {lo}")
 
 
+def _contents_sql(plan: dict, sources: dict[str, str] | None = None) -> str:
+    parts = []
+    for name, (at, texts, amount) in plan.items():
+        body = ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '~')" for c in texts)
+        parts.append(f"SELECT '{name}' AS table_name, CAST({at or 'NULL'} AS TIMESTAMP) AS at, concat_ws('|', {body}) AS body, "
+                     f"{O.R(f'CAST({amount} AS DOUBLE)') if amount else 'CAST(NULL AS DOUBLE)'} AS amount FROM {(sources or {}).get(name, name)}")
+    return "\nUNION ALL ".join(parts)
+
+
 def _o_migration() -> str:
-    names = ["actions", "auction_defaults", "auctions", "bids", "clicks", "impressions"]
-    body = " UNION ALL ".join(f"SELECT '{n}' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows FROM {n}"
-                              for n in names)
-    return O.with_fixtures() + "\n" + body
+    return O.with_fixtures() + "\n" + _contents_sql(MIGRATED)
 
 
 def _o_environment_sync() -> str:
     sql = O.with_fixtures(*_span_ctes(True), _stats_union_cte("hs", "hourly", True),
                           f"dl AS ({_daily_select('hs', DAY_OF_HOUR)})")
-    return sql + f"""
-SELECT 'cliques' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows FROM customer
-UNION ALL SELECT 'dailyadstats', CAST(LEAST(COUNT(*), {SYNC_LIMIT}) AS BIGINT) FROM dl
-UNION ALL SELECT 'hourlyadstats', CAST(LEAST(COUNT(*), {SYNC_LIMIT}) AS BIGINT) FROM hs"""
+
+    def newest(cols, src, field):
+        order = ", ".join([f"{field} DESC NULLS LAST"] + [f"{c} ASC NULLS FIRST" for c in cols if c != field])
+        return f"({O.finalize(cols, f'SELECT * FROM {src} ORDER BY {order} LIMIT {SYNC_LIMIT}')})"
+
+    return sql + "\n" + _contents_sql(SYNCED, {
+        "advertisers": "supplier", "cliques": "customer", "dailyadstats": newest(DAILY_OUT, "dl", "date"),
+        "hourlyadstats": newest(_stat_cols("hourly"), "hs", "hour")})
 
 
 ORACLES: dict[str, str] = {
@@ -492,4 +551,9 @@ ORACLES.update({
     "copy_once": "SELECT * FROM orders",
     "table_migration": _o_migration(),
     "environment_sync": _o_environment_sync(),
+    "rfc3339_parse": """SELECT event_id, CAST(ts AS TIMESTAMP) - CASE event_id % 3 WHEN 1 THEN INTERVAL 330 MINUTES
+        WHEN 2 THEN INTERVAL (-8) HOURS ELSE INTERVAL 0 HOURS END AS utc FROM events""",
+    "cell_decode": f"""SELECT l_returnflag AS flag, CAST(l_orderkey AS BIGINT) AS orderkey,
+        {O.R("CAST(l_extendedprice AS DOUBLE)")} AS price, l_linenumber % 2 = 0 AS even,
+        CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) + to_seconds(l_linenumber) AS shipped FROM lineitem""",
 })
