@@ -39,9 +39,9 @@ def escape_role(role: Column) -> Column:
 
 
 def unescape_role(role: Column) -> Column:
-    # a doubled backslash is set aside while the line breaks are read
-    aside = F.replace(unescape(role), F.lit("\\\\"), F.lit("\x00"))
-    return F.replace(F.replace(aside, F.lit("\\n"), F.lit("\n")), F.lit("\x00"), F.lit("\\"))
+    # every backslash opens a pair, so splitting at the doubled ones leaves only line breaks to read
+    parts = F.split(unescape(role), r"\\\\", -1)
+    return F.array_join(F.transform(parts, lambda p: F.replace(p, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def fold_messages(log: DataFrame) -> DataFrame:

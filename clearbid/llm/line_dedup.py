@@ -36,7 +36,10 @@ def lines(text: Column) -> Column:
 
 def line_key(line: Column) -> Column:
     """Key of a line: MD5 of the trimmed line, null for a line without a word."""
-    bare = F.trim(line, F.lit(BLANKS))
+    return bare_key(F.trim(line, F.lit(BLANKS)))
+
+
+def bare_key(bare: Column) -> Column:
     return F.when(bare != "", F.unhex(F.md5(bare)))
 
 
@@ -55,7 +58,9 @@ def dedup_lines(docs: DataFrame, host: str = "source", text: str = "text",
     """``docs`` with the cleaned ``text`` and ``n_dropped`` lines."""
     columns = docs.columns
     key = content_key(F.col(host), F.col(text))
-    keys = F.array_compact(F.array_distinct(F.transform(lines(F.col(text)), line_key)))
+    # distinct as strings: Spark hashes those, while binary keys would be compared pair by pair
+    bare = F.array_distinct(F.transform(lines(F.col(text)), lambda x: F.trim(x, F.lit(BLANKS))))
+    keys = F.array_compact(F.transform(bare, bare_key))
     pages = materialize(docs.select(F.col(host).alias("host"), key.alias("__key"),
                                     F.coalesce(keys, F.array().cast("array<binary>")).alias("keys")), "page-lines")
     bad = boilerplate(pages, ratio, min_pages).select("host", "line")

@@ -4,7 +4,9 @@ Features are the hashed 3- to 5-grams of the lower-cased text that occur in
 it, each scaled by its naive Bayes log-count ratio; a logistic regression on
 them is trained on labelled rows.  The model is fitted on at most
 ``TRAIN_PER_CLASS`` labelled documents of each class (those with the smallest
-hash of their id); everything else covers all rows: each whole text is scored.
+hash of their id) and at most ``TRAIN_BYTES`` of whole texts of each class, so
+that the driver's part is bounded however long the texts are; everything else
+covers all rows: each whole text is scored.
 
 Defined results: a null or empty text has no feature and scores the bias alone;
 repeated rows score alike; rows labelled twice count as toxic if one label says
@@ -16,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearbid.llm.common import ship
@@ -24,6 +26,7 @@ from clearbid.llm.common import ship
 ship(__name__)
 
 TRAIN_PER_CLASS = 4000    # bound of the training sample, rows of each class
+TRAIN_BYTES = 64 << 20    # and bytes of their texts, shortest texts first
 GRAMS = (3, 4, 5)
 HASH_BITS = 20
 MIN_ROWS = 4              # training rows in which a feature must occur
@@ -114,10 +117,14 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, f
     for y in (0, 1):
         part = marked.filter(F.col("toxic") == y).orderBy(by_hash, "doc_id").limit(TRAIN_PER_CLASS)
         sample = part if sample is None else sample.union(part)
-    picked = docs.join(F.broadcast(sample), "doc_id").select(   # at most 2 * TRAIN_PER_CLASS ids
-        F.coalesce("text", F.lit("")).alias("text"), F.col("toxic"), F.xxhash64("doc_id", "text").alias("h"))
-    # an id that many rows carry must not lift the bound
-    rows = picked.orderBy("h").limit(2 * TRAIN_PER_CLASS).collect()
+    picked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(   # at most 2 * TRAIN_PER_CLASS ids
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("toxic"), F.xxhash64("doc_id", "text").alias("h"))
+    # an id that many rows carry must not lift the bound, nor may long texts
+    sizes = picked.select("toxic", "h", F.octet_length("text").alias("bytes")).orderBy("h").limit(2 * TRAIN_PER_CLASS)
+    so_far = Window.partitionBy("toxic").orderBy("bytes", "h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fitting = sizes.withColumn("sum", F.sum("bytes").over(so_far)).filter(F.col("sum") <= TRAIN_BYTES).select("h").distinct()
+    rows = (picked.join(F.broadcast(fitting), "h", "left_semi").dropDuplicates(["h"])   # repeated rows teach once
+            .select("text", "toxic", "h").orderBy("h").collect())
     toxic = np.array([r["toxic"] for r in rows], float)
     if len(set(toxic)) < 2:
         return np.zeros(1 << HASH_BITS, np.float32), np.zeros(1 << HASH_BITS, np.float32), 0.0

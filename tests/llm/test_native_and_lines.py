@@ -139,6 +139,13 @@ def test_chat_round_trip(spark, text):
     assert done["l"] == text
 
 
+def test_chat_roles_read_back(spark):
+    roles = ["a\x00b", "\\", "\\\\n", "\\n\n\\", "\x00\\n", "<\\|x|>\n"]
+    df = spark.createDataFrame([(1, i, r, "t") for i, r in enumerate(roles)], "conv_id long, turn long, role string, text string")
+    done = chat.format_log(queries.conversation_log(df)).select(chat.read_turns().alias("t")).first()
+    assert [t["role"] for t in done["t"]] == roles
+
+
 def test_revisits(spark):
     h = lambda **k: {a.replace("_", "-"): b for a, b in k.items()}
     data = [(1, "http://www.A.com:80/x/", 10, "response", h(etag="e1", content_type="t", date="d0")), (2, "https://a.com/x?utm_a=1#f", 20, "revisit", h(etag="W/e1", date="d1", content_type="no")),

@@ -49,3 +49,12 @@ def test_distinct_grams_match_a_set():
 def test_empty_table(spark):
     labels = spark.createDataFrame([(4, 1, 0), (5, 1, 1)], "doc_id long, quality int, toxic int")
     assert toxicity.score(documents(spark, []), labels).count() == 0
+
+
+def test_training_texts_are_bounded_in_bytes(spark, monkeypatch):
+    texts = [(i, ("vile " if i % 2 else "kind ") * (1 + i % 7) + f"word{i}") for i in range(200)] + [(1000, "vile " * 50000), (1000, "vile " * 50000)]
+    docs = documents(spark, texts).withColumn("toxic", F.lit(9)).withColumn("h", F.lit(9))
+    labels = spark.createDataFrame([(i, 1, int("vile" in t)) for i, t in texts], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 2000)   # the long texts are out, both classes stay
+    got = {r["doc_id"]: r["s"] for r in toxicity.score(docs, labels, "s").select("doc_id", "s").collect()}
+    assert got[1000] > 0.5 and min(got[i] for i in range(1, 200, 2)) > max(got[i] for i in range(0, 200, 2))
