@@ -13,7 +13,6 @@ plans it and whole-stage codegen runs it.  Layout:
                  daily rollup/upsert, newest-N and keep-N-per-key.
 * ``plans``      multi-operator jobs: the hourly run, hourly/daily backfill,
                  table migration and environment sync.
-* ``streaming``  note on why the batch cadence needs no streaming state.
 """
 
 from clearbid.session import build_session, scratch_dir

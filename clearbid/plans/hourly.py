@@ -4,12 +4,12 @@ One run for ``[start, end)``:
 
 1. intermediates - auction_stats (priced ∪ errored), imp_matched_actions,
    click_matched_actions - are written as tables partitioned by ``hour``
-   (overwriting only the hours this run produced, so re-runs are idempotent);
+   (replacing exactly the hours this run owns, so re-runs are idempotent);
 2. the imps/clicks join (auctions ⋈ impressions ⋈ auction_stats ⟕ clicks) is
    built once from the written tables, persisted, and aggregated for the
    hourly, geo and keyword grains;
-3. each stats table gets its three row kinds written under
-   ``hour=…/kind=…`` partitions so the kinds never overwrite each other;
+3. each stats table gets its three row kinds in one write, ``kind`` being a
+   plain column of the ``hour=…`` partitions: an hour is always replaced whole;
 4. every UTC day the run touches is re-rolled from the hourly table and
    upserted into ``dailyadstats``.
 
@@ -119,7 +119,7 @@ def run(spark: SparkSession, tables: AdTables, out_root: str, interval: Interval
             cols = ru.stat_columns(g) + ["kind"]
             u = kinds[0].unionByName(kinds[1], allowMissingColumns=True) \
                         .unionByName(kinds[2], allowMissingColumns=True).select(*cols)
-            own_hours(u, paths[STATS_TABLES[g.name]], ["hour", "kind"])
+            own_hours(u, paths[STATS_TABLES[g.name]], ["hour"])
     finally:
         if kept is not None:
             kept.unpersist()
@@ -145,7 +145,7 @@ def backfill(spark: SparkSession, tables: AdTables, out_root: str, interval: Int
 
 
 def stats_schema(grain: ru.Grain) -> T.StructType:
-    """Declared schema of a stored stats table (partition columns excluded)."""
+    """Declared schema of a stored stats table (the partition column ``hour`` excluded)."""
     types = {f.name: f.dataType for f in S.MEASURES.fields}
     fields = []
     for c in ru.stat_columns(grain)[1:]:
@@ -157,13 +157,12 @@ def stats_schema(grain: ru.Grain) -> T.StructType:
             fields.append(T.StructField(c, T.LongType(), True))
         else:
             fields.append(T.StructField(c, T.StringType(), True))
-    return T.StructType(fields)
+    return T.StructType([*fields, T.StructField("kind", T.StringType(), True)])
 
 
 def read_stats(spark: SparkSession, path: str, grain: ru.Grain = ru.HOURLY) -> DataFrame:
-    """A stats table with ``hour`` (``timestamp_ntz``) and ``kind`` partition columns."""
-    return sinks.read_written(spark, path, stats_schema(grain),
-                              {"hour": T.TimestampNTZType(), "kind": T.StringType()})
+    """A stats table with its ``kind`` and the partition column ``hour`` (``timestamp_ntz``)."""
+    return sinks.read_written(spark, path, stats_schema(grain), {"hour": T.TimestampNTZType()})
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -94,9 +94,16 @@ def sync_environment(spark: SparkSession, source_root: str, dest_root: str,
     return done
 
 
-def retention(df: DataFrame, keys: list[str], created: str, keep: int, row_id: list[str]) -> DataFrame:
-    """Rows to purge: all but the ``keep`` newest per key by ``created``."""
+def retention(df: DataFrame, keys: list[str], created: str, keep: int, row_id: list[str],
+              prefix: tuple[str, str] | None = None) -> DataFrame:
+    """Rows to purge: all but the ``keep`` newest per key by ``created``.
+
+    ``prefix`` = (column, text) looks only at rows whose column starts with the
+    text (P9), as names that carry their key in front do.
+    """
     if keep < 1:
         raise ValueError("keep must be >= 1")
+    if prefix:
+        df = df.filter(F.col(prefix[0]).startswith(prefix[1]))
     order: list[Column] = [F.col(created).desc()] + [F.col(c).desc() for c in row_id]
     return stale_per_key(df, keys, order, keep, row_id)

@@ -157,10 +157,9 @@ def q_hourly_backfill(spark, sf):
     return _round(jobs.hourly_backfill(_tables(spark, sf)))
 
 
-def _run_hourly_job(spark, sf, out: str) -> DataFrame:
-    """Run the written hourly job over the whole table and read its hourly stats back."""
+def _run_hourly_job(spark, t: dict[str, DataFrame], out: str) -> DataFrame:
+    """Run the written hourly job over whole tables and read its hourly stats back."""
     from clearbid.plans import hourly
-    t = ad_tables(spark, sf)
     paths = hourly.run(spark, jobs.AdTables.of(t), out, SPAN, per_hour=True, view_lookback=LOOKBACK,
                        click_lookback=LOOKBACK, grains=(ru.HOURLY,))
     return hourly.read_stats(spark, paths["hourlyadstats"]).select(*ru.stat_columns(ru.HOURLY))
@@ -169,7 +168,19 @@ def _run_hourly_job(spark, sf, out: str) -> DataFrame:
 def q_hourly_job(spark, sf):
     """The hourly job itself: intermediates, hourly stats and daily rows, written and read back."""
     from clearbid.session import scratch_dir
-    return _round(_run_hourly_job(spark, sf, scratch_dir(spark, "hourly-job")))
+    return _round(_run_hourly_job(spark, ad_tables(spark, sf), scratch_dir(spark, "hourly-job")))
+
+
+def q_hourly_job_rerun(spark, sf):
+    """The hourly job twice into one place: first with conversions seven hours late and
+    clicks twice over, then with the tables as they are.  Only the second run's rows may be left."""
+    from clearbid.session import scratch_dir
+    out = scratch_dir(spark, "hourly-rerun")
+    t = ad_tables(spark, sf)
+    late = F.col("tstamp") + F.expr("INTERVAL 7 HOURS")
+    wrong = t | {"actions": t["actions"].withColumn("tstamp", late), "clicks": t["clicks"].union(t["clicks"])}
+    _run_hourly_job(spark, wrong, out)
+    return _round(_run_hourly_job(spark, t, out))
 
 
 def q_keyword_backfill(spark, sf):
@@ -314,6 +325,7 @@ QUERIES.update({
     "keywordadstats_all": _union_grain(ru.KEYWORD),
     "hourly_backfill": q_hourly_backfill,
     "hourly_job": q_hourly_job,
+    "hourly_job_rerun": q_hourly_job_rerun,
     "keyword_backfill": q_keyword_backfill,
     "dailyadstats": q_dailyadstats,
     "daily_backfill": q_daily_backfill,
@@ -539,6 +551,7 @@ ORACLES.update({
     "keywordadstats_all": _o_union("keyword"),
     "hourly_backfill": _o_hourly_backfill(),
     "hourly_job": _o_hourly_backfill(),
+    "hourly_job_rerun": _o_hourly_backfill(),
     "keyword_backfill": _o_hourly_backfill("keyword"),
     "dailyadstats": _o_dailyadstats(),
     "daily_backfill": _o_daily_backfill(),

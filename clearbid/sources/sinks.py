@@ -3,13 +3,11 @@
 ``overwrite_partitions`` replaces the partitions present in a frame, which
 suits a sink that is fed one kind of rows at a time.  A job that writes all
 rows of an interval uses ``overwrite_span``: it also clears the interval's
-partitions for which the new run has no row.  Rows of several kinds share a
-table through a ``kind`` partition column.
+partitions for which the new run has no row.
 """
 
 from __future__ import annotations
 
-import os
 from datetime import datetime
 from urllib.parse import unquote
 
@@ -30,23 +28,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str],
-                         files_per_partition: int | None = None) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
     """K1 (idempotent form): replace only the partitions present in ``df``.
 
     Rows are clustered by the partition columns with a ``rebalance`` hint:
     under AQE a large partition (a busy hour) is split across several write
     tasks at the advisory size and small ones are coalesced, so neither one
     task writes a whole hour nor do small hours scatter into many files.
-    ``files_per_partition`` instead spreads each partition over that many
-    files by a deterministic row hash (stable under task retries).
     """
-    if files_per_partition:
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-        out = df.repartition(*[F.col(c) for c in partition_cols], spread)
-    else:
-        out = df.hint("rebalance", *partition_cols)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", *partition_cols)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols).parquet(path))
 
 
@@ -152,7 +143,3 @@ def read_written(spark: SparkSession, path: str, schema: T.StructType,
             raise FileNotFoundError(path)
         return spark.createDataFrame([], full)
     return spark.read.schema(full).parquet(path)
-
-
-def table_path(root: str, name: str) -> str:
-    return os.path.join(root, name)

@@ -83,6 +83,8 @@ def test_retention_keeps_five(spark):
     df = spark.createDataFrame(rows, "key string, name string, created timestamp_ntz")
     stale = sorted(r.name for r in retention(df, ["key"], "created", 5, ["name"]).collect())
     assert stale == ["snap0", "snap1"]
+    assert [r.name for r in retention(df, ["key"], "created", 6, ["name"], prefix=("key", "di")).collect()] == ["snap0"]
+    assert retention(df, ["key"], "created", 1, ["name"], prefix=("key", "oth")).count() == 0
     kept = keep_newest_per_key(df, ["key"], [F.desc("created")], 5)
     assert kept.count() == 6
 
