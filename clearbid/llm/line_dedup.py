@@ -5,6 +5,12 @@ on ``MIN_PAGES`` or more of a host's pages and on more than ``RATIO`` of all of
 them is boilerplate of that host and is dropped from its pages.  Lines without
 a word are never dropped.
 
+With ``long_words`` given, a passage is caught however small its share of a
+host: a line of more words than that on ``MIN_PAGES`` or more different texts,
+of whatever hosts, stays on one of them (that of the smallest hash) and is
+dropped from all others.  Copies of a whole text count as one there, so no
+passage is lost.
+
 Only 16-byte line keys are shuffled for the counts, combined map-side per
 (host, line), so a host with a third of all pages or a line on a third of all
 pages is one counter per task.  Pages that hold boilerplate get their list of
@@ -25,6 +31,7 @@ from clearbid.llm.common import content_key, materialize
 
 RATIO = 0.1
 MIN_PAGES = 3
+LONG_WORDS = 50           # passages have more words than this
 
 BLANKS = " \t\n\x0b\f\r"
 
@@ -53,21 +60,40 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
             .select("c.host", "line", "n_pages", "host_pages"))
 
 
+def has_words_over(bare: Column, n: int) -> Column:
+    # so many words need at least as many characters and the blanks between them
+    return (F.char_length(bare) > 2 * n) & (F.size(F.split(bare, f"[{BLANKS}]+")) > n)
+
+
+def repeated_passages(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(line, keeper) of the passages to drop but from ``keeper``; ``pages`` has page (key of the text) and long (line keys)."""
+    return (pages.select("page", F.explode("long").alias("line")).distinct().groupBy("line")
+            .agg(F.count(F.lit(1)).alias("n_pages"), F.min("page").alias("keeper")).filter(F.col("n_pages") >= min_pages)
+            .select("line", "keeper"))
+
+
 def dedup_lines(docs: DataFrame, host: str = "source", text: str = "text",
-                ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``docs`` with the cleaned ``text`` and ``n_dropped`` lines."""
+                ratio: float = RATIO, min_pages: int = MIN_PAGES, long_words: int | None = None) -> DataFrame:
+    """``docs`` with the cleaned ``text`` and ``n_dropped`` lines; passages go too if ``long_words`` is given."""
     columns = docs.columns
     key = content_key(F.col(host), F.col(text))
     # distinct as strings: Spark hashes those, while binary keys would be compared pair by pair
     bare = F.array_distinct(F.transform(lines(F.col(text)), lambda x: F.trim(x, F.lit(BLANKS))))
     keys = F.array_compact(F.transform(bare, bare_key))
-    pages = materialize(docs.select(F.col(host).alias("host"), key.alias("__key"),
-                                    F.coalesce(keys, F.array().cast("array<binary>")).alias("keys")), "page-lines")
+    none = F.array().cast("array<binary>")
+    long = [] if long_words is None else [
+        content_key(F.col(text)).alias("page"),
+        F.coalesce(F.transform(F.filter(bare, lambda x: has_words_over(x, long_words)), bare_key), none).alias("long")]
+    pages = materialize(docs.select(F.col(host).alias("host"), key.alias("__key"), F.coalesce(keys, none).alias("keys"), *long), "page-lines")
     bad = boilerplate(pages, ratio, min_pages).select("host", "line")
     # what to drop from each distinct page: at most the distinct lines of that page
     found = pages.select("host", "__key", F.explode("keys").alias("line")).alias("p")
-    drop = (found.join(bad.alias("b"), F.expr("p.host <=> b.host AND p.line = b.line"), "left_semi")
-            .groupBy("__key").agg(F.collect_set("line").alias("__drop")))
+    lost = found.join(bad.alias("b"), F.expr("p.host <=> b.host AND p.line = b.line"), "left_semi").select("__key", "line")
+    if long_words is not None:
+        passages = pages.select("__key", "page", F.explode("long").alias("line")).alias("p")
+        lost = lost.union(passages.join(repeated_passages(pages, min_pages).alias("b"), F.expr("p.line = b.line AND p.page <> b.keeper"), "left_semi")
+                          .select("__key", "line"))
+    drop = lost.groupBy("__key").agg(F.collect_set("line").alias("__drop"))
     joined = docs.withColumn("__key", key).join(drop, "__key", "left")
     before = lines(F.col(text))
     kept = F.filter(before, lambda x: ~F.coalesce(F.array_contains(F.col("__drop"), line_key(x)), F.lit(False)))

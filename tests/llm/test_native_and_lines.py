@@ -65,6 +65,26 @@ def test_repeated_rows_keep_their_lines_once_each(spark):
     assert rows(line_dedup.dedup_lines(docs, ratio=0.5), "doc_id", "text") == [(1, "")] * 3 + [(2, "c")] * 2
 
 
+def test_long_passages_stay_once_in_the_pipeline(spark):
+    """A passage of over 50 words on few pages of a large host, or of many hosts, is far below every share."""
+    import corpus_pipeline
+    at_host, over_hosts, fifty, twice = (" ".join(f"{p}{k}" for k in range(n)) for p, n in (("a", 51), ("b", 60), ("c", 50), ("d", 80)))
+    pages = [(i, f"own {i}", "en", "big") for i in range(200)]
+    pages += [(300 + i, f"own {i} x\n  {at_host}\t\nend {i}", "en", "big") for i in range(4)]
+    pages += [(400 + i, f"{over_hosts}\nown {i} y", "en", f"h{i}") for i in range(5)]
+    pages += [(500 + i, f"{fifty}\nown {i} z", "en", "big") for i in range(5)] + [(600 + i, f"{twice}\nown {i} w", "en", "big") for i in range(2)]
+    pages += [(700 + i, f"{LONG}\ncopy", "en", "big") for i in range(4)] + [(800, None, "en", None), (801, "", "en", None)]
+    docs = spark.createDataFrame([(*p, None if p[1] is None else len(p[1])) for p in pages], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r for r in corpus_pipeline.drop_boilerplate(spark, docs, "").collect()}
+    assert len(got) == len(pages)
+    on = lambda passage: [i for i, r in sorted(got.items()) if passage in (r["text"] or "")]
+    assert len(on(at_host)) == 1 and len(on(over_hosts)) == 1
+    assert on(fifty) == [500, 501, 502, 503, 504] and on(twice) == [600, 601] and on(LONG) == [700, 701, 702, 703]
+    changed = {i for i, t, *_ in pages if got[i]["text"] != t}
+    assert len(changed) == 7 and all(got[i]["text"] == (f"own {i - 300} x\nend {i - 300}" if i < 400 else f"own {i - 400} y") for i in changed)
+    assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in got.values())
+
+
 def slow_licenses(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     find = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+").findall
