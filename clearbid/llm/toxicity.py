@@ -10,8 +10,9 @@ covers all rows: each whole text is scored.
 
 Defined results: a null or empty text has no feature and scores the bias alone;
 repeated rows score alike; rows labelled twice count as toxic if one label says
-so; null labels are ignored; without labelled rows of both classes every text
-scores the smoothed share of toxic labels, 0.5 or less.  Extra columns ride along.
+so; null labels are ignored; without training texts of both classes nothing is
+learnt and nothing rejected: every text scores the smoothed share of toxic
+labels, at most ``UNLEARNT``.  Extra columns ride along.
 """
 
 from collections.abc import Iterator
@@ -31,6 +32,7 @@ GRAMS = (3, 4, 5)
 HASH_BITS = 20
 MIN_ROWS = 4              # training rows in which a feature must occur
 MIN_RATIO = 1.0           # features whose log-count ratio is nearer to 0 are left out
+UNLEARNT = 0.49           # highest score of a model that has learnt nothing; 0.5 rejects
 FOLDS = 5                 # rows with crc32(doc_id as text) mod 5 = 0 are held out
 
 
@@ -104,14 +106,19 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
+def unlearnt(totals: dict[int, int]) -> tuple[np.ndarray, np.ndarray, float]:
+    """The model without features, from the labelled rows of each class."""
+    share = min((totals.get(1, 0) + 0.5) / (sum(totals.values()) + 1), UNLEARNT)
+    return np.zeros(1 << HASH_BITS, np.float32), np.zeros(1 << HASH_BITS, np.float32), float(np.log(share / (1 - share)))
+
+
 def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
     """(weights, squared ratios, bias) from a bounded sample of the labelled rows outside the held-out fold."""
     marked = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic")))
     totals = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(totals) < 2:
-        share = (totals.get(1, 0) + 0.5) / (sum(totals.values()) + 1)
-        return np.zeros(1 << HASH_BITS, np.float32), np.zeros(1 << HASH_BITS, np.float32), float(np.log(min(share, 0.5) / (1 - min(share, 0.5))))
+        return unlearnt(totals)
     by_hash = F.xxhash64("doc_id")
     sample = None
     for y in (0, 1):
@@ -120,14 +127,16 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, f
     picked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(   # at most 2 * TRAIN_PER_CLASS ids
         "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("toxic"), F.xxhash64("doc_id", "text").alias("h"))
     # an id that many rows carry must not lift the bound, nor may long texts
-    sizes = picked.select("toxic", "h", F.octet_length("text").alias("bytes")).orderBy("h").limit(2 * TRAIN_PER_CLASS)
+    distinct = picked.select("toxic", "h", F.octet_length("text").alias("bytes")).distinct()
+    first = [distinct.filter(F.col("toxic") == y).orderBy("h").limit(TRAIN_PER_CLASS) for y in (0, 1)]
+    sizes = first[0].union(first[1])
     so_far = Window.partitionBy("toxic").orderBy("bytes", "h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     fitting = sizes.withColumn("sum", F.sum("bytes").over(so_far)).filter(F.col("sum") <= TRAIN_BYTES).select("h").distinct()
     rows = (picked.join(F.broadcast(fitting), "h", "left_semi").dropDuplicates(["h"])   # repeated rows teach once
             .select("text", "toxic", "h").orderBy("h").collect())
     toxic = np.array([r["toxic"] for r in rows], float)
     if len(set(toxic)) < 2:
-        return np.zeros(1 << HASH_BITS, np.float32), np.zeros(1 << HASH_BITS, np.float32), 0.0
+        return unlearnt(totals)
     share = np.array([totals[int(y)] / (toxic == y).sum() for y in toxic])
     return fit([r["text"] for r in rows], toxic, share)
 

@@ -74,3 +74,14 @@ def test_empty_tables_pass_every_stage(spark, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("labels", [[], [(i, 1, 1) for i in range(9)], [(i, 1, 0) for i in range(9)] + [(i, 1, 1) for i in range(100, 200)]],
+                         ids=["empty", "one class", "unmatched"])
+def test_documents_pass_without_usable_labels(spark, tmp_path, labels):
+    words = [" ".join(f"w{(7 * i + 1) ** k % 1009}" for k in range(40)) for i in range(9)]
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in enumerate(words)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").limit(0).write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == list(range(9))

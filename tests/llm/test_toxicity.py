@@ -58,3 +58,26 @@ def test_training_texts_are_bounded_in_bytes(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "TRAIN_BYTES", 2000)   # the long texts are out, both classes stay
     got = {r["doc_id"]: r["s"] for r in toxicity.score(docs, labels, "s").select("doc_id", "s").collect()}
     assert got[1000] > 0.5 and min(got[i] for i in range(1, 200, 2)) > max(got[i] for i in range(0, 200, 2))
+
+
+def test_nothing_learnt_rejects_nothing(spark, monkeypatch):
+    texts = [(i, ("vile " * 40 if i % 2 else "kind ") + f"word{i}") for i in range(60)]
+    docs = documents(spark, texts)
+    schema = "doc_id long, quality int, toxic int"
+    cases = [[], [(i, 1, 1) for i in range(60)], [(i, 1, 0) for i in range(60)],
+             [(i, 1, 0) for i in range(60)] + [(i, 1, 1) for i in range(1000, 1300)]]   # the toxic ids have no document
+    for rows in cases:
+        assert toxicity.score(docs, spark.createDataFrame(rows, schema), "s").filter("s >= 0.5").count() == 0
+    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 100)   # no toxic text fits
+    both = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], schema)
+    assert toxicity.score(docs, both, "s").filter("s >= 0.5").count() == 0
+
+
+def test_a_repeated_row_takes_one_place_of_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAIN_PER_CLASS", 30)
+    texts = [(i, ("vile " if i % 2 else "kind ") + f"word{i}") for i in range(60)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    learnt = toxicity.train(documents(spark, texts), labels)
+    for i in (1, 2, 3, 4, 6, 7, 8, 9):   # one row, whatever its hash, repeated beyond the sample
+        repeated = toxicity.train(documents(spark, texts + [texts[i]] * 100), labels)
+        assert all(np.array_equal(a, b) for a, b in zip(learnt, repeated))
