@@ -14,12 +14,14 @@ TOKENIZER = "word_bpe_49k.json"
 BOTH = "<|im_end|><|im_start|>assistant ok"   # text of the two turns of conversation -1
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The packing of ``docs``: each piece's token ids, their crc32 and the piece's place."""
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER)).withColumn("ids_crc32", F.crc32("ids"))
+
+
 def packed_digest(docs: DataFrame) -> DataFrame:
     """Digest of the packing of ``docs``: crc32 of each piece's ids beside its place."""
-    pieces = packing.tokenize_pieces(docs, public_tokenizers.path(TOKENIZER))
-    digest = materialize(pieces.select("doc_id", "start", "length", "doc_tokens", F.crc32("ids").alias("ids_crc32")), "pieces")
-    return packing.assign_sequences(digest).select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return packed(docs).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

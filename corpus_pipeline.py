@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clearbid.llm import decontaminate, line_dedup, simhash, toxicity
 from clearbid.llm.common import materialize, read_table
-from clearbid.llm.queries import packed_digest
+from clearbid.llm.queries import packed
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +42,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, as pieces of token sequences."""
-    return packed_digest(docs)
+    """What is left, as pieces of token sequences with their ids."""
+    return packed(docs)
 
 
 STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_boilerplate), ("near_duplicates", drop_near_copies),

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from clearbid.llm import packing, queries
 from tests.llm.cases import ODD, crc, documents
 
@@ -58,6 +59,20 @@ def test_ids_come_with_the_general_form(spark):
     assert np.frombuffer(r["ids"], "<u4").tolist() == Tokenizer.from_file(PATH).encode("one two three", add_special_tokens=False).ids + [2]
 
 
+def test_last_stage_of_the_pipeline_returns_the_ids(spark):
+    found = corpus_pipeline.pack(spark, documents(spark, ODD), SF).collect()
+    check_pieces(found, ODD)
+    assert all(crc(bytes(r["ids"])) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"] for r in found)
+
+
+def test_the_digest_is_of_ids_that_went_through_the_packing(spark, monkeypatch):
+    seen = []
+    assign = packing.assign_sequences
+    monkeypatch.setattr(packing, "assign_sequences", lambda pieces, *a: seen.append(pieces.columns) or assign(pieces, *a))
+    queries.packed_digest(documents(spark, [(1, "one two three")]))
+    assert seen and all("ids" in columns for columns in seen)
+
+
 def test_words_encode_as_the_tokenizer_does():
     tokenizer = Tokenizer.from_file(PATH)
     with open(PATH, encoding="utf-8") as f:
