@@ -1,7 +1,8 @@
 """License scan: exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text, as its set of words.  A template is found in a
-block if at least ``CONTAINMENT`` of the template's words stand in it.  Words of
+A block is a run of up to ``RUN_LINES`` neighbouring lines, as its set of words,
+one run from each line on, so that a notice wrapped over as many lines is whole
+in one of them.  A template is found in a block if at least ``CONTAINMENT`` of the template's words stand in it.  Words of
 templates are ordered by how many blocks hold them, rarest first; a block that
 contains enough of a template must share a word of the template's prefix within
 its own prefix, have enough words (length filter), and leave enough words after
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from clearbid.llm.common import content_key, materialize
 
 CONTAINMENT = 0.8
+RUN_LINES = 3
 NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -68,15 +70,18 @@ def _places(phrase: str) -> Column:
     return F.filter(F.sequence(F.lit(0), F.size("w") - 1), at)
 
 
-def read_blocks(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
-    """(doc_id, key, n_words, <label> start positions, blocks): blocks are sets of template words."""
+def read_blocks(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT,
+                run_lines: int = RUN_LINES) -> DataFrame:
+    """(doc_id, key, n_words, <label> start positions, blocks): blocks are (first line, set of template words)."""
     vocabulary = sorted({w for _, t in templates for w in t.split()})
     least = min(math.ceil(containment * len(set(t.split())) - 1e-9) for _, t in templates)
     text = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
     df = docs.select("doc_id", content_key(F.col("doc_id"), F.col("text")).alias("key"), text.alias("low"))
     df = df.withColumn("lines", F.transform(F.split("low", "\n", -1), _words))
     known = F.array(*[F.lit(w) for w in vocabulary])
-    blocks = F.filter(F.transform("lines", lambda b: F.array_intersect(b, known)), lambda b: F.size(b) >= least)
+    df = df.withColumn("sets", F.transform("lines", lambda b: F.array_intersect(b, known)))
+    runs = F.transform("sets", lambda b, i: F.struct(i.cast("int").alias("block"), F.array_distinct(F.flatten(F.slice("sets", i + 1, run_lines))).alias("words")))
+    blocks = F.filter(runs, lambda b: F.size(b["words"]) >= least)
     loose = "|".join(NON_WORD.join(p.split()) for p in PHRASES)
     # only texts where a phrase's letters stand in order need their words numbered
     df = df.select("doc_id", "key", F.aggregate("lines", F.lit(0).cast("long"), lambda n, b: n + F.size(b)).alias("n_words"),
@@ -87,10 +92,14 @@ def read_blocks(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, c
         for p, label in PHRASES.items()])
 
 
-def find_templates(blocks: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
-    """(key, found: labels, best: largest containment) for a written table with (key, blocks)."""
+def match_blocks(blocks: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
+    """(doc_id, key, block, template, label, containment) for a written table with (doc_id, key, blocks).
+
+    A block is named by its first line, a template by its place in the list.  A
+    match is repeated for each prefix word that it shares.
+    """
     spark = blocks.sparkSession
-    rows = blocks.select("key", F.explode("blocks").alias("b"))
+    rows = blocks.select("doc_id", "key", F.explode("blocks").alias("b")).select("doc_id", "key", "b.block", F.col("b.words").alias("b"))
     counts = {r["t"]: r["n"] for r in rows.select(F.explode("b").alias("t")).groupBy("t")
               .agg(F.count(F.lit(1)).alias("n")).collect()}   # at most the words of the templates
     vocabulary = sorted({w for _, t in templates for w in t.split()}, key=lambda w: (counts.get(w, 0), w))
@@ -102,17 +111,30 @@ def find_templates(blocks: DataFrame, templates: list[tuple[str, str]] = TEMPLAT
         prefix += [(r, i, t, label, len(ranks), need, ranks) for i, r in enumerate(ranks[:len(ranks) - need + 1])]
     index = F.broadcast(spark.createDataFrame(prefix, "rank int, i int, template int, label string, size int, need int, words array<int>"))
     ranked = F.create_map(*[F.lit(x) for w, r in order.items() for x in (w, r)])
-    sets = rows.select("key", F.sort_array(F.transform("b", lambda w: F.element_at(ranked, w))).alias("r"))
-    probes = sets.select("key", "r", F.size("r").alias("n"), F.posexplode("r").alias("j", "rank"))
+    sets = rows.select("doc_id", "key", "block", F.sort_array(F.transform("b", lambda w: F.element_at(ranked, w))).alias("r"))
+    probes = sets.select("doc_id", "key", "block", "r", F.size("r").alias("n"), F.posexplode("r").alias("j", "rank"))
     left = F.least(F.col("size") - F.col("i"), F.col("n") - F.col("j"))
     met = (probes.join(index, "rank").filter((F.col("n") >= F.col("need")) & (left >= F.col("need")))
            .withColumn("shared", F.size(F.array_intersect("r", "words"))).filter(F.col("shared") >= F.col("need")))
-    return met.groupBy("key").agg(F.collect_set("label").alias("found"), F.max(F.col("shared") / F.col("size")).alias("best"))
+    return met.select("doc_id", "key", "block", "template", "label", (F.col("shared") / F.col("size")).alias("containment"))
+
+
+def find_templates(blocks: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
+    """(key, found: labels, best: largest containment) for a written table with (doc_id, key, blocks)."""
+    return (match_blocks(blocks, templates, containment).groupBy("key")
+            .agg(F.collect_set("label").alias("found"), F.max("containment").alias("best")))
+
+
+def find_blocks(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT,
+                run_lines: int = RUN_LINES) -> DataFrame:
+    """(doc_id, key, block, template, label, containment), one row per match of a distinct document; runs overlap."""
+    return match_blocks(materialize(read_blocks(docs, templates, containment, run_lines), "blocks"), templates, containment).distinct()
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
+def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT,
+         run_lines: int = RUN_LINES) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score), labels as sorted arrays."""
-    blocks = materialize(read_blocks(docs, templates, containment), "blocks")
+    blocks = materialize(read_blocks(docs, templates, containment, run_lines), "blocks")
     found = find_templates(blocks, templates, containment)
     places = F.concat(*[F.col(label) for label in PHRASES.values()])
     base = F.array_sort(F.array_compact(F.array(*[F.when(F.size(label) > 0, F.lit(label)) for label in PHRASES.values()])))

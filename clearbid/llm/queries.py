@@ -74,7 +74,8 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.scan(read_table(spark, sf_dir, "documents"))
+    # the registered SQL takes each line by itself
+    found = licenses.scan(read_table(spark, sf_dir, "documents"), run_lines=1)
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word",
                         F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
 
