@@ -70,7 +70,8 @@ def resolve(records: DataFrame) -> DataFrame:
     earlier = Window.partitionBy("canonical_url").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     carried = starts.select("canonical_url", "cell", F.last("end", ignorenulls=True).over(earlier).alias("carry"))
     found = (near.filter(~F.coalesce(F.col("full"), F.lit(False)))
-             .join(carried, ["canonical_url", "cell"], "left").withColumn("ref", F.coalesce("near", "carry")))
+             .join(carried, ["canonical_url", "cell"], "left")
+             .withColumn("ref", F.when(F.col("canonical_url").isNotNull(), F.coalesce("near", "carry"))))
     mine, theirs = F.col("headers"), F.col("ref.headers")
     tags = F.when(bare(mine).isNotNull() & bare(theirs).isNotNull(), bare(mine) == bare(theirs))
     dates = F.when(mine["last-modified"].isNotNull() & theirs["last-modified"].isNotNull(), mine["last-modified"] == theirs["last-modified"])

@@ -192,3 +192,11 @@ def test_revisits(spark):
                                     (7, None, "no earlier response"), (8, 3, "unverified"), (10, 9, "resolved"), (10, 9, "resolved")]
     assert got[0][3] == {"etag": "W/e1", "content-type": "t", "date": "d1"} and got[-1][3] == {"last-modified": "m", "age": "1", "expires": "z"}
     assert revisits.resolve(df.filter("false")).count() == 0
+
+
+def test_revisits_of_a_null_url_are_never_resolved(spark):
+    data = [(1, None, 10, "response"), (2, None, 11, "revisit"), (3, "http://a.com/x", 10, "response"), (4, "http://a.com/x", 11, "revisit"),
+            (5, "http://a.com/y", 100000, "response")]   # the cells are wide
+    df = spark.createDataFrame([(*d, {"etag": "e"}, "p") for d in data], "record_id long, url string, at long, kind string, headers map<string,string>, payload string")
+    got = {r["record_id"]: (r["ref_record_id"], r["outcome"]) for r in revisits.resolve(df.withColumn("ts", F.timestamp_seconds("at"))).collect()}
+    assert got == {2: (None, "no earlier response"), 4: (3, "resolved")}
