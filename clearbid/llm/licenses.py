@@ -2,7 +2,8 @@
 
 A block is a run of up to ``RUN_LINES`` neighbouring lines, as its set of words,
 one run from each line on, so that a notice wrapped over as many lines is whole
-in one of them.  A template is found in a block if at least ``CONTAINMENT`` of the template's words stand in it.  Words of
+in one of them.  Of a template of fewer than ``SHORT`` words all must stand in a
+run unless one line holds enough: stray words of neighbours would do otherwise.  A template is found in a block if at least ``CONTAINMENT`` of the template's words stand in it.  Words of
 templates are ordered by how many blocks hold them, rarest first; a block that
 contains enough of a template must share a word of the template's prefix within
 its own prefix, have enough words (length filter), and leave enough words after
@@ -32,6 +33,7 @@ from clearbid.llm.common import content_key, materialize
 
 CONTAINMENT = 0.8
 RUN_LINES = 3
+SHORT = 8                 # templates of fewer words must stand whole in a run of several lines
 NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -80,7 +82,7 @@ def read_blocks(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, c
     df = df.withColumn("lines", F.transform(F.split("low", "\n", -1), _words))
     known = F.array(*[F.lit(w) for w in vocabulary])
     df = df.withColumn("sets", F.transform("lines", lambda b: F.array_intersect(b, known)))
-    runs = F.transform("sets", lambda b, i: F.struct(i.cast("int").alias("block"), F.array_distinct(F.flatten(F.slice("sets", i + 1, run_lines))).alias("words")))
+    runs = F.transform("sets", lambda b, i: F.struct(i.cast("int").alias("block"), F.array_distinct(F.flatten(F.slice("sets", i + 1, run_lines))).alias("words"), b.alias("own")))
     blocks = F.filter(runs, lambda b: F.size(b["words"]) >= least)
     loose = "|".join(NON_WORD.join(p.split()) for p in PHRASES)
     # only texts where a phrase's letters stand in order need their words numbered
@@ -99,7 +101,7 @@ def match_blocks(blocks: DataFrame, templates: list[tuple[str, str]] = TEMPLATES
     match is repeated for each prefix word that it shares.
     """
     spark = blocks.sparkSession
-    rows = blocks.select("doc_id", "key", F.explode("blocks").alias("b")).select("doc_id", "key", "b.block", F.col("b.words").alias("b"))
+    rows = blocks.select("doc_id", "key", F.explode("blocks").alias("b")).select("doc_id", "key", "b.block", "b.own", F.col("b.words").alias("b"))
     counts = {r["t"]: r["n"] for r in rows.select(F.explode("b").alias("t")).groupBy("t")
               .agg(F.count(F.lit(1)).alias("n")).collect()}   # at most the words of the templates
     vocabulary = sorted({w for _, t in templates for w in t.split()}, key=lambda w: (counts.get(w, 0), w))
@@ -111,11 +113,13 @@ def match_blocks(blocks: DataFrame, templates: list[tuple[str, str]] = TEMPLATES
         prefix += [(r, i, t, label, len(ranks), need, ranks) for i, r in enumerate(ranks[:len(ranks) - need + 1])]
     index = F.broadcast(spark.createDataFrame(prefix, "rank int, i int, template int, label string, size int, need int, words array<int>"))
     ranked = F.create_map(*[F.lit(x) for w, r in order.items() for x in (w, r)])
-    sets = rows.select("doc_id", "key", "block", F.sort_array(F.transform("b", lambda w: F.element_at(ranked, w))).alias("r"))
-    probes = sets.select("doc_id", "key", "block", "r", F.size("r").alias("n"), F.posexplode("r").alias("j", "rank"))
+    sets = rows.select("doc_id", "key", "block", F.transform("own", lambda w: F.element_at(ranked, w)).alias("own"),
+                       F.sort_array(F.transform("b", lambda w: F.element_at(ranked, w))).alias("r"))
+    probes = sets.select("doc_id", "key", "block", "own", "r", F.size("r").alias("n"), F.posexplode("r").alias("j", "rank"))
     left = F.least(F.col("size") - F.col("i"), F.col("n") - F.col("j"))
     met = (probes.join(index, "rank").filter((F.col("n") >= F.col("need")) & (left >= F.col("need")))
-           .withColumn("shared", F.size(F.array_intersect("r", "words"))).filter(F.col("shared") >= F.col("need")))
+           .withColumn("shared", F.size(F.array_intersect("r", "words"))).filter(F.col("shared") >= F.col("need"))
+           .filter((F.col("size") >= SHORT) | (F.col("shared") == F.col("size")) | (F.size(F.array_intersect("own", "words")) >= F.col("need"))))
     return met.select("doc_id", "key", "block", "template", "label", (F.col("shared") / F.col("size")).alias("containment"))
 
 

@@ -116,12 +116,13 @@ def test_license_scan(spark):
 def test_wrapped_notices_are_found_with_their_blocks(spark):
     texts = [(1, "x\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted\ny"),
              (2, "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0."),
-             (3, "Permission is hereby granted,\nfree of charge, to any person\nobtaining a copy of this software"), (4, None), (5, "\n\n")]
+             (3, "Permission is hereby granted,\nfree of charge, to any person\nobtaining a copy of this software"), (4, None), (5, "\n\n"),
+             (6, "Licensed under the Apache License, Version 2.0.\nich komme mit dir")]
     docs = documents(spark, texts)
     assert {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(docs).collect()} == {
-        1: (["bsd"], 1.0), 2: (["mpl-2.0"], 1.0), 3: (["mit"], 1.0), 4: ([], 0.0), 5: ([], 0.0)}
+        1: (["bsd"], 1.0), 2: (["mpl-2.0"], 1.0), 3: (["mit"], 1.0), 4: ([], 0.0), 5: ([], 0.0), 6: (["apache-2.0"], 1.0)}
     got = rows(licenses.find_blocks(docs), "doc_id", "block", "label", "containment")
-    assert got == [(1, 0, "bsd", 1.0), (1, 1, "bsd", 1.0), (2, 0, "mpl-2.0", 1.0), (3, 0, "mit", 1.0)]
+    assert got == [(1, 0, "bsd", 1.0), (1, 1, "bsd", 1.0), (2, 0, "mpl-2.0", 1.0), (3, 0, "mit", 1.0), (6, 0, "apache-2.0", 1.0)]
     assert licenses.find_blocks(docs.filter("false")).count() == 0
 
 
