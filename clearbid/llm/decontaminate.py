@@ -118,7 +118,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block
     """``docs`` with a struct column: n_words, n_hit, merged spans of hit words, item ids."""
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
-                             F.coalesce("text", F.lit("")).alias("words"))
+                             F.coalesce("text", F.lit("")).alias("words")).distinct()   # copies would share a block
     total = items.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-total // block_bytes))
     hits = F.lit(None).cast(HITS)

@@ -201,3 +201,11 @@ def test_revisits_of_a_null_url_are_never_resolved(spark):
     df = spark.createDataFrame([(*d, {"etag": "e"}, "p") for d in data], "record_id long, url string, at long, kind string, headers map<string,string>, payload string")
     got = {r["record_id"]: (r["ref_record_id"], r["outcome"]) for r in revisits.resolve(df.withColumn("ts", F.timestamp_seconds("at"))).collect()}
     assert got == {2: (None, "no earlier response"), 4: (3, "resolved")}
+
+
+def test_copies_of_a_benchmark_row_are_broadcast_once(spark, monkeypatch):
+    sent, scanner = [], decontaminate.scanner
+    monkeypatch.setattr(decontaminate, "scanner", lambda items, window: sent.append(items.value) or scanner(items, window))
+    bench = spark.createDataFrame([(1, "lone words")] * 50, "item_id long, text string")
+    found = decontaminate.find_hits(documents(spark, [(1, "x lone words")]), bench).select("hits.*").first()
+    assert sent == [[("1", "lone words")]] and found["n_hit"] == 2 and found["items"] == ["1"]
