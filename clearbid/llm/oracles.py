@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clearbid.llm import decontaminate, licenses, line_dedup, quality
+from clearbid.llm import decontaminate, divergence, licenses, line_dedup, quality
 
 WORDS = r"regexp_extract_all({t}, '[^\x20\x09-\x0D]+')"
 # only A-Z, as lower() would change other letters too
@@ -136,4 +136,26 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS B
        sha256(coalesce(s, '')) AS items_sha256, coalesce(words.n, 0) > 0 AND {decontaminate.SHARE} * coalesce(words.n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)"""
 
-ORACLES = {"op2_quality": OP2, "op3_revisits": OP3, "op4_line_dedup": OP4, "op5_licenses": OP5, "op6_chat": OP6, "op7_decontaminate": OP7}
+OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {LOW.format(t="coalesce(text, '')")} AS low FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(low, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS ln FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.MIN_DOCS}),
+langs AS (SELECT lang, count(term) AS v, coalesce(sum(ln), 0) AS ltotal FROM (SELECT DISTINCT lang FROM d) LEFT JOIN kept USING (lang) GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+dense AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.ln FROM g JOIN kept k ON g.lang = k.lang
+          LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+totals AS (SELECT lang, source, sum(n) AS total FROM dense GROUP BY ALL),
+p AS (SELECT lang, source, term, n, 1 + {divergence.UNIT}::HUGEINT * (n + 2) // (total + 2 * v) AS p,
+             1 + {divergence.UNIT}::HUGEINT * (ln + 2) // (ltotal + 2 * v) AS q FROM dense JOIN totals USING (lang, source) JOIN langs USING (lang)),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+rows AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+         FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+         UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
+
+ORACLES = {"op2_quality": OP2, "op3_revisits": OP3, "op4_line_dedup": OP4, "op5_licenses": OP5, "op6_chat": OP6, "op7_decontaminate": OP7,
+           "op11_divergence": OP11}
