@@ -77,7 +77,7 @@ def main(argv):
                 print("   only oracle:", list((b - a).items())[:3])
         except Exception as exc:  # report and continue
             results[name] = {"error": repr(exc)[:300]}
-            print(f"ERR {name:32s} {repr(exc)[:600]}", flush=True)
+            print(f"ERR {name:32s} {type(exc).__name__}: {str(exc)[:600]}", flush=True)
     print(json.dumps({"ok": sum(1 for r in results.values() if r.get("values")), "total": len(results)}))
 
 
