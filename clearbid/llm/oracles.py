@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clearbid.llm import decontaminate, divergence, licenses, line_dedup, quality
+from clearbid.llm import decontaminate, divergence, filter_audit, licenses, line_dedup, quality
 
 WORDS = r"regexp_extract_all({t}, '[^\x20\x09-\x0D]+')"
 # only A-Z, as lower() would change other letters too
@@ -157,5 +157,29 @@ rows AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.v
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows)
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
 
+OP12 = f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, {WORDS.format(t='t')} AS w FROM d),
+m AS (SELECT doc_id, part,
+    CASE WHEN len(w) < {filter_audit.MIN_WORDS} THEN 'A' ELSE '' END ||
+    CASE WHEN 100 * len(list_distinct(w)) < {filter_audit.MIN_DISTINCT_PERCENT} * len(w) THEN 'B' ELSE '' END ||
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > {filter_audit.MAX_UPPER_PERCENT} * length(t) THEN 'C' ELSE '' END ||
+    CASE WHEN regexp_matches(t, '{filter_audit.SYMBOLS}') THEN 'D' ELSE '' END ||
+    CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails FROM w),
+cells AS (SELECT part, fails, count(*) AS n, count(*) FILTER (doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL)) AS good,
+                 count(*) FILTER (doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)) AS toxic FROM m GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (SELECT a.c || b.c || c.c || d.c || e.c AS o FROM letters a, letters b, letters c, letters d, letters e
+           WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+steps AS (SELECT o, step, substr(o, step, 1) AS f, left(o, step - 1) AS before FROM orders, unnest(generate_series(1, 5)) AS s(step)),
+x AS (SELECT part, o, step, f, n, good, toxic, contains(fails, f) AS bad, length(translate(before, fails, '')) < length(before) AS gone, fails = f AS alone
+      FROM cells, steps),
+t AS (SELECT part, o, step, f, coalesce(sum(n) FILTER (NOT gone AND NOT bad), 0) AS kept, coalesce(sum(n) FILTER (NOT gone AND bad), 0) AS removed,
+             coalesce(sum(n) FILTER (gone AND bad), 0) AS redundant, coalesce(sum(n) FILTER (alone), 0) AS unique_fails,
+             coalesce(sum(good) FILTER (NOT gone AND bad), 0) AS good_lost, coalesce(sum(toxic) FILTER (NOT gone AND bad), 0) AS toxic_lost FROM x GROUP BY ALL)
+SELECT part, o AS filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM t"""
+
 ORACLES = {"op2_quality": OP2, "op3_revisits": OP3, "op4_line_dedup": OP4, "op5_licenses": OP5, "op6_chat": OP6, "op7_decontaminate": OP7,
-           "op11_divergence": OP11}
+           "op11_divergence": OP11, "op12_filter_audit": OP12}

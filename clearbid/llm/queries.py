@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearbid.llm import chat, decontaminate, divergence, licenses, line_dedup, packing, quality, revisits, sharding, simhash, toxicity
+from clearbid.llm import chat, decontaminate, divergence, filter_audit, licenses, line_dedup, packing, quality, revisits, sharding, simhash, toxicity
 from clearbid.llm.common import materialize, read_table
 from clearbid.llm.oracles import ORACLES  # noqa: F401
 
@@ -141,5 +141,9 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read_table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_revisits, op4_line_dedup, op5_licenses, op6_chat,
-                                   op7_decontaminate, op8_simhash, op9_toxicity, op10_sharding, op11_divergence)}
+                                   op7_decontaminate, op8_simhash, op9_toxicity, op10_sharding, op11_divergence, op12_filter_audit)}
