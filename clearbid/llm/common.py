@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import sys
 
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -53,6 +55,27 @@ def content_key(*cols: Column) -> Column:
     return F.md5(F.concat_ws("\x00", *parts))
 
 
+def id_width(tokenizer_json: str, *more: int) -> int:
+    """Bytes that hold each id of the tokenizer and of ``more``: 2 or 4."""
+    from tokenizers import Tokenizer
+
+    ids = [*Tokenizer.from_str(tokenizer_json).get_vocab(with_added_tokens=True).values(), *more]
+    return 2 if max(ids) < 1 << 16 else 4
+
+
+def _widen(ids: pa.Array, length: pa.Array) -> pa.Array:
+    wide = []
+    for got, n in zip(ids, length, strict=True):
+        raw = got.as_py()
+        wide.append(np.frombuffer(raw, "<u2").astype("<u4").tobytes() if len(raw) == 2 * n.as_py() else raw)
+    return pa.array(wide, pa.binary())
+
+
+def wide_ids(ids: str, length: str) -> Column:
+    """``ids`` (2 or 4 bytes each, ``length`` of them) as little-endian unsigned 32 bit."""
+    return F.arrow_udf(_widen, "binary")(ids, length)
+
+
 def rank_in_groups(df: DataFrame, keys: list[str], order: list[str], n_rows: int, name: str = "rank") -> DataFrame:
     """Add a gapless 0-based rank within ``keys`` without one task per group.
 

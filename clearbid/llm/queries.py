@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearbid.llm import chat, decontaminate, divergence, filter_audit, licenses, line_dedup, packing, quality, revisits, sharding, simhash, toxicity
+from clearbid.llm import chat, decontaminate, divergence, filter_audit, licenses, line_dedup, packing, quality, revisits, sharding, simhash, toxicity, two_fit
 from clearbid.llm.common import materialize, read_table
 from clearbid.llm.oracles import ORACLES  # noqa: F401
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 BOTH = "<|im_end|><|im_start|>assistant ok"   # text of the two turns of conversation -1
 
 
@@ -145,5 +146,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op13_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = two_fit.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER))
+    return found.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_revisits, op4_line_dedup, op5_licenses, op6_chat,
-                                   op7_decontaminate, op8_simhash, op9_toxicity, op10_sharding, op11_divergence, op12_filter_audit)}
+                                   op7_decontaminate, op8_simhash, op9_toxicity, op10_sharding, op11_divergence, op12_filter_audit, op13_two_fit)}
