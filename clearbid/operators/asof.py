@@ -1,86 +1,116 @@
-"""Latest-preceding ("as-of") match: for each action, the newest state of the
-same key with ``state.tstamp <= action.tstamp``.
-
-A state is one row per (key, time): callers with several touches at one time
-reduce them first, so a match is one row per action and never the product of
-tied touches and actions.
+"""Latest-preceding ("as-of") match: for each action, the newest touch time of
+the same key with ``touch.tstamp <= action.tstamp``.
 
 Spark has no as-of join, and a join of actions to every earlier touch of the
-same user is quadratic per user.  The plan here:
-
-1. states (``by_key_hour``) and actions are hash-partitioned by (key, hour)
-   and unioned; Spark keeps the shared partitioning through the union, so a
-   window per (key, hour) ordered by time carries the newest state at or
-   before each action (states sort before actions at equal times, giving
-   ``<=``);
-2. the carry-in from earlier hours: the newest state per active (key, hour),
-   then a running "latest earlier hour" over one row per active (key, hour) -
-   bounded by the lookback, and the only step partitioned by key alone.  Its
-   input is the same exchange of states, read again.
-
-No window spans more than one key-hour of rows, so a bot user holding a large
-share of all touches is split across as many tasks as it has active hours.
+same user is quadratic per user.  Here only narrow rows (key, time) meet: touches
+and actions are united, shuffled once by key, and a running maximum in time order
+gives each action its newest touch (RANGE frame, so equal times count).
+
+A key is one task's work unless it is heavy.  One bounded count finds the heavy
+keys: a frequent-items sketch of the keys' hashes (``approx_top_k``, a fixed
+number of counters per task) names every key that holds more than one
+``PARTS``-th of all rows, and those above ``cell_rows`` are cut in time at
+quantiles of their own rows, so that a burst inside one hour is split too.  Their
+rows are shuffled by (key, cell); the newest touch of each cell, one row per cell,
+carries over to the later cells.  At most ``PARTS`` keys and twice as many cells
+reach the driver.  Keys whose hash equals a heavy one's are cut along with it,
+which changes no result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
-
-from clearbid.functions import hour_floor
+import math
+from functools import reduce
 
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
-def by_key_hour(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows with a key and a time, with ``_bucket`` (the hour), partitioned by (key, hour).
-
-    Groupings on the keys, ``_bucket`` and more columns need no further exchange.
-    """
-    has_key = F.col("tstamp").isNotNull()
-    for k in keys:
-        has_key = has_key & F.col(k).isNotNull()
-    return df.filter(has_key).withColumn("_bucket", hour_floor("tstamp")).repartition(*keys, "_bucket")
+from clearbid.sources.tables import only_keys_of
+
+PARTS = 2_000            # a key below 1/PARTS of all rows is never cut
+TRACKED = 100_000        # counters of the sketch: keys of 1/PARTS of all rows are far above its error
+CELL_ROWS = 500_000      # rows of a key that one task takes without a thought
+SMALL_ACTIONS = 200_000  # action keys that are broadcast to drop touches of other users before the shuffle
+EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+
+
+def _known(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, "tstamp"]])
+
+
+def count_keys(actions: DataFrame, touches: DataFrame, keys: list[str], cell_rows: int) -> tuple[int, dict[int, int], int]:
+    """(actions, {hash of a heavy key: rows}, rows per cell) in one pass over the keys."""
+    told = actions.select(F.xxhash64(*keys).alias("h"), F.lit(1).alias("a")).union(
+        touches.select(F.xxhash64(*keys), F.lit(0)))
+    row = told.agg(F.expr(f"approx_top_k(h, {PARTS}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("n"),
+                   F.sum("a").alias("actions")).first()
+    limit = max(cell_rows, math.ceil(row.n / PARTS))
+    return row.actions or 0, {t["item"]: t["count"] for t in row.top or [] if t["count"] > limit}, limit
+
+
+def cell_edges(rows: DataFrame, heavy: dict[int, int], limit: int) -> DataFrame:
+    """Rows (h, edges): the times at which each heavy key's rows (h, tstamp) are cut, one per heavy key."""
+    spark = rows.sparkSession
+    most = min(PARTS, max(math.ceil(n / limit) for n in heavy.values()))
+    shares = ", ".join(f"{(k + 1) / most!r}D" for k in range(most - 1)) or "0.5D"
+    found = rows.groupBy("h").agg(F.expr(f"percentile_approx(tstamp - {EPOCH}, array({shares}), 10000)").alias("cuts")).collect()
+    own = []
+    for r in found:   # PARTS keys at most, and PARTS cuts of each
+        cells = min(most, math.ceil(heavy[r["h"]] / limit))
+        own.append((r["h"], sorted({r["cuts"][round((k + 1) * most / cells) - 1] for k in range(cells - 1)})))
+    table = spark.createDataFrame(own, "h bigint, cuts array<interval day to second>")
+    return table.select("h", F.expr(f"transform(cuts, c -> {EPOCH} + c)").alias("edges"))
+
+
+def _running(actions: DataFrame, touches: DataFrame, within: list[str], out_col: str) -> DataFrame:
+    """Action rows with the newest touch time at or before them, inside ``within``."""
+    cols = actions.columns
+    told = actions.select(*within, "tstamp", F.lit(None).cast("timestamp_ntz").alias(out_col), F.struct(*cols).alias("_act"))
+    held = touches.select(*within, "tstamp", F.col("tstamp").alias(out_col), F.lit(None).cast(told.schema["_act"].dataType).alias("_act"))
+    newest = F.max(out_col).over(Window.partitionBy(*within).orderBy("tstamp").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    done = held.union(told).withColumn(out_col, newest).filter(F.col("_act").isNotNull())
+    return done.select(F.col("_act.*"), out_col)
+
+
+def _by_cell(actions: DataFrame, touches: DataFrame, keys: list[str], edges: DataFrame, out_col: str) -> DataFrame:
+    """The match of heavy keys: a running maximum per (key, cell), and what earlier cells carry over."""
+    small = F.broadcast(edges)   # PARTS rows at most
+    cell = F.size(F.filter("edges", lambda e: e <= F.col("tstamp"))).alias("_cell")
+
+    def cut(df: DataFrame) -> DataFrame:
+        return df.withColumn("h", F.xxhash64(*keys)).join(small, "h").select(*df.columns, cell)
+    acts, held = cut(actions), cut(touches)
+    top = held.groupBy(*keys, "_cell").agg(F.max("tstamp").alias("_top"))
+    hours = acts.select(*keys, "_cell").distinct().select(*keys, "_cell", F.lit(None).cast("timestamp_ntz").alias("_top"))
+    per_cell = top.union(hours).groupBy(*keys, "_cell").agg(F.max("_top").alias("_top"))   # one row per cell
+    earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_cell.select(*keys, "_cell", F.max("_top").over(earlier).alias("_carry"))
+    local = _running(acts, held, [*keys, "_cell"], out_col)
+    # a touch in the action's own cell is always newer than any earlier cell's
+    return (local.join(carry, [*keys, "_cell"], "left").withColumn(out_col, F.coalesce(out_col, "_carry"))
+            .select(*actions.columns, out_col))
+
+
+def newest_touch(actions: DataFrame, touches: DataFrame, keys: list[str], out_col: str, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Actions with ``out_col``; rows without a key or a time are dropped."""
+    actions, touches = actions.filter(_known(keys)), touches.select(*keys, "tstamp").filter(_known(keys))
+    n_actions, heavy, limit = count_keys(actions, touches, keys, cell_rows)
+    if n_actions <= SMALL_ACTIONS:   # counted: touches of users without an action go before the shuffle
+        touches = only_keys_of(touches, F.broadcast(actions.select(*keys).distinct()), keys)
+    if not heavy:
+        return _running(actions, touches, keys, out_col)
+    is_heavy = F.xxhash64(*keys).isin(list(heavy))
+    acts, held = actions.filter(is_heavy), touches.filter(is_heavy)
+    rows = acts.select(*keys, "tstamp").union(held).select(F.xxhash64(*keys).alias("h"), "tstamp")
+    cut = _by_cell(acts, held, keys, cell_edges(rows, heavy, limit), out_col)
+    return _running(actions.filter(~is_heavy), touches.filter(~is_heavy), keys, out_col).unionByName(cut)
 
 
-def latest_state(actions: DataFrame, states: DataFrame, keys: list[str], value_cols: list[str],
-                 out_col: str = "touch_tstamp") -> DataFrame:
-    """Action columns, ``out_col`` (time of the newest state, NULL if none) and its ``value_cols``.
+def latest_touch_time(actions: DataFrame, touches: DataFrame, keys: list[str],
+                      out_col: str = "touch_tstamp", cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Add ``out_col`` = newest ``touches.tstamp`` <= ``actions.tstamp`` per key (NULL if none).
 
-    ``states`` come from ``by_key_hour``, one row per (keys, tstamp).  Rows with
-    a NULL key never match (equality semantics).
+    Actions with a NULL key or time match nothing (equality semantics).
     """
-    act_cols = actions.columns
-    acts = (actions.select(*keys, F.col("tstamp").alias("_ts"), F.struct(*act_cols).alias("_act"))
-            .withColumn("_bucket", hour_floor("_ts"))
-            .repartition(*keys, "_bucket"))
-    held = states.select(*keys, "_bucket", F.col("tstamp").alias("_ts"), F.struct("tstamp", *value_cols).alias("_state"))
-    state_type, act_type = held.schema["_state"].dataType, acts.schema["_act"].dataType
-
-    # level 1: newest state at or before each action, inside its (key, hour)
-    u = (held.withColumn("_act", F.lit(None).cast(act_type))
-         .unionByName(acts.withColumn("_state", F.lit(None).cast(state_type))))
-    w1 = (Window.partitionBy(*keys, "_bucket").orderBy("_ts", F.col("_act").isNotNull())
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = (u.select(*keys, "_bucket", "_act", F.last("_state", ignorenulls=True).over(w1).alias("_local"))
-             .filter(F.col("_act").isNotNull()))
-
-    # level 2: newest state of the latest earlier hour of the same key, for hours with an action
-    top = held.groupBy(*keys, "_bucket").agg(F.max_by("_state", "_ts").alias("_top")).withColumn("_asked", F.lit(False))
-    hours = (acts.select(*keys, "_bucket").distinct()
-             .select(*keys, "_bucket", F.lit(None).cast(state_type).alias("_top"), F.lit(True).alias("_asked")))
-    # an hour's own state follows its question: it only serves later hours
-    w2 = Window.partitionBy(*keys).orderBy("_bucket", F.col("_asked").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (top.unionByName(hours).withColumn("_carry", F.last("_top", ignorenulls=True).over(w2))
-             .filter("_asked").select(*keys, "_bucket", "_carry"))
-
-    joined = local.join(carry, keys + ["_bucket"], "left")
-    # a state in the action's own hour is always newer than any earlier hour's
-    best = joined.select("_act", F.coalesce("_local", "_carry").alias("_state"))
-    return best.select(*[F.col("_act")[c].alias(c) for c in act_cols], F.col("_state.tstamp").alias(out_col),
-                       *[F.col("_state")[c].alias(c) for c in value_cols])
-
-
-def latest_touch_time(actions: DataFrame, touches: DataFrame, keys: list[str],
-                      out_col: str = "touch_tstamp") -> DataFrame:
-    """Add ``out_col`` = newest ``touches.tstamp`` <= ``actions.tstamp`` per key (NULL if none)."""
-    times = by_key_hour(touches.select(*keys, "tstamp"), keys).distinct()
-    return latest_state(actions, times, keys, [], out_col)
+    none = actions.filter(~_known(keys)).withColumn(out_col, F.lit(None).cast("timestamp_ntz"))
+    return newest_touch(actions, touches, keys, out_col, cell_rows).unionByName(none)

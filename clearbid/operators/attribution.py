@@ -2,9 +2,9 @@
 
 For every action in the interval, the newest touch (impression or click) of
 the same (uuid, advertiser) at or before the action time and inside the
-lookback is found.  Touches are joined to their auctions and those tied at one
-time are reduced to the one that wins the tie before the as-of match, so an
-action meets one state, never each of the tied touches; one row per actionid
+lookback is found on narrow (key, time) rows.  Touches and auctions are then
+fetched for the chosen times alone, and touches tied at one time are reduced to
+the one that wins the tie before they meet the actions; one row per actionid
 is kept.
 
 Rules kept from the reference queries:
@@ -30,8 +30,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearbid.functions import Interval, hour_floor
-from clearbid.operators.asof import by_key_hour, latest_state
-from clearbid.sources.tables import bounded, only_keys_of
+from clearbid.operators.asof import newest_touch
+from clearbid.session import written
+from clearbid.sources.tables import bounded
 
 KEYS = ["uuid", "advertiser"]
 ACTION_COLS = ["actionid", "tstamp", "uuid", "advertiser", "actionbeacon", "value"]
@@ -66,41 +67,37 @@ def _attribute(actions: DataFrame, touches: DataFrame, auctions: DataFrame, touc
                order: list[str], output: list[str], touch_bound: Column | None, auction_bound: Column | None) -> DataFrame:
     """Shared body; bounds are columns over the action row (or None = unbounded).
 
-    Touches of users without an action in the interval can never match; a
-    plain semi-join on the actions' keys drops them first.  The others are
-    joined to their auctions, and of the touches tied at one time the first by
-    ``order`` that has an auction is kept.  Which auctions count depends on the
-    action's hour in the per-hour form; its bounds are full hours, so one touch
-    per hour of auctions is kept there, at most the hours of the lookback.
-    A time at which no touch has an auction stays, since it is still the newest.
+    The match works on narrow rows and is written: every action with the time of
+    its newest touch.  Only the touches of those times are fetched then, by a
+    semi-join, and joined to their auctions; of the touches tied at one time the
+    first by ``order`` that has an auction is kept and meets the actions that
+    chose its time, so tied touches and actions never form a product.  Which
+    auctions count depends on the action's hour in the per-hour form; its bounds
+    are full hours, so one touch per time and hour of auctions is kept there.
+    An action whose newest touches all lack an auction finds nothing.
     """
-    touches = only_keys_of(touches, actions, KEYS).select(*KEYS, "tstamp", *touch_cols)
-    au = auctions.select("impid", F.col("tstamp").alias("_auction"), *PUB_COLS)
-    fields = [c for c in order if c in touch_cols + PUB_COLS]   # the other columns are those of the action or the time
-    # a touch without an impid, or whose auction has no time, has no auction
-    seen = by_key_hour(touches.join(au, "impid", "left"), KEYS)
-    seen = seen.withColumn("_hour", hour_floor("_auction") if auction_bound is not None else F.col("_auction").isNotNull())
-    best = one_row_per(seen, [*KEYS, "_bucket", "tstamp", *(["_hour"] if auction_bound is not None else [])],
-                       [F.col("_auction").isNull(), *[F.col(c) for c in fields]])
-    choice = F.when(F.col("_auction").isNotNull(), F.struct(*fields))
-    if auction_bound is None:
-        states = best.select(*KEYS, "_bucket", "tstamp", choice.alias("_choice"))
-    else:
-        option = F.when(F.col("_auction").isNotNull(), F.struct(F.struct(*fields).alias("choice"), F.col("_hour").alias("hour")))
-        states = best.groupBy(*KEYS, "_bucket", "tstamp").agg(F.collect_list(option).alias("_choice"))
     a = actions.select(*ACTION_COLS)
     if touch_bound is not None:
         a = a.withColumn("_touch_lo", touch_bound)
     if auction_bound is not None:
         a = a.withColumn("_auction_lo", auction_bound)
-    hit = latest_state(a, states, KEYS, ["_choice"], out_col=touch_time).withColumnRenamed("tstamp", "action_tstamp")
+    matched = newest_touch(a, touches, KEYS, touch_time).filter(F.col(touch_time).isNotNull())
     if touch_bound is not None:
-        hit = hit.filter(F.col(touch_time) >= F.col("_touch_lo"))
+        matched = matched.filter(F.col(touch_time) >= F.col("_touch_lo"))
+    chosen = written(matched.withColumnRenamed("tstamp", "action_tstamp"), "last-touch")
+
+    at = touches.select(*KEYS, F.col("tstamp").alias(touch_time), *touch_cols)
+    found = at.join(chosen.select(*KEYS, touch_time).distinct(), [*KEYS, touch_time], "left_semi")
+    au = auctions.select("impid", F.col("tstamp").alias("_auction"), *PUB_COLS)
+    seen = found.join(au, "impid").filter(F.col("_auction").isNotNull())
+    fields = [c for c in order if c in touch_cols + PUB_COLS]   # the other columns are those of the action or the time
+    per = [*KEYS, touch_time]
+    if auction_bound is not None:
+        seen, per = seen.withColumn("_hour", hour_floor("_auction")), [*per, "_hour"]
+    best = one_row_per(seen, per, [F.col(c) for c in fields]).select(*per, *fields)
+    hit = chosen.join(best, [*KEYS, touch_time])
     if auction_bound is not None:
-        usable = F.filter("_choice", lambda o: o["hour"] >= F.col("_auction_lo"))
-        hit = hit.withColumn("_choice", F.array_min(usable)["choice"])
-    hit = hit.filter(F.col("_choice").isNotNull()).select(
-        *[c for c in hit.columns if c[0] != "_"], *[F.col("_choice")[c].alias(c) for c in fields])
+        hit = hit.filter(F.col("_hour") >= F.col("_auction_lo"))
     return one_row_per(hit, ["actionid"], [F.col(c) for c in order]).select(*output)
 
 
@@ -110,7 +107,7 @@ def imp_matched_actions(impressions: DataFrame, actions: DataFrame, auctions: Da
     lo = interval.lookback_from_end(lookback_days)
     return _attribute(
         bounded(actions, "tstamp", interval.start, interval.end),
-        bounded(impressions, "tstamp", lo),
+        bounded(impressions, "tstamp", lo, interval.end),   # a later touch precedes no action
         bounded(auctions, "tstamp", lo),
         ["impid", "campaign", "creativegroup", "creative", "adv_clique"], "imp_tstamp", IMP_ORDER, IMP_OUTPUT, None, None)
 
@@ -122,7 +119,7 @@ def click_matched_actions(clicks: DataFrame, actions: DataFrame, auctions: DataF
     lo_auction = interval.lookback_from_start(lookback_days)
     return _attribute(
         bounded(actions, "tstamp", interval.start, interval.end),
-        bounded(clicks, "tstamp", lo_touch),
+        bounded(clicks, "tstamp", lo_touch, interval.end),
         bounded(auctions, "tstamp", lo_auction),
         ["impid", "clickid", "campaign", "creativegroup", "creative"], "click_tstamp", CLICK_ORDER, CLICK_OUTPUT, None, None)
 
@@ -136,13 +133,13 @@ def _hour_bounds(lookback_days: int) -> tuple[Column, Column, Column]:
 
 def _span(actions: DataFrame, touches: DataFrame, auctions: DataFrame,
           interval: Interval | None, lookback_days: int):
-    """Bound a whole-span run: actions to the span, touches and auctions to
-    the earliest lookback any hour of the span can reach."""
+    """Bound a whole-span run: actions to the span, touches and auctions from
+    the earliest lookback any hour of the span can reach, touches up to its end."""
     if interval is None:
         return actions, touches, auctions
     lo = interval.start - timedelta(days=lookback_days)
     return (bounded(actions, "tstamp", interval.start, interval.end),
-            bounded(touches, "tstamp", lo), bounded(auctions, "tstamp", lo))
+            bounded(touches, "tstamp", lo, interval.end), bounded(auctions, "tstamp", lo))
 
 
 def imp_matched_actions_hourly(impressions: DataFrame, actions: DataFrame, auctions: DataFrame,

@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that shape plans for the ad tables.
 #  * AQE re-plans joins from real shuffle sizes, coalesces small partitions and
@@ -76,3 +76,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "clearbid", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared checkpoint folder and read back.
+
+    A frame that a plan reads more than once is computed once, its size is
+    known to the planner, and a lost executor costs a re-read.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,5 +1,7 @@
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from clearbid.functions import Interval
 from clearbid.operators.asof import latest_touch_time
 from clearbid.operators.attribution import (click_matched_actions, click_matched_actions_hourly,
@@ -70,7 +72,7 @@ def test_duplicate_actionids_collapse_to_one_row(spark):
 
 
 def test_carry_in_from_earlier_hours(spark):
-    # touch three hours before the action: found through the per-hour carry-in
+    # touch three hours before the action
     touches = spark.createDataFrame([("u1", "adv1", BASE - timedelta(hours=3))], "uuid string, advertiser string, tstamp timestamp_ntz")
     acts = spark.createDataFrame([("x1", "u1", "adv1", BASE + timedelta(minutes=5)),
                                   ("x2", "u2", "adv1", BASE + timedelta(minutes=5))],
@@ -95,6 +97,48 @@ def test_asof_matches_brute_force_on_hot_key(spark):
         assert got[aid] == (max(prior) if prior else None)
 
 
+def test_heavy_keys_are_cut_in_time(spark, monkeypatch):
+    """A key far above the others: its rows, a burst inside one hour among them, are dealt over cells."""
+    import random
+
+    from clearbid.operators import asof
+    rnd = random.Random(11)
+    start = datetime(2024, 1, 1)
+    when = lambda n: start + timedelta(microseconds=rnd.randrange(0, 3_600_000_000 * n))
+    touch = [("", "adv", when(1)) for _ in range(600)] + [("", "adv", start + timedelta(hours=40))] * 300
+    touch += [(f"u{n % 40}", "adv", when(48)) for n in range(200)] + [(None, "adv", when(48))] * 50
+    acts = [(f"x{n}", "" if n % 2 else f"u{n % 50}", "adv", when(1) if n % 4 == 1 else when(48)) for n in range(400)]
+    acts += [("null", None, "adv", when(48)), ("notime", "u1", "adv", None), ("tie", "", "adv", start + timedelta(hours=40))]
+    t = spark.createDataFrame(touch, "uuid string, advertiser string, tstamp timestamp_ntz")
+    a = spark.createDataFrame(acts, "actionid string, uuid string, advertiser string, tstamp timestamp_ntz")
+    keys = ["uuid", "advertiser"]
+    _, heavy, limit = asof.count_keys(a.filter("uuid IS NOT NULL"), t.filter("uuid IS NOT NULL"), keys, 100)
+    assert len(heavy) == 1
+    rows = a.union(t.select(F.lit("t"), "*")).filter("uuid = ''").select(F.xxhash64(*keys).alias("h"), "tstamp")
+    edges = asof.cell_edges(rows, heavy, limit).first().edges
+    assert len(edges) >= 8 and sum(e < start + timedelta(hours=1) for e in edges) >= 5
+    for cell_rows in (100, 37, 10**6):
+        got = {r.actionid: r.touch_tstamp for r in latest_touch_time(a, t, keys, cell_rows=cell_rows).collect()}
+        for aid, uuid, _, ts in acts:
+            prior = [tt for (u, _, tt) in touch if u == uuid and uuid is not None and ts is not None and tt <= ts]
+            assert got[aid] == (max(prior) if prior else None)
+
+
+def test_many_actions_keep_touches_unfiltered(spark, monkeypatch):
+    from clearbid.operators import asof
+    monkeypatch.setattr(asof, "SMALL_ACTIONS", 0)
+    rows = _run(spark, [_imp("i2", 8), _imp("i3", 8), _imp("i4", 9, "u2")], [_auction("i3"), _auction("i4")], [_action("x1", 10), _action("x2", 9, "u2")])
+    assert sorted((r.actionid, r.impid) for r in rows) == [("x1", "i3"), ("x2", "i4")]
+
+
+def test_touches_are_bounded_by_the_intervals_end(spark):
+    i = spark.createDataFrame([_imp("i1", 5)], IMPRESSIONS)
+    from clearbid.sources.tables import bounded
+    assert bounded(i, "tstamp", BASE, IV.end).count() == 1
+    rows = _run(spark, [_imp("i1", 5), _imp("late", 61)], [_auction("i1"), _auction("late")], [_action("x1", 59)])
+    assert [(r.actionid, r.impid) for r in rows] == [("x1", "i1")]
+
+
 def test_click_attribution_uses_start_for_auctions(spark):
     # auction between start - 1 day and end - 1 day: seen by click attribution
     # (auction lookback from the start) but not by view attribution (from the end)
@@ -133,9 +177,11 @@ def test_tied_touches_meet_actions_as_one_state(spark):
                spark.createDataFrame(acts, ACTIONS))
     df = imp_matched_actions(i, x, a, IV, 30)
     assert {r.impid for r in df.collect()} == {"t0007"} and df.count() == 1000
-    # actions meet the carried state, one row per key and hour, and no touches
+    # touches are reduced to one per time before they meet actions: no join on the touch time sees a product
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert sum("Join LeftOuter, (((uuid" in line for line in plan.splitlines()) == 1 and "Join Inner" not in plan
+    assert "Join LeftSemi, (((uuid" in plan
+    joined = [line for line in plan.splitlines() if "Join Inner, (((uuid" in line]
+    assert len(joined) == 1 and "row_number" in plan[plan.index(joined[0]):]
 
 
 def test_per_hour_click_auction_between_the_two_bounds(spark):
