@@ -35,7 +35,7 @@ from clearbid.operators import auctions as auc  # noqa: E402
 from clearbid.operators import rollups as ru  # noqa: E402
 from clearbid.plans import hourly as hourly_job  # noqa: E402
 from clearbid.plans import jobs  # noqa: E402
-from clearbid.session import build_session, scratch_dir  # noqa: E402
+from clearbid.session import build_session, scratch_dir, written  # noqa: E402
 from clearbid.sources.fixtures import write_ad_tables  # noqa: E402
 
 SPAN = Interval(datetime(2024, 1, 1), datetime(2024, 1, 31))
@@ -120,10 +120,11 @@ def main() -> None:
     mid.auction_stats.write.mode("overwrite").parquet(stats_path)
 
     def three_grains_shared():
-        j = ru.joined_impressions(t.auctions, t.impressions, stats_written(), t.clicks, SPAN).persist()
-        for g in (ru.HOURLY, ru.GEO, ru.KEYWORD):
-            run(ru.imps_clicks(j, g))
-        j.unpersist()
+        grains = (ru.HOURLY, ru.GEO, ru.KEYWORD)   # as the hourly job: one aggregation, written, read per grain
+        j = ru.joined_impressions(t.auctions, t.impressions, stats_written(), t.clicks, SPAN)
+        sets = written(ru.imps_clicks_sets(j, grains), "bench-sets")
+        for g in grains:
+            run(ru.of_set(sets, g, grains))
 
     def three_grains_naive():
         m = jobs.Intermediates(stats_written(), mid.imp_matched_actions, mid.click_matched_actions)

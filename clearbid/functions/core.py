@@ -20,7 +20,7 @@ _TS_FMT = "%Y-%m-%d %H:%M:%S"
 
 def ts_lit(value: datetime | str) -> Column:
     """A ``timestamp_ntz`` literal (UTC wall clock)."""
-    text = value.strftime(_TS_FMT) if isinstance(value, datetime) else str(value)
+    text = value.isoformat(" ") if isinstance(value, datetime) else str(value)
     return F.lit(text).cast(T.TimestampNTZType())
 
 

@@ -6,8 +6,8 @@ same user is quadratic per user.  Here only narrow rows (key, time) meet: touche
 and actions are united, shuffled once by key, and a running maximum in time order
 gives each action its newest touch (RANGE frame, so equal times count).
 
-A key is one task's work unless it is heavy.  One bounded count finds the heavy
-keys: a frequent-items sketch of the keys' hashes (``approx_top_k``, a fixed
+A key is one task's work unless it is heavy.  A bounded count finds the heavy
+keys: where the rows are more than one cell holds, a frequent-items sketch of the keys' hashes (``approx_top_k``, a fixed
 number of counters per task) names every key that holds more than one
 ``PARTS``-th of all rows, and those above ``cell_rows`` are cut in time at
 quantiles of their own rows, so that a burst inside one hour is split too.  Their
@@ -20,13 +20,12 @@ which changes no result.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clearbid.sources.tables import only_keys_of
-
 PARTS = 2_000            # a key below 1/PARTS of all rows is never cut
 TRACKED = 100_000        # counters of the sketch: keys of 1/PARTS of all rows are far above its error
 CELL_ROWS = 500_000      # rows of a key that one task takes without a thought
@@ -34,18 +33,38 @@ SMALL_ACTIONS = 200_000  # action keys that are broadcast to drop touches of oth
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
-def _known(keys: list[str]) -> Column:
+def known(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, "tstamp"]])
 
 
-def count_keys(actions: DataFrame, touches: DataFrame, keys: list[str], cell_rows: int) -> tuple[int, dict[int, int], int]:
-    """(actions, {hash of a heavy key: rows}, rows per cell) in one pass over the keys."""
-    told = actions.select(F.xxhash64(*keys).alias("h"), F.lit(1).alias("a")).union(
-        touches.select(F.xxhash64(*keys), F.lit(0)))
-    row = told.agg(F.expr(f"approx_top_k(h, {PARTS}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("n"),
-                   F.sum("a").alias("actions")).first()
-    limit = max(cell_rows, math.ceil(row.n / PARTS))
-    return row.actions or 0, {t["item"]: t["count"] for t in row.top or [] if t["count"] > limit}, limit
+@dataclass(frozen=True)
+class KeyCounts:
+    """What one bounded count says of the keys: which are heavy, and how they are to be cut."""
+
+    actions: int
+    touches: int
+    heavy: dict[int, int]   # hash of the key: rows
+    limit: int              # rows per cell
+
+    @property
+    def few_actions(self) -> bool:
+        """Whether the actions' keys are worth broadcasting to drop touches of other users."""
+        return self.actions <= min(SMALL_ACTIONS, self.touches)
+
+
+def count_keys(actions: DataFrame, touches: DataFrame, keys: list[str], cell_rows: int | None = None) -> KeyCounts:
+    """Count the rows; where a key could fill more than a cell, sketch the keys too."""
+    cell_rows = CELL_ROWS if cell_rows is None else cell_rows
+    told = actions.select(*keys, F.lit(1).alias("_a")).union(touches.select(*keys, F.lit(0)))
+    row = told.agg(F.count(F.lit(1)).alias("n"), F.sum("_a").alias("actions")).first()
+    limit, top = max(cell_rows, math.ceil(row.n / PARTS)), []
+    if row.n > limit:
+        top = told.select(F.xxhash64(*keys).alias("h")).agg(F.expr(f"approx_top_k(h, {PARTS}, {TRACKED})")).first()[0] or []
+    return KeyCounts(row.actions or 0, row.n - (row.actions or 0), {t["item"]: t["count"] for t in top if t["count"] > limit}, limit)
+
+
+def is_heavy(keys: list[str], counts: KeyCounts) -> Column:
+    return F.xxhash64(*keys).isin(list(counts.heavy))
 
 
 def cell_edges(rows: DataFrame, heavy: dict[int, int], limit: int) -> DataFrame:
@@ -91,26 +110,24 @@ def _by_cell(actions: DataFrame, touches: DataFrame, keys: list[str], edges: Dat
             .select(*actions.columns, out_col))
 
 
-def newest_touch(actions: DataFrame, touches: DataFrame, keys: list[str], out_col: str, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Actions with ``out_col``; rows without a key or a time are dropped."""
-    actions, touches = actions.filter(_known(keys)), touches.select(*keys, "tstamp").filter(_known(keys))
-    n_actions, heavy, limit = count_keys(actions, touches, keys, cell_rows)
-    if n_actions <= SMALL_ACTIONS:   # counted: touches of users without an action go before the shuffle
-        touches = only_keys_of(touches, F.broadcast(actions.select(*keys).distinct()), keys)
-    if not heavy:
-        return _running(actions, touches, keys, out_col)
-    is_heavy = F.xxhash64(*keys).isin(list(heavy))
-    acts, held = actions.filter(is_heavy), touches.filter(is_heavy)
+def heavy_touch(actions: DataFrame, touches: DataFrame, keys: list[str], counts: KeyCounts, out_col: str) -> DataFrame:
+    """Actions of the heavy keys with ``out_col``."""
+    acts, held = actions.filter(is_heavy(keys, counts)), touches.select(*keys, "tstamp").filter(is_heavy(keys, counts))
     rows = acts.select(*keys, "tstamp").union(held).select(F.xxhash64(*keys).alias("h"), "tstamp")
-    cut = _by_cell(acts, held, keys, cell_edges(rows, heavy, limit), out_col)
-    return _running(actions.filter(~is_heavy), touches.filter(~is_heavy), keys, out_col).unionByName(cut)
+    return _by_cell(acts, held, keys, cell_edges(rows, counts.heavy, counts.limit), out_col)
 
 
 def latest_touch_time(actions: DataFrame, touches: DataFrame, keys: list[str],
-                      out_col: str = "touch_tstamp", cell_rows: int = CELL_ROWS) -> DataFrame:
+                      out_col: str = "touch_tstamp", cell_rows: int | None = None) -> DataFrame:
     """Add ``out_col`` = newest ``touches.tstamp`` <= ``actions.tstamp`` per key (NULL if none).
 
     Actions with a NULL key or time match nothing (equality semantics).
     """
-    none = actions.filter(~_known(keys)).withColumn(out_col, F.lit(None).cast("timestamp_ntz"))
-    return newest_touch(actions, touches, keys, out_col, cell_rows).unionByName(none)
+    none = actions.filter(~known(keys)).withColumn(out_col, F.lit(None).cast("timestamp_ntz"))
+    actions, touches = actions.filter(known(keys)), touches.select(*keys, "tstamp").filter(known(keys))
+    counts = count_keys(actions, touches, keys, cell_rows)
+    if not counts.heavy:
+        return _running(actions, touches, keys, out_col).unionByName(none)
+    light = ~is_heavy(keys, counts)
+    return (_running(actions.filter(light), touches.filter(light), keys, out_col)
+            .unionByName(heavy_touch(actions, touches, keys, counts, out_col)).unionByName(none))

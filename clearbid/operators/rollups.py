@@ -141,26 +141,61 @@ def joined_impressions(auctions: DataFrame, impressions: DataFrame, auction_stat
     return a.join(i, "impid").join(s, ["impid", "auctionId"]).join(c, "impid", "left")
 
 
-def imps_clicks(joined: DataFrame, grain: Grain, pricing: str = CPM) -> DataFrame:
-    """Imps/clicks measures of one grain from ``joined_impressions``."""
+def _imps_measures(pricing: str) -> list[Column]:
     clicked = F.when(F.col("clickid").isNull(), F.lit(0)).otherwise(F.lit(1))
     if pricing == CPC:
         spend = F.sum(F.col("clearprice") * clicked)
     else:  # anything but CPC prices per impression, as the reference falls back to CPM
         spend = F.sum("clearprice") / F.lit(1000)
-    out = joined.groupBy("hour", *grain.imps_dims).agg(
+    return [
         F.avg("clearprice").alias("clearprice"),
         F.sum("num_bids").cast("bigint").alias("bids"),
         spend.cast("double").alias("spend"),
         F.count("impid").alias("imps"),
         F.countDistinct("uuid").alias("uniques"),
         F.count("clickid").alias("clicks"),
-    )
-    out = out.select("hour", *grain.imps_dims, "clearprice", "bids", "spend", "imps", "uniques",
-                     "clicks", *_zero_long("view_convs", "click_convs"))
+    ]
+
+
+def _imps_columns(rows: DataFrame, grain: Grain) -> DataFrame:
+    out = rows.select("hour", *grain.imps_dims, "clearprice", "bids", "spend", "imps", "uniques",
+                      "clicks", *_zero_long("view_convs", "click_convs"))
     return _finish(out, grain)
 
 
+def imps_clicks(joined: DataFrame, grain: Grain, pricing: str = CPM) -> DataFrame:
+    """Imps/clicks measures of one grain from ``joined_impressions``."""
+    return _imps_columns(joined.groupBy("hour", *grain.imps_dims).agg(*_imps_measures(pricing)), grain)
+
+
+def imps_clicks_sets(joined: DataFrame, grains: tuple[Grain, ...], pricing: str = CPM) -> DataFrame:
+    """Imps/clicks measures of several grains in one aggregation over ``joined_impressions``.
+
+    Each row goes into one grouping set per grain; the distinct users of all
+    sets are counted by the same two-level aggregation.  ``_set`` is the
+    ``grouping_id`` of a row's grain (``grain_set``), since a dimension may be
+    NULL in itself.
+    """
+    dims = _all_dims(grains)
+    sets = joined.groupingSets([["hour", *g.imps_dims] for g in grains], "hour", *dims)
+    return sets.agg(*_imps_measures(pricing), F.grouping_id().alias("_set"))
+
+
+def _all_dims(grains: tuple[Grain, ...]) -> list[str]:
+    return list(dict.fromkeys(d for g in grains for d in g.imps_dims))
+
+
+def grain_set(grain: Grain, grains: tuple[Grain, ...]) -> int:
+    """``grouping_id`` of a grain among ``grains``: a bit for each dimension that it leaves out."""
+    bits = "".join("0" if d in grain.imps_dims else "1" for d in _all_dims(grains))
+    return int("0" + bits, 2)
+
+
+def of_set(sets: DataFrame, grain: Grain, grains: tuple[Grain, ...]) -> DataFrame:
+    """The rows of one grain of ``imps_clicks_sets``, as ``imps_clicks`` returns them."""
+    return _imps_columns(sets.filter(F.col("_set") == grain_set(grain, grains)), grain)
+
+
 def conversions(imp_matched: DataFrame, click_matched: DataFrame, grain: Grain,
                 interval: Interval | None, auctions: DataFrame | None = None,
                 per_hour: bool = False, auction_lo=None) -> DataFrame:

@@ -3,15 +3,18 @@
 One run for ``[start, end)``:
 
 1. intermediates - auction_stats (priced ∪ errored), imp_matched_actions,
-   click_matched_actions - are written as tables partitioned by ``hour``
-   (replacing exactly the hours this run owns, so re-runs are idempotent);
+   click_matched_actions - are written;
 2. the imps/clicks join (auctions ⋈ impressions ⋈ auction_stats ⟕ clicks) is
-   built once from the written tables, persisted, and aggregated for the
-   hourly, geo and keyword grains;
+   aggregated for the hourly, geo and keyword grains at once (grouping sets),
+   and the small result is written;
 3. each stats table gets its three row kinds in one write, ``kind`` being a
-   plain column of the ``hour=…`` partitions: an hour is always replaced whole;
-4. every UTC day the run touches is re-rolled from the hourly table and
-   upserted into ``dailyadstats``.
+   plain column;
+4. every UTC day the run touches is re-rolled from the hourly table, which
+   replaces the day in ``dailyadstats``.
+
+Every table is kept by ``sources.owned``: rows by UTC day, ``hour`` a sorted
+column, and a run's rows shown once it has written all of them; a run that dies
+leaves each table as it was or replaced as a whole, and re-runs are idempotent.
 
 ``per_hour=True`` runs any span as if it were a loop of one-hour runs (each
 row labelled with its own hour and bounded by its own hour's lookback), but
@@ -25,9 +28,8 @@ from __future__ import annotations
 
 import os
 import warnings
-from datetime import timedelta
+from datetime import datetime, timedelta
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,8 +40,8 @@ from clearbid.functions import Interval, hour_floor, ts_lit
 from clearbid.operators import rollups as ru
 from clearbid.operators.daily import daily_ad_stats
 from clearbid.plans.jobs import DEFAULT_LOOKBACK_DAYS, AdTables, grain_frames, intermediates
-from clearbid.session import SESSION_DEFAULTS, ensure_checkpoint_dir, scratch_dir
-from clearbid.sources import sinks
+from clearbid.session import SESSION_DEFAULTS, ensure_checkpoint_dir, written
+from clearbid.sources.owned import read_owned, replace_span
 
 STATS_TABLES = {"hourly": "hourlyadstats", "geo": "geoadstats", "keyword": "keywordadstats"}
 
@@ -52,8 +54,13 @@ def run(spark: SparkSession, tables: AdTables, out_root: str, interval: Interval
         pricing: str = ru.CPM, per_hour: bool = False,
         view_lookback: int = DEFAULT_LOOKBACK_DAYS,
         click_lookback: int = DEFAULT_LOOKBACK_DAYS,
-        grains: tuple[ru.Grain, ...] = (ru.HOURLY, ru.GEO, ru.KEYWORD)) -> dict[str, str]:
-    """Run the hourly job for ``interval``; returns table name -> path."""
+        grains: tuple[ru.Grain, ...] = (ru.HOURLY, ru.GEO, ru.KEYWORD),
+        history_hours: int | None = None) -> dict[str, str]:
+    """Run the hourly job for ``interval``; returns table name -> path.
+
+    ``history_hours`` leaves out impressions, clicks and defaults older than so
+    many hours before the interval (see ``rollups``); None joins them whole.
+    """
     if pricing not in (ru.CPM, ru.CPC):
         warnings.warn(f"pricing {pricing!r} is unknown, falling back to {ru.CPM}", stacklevel=2)
         pricing = ru.CPM
@@ -66,103 +73,71 @@ def run(spark: SparkSession, tables: AdTables, out_root: str, interval: Interval
     # hours this run owns: a single-interval run labels all its rows with the start
     owned = (interval.start, interval.end) if per_hour else (interval.start, interval.start + timedelta(microseconds=1))
 
-    def own_hours(df: DataFrame, path: str, partition_cols: list[str]) -> None:
-        sinks.overwrite_span(df, path, *owned, partition_cols)
-
-    # 1. intermediates, partitioned by the hour they belong to
+    # 1. intermediates, labelled with the hour they belong to and read back: rows of other
+    # hours are other runs' (a slot's stats are made by the run of its auction's hour)
     mid = intermediates(tables, interval, per_hour, view_lookback, click_lookback)
-    own_hours(mid.auction_stats.withColumn("hour", _hour_col(per_hour, interval, "tstamp")),
-                               paths["auction_stats"], ["hour"])
-    own_hours(
-        mid.imp_matched_actions.withColumn("hour", _hour_col(per_hour, interval, "action_tstamp")),
-        paths["imp_matched_actions"], ["hour"])
-    own_hours(
-        mid.click_matched_actions.withColumn("hour", _hour_col(per_hour, interval, "action_tstamp")),
-        paths["click_matched_actions"], ["hour"])
-    # Read back only the partitions this run wrote: rows of other hours can
-    # never join this interval's auctions (impid/auctionId name one slot) or
-    # fall in its action range, so the scan lists one folder per hour run.
-    hour = {"hour": T.TimestampNTZType()}
-
-    def own(path, schema):
-        df = sinks.read_written(spark, path, schema, hour)
-        if per_hour:
-            df = df.filter((F.col("hour") >= ts_lit(interval.start)) & (F.col("hour") < ts_lit(interval.end)))
-        else:
-            df = df.filter(F.col("hour") == ts_lit(interval.start))
-        return df.drop("hour")
-
-    stored = type(mid)(
-        auction_stats=own(paths["auction_stats"], S.AUCTION_STATS),
-        imp_matched_actions=own(paths["imp_matched_actions"], S.IMP_MATCHED_ACTIONS),
-        click_matched_actions=own(paths["click_matched_actions"], S.CLICK_MATCHED_ACTIONS),
-    )
-
-    # 2. the shared imps/clicks join, computed once for all grains
+    stored = {}
+    for name, ts, schema in (("auction_stats", "tstamp", S.AUCTION_STATS), ("imp_matched_actions", "action_tstamp", S.IMP_MATCHED_ACTIONS),
+                             ("click_matched_actions", "action_tstamp", S.CLICK_MATCHED_ACTIONS)):
+        replace_span(getattr(mid, name).withColumn("hour", _hour_col(per_hour, interval, ts)), paths[name], "hour", *owned)
+        stored[name] = read_intermediate(spark, paths[name], schema, *owned)
+    stored = type(mid)(**stored)
+
+    # 2. the shared imps/clicks join, aggregated once for all grains
     joined = ru.joined_impressions(tables.auctions, tables.impressions, stored.auction_stats,
-                                   tables.clicks, interval, per_hour)
-    kept = None
-    if per_hour:   # a span may be months: written, not held on executors
-        path = scratch_dir(spark, "joined-impressions")
-        joined.write.parquet(path)
-        joined = sinks.read_written(spark, path, joined.schema, must_exist=True)
-    else:
-        kept = joined = joined.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # 3. three row kinds per grain
-        for g in grains:
-            frames = grain_frames(tables, stored, g, interval, per_hour, pricing, joined=joined,
-                                  view_lookback=view_lookback)
-            kinds = [frames["imps"].withColumn("kind", F.lit("imps")),
-                     frames["convs"].withColumn("kind", F.lit("convs")),
-                     frames["defaults"].withColumn("kind", F.lit("defaults"))]
-            cols = ru.stat_columns(g) + ["kind"]
-            u = kinds[0].unionByName(kinds[1], allowMissingColumns=True) \
-                        .unionByName(kinds[2], allowMissingColumns=True).select(*cols)
-            own_hours(u, paths[STATS_TABLES[g.name]], ["hour"])
-    finally:
-        if kept is not None:
-            kept.unpersist()
+                                   tables.clicks, interval, per_hour, history_hours)
+    sets = written(ru.imps_clicks_sets(joined, grains, pricing), "imps-clicks")
+
+    # 3. three row kinds per grain
+    for g in grains:
+        frames = grain_frames(tables, stored, g, interval, per_hour, pricing, imps=ru.of_set(sets, g, grains),
+                              view_lookback=view_lookback, history_hours=history_hours)
+        u = None
+        for kind in ("imps", "convs", "defaults"):
+            rows = frames[kind].withColumn("kind", F.lit(kind))
+            u = rows if u is None else u.unionByName(rows, allowMissingColumns=True)
+        replace_span(u.select(*ru.stat_columns(g), "kind"), paths[STATS_TABLES[g.name]], "hour", *owned)
 
     # 4. daily rollup of every touched day, from all its stored hours; it replaces the day
     days = interval.days()
     if ru.HOURLY in grains and days:
-        hourly = read_stats(spark, paths["hourlyadstats"], ru.HOURLY).drop("kind")
-        touched = hourly.filter((F.col("hour") >= ts_lit(days[0]))
-                                & (F.col("hour") < ts_lit(days[-1] + timedelta(days=1))))
-        daily = daily_ad_stats(touched)
-        sinks.overwrite_span(daily.withColumn("day", F.to_date("date")), paths["dailyadstats"],
-                             days[0], days[-1] + timedelta(days=1), ["day"])
+        whole = (days[0], days[-1] + timedelta(days=1))
+        touched = read_stats(spark, paths["hourlyadstats"], ru.HOURLY, *whole).drop("kind")
+        replace_span(daily_ad_stats(touched), paths["dailyadstats"], "date", *whole)
     return paths
 
 
 def backfill(spark: SparkSession, tables: AdTables, out_root: str, interval: Interval,
              pricing: str = ru.CPM, view_lookback: int = DEFAULT_LOOKBACK_DAYS,
-             click_lookback: int = DEFAULT_LOOKBACK_DAYS) -> dict[str, str]:
+             click_lookback: int = DEFAULT_LOOKBACK_DAYS, history_hours: int | None = None) -> dict[str, str]:
     """Hourly backfill of a span: every hour in one job per table."""
-    return run(spark, tables, out_root, interval, pricing, per_hour=True,
-               view_lookback=view_lookback, click_lookback=click_lookback)
+    return run(spark, tables, out_root, interval, pricing, per_hour=True, view_lookback=view_lookback,
+               click_lookback=click_lookback, history_hours=history_hours)
 
 
 def stats_schema(grain: ru.Grain) -> T.StructType:
-    """Declared schema of a stored stats table (the partition column ``hour`` excluded)."""
+    """Declared schema of a stored stats table."""
     types = {f.name: f.dataType for f in S.MEASURES.fields}
-    fields = []
-    for c in ru.stat_columns(grain)[1:]:
-        if c in types:
-            fields.append(T.StructField(c, types[c], True))
-        elif c == "keywords":
-            fields.append(T.StructField(c, T.ArrayType(T.StringType()), True))
-        elif c == "DMA":
-            fields.append(T.StructField(c, T.LongType(), True))
-        else:
-            fields.append(T.StructField(c, T.StringType(), True))
+    types |= {"hour": T.TimestampNTZType(), "keywords": T.ArrayType(T.StringType()), "DMA": T.LongType()}
+    fields = [T.StructField(c, types.get(c, T.StringType()), True) for c in ru.stat_columns(grain)]
     return T.StructType([*fields, T.StructField("kind", T.StringType(), True)])
 
 
-def read_stats(spark: SparkSession, path: str, grain: ru.Grain = ru.HOURLY) -> DataFrame:
-    """A stats table with its ``kind`` and the partition column ``hour`` (``timestamp_ntz``)."""
-    return sinks.read_written(spark, path, stats_schema(grain), {"hour": T.TimestampNTZType()})
+def read_stats(spark: SparkSession, path: str, grain: ru.Grain = ru.HOURLY, lo: datetime | None = None,
+               hi: datetime | None = None) -> DataFrame:
+    """A stats table with its ``kind``, or its hours in ``[lo, hi)``."""
+    return read_owned(spark, path, stats_schema(grain), "hour", lo, hi)
+
+
+def read_daily(spark: SparkSession, path: str, lo: datetime | None = None, hi: datetime | None = None) -> DataFrame:
+    return read_owned(spark, path, S.DAILYADSTATS, "date", lo, hi)
+
+
+def read_intermediate(spark: SparkSession, path: str, schema: T.StructType, lo: datetime | None = None,
+                      hi: datetime | None = None) -> DataFrame:
+    """An intermediate table, or its rows labelled with the hours in ``[lo, hi)``."""
+    full = T.StructType([*schema.fields, T.StructField("hour", T.TimestampNTZType())])
+    return read_owned(spark, path, full, "hour", lo, hi).drop("hour")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -184,6 +159,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--view-lookback", type=int, default=DEFAULT_LOOKBACK_DAYS)
     p.add_argument("--click-lookback", type=int, default=DEFAULT_LOOKBACK_DAYS)
     p.add_argument("--backfill", action="store_true")
+    p.add_argument("--history-hours", type=int, help="leave out impressions, clicks and defaults older than this before the interval")
     args = p.parse_args(argv)
     default = Interval.default()
     interval = Interval(args.start or default.start, args.end or default.end)
@@ -194,7 +170,7 @@ def main(argv: list[str] | None = None) -> None:
     ensure_checkpoint_dir(spark)
     tables = AdTables.of({n: read_table(spark, args.tables, n) for n in AdTables.__dataclass_fields__})
     run(spark, tables, args.out, interval, args.pricing, per_hour=args.backfill,
-        view_lookback=args.view_lookback, click_lookback=args.click_lookback)
+        view_lookback=args.view_lookback, click_lookback=args.click_lookback, history_hours=args.history_hours)
 
 
 if __name__ == "__main__":

@@ -61,19 +61,21 @@ def intermediates(t: AdTables, interval: Interval | None, per_hour: bool,
 
 def grain_frames(t: AdTables, mid: Intermediates, grain: ru.Grain, interval: Interval | None,
                  per_hour: bool, pricing: str = ru.CPM,
-                 joined: DataFrame | None = None,
-                 view_lookback: int = DEFAULT_LOOKBACK_DAYS) -> dict[str, DataFrame]:
-    """The three row kinds of one grain."""
-    if joined is None:
+                 imps: DataFrame | None = None,
+                 view_lookback: int = DEFAULT_LOOKBACK_DAYS,
+                 history_hours: int | None = None) -> dict[str, DataFrame]:
+    """The three row kinds of one grain; ``imps`` if that kind is already at hand."""
+    if imps is None:
         joined = ru.joined_impressions(t.auctions, t.impressions, mid.auction_stats, t.clicks,
-                                       interval, per_hour)
+                                       interval, per_hour, history_hours)
+        imps = ru.imps_clicks(joined, grain, pricing)
     # matched impressions only ever point at auctions inside the view lookback
     auction_lo = None if interval is None else interval.start - timedelta(days=view_lookback)
     return {
-        "imps": ru.imps_clicks(joined, grain, pricing),
+        "imps": imps,
         "convs": ru.conversions(mid.imp_matched_actions, mid.click_matched_actions, grain, interval,
                                 t.auctions, per_hour, auction_lo),
-        "defaults": ru.defaults(t.auctions, t.auction_defaults, grain, interval, per_hour),
+        "defaults": ru.defaults(t.auctions, t.auction_defaults, grain, interval, per_hour, history_hours),
     }
 
 

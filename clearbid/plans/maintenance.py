@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from clearbid.operators.ranking import newest_n, stale_per_key
 from clearbid.sources import sinks
+from clearbid.sources.owned import stored
 
 # The event tables the migration copies (the reference list,
 # with its two fused names split) and the request/response log tables.
@@ -74,7 +75,7 @@ def sync_environment(spark: SparkSession, source_root: str, dest_root: str,
     A table missing at the source raises before anything is touched.
     """
     done = {}
-    absent = [n for n in [*full, *[n for n, _ in newest], *once] if not sinks._exists(spark, os.path.join(source_root, n))]
+    absent = [n for n in [*full, *[n for n, _ in newest], *once] if stored(spark, os.path.join(source_root, n)) is None]
     if absent:
         raise FileNotFoundError(f"not at the source: {', '.join(absent)}")
     for name in full:

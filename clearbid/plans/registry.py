@@ -157,16 +157,31 @@ def q_hourly_backfill(spark, sf):
     return _round(jobs.hourly_backfill(_tables(spark, sf)))
 
 
+# what the hourly job leaves behind: table -> (time column, dimensions and counts)
+JOB_TABLES = {f"{n}adstats": ("hour", [c for c in ru.stat_columns(g) if c not in ("hour", "spend", "clearprice")]) for n, g in ru.GRAINS.items()}
+JOB_TABLES["dailyadstats"] = ("date", ["advertiser", "campaign", "adv_clique", "publisher", "site", "pub_clique", "bids", "imps",
+                                       "defaults", "clicks", "view_convs", "click_convs"])
+
+
 def _run_hourly_job(spark, t: dict[str, DataFrame], out: str) -> DataFrame:
-    """Run the written hourly job over whole tables and read its hourly stats back."""
+    """Run the written hourly job over whole tables and read back all that it stored:
+    the three stats tables and the daily rows, as (table_name, at, body, spend, clearprice)."""
     from clearbid.plans import hourly
-    paths = hourly.run(spark, jobs.AdTables.of(t), out, SPAN, per_hour=True, view_lookback=LOOKBACK,
-                       click_lookback=LOOKBACK, grains=(ru.HOURLY,))
-    return hourly.read_stats(spark, paths["hourlyadstats"]).select(*ru.stat_columns(ru.HOURLY))
+    paths = hourly.run(spark, jobs.AdTables.of(t), out, SPAN, per_hour=True, view_lookback=LOOKBACK, click_lookback=LOOKBACK)
+    tables = {f"{n}adstats": hourly.read_stats(spark, paths[f"{n}adstats"], g) for n, g in ru.GRAINS.items()}
+    tables["dailyadstats"] = hourly.read_daily(spark, paths["dailyadstats"])
+    u = None
+    for name, df in tables.items():
+        at, texts = JOB_TABLES[name]
+        cells = [F.array_join("keywords", ",") if c == "keywords" else F.col(c).cast("string") for c in texts]
+        part = df.select(F.lit(name).alias("table_name"), F.col(at).alias("at"),
+                         F.concat_ws("|", *[F.coalesce(c, F.lit("~")) for c in cells]).alias("body"), "spend", "clearprice")
+        u = part if u is None else u.unionByName(part)
+    return u
 
 
 def q_hourly_job(spark, sf):
-    """The hourly job itself: intermediates, hourly stats and daily rows, written and read back."""
+    """The hourly job itself: intermediates, stats of all three grains and daily rows, written and read back."""
     from clearbid.session import scratch_dir
     return _round(_run_hourly_job(spark, ad_tables(spark, sf), scratch_dir(spark, "hourly-job")))
 
@@ -433,6 +448,20 @@ def _o_hourly_backfill(grain: str = "hourly") -> str:
     return sql + "\n" + O.finalize(_stat_cols(grain), "SELECT * FROM hs")
 
 
+def _o_hourly_job() -> str:
+    """All that the job stores, from one literal statement per table."""
+    stats = [_stats_union_cte(n, n, True) for n in ru.GRAINS]
+    sql = O.with_fixtures(*_span_ctes(True), *stats, f"daily AS ({_daily_select('hourly', DAY_OF_HOUR)})")
+    parts = []
+    for name, (at, texts) in JOB_TABLES.items():
+        cells = ["array_to_string(CASE WHEN keywords = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(keywords, ',') END, ',')" if c == "keywords"
+                 else f"CAST({c} AS VARCHAR)" for c in texts]
+        body = ", ".join(f"COALESCE({c}, '~')" for c in cells)
+        parts.append(f"SELECT '{name}' AS table_name, {at} AS at, concat_ws('|', {body}) AS body, {O.R('spend')} AS spend, "
+                     f"{O.R('clearprice')} AS clearprice FROM {name.removesuffix('adstats')}")
+    return sql + "\n" + "\nUNION ALL ".join(parts)
+
+
 DAILY_GROUP = ["advertiser", "campaign", "adv_clique", "publisher", "site", "pub_clique"]
 DAILY_OUT = ["date", *DAILY_GROUP, "bids", "imps", "defaults", "clearprice", "spend", "clicks",
              "view_convs", "click_convs"]
@@ -550,8 +579,8 @@ ORACLES.update({
     "geoadstats_all": _o_union("geo"),
     "keywordadstats_all": _o_union("keyword"),
     "hourly_backfill": _o_hourly_backfill(),
-    "hourly_job": _o_hourly_backfill(),
-    "hourly_job_rerun": _o_hourly_backfill(),
+    "hourly_job": _o_hourly_job(),
+    "hourly_job_rerun": _o_hourly_job(),
     "keyword_backfill": _o_hourly_backfill("keyword"),
     "dailyadstats": _o_dailyadstats(),
     "daily_backfill": _o_daily_backfill(),

@@ -1,16 +1,12 @@
 """Sinks (K1-K6): partition overwrite, keyed upsert, replace, copy-once.
 
 ``overwrite_partitions`` replaces the partitions present in a frame, which
-suits a sink that is fed one kind of rows at a time.  A job that writes all
-rows of an interval uses ``overwrite_span``: it also clears the interval's
-partitions for which the new run has no row.
+suits a sink that is fed one kind of rows at a time.  A job that owns an
+interval of a table writes it with ``owned.replace_span``.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,13 +15,7 @@ from clearbid.functions import day_floor
 from clearbid.operators.daily import upsert
 from clearbid.schemas import DAILY_KEYS
 from clearbid.session import scratch_dir
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+from clearbid.sources.owned import stored
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
@@ -41,25 +31,6 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) ->
         .partitionBy(*partition_cols).parquet(path))
 
 
-def overwrite_span(df: DataFrame, path: str, start, end, partition_cols: list[str]) -> None:
-    """K1 for a job that owns an interval: its hours (or days) become exactly the rows of ``df``.
-
-    Folders of the first partition column in ``[start, end)`` go before the write, so an hour or a kind
-    without a new row keeps no old one.  A run that dies in between is mended by
-    running it again: ``df`` must not read from ``path``.
-    """
-    spark = df.sparkSession
-    if _exists(spark, path):
-        jvm = spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(path)
-        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for status in fs.listStatus(root):   # one folder per hour or day
-            name, _, value = status.getPath().getName().partition("=")
-            if name == partition_cols[0] and value and start <= datetime.fromisoformat(unquote(value)) < end:
-                fs.delete(status.getPath(), True)
-    overwrite_partitions(df, path, partition_cols)
-
-
 def append(df: DataFrame, path: str, partition_cols: list[str] | None = None) -> bool:
     """K1/K2 as in the reference: append, skip the write when there is no row."""
     if df.isEmpty():
@@ -78,8 +49,8 @@ def replace(df: DataFrame, path: str) -> None:
 
 def copy_once(df: DataFrame, path: str) -> bool:
     """K5: copy only when the target does not exist yet or holds no row."""
-    spark = df.sparkSession
-    if _exists(spark, path) and not spark.read.parquet(path).isEmpty():
+    there = stored(df.sparkSession, path)
+    if there is not None and not there.isEmpty():
         return False
     df.write.mode("overwrite").parquet(path)
     return True
@@ -104,9 +75,10 @@ def upsert_daily(spark: SparkSession, new_rows: DataFrame, path: str, keys: tupl
     schema = new_rows.schema
     updated = 0
     day = {"day": T.DateType()}
-    if _exists(spark, path):
+    there = stored(spark, path)
+    if there is not None:
         # fields of the target that the new rows lack belong to the merged schema too
-        have = spark.read.parquet(path).schema
+        have = there.schema
         schema = T.StructType([*schema.fields, *[f for f in have.fields if f.name not in {*schema.names, "day"}]])
         # semi-join on the partition column: dynamic partition pruning reads
         # only the touched days of the target
@@ -132,14 +104,12 @@ def read_written(spark: SparkSession, path: str, schema: T.StructType,
                  partition_cols: dict[str, T.DataType] | None = None, must_exist: bool = False) -> DataFrame:
     """Read a table this package wrote, with its declared schema.
 
-    Declaring the schema keeps partition values typed (``hour`` stays
-    ``timestamp_ntz``) and lets a run that wrote no row read back an empty
+    Declaring the schema keeps partition values typed and lets a run that wrote no row read back an empty
     table instead of failing schema inference.
     """
     full = T.StructType(list(schema.fields) + [T.StructField(n, t, True)
                                                for n, t in (partition_cols or {}).items()])
-    if not _exists(spark, path):
-        if must_exist:   # this run has just written it
-            raise FileNotFoundError(path)
-        return spark.createDataFrame([], full)
-    return spark.read.schema(full).parquet(path)
+    there = stored(spark, path, full)
+    if there is None and must_exist:   # this run has just written it
+        raise FileNotFoundError(path)
+    return spark.createDataFrame([], full) if there is None else there

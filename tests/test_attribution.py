@@ -112,10 +112,10 @@ def test_heavy_keys_are_cut_in_time(spark, monkeypatch):
     t = spark.createDataFrame(touch, "uuid string, advertiser string, tstamp timestamp_ntz")
     a = spark.createDataFrame(acts, "actionid string, uuid string, advertiser string, tstamp timestamp_ntz")
     keys = ["uuid", "advertiser"]
-    _, heavy, limit = asof.count_keys(a.filter("uuid IS NOT NULL"), t.filter("uuid IS NOT NULL"), keys, 100)
-    assert len(heavy) == 1
+    counts = asof.count_keys(a.filter("uuid IS NOT NULL"), t.filter("uuid IS NOT NULL"), keys, 100)
+    assert len(counts.heavy) == 1
     rows = a.union(t.select(F.lit("t"), "*")).filter("uuid = ''").select(F.xxhash64(*keys).alias("h"), "tstamp")
-    edges = asof.cell_edges(rows, heavy, limit).first().edges
+    edges = asof.cell_edges(rows, counts.heavy, counts.limit).first().edges
     assert len(edges) >= 8 and sum(e < start + timedelta(hours=1) for e in edges) >= 5
     for cell_rows in (100, 37, 10**6):
         got = {r.actionid: r.touch_tstamp for r in latest_touch_time(a, t, keys, cell_rows=cell_rows).collect()}
@@ -124,6 +124,23 @@ def test_heavy_keys_are_cut_in_time(spark, monkeypatch):
             assert got[aid] == (max(prior) if prior else None)
 
 
+def test_attribution_of_heavy_keys_equals_the_one_pass_form(spark, monkeypatch):
+    """Interval and per-hour forms with some keys cut in cells, and with all of them."""
+    from clearbid.operators import asof
+    from clearbid.sources.fixtures import ad_tables
+    t = ad_tables(spark, "/root/testdata/sf0.001")
+    span = Interval(datetime(2024, 1, 3), datetime(2024, 1, 20))
+    forms = [lambda: imp_matched_actions(t["impressions"], t["actions"], t["auctions"], span, 7),
+             lambda: click_matched_actions_hourly(t["clicks"], t["actions"], t["auctions"], 7, span),
+             lambda: imp_matched_actions_hourly(t["impressions"], t["actions"], t["auctions"], 2, span)]
+    want = [sorted(f().collect()) for f in forms]
+    assert all(len(w) > 10 for w in want)
+    monkeypatch.setattr(asof, "PARTS", 1000)
+    for cell_rows in (5, 1):
+        monkeypatch.setattr(asof, "CELL_ROWS", cell_rows)
+        assert [sorted(f().collect()) for f in forms] == want
+
+
 def test_many_actions_keep_touches_unfiltered(spark, monkeypatch):
     from clearbid.operators import asof
     monkeypatch.setattr(asof, "SMALL_ACTIONS", 0)
@@ -170,18 +187,18 @@ def test_hourly_equals_loop_of_hours(spark):
 
 
 def test_tied_touches_meet_actions_as_one_state(spark):
-    # 1,000 touches and 1,000 actions at one instant: the match works on one state per time
+    # 1,000 touches and 999 actions at one instant: the match works on one state per time
     imps = [_imp(f"t{n:04d}", 8) for n in range(1000)]
-    acts = [_action(f"x{n:04d}", 9) for n in range(1000)]
+    acts = [_action(f"x{n:04d}", 9) for n in range(999)]
     i, a, x = (spark.createDataFrame(imps, IMPRESSIONS), spark.createDataFrame([_auction("t0007"), _auction("t0500")], AUCTIONS),
                spark.createDataFrame(acts, ACTIONS))
     df = imp_matched_actions(i, x, a, IV, 30)
-    assert {r.impid for r in df.collect()} == {"t0007"} and df.count() == 1000
-    # touches are reduced to one per time before they meet actions: no join on the touch time sees a product
+    assert {r.impid for r in df.collect()} == {"t0007"} and df.count() == 999
+    # tied touches and actions meet in a window: the only joins are the semi-join by user and the one with auctions
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join LeftSemi, (((uuid" in plan
-    joined = [line for line in plan.splitlines() if "Join Inner, (((uuid" in line]
-    assert len(joined) == 1 and "row_number" in plan[plan.index(joined[0]):]
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert len(joins) == 2 and sum("Join LeftSemi, (((uuid" in j or "Join LeftSemi, ((uuid" in j for j in joins) == 1
+    assert not any("imp_tstamp" in j for j in joins)
 
 
 def test_per_hour_click_auction_between_the_two_bounds(spark):

@@ -1,0 +1,101 @@
+"""Tables whose spans belong to runs: nothing is lost or shown twice, whatever a run leaves behind."""
+
+import os
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from clearbid.sources.owned import commit, owners, paint, read_owned, replace_span, retire
+
+DAY = datetime(2024, 1, 12)
+SCHEMA = T.StructType([T.StructField("hour", T.TimestampNTZType()), T.StructField("v", T.IntegerType())])
+
+
+def hour(n):
+    return DAY + timedelta(hours=n)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(hour(h), v) for h, v in rows], SCHEMA)
+
+
+def held(spark, path, lo=None, hi=None):
+    return sorted(((r.hour - DAY) // timedelta(hours=1), r.v) for r in read_owned(spark, path, SCHEMA, "hour", lo, hi).collect())
+
+
+def folders(path):
+    return sorted(f"{d}/{r}" for d in os.listdir(path) if d.startswith("day=") for r in os.listdir(f"{path}/{d}") if r.startswith("run="))
+
+
+def test_paint():
+    at = lambda n: DAY + timedelta(hours=n)
+    spans = []
+    for lo, hi, run in ((0, 10, "a"), (20, 30, "b"), (5, 7, "c"), (6, 22, "d"), (30, 31, "e"), (25, 26, "b")):
+        paint(spans, at(lo), at(hi), run)
+        assert all(x[1] <= y[0] for x, y in zip(spans, spans[1:])) and all(a < b for a, b, _ in spans)
+    own = {h: next((r for a, b, r in spans if a <= at(h) < b), None) for h in range(32)}
+    assert "".join(own[h] or "." for h in range(32)) == "aaaaac" + "d" * 16 + "bbbbbbbbe."
+
+
+def test_runs_replace_spans(spark, tmp_root):
+    path = tmp_root + "/t"
+    assert held(spark, path) == [] and owners(spark, path) == []
+    replace_span(frame(spark, [(h, 1) for h in range(30)]), path, "hour", hour(0), hour(30))
+    assert held(spark, path) == [(h, 1) for h in range(30)]
+    replace_span(frame(spark, [(3, 2), (4, 2), (4, 3)]), path, "hour", hour(3), hour(6))   # hour 5 has no row any more
+    want = sorted([(h, 1) for h in range(30) if not 3 <= h < 6] + [(3, 2), (4, 2), (4, 3)])
+    assert held(spark, path) == want
+    assert held(spark, path, hour(2), hour(5)) == [r for r in want if 2 <= r[0] < 5]
+    replace_span(frame(spark, []), path, "hour", hour(24), hour(30))
+    assert held(spark, path) == [r for r in want if r[0] < 24]
+    # the first run owns part of the first day still and nothing of the second
+    assert len([f for f in folders(path) if f.startswith("day=2024-01-12")]) == 2
+    assert not [f for f in folders(path) if f.startswith("day=2024-01-13")]
+    replace_span(frame(spark, [(0, 9)]), path, "hour", hour(0), hour(24))
+    assert held(spark, path) == [(0, 9)] and len(folders(path)) == 1
+
+
+def test_a_write_that_fails_leaves_the_old_rows(spark, tmp_root):
+    path = tmp_root + "/t"
+    replace_span(frame(spark, [(h, 1) for h in range(6)]), path, "hour", hour(0), hour(6))
+    broken = frame(spark, [(h, 2) for h in range(6)]).repartition(3).withColumn(
+        "v", F.when(F.col("hour") == F.lit(hour(4)).cast("timestamp_ntz"), F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost"):
+        replace_span(broken, path, "hour", hour(0), hour(6))
+    assert held(spark, path) == [(h, 1) for h in range(6)]
+    replace_span(frame(spark, [(h, 2) for h in range(6)]), path, "hour", hour(0), hour(6))
+    assert held(spark, path) == [(h, 2) for h in range(6)]
+
+
+def test_a_run_that_dies_before_or_after_its_marker(spark, tmp_root):
+    path = tmp_root + "/t"
+    replace_span(frame(spark, [(0, 1), (1, 1)]), path, "hour", hour(0), hour(2))
+    # all files written, no marker: nobody sees them, and the next run clears them away
+    late = frame(spark, [(0, 7), (1, 7)]).withColumn("day", F.to_date("hour")).withColumn("run", F.lit("dead"))
+    late.write.mode("append").partitionBy("day", "run").parquet(path)
+    assert held(spark, path) == [(0, 1), (1, 1)] and len(folders(path)) == 2
+    # marker written, nothing retired: the whole span has changed hands
+    commit(spark, path, "dead", hour(0), hour(2))
+    assert held(spark, path) == [(0, 7), (1, 7)] and len(folders(path)) == 2
+    assert len(retire(spark, path)) == 1 and folders(path) == ["day=2024-01-12/run=dead"]
+    assert held(spark, path) == [(0, 7), (1, 7)]
+
+
+def test_a_run_may_read_what_it_replaces(spark, tmp_root):
+    path = tmp_root + "/t"
+    replace_span(frame(spark, [(h, h) for h in range(4)]), path, "hour", hour(0), hour(4))
+    more = read_owned(spark, path, SCHEMA, "hour").withColumn("v", F.col("v") + 100)
+    replace_span(more, path, "hour", hour(0), hour(4))
+    assert held(spark, path) == [(h, h + 100) for h in range(4)]
+
+
+def test_readers_prune_days_and_runs(spark, tmp_root):
+    path = tmp_root + "/t"
+    for d in range(3):
+        replace_span(frame(spark, [(24 * d + h, d) for h in range(24)]), path, "hour", hour(24 * d), hour(24 * d + 24))
+    plan = read_owned(spark, path, SCHEMA, "hour", hour(24), hour(48))._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):].split("]")[0]
+    assert "day" in filters and "run" in filters
+    assert held(spark, path, hour(24), hour(26)) == [(24, 1), (25, 1)]
