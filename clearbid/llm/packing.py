@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clearbid.llm.common import materialize, rank_in_groups, ship
+from clearbid.llm.common import id_width, materialize, rank_in_groups, ship, wide_ids
 
 ship(__name__)
 
@@ -48,8 +48,8 @@ def byte_letters() -> list[str]:
     return [chr(code[b]) for b in range(256)]
 
 
-def word_encoder(tokenizer_json: str):
-    """Function text -> its ids, little-endian unsigned 32 bit.
+def word_encoder(tokenizer_json: str, width: int = 4):
+    """Function text -> its ids, little-endian, ``width`` bytes each.
 
     The tokenizer splits at white space and encodes each pre-token alone.  A
     text of ASCII and Latin-1 letters is cut into its pre-tokens here and each
@@ -75,13 +75,13 @@ def word_encoder(tokenizer_json: str):
         got = pieces.get(piece)
         if got is None:
             spelled = piece if piece.isascii() else "".join([letters[b] for b in piece.encode()])
-            got = b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(spelled)])
+            got = b"".join([t.id.to_bytes(width, "little") for t in model.tokenize(spelled)])
             if len(pieces) < CACHE_WORDS:
                 pieces[piece] = got
         return got
 
     def whole(word: str) -> bytes:
-        return b"".join([i.to_bytes(4, "little") for i in tokenizer.encode(word, add_special_tokens=False).ids])
+        return b"".join([i.to_bytes(width, "little") for i in tokenizer.encode(word, add_special_tokens=False).ids])
 
     def cut(text: str) -> bytes:
         get = pieces.get
@@ -109,27 +109,28 @@ def word_encoder(tokenizer_json: str):
 
 
 def tokenize_pieces(docs: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN, end_id: int = END_ID) -> DataFrame:
-    """Rows (doc_id, start, length, doc_tokens, ids): each document's pieces, ids little-endian unsigned 32 bit.
+    """Rows (doc_id, start, length, doc_tokens, ids): each document's pieces, ids in ``id_width`` bytes each.
 
     The tokenizer file is read on the driver (its size is fixed) and broadcast.
     """
-    spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
-        shared = spark.sparkContext.broadcast(f.read())
-    end = np.array([end_id], "<u4").tobytes()
-    size = 4 * max_len
+        tokenizer_json = f.read()
+    width = id_width(tokenizer_json, end_id)
+    shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
+    end = end_id.to_bytes(width, "little")
+    size = width * max_len
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode = word_encoder(shared.value)
+        encode = word_encoder(shared.value, width)
         for batch in batches:
             ids, starts, lengths, totals, offsets = [], [], [], [], [0]
             for text in batch:
                 got = encode(text.as_py() or "") + end
                 for k in range(0, len(got), size):
                     ids.append(got[k:k + size])
-                    starts.append(k // 4)
-                    lengths.append(len(ids[-1]) // 4)
-                    totals.append(len(got) // 4)
+                    starts.append(k // width)
+                    lengths.append(len(ids[-1]) // width)
+                    totals.append(len(got) // width)
                 offsets.append(len(ids))
             yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
                 [pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(totals, pa.int64()), pa.array(ids, pa.binary())],
@@ -268,11 +269,15 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 # ------------------------------------------------------------------- assignment (distributed)
 
 def assign_sequences(pieces: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to pieces (doc_id, start, length, ...).
+    """Add ``sequence_id`` and ``offset`` to pieces (length, ...).
 
-    ``pieces`` should be a written table, since it is read three times.  Any
-    further column rides along.
+    ``pieces`` with unique keys ``piece_key`` should be a written table, since it
+    is read four times; others are written here under a key.  Keys and lengths alone are ranked and placed, and any further
+    column, the ids above all, joins its place once at the end.  The order of the
+    keys decides all ties, so a task that runs again places its pieces alike.
     """
+    if "piece_key" not in pieces.columns:
+        return assign_sequences(materialize(pieces.withColumn("piece_key", F.monotonically_increasing_id()), "pieces"), max_len).drop("piece_key")
     spark = pieces.sparkSession
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     rows = plan(histogram, max_len)
@@ -280,18 +285,23 @@ def assign_sequences(pieces: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
     slots = F.broadcast(spark.createDataFrame(rows, schema))   # bounded by classes and patterns
     classes = [(n, int(np.searchsorted(size_classes(max_len), n))) for n in histogram]
     by_length = F.broadcast(spark.createDataFrame(classes, "length bigint, size_class int"))   # at most max_len rows
-    classed = pieces.join(by_length, "length")
-    order = ["-length", "doc_id", "start", "doc_tokens"]
-    ranked = rank_in_groups(classed, ["size_class"], order, sum(histogram.values()), "rank")
+    narrow = pieces.select("piece_key", "length").join(by_length, "length")
+    ranked = rank_in_groups(narrow, ["size_class"], ["piece_key"], sum(histogram.values()), "rank")
     at = F.col("rank") - F.col("lo")
     placed = (ranked.join(slots, (ranked["size_class"] == slots["size_class"]) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
               .withColumn("sequence_id", (F.col("first_sequence") + F.expr("(rank - lo) div per")))
               .withColumn("slot", F.col("first_slot") + at % F.col("per")))
     before = Window.partitionBy("sequence_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.select(*[pieces[c] for c in pieces.columns], "sequence_id",
-                         F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"))
+    places = placed.select("piece_key", "sequence_id", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"))
+    return pieces.join(places, "piece_key")
 
 
 def pack(docs: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN, end_id: int = END_ID) -> DataFrame:
-    """Pieces with their ids and places: (doc_id, start, length, doc_tokens, ids, sequence_id, offset)."""
-    return assign_sequences(materialize(tokenize_pieces(docs, tokenizer_path, max_len, end_id), "pieces"), max_len)
+    """Pieces with their ids and places: (doc_id, start, length, doc_tokens, ids, sequence_id, offset).
+
+    The ids are written once, move through one shuffle, and take 16 bits each
+    until they leave, while the vocabulary allows it.
+    """
+    keyed = tokenize_pieces(docs, tokenizer_path, max_len, end_id).withColumn("piece_key", F.monotonically_increasing_id())
+    done = assign_sequences(materialize(keyed, "pieces"), max_len)
+    return done.select("doc_id", "start", "length", "doc_tokens", wide_ids("ids", "length").alias("ids"), "sequence_id", "offset")
