@@ -49,6 +49,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened by underscores until no column of ``df`` has it in any spelling."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def content_key(*cols: Column) -> Column:
     """128-bit key of several columns; nulls and empty strings differ."""
     parts = [F.coalesce(F.concat(F.lit("v"), c.cast("string")), F.lit("n")) for c in cols]

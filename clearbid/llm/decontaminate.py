@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearbid.llm.common import ALNUM_TABLE, materialize, ship
+from clearbid.llm.common import ALNUM_TABLE, fresh, materialize, ship
 
 ship(__name__)
 
@@ -115,7 +115,10 @@ HITS_ARROW = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()),
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
               name: str = "hits") -> DataFrame:
-    """``docs`` with a struct column: n_words, n_hit, merged spans of hit words, item ids."""
+    """``docs`` with a struct column ``name``: n_words, n_hit, merged spans of hit words, item ids.
+
+    A column of that name is replaced.
+    """
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
                              F.coalesce("text", F.lit("")).alias("words")).distinct()   # copies would share a block
@@ -139,8 +142,8 @@ def contaminated(hits: str = "hits", share: int = SHARE) -> Column:
 
 def drop_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Rows of ``docs`` that are not contaminated, unchanged."""
-    name = "__hits"
-    return find_hits(docs, benchmark, name=name, **options).filter(~contaminated(name)).drop(name)
+    name, = fresh(docs, "__hits")
+    return find_hits(docs, benchmark, name=name, **options).filter(~contaminated(name)).select(*docs.columns)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -159,6 +162,6 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
                 out.append(text)
             yield pa.array(out, pa.string())
 
-    name = "__hits"
+    name, = fresh(docs, "__hits")
     found = find_hits(docs, benchmark, name=name, **options)
-    return found.withColumn("text", F.arrow_udf(run, "string")(F.col("text"), F.col(name))).drop(name)
+    return found.withColumn("text", F.arrow_udf(run, "string")(F.col("text"), F.col(name))).select(*docs.columns)

@@ -3,7 +3,8 @@
 A block is a run of up to ``RUN_LINES`` neighbouring lines, as its set of words,
 one run from each line on, so that a notice wrapped over as many lines is whole
 in one of them.  Of a template of fewer than ``SHORT`` words all must stand in a
-run unless one line holds enough: stray words of neighbours would do otherwise.  A template is found in a block if at least ``CONTAINMENT`` of the template's words stand in it.  Words of
+run unless one line holds enough: stray words of neighbours would do otherwise.  A template is found in a block if at least ``CONTAINMENT`` of the template's words stand in it, those that name its license
+(``NAMES``: an LGPL notice is one word away from a GPL notice) among them.  Words of
 templates are ordered by how many blocks hold them, rarest first; a block that
 contains enough of a template must share a word of the template's prefix within
 its own prefix, have enough words (length filter), and leave enough words after
@@ -40,7 +41,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # label of each phrase
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# (label, opening words of the license or of its usual notice)
+# (label, opening words of the license or of its usual notice); the words of NAMES must stand among those found
 TEMPLATES = [
     ("apache-2.0", "licensed under the apache license version 2 0"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
@@ -56,6 +57,14 @@ TEMPLATES = [
 ]
 
 
+# words without which a notice is that of another license
+NAMES = {"apache", "attribution", "gnu", "lesser", "mit", "mozilla", "nc", "unencumbered"}
+
+
+def names_of(words: str) -> list[str]:
+    return sorted(NAMES & set(words.split()))
+
+
 def _words(line: Column) -> Column:
     return F.filter(F.split(line, NON_WORD), lambda x: x != "")
 
@@ -110,15 +119,16 @@ def match_blocks(blocks: DataFrame, templates: list[tuple[str, str]] = TEMPLATES
     for t, (label, words) in enumerate(templates):
         ranks = sorted(order[w] for w in set(words.split()))
         need = math.ceil(containment * len(ranks) - 1e-9)
-        prefix += [(r, i, t, label, len(ranks), need, ranks) for i, r in enumerate(ranks[:len(ranks) - need + 1])]
-    index = F.broadcast(spark.createDataFrame(prefix, "rank int, i int, template int, label string, size int, need int, words array<int>"))
+        names = [order[w] for w in names_of(words)]
+        prefix += [(r, i, t, label, len(ranks), need, ranks, names) for i, r in enumerate(ranks[:len(ranks) - need + 1])]
+    index = F.broadcast(spark.createDataFrame(prefix, "rank int, i int, template int, label string, size int, need int, words array<int>, names array<int>"))
     ranked = F.create_map(*[F.lit(x) for w, r in order.items() for x in (w, r)])
     sets = rows.select("doc_id", "key", "block", F.transform("own", lambda w: F.element_at(ranked, w)).alias("own"),
                        F.sort_array(F.transform("b", lambda w: F.element_at(ranked, w))).alias("r"))
     probes = sets.select("doc_id", "key", "block", "own", "r", F.size("r").alias("n"), F.posexplode("r").alias("j", "rank"))
     left = F.least(F.col("size") - F.col("i"), F.col("n") - F.col("j"))
     met = (probes.join(index, "rank").filter((F.col("n") >= F.col("need")) & (left >= F.col("need")))
-           .withColumn("shared", F.size(F.array_intersect("r", "words"))).filter(F.col("shared") >= F.col("need"))
+           .withColumn("shared", F.size(F.array_intersect("r", "words"))).filter((F.col("shared") >= F.col("need")) & (F.size(F.array_except("names", "r")) == 0))
            .filter((F.col("size") >= SHORT) | (F.col("shared") == F.col("size")) | (F.size(F.array_intersect("own", "words")) >= F.col("need"))))
     return met.select("doc_id", "key", "block", "template", "label", (F.col("shared") / F.col("size")).alias("containment"))
 

@@ -5,8 +5,8 @@ on ``MIN_PAGES`` or more of a host's pages and on more than ``RATIO`` of all of
 them is boilerplate of that host and is dropped from its pages.  Lines without
 a word are never dropped.
 
-With ``long_words`` given, a passage is caught however small its share of a
-host: a line of more words than that on ``MIN_PAGES`` or more different texts,
+Besides, a passage is caught however small its share of a host
+(``long_words``; None leaves this rule out): a line of more words than that on ``MIN_PAGES`` or more different texts,
 of whatever hosts, stays on one of them (that of the smallest hash) and is
 dropped from all others.  Copies of a whole text count as one there, so no
 passage is lost.
@@ -19,7 +19,8 @@ lines to drop through a join on a content key, never on the host.
 Defined results: a null text stays null and counts as a page without lines; a
 null host is a host of its own; repeated rows count as pages each and get equal
 results; a page that loses every line keeps its row with what blank lines it
-had; an empty table gives an empty result.  Extra columns ride along.
+had; an empty table gives an empty result.  Extra columns ride along; one named as the
+count (``dropped``) is replaced by it.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearbid.llm.common import content_key, materialize
+from clearbid.llm.common import content_key, fresh, materialize
 
 RATIO = 0.1
 MIN_PAGES = 3
@@ -73,9 +74,11 @@ def repeated_passages(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame
 
 
 def dedup_lines(docs: DataFrame, host: str = "source", text: str = "text",
-                ratio: float = RATIO, min_pages: int = MIN_PAGES, long_words: int | None = None) -> DataFrame:
-    """``docs`` with the cleaned ``text`` and ``n_dropped`` lines; passages go too if ``long_words`` is given."""
-    columns = docs.columns
+                ratio: float = RATIO, min_pages: int = MIN_PAGES, long_words: int | None = LONG_WORDS,
+                dropped: str = "n_dropped") -> DataFrame:
+    """``docs`` with the cleaned ``text`` and the number of lines dropped from it."""
+    columns = [c for c in docs.columns if c.lower() != dropped.lower()]
+    own_key, own_drop = fresh(docs, "__key", "__drop")
     key = content_key(F.col(host), F.col(text))
     # distinct as strings: Spark hashes those, while binary keys would be compared pair by pair
     bare = F.array_distinct(F.transform(lines(F.col(text)), lambda x: F.trim(x, F.lit(BLANKS))))
@@ -93,10 +96,10 @@ def dedup_lines(docs: DataFrame, host: str = "source", text: str = "text",
         passages = pages.select("__key", "page", F.explode("long").alias("line")).alias("p")
         lost = lost.union(passages.join(repeated_passages(pages, min_pages).alias("b"), F.expr("p.line = b.line AND p.page <> b.keeper"), "left_semi")
                           .select("__key", "line"))
-    drop = lost.groupBy("__key").agg(F.collect_set("line").alias("__drop"))
-    joined = docs.withColumn("__key", key).join(drop, "__key", "left")
+    drop = lost.groupBy(F.col("__key").alias(own_key)).agg(F.collect_set("line").alias(own_drop))
+    joined = docs.withColumn(own_key, key).join(drop, own_key, "left")
     before = lines(F.col(text))
-    kept = F.filter(before, lambda x: ~F.coalesce(F.array_contains(F.col("__drop"), line_key(x)), F.lit(False)))
-    clean = F.when(F.col("__drop").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
-    dropped = F.when(F.col("__drop").isNull(), F.lit(0)).otherwise(F.size(before) - F.size(kept)).cast("long")
-    return joined.select(*[clean.alias(c) if c == text else F.col(c) for c in columns], dropped.alias("n_dropped"))
+    kept = F.filter(before, lambda x: ~F.coalesce(F.array_contains(F.col(own_drop), line_key(x)), F.lit(False)))
+    clean = F.when(F.col(own_drop).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+    count = F.when(F.col(own_drop).isNull(), F.lit(0)).otherwise(F.size(before) - F.size(kept)).cast("long")
+    return joined.select(*[clean.alias(c) if c == text else F.col(c) for c in columns], count.alias(dropped))

@@ -33,8 +33,9 @@ prior AS (SELECT rule, any_value(mean) AS mean, any_value(mean * (1 - mean)) AS
           FROM hosts JOIN means USING (rule) GROUP BY rule),
 strength AS (SELECT rule, mean, least({quality.MAX_STRENGTH}, greatest({quality.MIN_STRENGTH},
                     CASE WHEN between <= within / {quality.MAX_STRENGTH} THEN {quality.MAX_STRENGTH} ELSE within / between - 1 END)) AS s FROM prior),
-verdict AS (SELECT source, max((k + s * mean) / (n + s)) > {quality.HOST_LIMIT} AS rejected
-            FROM hosts JOIN strength USING (rule) GROUP BY source)
+rates AS (SELECT source, n, s, mean, (k + s * mean) / (n + s) AS rate FROM hosts JOIN strength USING (rule)),
+verdict AS (SELECT source, bool_or(rate - {quality.BOUND} * sqrt(rate * (1 - rate) / (n + s + 1)) > greatest({quality.HOST_LIMIT}, {quality.HOST_TIMES} * mean)) AS rejected
+            FROM rates GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeats AS base_failed,
        NOT (short OR repeats) AND NOT rejected AS kept
 FROM f JOIN verdict v ON f.source IS NOT DISTINCT FROM v.source"""
@@ -83,12 +84,17 @@ l AS (SELECT r, source, i, line, {BARE.format(x='line')} AS bare
 pages AS (SELECT source, count(*) AS n FROM docs GROUP BY source),
 bad AS (SELECT l.source, bare FROM l JOIN pages p ON l.source IS NOT DISTINCT FROM p.source WHERE bare <> ''
         GROUP BY l.source, bare, p.n HAVING count(DISTINCT r) >= {line_dedup.MIN_PAGES} AND count(DISTINCT r) > {line_dedup.RATIO} * p.n),
-j AS (SELECT r, string_agg(line, chr(10) ORDER BY i) FILTER (b.bare IS NULL) AS clean, count(b.bare) AS n
-      FROM l LEFT JOIN bad b ON l.source IS NOT DISTINCT FROM b.source AND l.bare = b.bare GROUP BY r)
+long AS (SELECT DISTINCT md5('v' || text) AS page, bare FROM l JOIN docs USING (r)
+         WHERE len(regexp_extract_all(bare, '[^\\x20\\x09-\\x0D]+')) > {line_dedup.LONG_WORDS}),
+passage AS (SELECT bare, min(page) AS keeper FROM long GROUP BY bare HAVING count(*) >= {line_dedup.MIN_PAGES}),
+marked AS (SELECT l.r, l.i, l.line, b.bare IS NOT NULL OR coalesce(p.keeper <> md5('v' || d.text), false) AS gone
+           FROM l JOIN docs d USING (r) LEFT JOIN bad b ON l.source IS NOT DISTINCT FROM b.source AND l.bare = b.bare
+           LEFT JOIN passage p ON p.bare = l.bare),
+j AS (SELECT r, string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS clean, count(*) FILTER (gone) AS n FROM marked GROUP BY r)
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_dropped,
        CASE WHEN coalesce(n, 0) = 0 THEN text ELSE coalesce(clean, '') END AS text FROM docs LEFT JOIN j USING (r)"""
 
-_TEMPLATES = ", ".join(f"({k}, '{label}', '{words}')" for k, (label, words) in enumerate(licenses.TEMPLATES))
+_TEMPLATES = ", ".join(f"({k}, '{label}', '{words}', {licenses.names_of(words)}::VARCHAR[])" for k, (label, words) in enumerate(licenses.TEMPLATES))
 _PHRASES = ", ".join(f"('{p}', '{label}')" for p, label in licenses.PHRASES.items())
 OP5 = f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {LOW.format(t="coalesce(text, '')")} AS low FROM documents),
@@ -96,10 +102,15 @@ d AS (SELECT *, {ALNUM.format(t='low')} AS w FROM docs),
 phrases AS (SELECT string_split(p, ' ') AS p, label FROM (VALUES {_PHRASES}) AS t(p, label)),
 found AS (SELECT r, label, i - 1 AS i FROM (SELECT r, w, unnest(generate_series(1, len(w))) AS i FROM d), phrases
        WHERE w[i:i + len(p) - 1] = p),
-templates AS (SELECT t, label, list_distinct(string_split(x, ' ')) AS x FROM (VALUES {_TEMPLATES}) AS t(t, label, x)),
-lines AS (SELECT r, list_distinct({ALNUM.format(t='line')}) AS b FROM (SELECT r, unnest(string_split(low, chr(10))) AS line FROM docs)),
-met AS (SELECT r, label, len(list_intersect(b, x)) / len(x) AS share FROM lines, templates
-        WHERE len(list_intersect(b, x)) >= ceil({licenses.CONTAINMENT} * len(x) - 1e-9)),
+templates AS (SELECT t, label, list_distinct(string_split(x, ' ')) AS x, names FROM (VALUES {_TEMPLATES}) AS t(t, label, x, names)),
+split AS (SELECT r, string_split(low, chr(10)) AS lines FROM docs),
+runs AS (SELECT r, list_distinct({ALNUM.format(t='lines[i]')}) AS own,
+                list_distinct({ALNUM.format(t=f"array_to_string(lines[i:i + {licenses.RUN_LINES - 1}], chr(10))")}) AS b
+         FROM split, unnest(generate_series(1, len(lines))) AS t(i)),
+shares AS (SELECT r, label, names, b, len(x) AS size, len(list_intersect(b, x)) AS shared, len(list_intersect(own, x)) AS alone,
+                  ceil({licenses.CONTAINMENT} * len(x) - 1e-9) AS need FROM runs, templates),
+met AS (SELECT r, label, shared / size AS share FROM shares
+        WHERE shared >= need AND len(list_intersect(names, b)) = len(names) AND (size >= {licenses.SHORT} OR shared = size OR alone >= need)),
 base AS (SELECT r, count(*) AS n, min(i) AS lo, max(i) AS hi, list(DISTINCT label) AS labels FROM found GROUP BY r),
 own AS (SELECT r, max(share) AS best, list(DISTINCT label) AS labels FROM met GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base,

@@ -4,8 +4,10 @@ Per text: word and symbol counts, repeated lines, and words that lie in 3-word
 windows found twice or more.  Rule failures are then summed by host and each
 host's failure rate is shrunk towards the corpus by a beta prior whose strength
 is the method-of-moments fit over all hosts, so that a host with two pages is
-not judged by two pages.  A host whose shrunk rate of any rule exceeds
-``HOST_LIMIT`` is rejected, and its verdict is joined back to its documents.
+not judged by two pages.  A host is rejected by a rule if its rate surely stands
+out: the lower bound of its shrunk rate (``BOUND`` posterior standard deviations
+below it) is above ``HOST_TIMES`` the corpus rate and above ``HOST_LIMIT``.  The
+verdict is joined back to the host's documents.
 
 Repeated windows are found inside the row: 34-bit window hashes with their
 positions are sorted as plain longs, and only positions whose hash occurs twice
@@ -27,7 +29,9 @@ BLANKS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-HOST_LIMIT = 0.5
+HOST_LIMIT = 0.2          # a host is judged by a rule only if this share of its documents surely fails it,
+HOST_TIMES = 2.0          # and if that is so many times the share in the corpus
+BOUND = 3.0
 MIN_STRENGTH, MAX_STRENGTH = 1.0, 1e6
 POSITION_BITS = 30
 
@@ -91,15 +95,17 @@ def host_verdicts(stats: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     means = {k: (totals[k] or 0) / n if n else 0.0 for k in names}
     spread = hosts.agg(F.lit(0).alias("none"), *[
         (F.sum(F.col("n") * F.pow(F.col(k) / F.col("n") - means[k], 2)) / max(n, 1)).alias(k) for k in names]).first()
-    rates = []
+    rates, rejected = [], F.lit(False)
     for k in names:
         within = means[k] * (1 - means[k])
         between = (spread[k] or 0.0) - within * (m - 1) / max(n, 1)   # variance beyond what sampling explains
         strength = MAX_STRENGTH if between <= within / MAX_STRENGTH else within / between - 1
         strength = min(MAX_STRENGTH, max(MIN_STRENGTH, strength))
-        rates.append(((F.col(k) + strength * means[k]) / (F.col("n") + strength)).alias(k))
-    shrunk = hosts.select("host", "n", *rates)
-    return shrunk.withColumn("rejected", F.greatest(*[F.col(k) for k in names], F.lit(0.0)) > limit)
+        rate = (F.col(k) + strength * means[k]) / (F.col("n") + strength)
+        rates.append(rate.alias(k))
+        surely = rate - BOUND * F.sqrt(rate * (1 - rate) / (F.col("n") + strength + 1))
+        rejected = rejected | (surely > max(limit, HOST_TIMES * means[k]))
+    return hosts.select("host", "n", *rates, rejected.alias("rejected"))
 
 
 def judge(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:

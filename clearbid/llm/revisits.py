@@ -6,12 +6,15 @@ as-of to the latest earlier response of its canonical URL.  Its validators are
 checked (entity tags first, compared weakly, else last-modified dates), and the
 headers a 304 may update are merged over the stored ones.
 
-The as-of join orders records of a URL by time in cells: the span of all times
-is cut into about sqrt(rows) ranges, a window finds the latest response inside a
+The as-of join orders records of a URL by time in cells: a range partitioning by
+time deals all records over about sqrt(rows) ranges of equally many, a window finds the latest response inside a
 (URL, range), and a window over the ranges of a URL carries it forward.  A URL
 with a third of all records is thus spread over the ranges.
 
-Defined results: records of a null URL are never resolved; a null time sorts
+Header names are compared and returned in lower case; of several spellings of one
+name in a record the last counts.
+
+Defined results: records of a null URL are never resolved, and take no part in the join; a null time sorts
 before all others; earlier means a smaller time, so a response of the same time
 does not serve; of responses at one time the largest record_id does; repeated
 rows are resolved each; without validators on both sides a revisit is
@@ -27,6 +30,7 @@ from pyspark.sql import functions as F
 
 from clearbid.llm.common import materialize
 
+MAX_CELLS = 4096
 # headers that a 304 response may bring up to date
 UPDATABLE = ["cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary"]
 
@@ -44,6 +48,14 @@ def canonical_url(url: Column) -> Column:
     return F.concat(host, path, F.when(query == "", F.lit("")).otherwise(F.concat(F.lit("?"), query)))
 
 
+def lower_names(headers: Column) -> Column:
+    """Header map with lower-case names; the last of several spellings stays."""
+    entries = F.map_entries(F.coalesce(headers, F.create_map().cast("map<string,string>")))
+    named = F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    last = F.filter(named, lambda e, i: ~F.exists(F.slice(named, i + 2, F.size(named)), lambda x: x["key"] == e["key"]))
+    return F.map_from_entries(last)
+
+
 def resolve(records: DataFrame) -> DataFrame:
     """One row per revisit: its reference, the outcome and the merged headers.
 
@@ -52,13 +64,14 @@ def resolve(records: DataFrame) -> DataFrame:
     ``unverified``.  The payload stays with the response it refers to.
     """
     bare = lambda h: F.regexp_replace(h["etag"], "^W/", "")
-    rows = materialize(records.select(
+    rows = records.select(
         "record_id", "url", canonical_url(F.col("url")).alias("canonical_url"), "ts", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"),
-        (F.col("kind") == "response").alias("full"), F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("headers")), "records")
-    span = rows.agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    lo, hi = span["lo"] or 0, span["hi"] or 0
-    width = max(1, -(-(hi - lo + 1) // max(1, math.isqrt(span["n"]))))
-    dealt = rows.withColumn("cell", F.coalesce(F.floor((F.col("at") - lo) / width), F.lit(-1)).cast("long"))
+        F.coalesce(F.col("kind") == "response", F.lit(False)).alias("full"), lower_names(F.col("headers")).alias("headers"))
+    cells = min(MAX_CELLS, max(1, math.isqrt(records.count())))
+    # the ranges ascend, nulls first; the written number of a row's range does not change when a task runs again
+    dealt = materialize(rows.filter(F.col("canonical_url").isNotNull()).repartitionByRange(cells, F.col("at").asc_nulls_first())
+                        .withColumn("cell", F.spark_partition_id()), "records")
+    lost = rows.filter(F.col("canonical_url").isNull() & ~F.col("full"))
     stored = F.struct("at", "record_id", "headers")
     # revisits come first at equal times: only earlier responses are seen
     inside = Window.partitionBy("canonical_url", "cell").orderBy(F.col("at").asc_nulls_first(), "full", "record_id")
@@ -69,9 +82,8 @@ def resolve(records: DataFrame) -> DataFrame:
     starts = dealt.select("canonical_url", "cell").distinct().join(ends, ["canonical_url", "cell"], "left")
     earlier = Window.partitionBy("canonical_url").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     carried = starts.select("canonical_url", "cell", F.last("end", ignorenulls=True).over(earlier).alias("carry"))
-    found = (near.filter(~F.coalesce(F.col("full"), F.lit(False)))
-             .join(carried, ["canonical_url", "cell"], "left")
-             .withColumn("ref", F.when(F.col("canonical_url").isNotNull(), F.coalesce("near", "carry"))))
+    found = (near.filter(~F.col("full")).join(carried, ["canonical_url", "cell"], "left").withColumn("ref", F.coalesce("near", "carry"))
+             .unionByName(lost, allowMissingColumns=True))
     mine, theirs = F.col("headers"), F.col("ref.headers")
     tags = F.when(bare(mine).isNotNull() & bare(theirs).isNotNull(), bare(mine) == bare(theirs))
     dates = F.when(mine["last-modified"].isNotNull() & theirs["last-modified"].isNotNull(), mine["last-modified"] == theirs["last-modified"])

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clearbid.llm.common import LOWER_TABLE, components, content_key, materialize, ship
+from clearbid.llm.common import components, content_key, fresh, LOWER_TABLE, materialize, ship
 
 ship(__name__)
 
@@ -202,15 +202,20 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, split: int = SPLIT) -> DataFrame:
-    """``docs`` with one row of each class: the smallest doc_id, then the smallest content key."""
+    """``docs`` with one row of each class: the smallest doc_id, then the smallest content key.
+
+    Rows of equal doc_id and text are told apart by their other columns, and
+    reduced to one before they are gathered.
+    """
     columns = docs.columns
+    own_key, nth = fresh(docs, "__key", "__copy")
     key = content_key(F.col("doc_id"), F.col("text"))
     rows = materialize(fingerprints(docs.select("doc_id", "text"), shingle)
                        .select("doc_id", "fp", key.alias("__key")), "simhash")
     per_fp = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__key")).alias("best"))
     labelled = per_fp.join(classes(rows, max_bits, split), "fp")
     chosen = labelled.groupBy("root").agg(F.min("best").alias("best")).select("best.__key")
-    found = docs.withColumn("__key", key).join(chosen, "__key", "left_semi")
-    # repeated rows share a key; the join's partitioning and order serve the window
-    once = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
-    return found.withColumn("__copy", once).filter("__copy = 1").select(*columns)
+    others = [F.col(f"`{f.name}`") for f in docs.schema.fields if f.name not in ("doc_id", "text") and "map<" not in f.dataType.simpleString()]
+    once = F.row_number().over(Window.partitionBy(own_key).orderBy(*(others or [F.col(own_key)])))
+    single = docs.withColumn(own_key, key).withColumn(nth, once).filter(F.col(nth) == 1)
+    return single.join(chosen.withColumnRenamed("__key", own_key), own_key, "left_semi").select(*columns)

@@ -91,11 +91,13 @@ def slow_licenses(text):
     w = find(low)
     at = [(i, label) for p, label in licenses.PHRASES.items() for i in range(len(w)) if w[i:i + len(p.split())] == p.split()]
     found, best = set(), 0.0
-    for line in low.split("\n"):
-        b = set(find(line))
+    lines = [set(find(line)) for line in low.split("\n")]
+    for k, own in enumerate(lines):
+        b = set().union(*lines[k:k + licenses.RUN_LINES])
         for label, t in licenses.TEMPLATES:
             x = set(t.split())
-            if len(b & x) >= licenses.CONTAINMENT * len(x) - 1e-9:
+            need = licenses.CONTAINMENT * len(x) - 1e-9
+            if len(b & x) >= need and licenses.NAMES & x <= b and (len(x) >= licenses.SHORT or x <= b or len(own & x) >= need):
                 found.add(label)
                 best = max(best, len(b & x) / len(x))
     base = {label for _, label in at}
