@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearbid.llm import decontaminate, line_dedup, simhash, toxicity
-from clearbid.llm.common import materialize, read_table
+from clearbid.llm.common import fresh, materialize, read_table
 from clearbid.llm.queries import packed
 
 
@@ -26,8 +26,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that are boilerplate of their host and copies of long passages go; ``n_chars`` follows the text."""
-    clean = line_dedup.dedup_lines(docs, long_words=line_dedup.LONG_WORDS)
-    counted = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    dropped, = fresh(docs, "n_dropped")
+    clean = line_dedup.dedup_lines(docs, dropped=dropped)
+    counted = F.when(F.col(dropped) > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return clean.select(*[counted.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 
