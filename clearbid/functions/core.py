@@ -83,7 +83,7 @@ class Interval:
         object.__setattr__(self, "start", _as_dt(self.start))
         object.__setattr__(self, "end", _as_dt(self.end))
         if self.start > self.end:
-            raise ValueError("Start cannot be after end")
+            raise ValueError(f"an interval from {self.start} to {self.end} runs backwards")
 
     @classmethod
     def default(cls, now: datetime | None = None) -> "Interval":

@@ -5,6 +5,11 @@ publisher, site, pub_clique).  Sums follow document-store ``$sum``: NULL or
 missing values are skipped and an all-missing group sums to 0; ``clearprice``
 is an average of the hourly averages over rows that have one (NULL when none).
 ``uniques`` is left out since distinct counts do not add up.
+
+``daily_partials`` keeps, per hour and group, what those aggregates need (sums,
+and sum and count of the prices); ``merge_partials`` makes daily rows of them.  A
+job that replaces some hours of a day replaces their partials and merges the
+day's, a few rows per group, instead of reading all stats of the day again.
 """
 
 from __future__ import annotations
@@ -51,6 +56,23 @@ def daily_ad_stats(hourly: DataFrame, day_start: datetime | None = None,
     return out.select(*OUTPUT)
 
 
+PARTIAL_SUMS = [*LONG_SUMS, "spend", "price_sum", "price_n"]
+
+
+def daily_partials(hourly: DataFrame) -> DataFrame:
+    """Mergeable state of the daily rows, one row per hour and group."""
+    return hourly.groupBy("hour", *GROUP).agg(
+        *[_sum0(c, "bigint") for c in LONG_SUMS], _sum0("spend", "double"),
+        F.coalesce(F.sum("clearprice"), F.lit(0.0)).alias("price_sum"), F.count("clearprice").alias("price_n"))
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """Daily rows (as ``daily_ad_stats``) of the days that ``partials`` hold."""
+    out = partials.groupBy(day_floor("hour").alias("date"), *GROUP).agg(*[F.sum(c).alias(c) for c in PARTIAL_SUMS])
+    price = F.when(F.col("price_n") > 0, F.col("price_sum") / F.col("price_n")).alias("clearprice")
+    return out.withColumn("clearprice", price).select(*OUTPUT)
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Keyed upsert as a set operation: new rows replace old rows of equal key.
 

@@ -9,8 +9,9 @@ One run for ``[start, end)``:
    and the small result is written;
 3. each stats table gets its three row kinds in one write, ``kind`` being a
    plain column;
-4. every UTC day the run touches is re-rolled from the hourly table, which
-   replaces the day in ``dailyadstats``.
+4. the run's hours are reduced to mergeable partials, and every UTC day it
+   touches is merged from the day's partials, which replaces the day in
+   ``dailyadstats``.
 
 Every table is kept by ``sources.owned``: rows by UTC day, ``hour`` a sorted
 column, and a run's rows shown once it has written all of them; a run that dies
@@ -38,7 +39,7 @@ from clearbid import schemas as S
 
 from clearbid.functions import Interval, hour_floor, ts_lit
 from clearbid.operators import rollups as ru
-from clearbid.operators.daily import daily_ad_stats
+from clearbid.operators.daily import daily_partials, merge_partials
 from clearbid.plans.jobs import DEFAULT_LOOKBACK_DAYS, AdTables, grain_frames, intermediates
 from clearbid.session import SESSION_DEFAULTS, ensure_checkpoint_dir, written
 from clearbid.sources.owned import read_owned, replace_span
@@ -67,7 +68,7 @@ def run(spark: SparkSession, tables: AdTables, out_root: str, interval: Interval
     if per_hour and any((t.minute, t.second, t.microsecond) != (0, 0, 0) for t in (interval.start, interval.end)):
         raise ValueError("a per-hour run replaces whole hours: its bounds must be full hours")
     paths = {n: os.path.join(out_root, n) for n in
-             ["auction_stats", "imp_matched_actions", "click_matched_actions", "dailyadstats",
+             ["auction_stats", "imp_matched_actions", "click_matched_actions", "dailyadstats", "dailypartials",
               *[STATS_TABLES[g.name] for g in grains]]}
 
     # hours this run owns: a single-interval run labels all its rows with the start
@@ -98,12 +99,14 @@ def run(spark: SparkSession, tables: AdTables, out_root: str, interval: Interval
             u = rows if u is None else u.unionByName(rows, allowMissingColumns=True)
         replace_span(u.select(*ru.stat_columns(g), "kind"), paths[STATS_TABLES[g.name]], "hour", *owned)
 
-    # 4. daily rollup of every touched day, from all its stored hours; it replaces the day
+    # 4. partials of the run's own hours; every touched day is merged from all its hours' partials
     days = interval.days()
     if ru.HOURLY in grains and days:
         whole = (days[0], days[-1] + timedelta(days=1))
-        touched = read_stats(spark, paths["hourlyadstats"], ru.HOURLY, *whole).drop("kind")
-        replace_span(daily_ad_stats(touched), paths["dailyadstats"], "date", *whole)
+        own = read_stats(spark, paths["hourlyadstats"], ru.HOURLY, *owned)
+        replace_span(daily_partials(own), paths["dailypartials"], "hour", *owned)
+        touched = read_owned(spark, paths["dailypartials"], S.DAILY_PARTIALS, "hour", *whole)
+        replace_span(merge_partials(touched), paths["dailyadstats"], "date", *whole)
     return paths
 
 

@@ -23,6 +23,7 @@ from clearbid.functions.core import decode_cells, parse_rfc3339
 from clearbid.operators import attribution as attr
 from clearbid.operators import auctions as auc
 from clearbid.operators import rollups as ru
+from clearbid.operators.asof import latest_touch_time
 from clearbid.operators.daily import daily_ad_stats
 from clearbid.operators.ranking import newest_n, stale_per_key
 from clearbid.plans import jobs
@@ -37,6 +38,8 @@ WEEK = Interval(datetime(2024, 1, 8), datetime(2024, 1, 15))
 WEEK_LOOKBACK = 7
 SYNC_LIMIT = 1_000     # rows per aggregate table in the environment sync: below the row counts at sf0.01, so it cuts
 NEWEST_LIMIT = 3_000   # of the newest-N query: well inside the table at every scale, within an hour's rows
+DAMAGED = datetime(2024, 1, 12)   # the day that the verified migration finds damaged
+BLANK_CELL = 200       # rows of a key that one cell holds in the as-of of blank users: they hold far more at every scale
 RETAIN = 5             # versions kept per key by retention
 
 
@@ -244,6 +247,83 @@ def q_retention_keep_n(spark, sf):
                          ["o_orderkey"])
 
 
+def q_asof_blank_users(spark, sf):
+    """Newest impression at or before each action by (uuid, advertiser), where every third user is
+    blank: the blank keys hold a third of all rows and are cut in time."""
+    t = _tables(spark, sf)
+    blank = F.when(F.substring("uuid", 2, 20).cast("long") % 3 == 0, F.lit("")).otherwise(F.col("uuid")).alias("uuid")
+    actions = t.actions.select("actionid", blank, "advertiser", "tstamp")
+    touches = t.impressions.select(blank, "advertiser", "tstamp")
+    return latest_touch_time(actions, touches, ["uuid", "advertiser"], cell_rows=BLANK_CELL)
+
+
+def q_append_rows(spark, sf):
+    """Orders loaded in two appends, with an empty load first, which writes nothing."""
+    from clearbid.sources import sinks
+    from clearbid.session import scratch_dir
+    target = scratch_dir(spark, "appended")
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    even = F.col("o_orderkey") % 2 == 0
+    wrote = [sinks.append(orders.filter(c), target) for c in (F.col("o_orderkey").isNull(), even, ~even)]
+    if wrote[0] or not all(wrote[1:]):
+        raise AssertionError(f"loads that wrote: {wrote}")
+    return spark.read.parquet(target)
+
+
+def q_retention_by_prefix(spark, sf):
+    """Part names by the longest of many overlapping prefixes (the first word, and the beginnings of
+    every seventh part's name): all but the newest few of each prefix."""
+    from clearbid.plans.maintenance import retention
+    part = spark.read.parquet(f"{sf}/part.parquet").select("p_partkey", "p_name", "p_size")
+    words = part.select(F.split("p_name", " ")[0].alias("prefix"))
+    some = part.filter(F.col("p_partkey") % 7 == 0)
+    prefixes = words.union(some.select(F.substring("p_name", 1, 2))).union(some.select(F.substring("p_name", 1, 7)))
+    return retention(part, [], "p_size", RETAIN, ["p_partkey"], prefixes=("p_name", prefixes))
+
+
+def q_largest_n(spark, sf):
+    """The order lines of the highest price: a field of nearly as many values as rows."""
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    return _round(newest_n(lines, "l_extendedprice", NEWEST_LIMIT, ["l_orderkey", "l_linenumber", "l_partkey"]))
+
+
+def q_migration_verified(spark, sf):
+    """The table lists migrated with verification.  The copy is then damaged: one action's value and one
+    click of a day.  The rows tell, day by day, what the comparison finds (phase 'damaged') and
+    what it finds after the migration has run again and mended just those days ('resumed')."""
+    from clearbid.plans.maintenance import compare_tables, migrate_dataset
+    from clearbid.session import scratch_dir
+    from clearbid.sources import sinks
+    root, dest = scratch_dir(spark, "warehouse"), scratch_dir(spark, "migrated")
+    for name, df in ad_tables(spark, sf).items():
+        df.drop(*[c for c in ("eid", "slot") if c in df.columns]).write.parquet(f"{root}/{name}")
+    done = migrate_dataset(spark, root, dest)
+    copied = [name for name, parts in done.items() if parts is not None]
+
+    def damage(name: str, change: Callable[[DataFrame], DataFrame]) -> None:
+        day = spark.read.parquet(f"{dest}/{name}").filter(F.col("date") == F.lit(DAMAGED.date()))
+        stage = scratch_dir(spark, "damaged")
+        change(day).write.parquet(stage)
+        sinks.overwrite_partitions(spark.read.parquet(stage), f"{dest}/{name}", ["date"])
+    damage("actions", lambda d: d.withColumn("value", F.when(F.col("actionid") == d.agg(F.min("actionid")).first()[0], -1.0).otherwise(F.col("value"))))
+    damage("clicks", lambda d: d.filter(F.col("clickid") != d.agg(F.min("clickid")).first()[0]))
+
+    def told(phase: str) -> DataFrame:
+        u = None
+        for name in copied:
+            rows = compare_tables(spark.read.parquet(f"{root}/{name}"), spark.read.parquet(f"{dest}/{name}"))
+            rows = rows.select(F.lit(phase).alias("phase"), F.lit(name).alias("table_name"), F.col("part").alias("day"), "n_source", "n_copy", "equal")
+            u = rows if u is None else u.unionByName(rows)
+        path = scratch_dir(spark, f"compared-{phase}")
+        u.write.parquet(path)
+        return spark.read.parquet(path)
+    damaged = told("damaged")
+    again = migrate_dataset(spark, root, dest)
+    if {name: parts for name, parts in again.items() if parts} != {"actions": 1, "clicks": 1}:
+        raise AssertionError(f"the second run wrote {again}")
+    return damaged.unionByName(told("resumed"))
+
+
 def q_time_range_scan(spark, sf):
     t = _tables(spark, sf)
     return _round(src.time_range(t.actions, WEEK).drop("eid"))
@@ -347,6 +427,11 @@ QUERIES.update({
     "daily_upsert": q_daily_upsert,
     "latest_n_sync": q_latest_n_sync,
     "retention_keep_n": q_retention_keep_n,
+    "retention_by_prefix": q_retention_by_prefix,
+    "asof_blank_users": q_asof_blank_users,
+    "append_rows": q_append_rows,
+    "largest_n": q_largest_n,
+    "migration_verified": q_migration_verified,
     "time_range_scan": q_time_range_scan,
     "widened_scan": q_widened_scan,
     "lookback_scan": q_lookback_scan,
@@ -516,6 +601,33 @@ def _o_retention() -> str:
   FROM orders) WHERE rn > {RETAIN}"""
 
 
+def _o_retention_by_prefix() -> str:
+    return f"""WITH prefixes AS (SELECT DISTINCT prefix FROM (
+    SELECT string_split(p_name, ' ')[1] AS prefix FROM part
+    UNION ALL SELECT p_name[1:2] FROM part WHERE p_partkey % 7 = 0 UNION ALL SELECT p_name[1:7] FROM part WHERE p_partkey % 7 = 0)),
+  matched AS (SELECT p_partkey, p_name, p_size, prefix, row_number() OVER (PARTITION BY p_partkey ORDER BY length(prefix) DESC) AS nth
+              FROM part JOIN prefixes ON starts_with(p_name, prefix)),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY p_size DESC, p_partkey DESC) AS rn FROM matched WHERE nth = 1)
+SELECT p_partkey, p_name, p_size, prefix FROM ranked WHERE rn > {RETAIN}"""
+
+
+def _o_largest_n() -> str:
+    return f"""SELECT l_orderkey, l_linenumber, l_partkey, {O.R("l_extendedprice")} AS l_extendedprice FROM (
+  SELECT * FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey LIMIT {NEWEST_LIMIT})"""
+
+
+def _o_migration_verified() -> str:
+    day = f"DATE '{DAMAGED.date()}'"
+    parts = []
+    for name in MIGRATED:
+        for phase in ("damaged", "resumed"):
+            hurt = f"d = {day}" if phase == "damaged" and name in ("actions", "clicks") else "false"
+            parts.append(f"SELECT '{phase}' AS phase, '{name}' AS table_name, d AS day, n AS n_source, "
+                         f"n - CASE WHEN '{name}' = 'clicks' AND {hurt} THEN 1 ELSE 0 END AS n_copy, NOT ({hurt}) AS equal "
+                         f"FROM (SELECT CAST(tstamp AS DATE) AS d, count(*) AS n FROM {name} GROUP BY 1)")
+    return O.with_fixtures() + "\n" + "\nUNION ALL ".join(parts)
+
+
 def _o_time_range() -> str:
     return O.with_fixtures() + (f"\nSELECT tstamp, actionid, uuid, advertiser, actionbeacon, {O.R("value")} AS value "
                                 f"FROM actions WHERE tstamp >= {O.T(WEEK.start)} AND tstamp < {O.T(WEEK.end)}")
@@ -587,6 +699,15 @@ ORACLES.update({
     "daily_upsert": _o_daily_upsert(),
     "latest_n_sync": _o_latest_n(),
     "retention_keep_n": _o_retention(),
+    "retention_by_prefix": _o_retention_by_prefix(),
+    "asof_blank_users": O.with_fixtures() + """,
+  a AS (SELECT actionid, CASE WHEN CAST(uuid[2:] AS BIGINT) % 3 = 0 THEN '' ELSE uuid END AS uuid, advertiser, tstamp FROM actions),
+  i AS (SELECT CASE WHEN CAST(uuid[2:] AS BIGINT) % 3 = 0 THEN '' ELSE uuid END AS uuid, advertiser, tstamp FROM impressions)
+SELECT a.actionid, a.uuid, a.advertiser, a.tstamp, max(i.tstamp) AS touch_tstamp
+FROM a LEFT JOIN i ON i.uuid = a.uuid AND i.advertiser = a.advertiser AND i.tstamp <= a.tstamp GROUP BY ALL""",
+    "append_rows": "SELECT * FROM orders",
+    "largest_n": _o_largest_n(),
+    "migration_verified": _o_migration_verified(),
     "time_range_scan": _o_time_range(),
     "widened_scan": _o_widened(),
     "lookback_scan": _o_lookback(),

@@ -71,6 +71,13 @@ DAILYADSTATS = _struct(
     ("clearprice", D), ("spend", D), ("clicks", L), ("view_convs", L), ("click_convs", L),
 )
 
+# mergeable state of the daily rows, per hour
+DAILY_PARTIALS = _struct(
+    ("hour", TS), ("advertiser", S), ("campaign", S), ("adv_clique", S), ("publisher", S),
+    ("site", S), ("pub_clique", S), ("bids", L), ("imps", L), ("defaults", L), ("clicks", L),
+    ("view_convs", L), ("click_convs", L), ("spend", D), ("price_sum", D), ("price_n", L),
+)
+
 AD_TABLES = {
     "auctions": AUCTIONS,
     "impressions": IMPRESSIONS,

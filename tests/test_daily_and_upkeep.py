@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from clearbid.operators.daily import daily_ad_stats, upsert
@@ -138,3 +139,91 @@ def test_append_skips_empty_results(spark, tmp_root):
     assert sinks.append(rows, path, ["hour"]) is True
     assert sinks.append(rows, path, ["hour"]) is True   # append semantics: a second load adds rows
     assert spark.read.parquet(path).count() == 2
+
+
+def test_newest_n_of_any_type(spark):
+    """Numbers with many values, ties, NULLs and NaN, texts that share a beginning, and whole tables."""
+    import random
+
+    from clearbid.operators import ranking
+    rnd = random.Random(5)
+    rows = [(k, rnd.choice([None, float(rnd.randrange(400)), rnd.random() * 1e6, float("nan"), 7.0]),
+             rnd.choice([None, "", "same beginning " + str(rnd.randrange(50)), "Ünder", str(rnd.randrange(10**6))]), rnd.randrange(-3, 3)) for k in range(600)]
+    df = spark.createDataFrame(rows, "k long, d double, s string, i int").repartition(7)
+
+    def key(v):
+        if v is None:
+            return (0,)
+        return (1, 1, 0.0) if v != v else (1, 0, v.encode() if isinstance(v, str) else v)
+    for c, at in (("d", 1), ("s", 2), ("i", 3)):
+        for n in (1, 37, 300, 550, 600, 900):
+            order = sorted(rows, key=lambda r: r[0])
+            order.sort(key=lambda r: key(r[at]), reverse=True)
+            assert sorted(r.k for r in newest_n(df, c, n, ["k"]).select("k").collect()) == sorted(r[0] for r in order[:n]), (c, n)
+    assert newest_n(df, "d", 5, ["k"]).columns == df.columns
+    plan = ranking.newest_n(df, "d", 50, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(d" not in plan
+
+
+def test_longest_prefix(spark):
+    from clearbid.operators.ranking import longest_prefix
+    names = spark.createDataFrame([(1, "disk-a-1"), (2, "disk-a-2"), (3, "disk-ab-1"), (4, "other"), (5, None), (6, "dis"), (7, "disk-a-1"), (8, "Éa")], "id int, name string")
+    texts = lambda *p: spark.createDataFrame([(x,) for x in p], "prefix string")
+    got = {r.id: r.prefix for r in longest_prefix(names, "name", texts("disk-a", "disk-ab", "di", "disk-a", "É", None)).collect()}
+    assert got == {1: "disk-a", 2: "disk-a", 3: "disk-ab", 6: "di", 7: "disk-a", 8: "É"}
+    assert longest_prefix(names, "name", texts("")).count() == 7 and longest_prefix(names, "name", texts("x").limit(0)).count() == 0
+    stale = retention(names, [], "id", 1, ["id"], prefixes=("name", texts("disk-a", "disk-ab", "di")))
+    assert {(r.id, r.prefix) for r in stale.collect()} == {(1, "disk-a"), (2, "disk-a")}
+
+
+def test_digests_tell_any_change(spark):
+    from clearbid.plans.maintenance import compare_tables, table_digest
+    base = [(DAY, 1, None, 2.0), (DAY, None, "x", 2.0), (DAY, None, "x", 2.0), (None, 3, "y", None)]
+    schema = "tstamp timestamp_ntz, a int, b string, c double"
+    df = spark.createDataFrame(base, schema)
+    shuffled = spark.createDataFrame(base[::-1], schema).repartition(3).select("c", "b", "a", "tstamp")
+    assert table_digest(df).collect() == table_digest(shuffled).collect()
+    assert [r.equal for r in compare_tables(df, shuffled).collect()] == [True, True]
+    others = [base[:3] + [(None, 3, "y", 0.0)], base[:2] + base[3:], base + base[1:2], [(DAY, 2, None, 1.0)] + base[1:],
+              base[:3] + [(None, None, "y", 3.0)], base[:1] + [(DAY, None, "x", 2.0), (DAY, 2, "x", None), base[3]]]
+    for rows in others:
+        assert not all(r.equal for r in compare_tables(df, spark.createDataFrame(rows, schema)).collect()), rows
+    assert [(r.n_source, r.n_copy, r.equal) for r in compare_tables(df, None).orderBy("part").collect()] == [(1, 0, False), (3, 0, False)]
+
+
+def test_migration_resumes_and_verifies(spark, tmp_root, monkeypatch):
+    from clearbid.plans import maintenance as m
+    root, dest = tmp_root + "/src", tmp_root + "/dst"
+    days = [(DAY + timedelta(days=d), d) for d in range(4)]
+    spark.createDataFrame(days, "tstamp timestamp_ntz, v int").write.parquet(f"{root}/clicks")
+    spark.createDataFrame([(1,), (2,)], "v int").write.parquet(f"{root}/bids")
+    done = m.migrate_dataset(spark, root, dest)
+    assert done["clicks"] == 4 and done["bids"] == 1 and done["http_requests"] is None
+    assert set(done) == {*m.AD_EVENT_TABLES, *m.HTTP_EVENT_TABLES}
+    files = lambda: sorted(r[0] for r in spark.read.parquet(f"{dest}/clicks").select(F.input_file_name()).distinct().collect())
+    before = files()
+    assert m.migrate_dataset(spark, root, dest, ("clicks", "bids")) == {"clicks": 0, "bids": 0} and files() == before
+    spark.createDataFrame([(DAY + timedelta(hours=1), 9)], "tstamp timestamp_ntz, v int").write.mode("append").parquet(f"{root}/clicks")
+    assert m.migrate_dataset(spark, root, dest, ("clicks",)) == {"clicks": 1}
+    assert len(set(files()) & set(before)) == 3 and spark.read.parquet(f"{dest}/clicks").count() == 5
+    # a copy that does not come out right is an error
+    monkeypatch.setattr(m.sinks, "overwrite_partitions", lambda df, path, parts: None)
+    spark.createDataFrame([(DAY + timedelta(days=9), 9)], "tstamp timestamp_ntz, v int").write.mode("append").parquet(f"{root}/clicks")
+    with pytest.raises(ValueError, match="differs"):
+        m.migrate_dataset(spark, root, dest, ("clicks",))
+
+
+def test_daily_rows_merge_from_partials(spark):
+    from clearbid.operators.daily import daily_partials, merge_partials
+    t = HOURLY_SCHEMA
+    names = [f.split()[0] for f in t.split(", ")] if isinstance(t, str) else t.names
+    base = dict.fromkeys(names)
+    told = []
+    for h in range(30):
+        for adv in ("a", None):
+            told.append(base | {"hour": DAY + timedelta(hours=h), "advertiser": adv, "bids": h, "imps": 1 if h % 2 else None, "spend": 0.5 * h,
+                                "clearprice": None if adv is None or h % 3 else 0.25 * h})
+    hourly = spark.createDataFrame([tuple(r[n] for n in names) for r in told], t)
+    want, got = daily_ad_stats(hourly), merge_partials(daily_partials(hourly))
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() == 4

@@ -64,6 +64,8 @@ def test_single_hour_runs_label_with_start(spark, tmp_root):
             df = job.read_stats(spark, p)
         elif name == "dailyadstats":
             df = job.read_daily(spark, p)
+        elif name == "dailypartials":
+            df = job.read_owned(spark, p, S.DAILY_PARTIALS, "hour")
         else:
             df = job.read_intermediate(spark, p, getattr(S, name.upper()))
         return _rows(df, sorted(df.columns))
