@@ -7,7 +7,7 @@ checked (entity tags first, compared weakly, else last-modified dates), and the
 headers a 304 may update are merged over the stored ones.
 
 The as-of join orders records of a URL by time in cells: a range partitioning by
-time deals all records over about sqrt(rows) ranges of equally many, a window finds the latest response inside a
+time deals all records over ranges of equally many, a window finds the latest response inside a
 (URL, range), and a window over the ranges of a URL carries it forward.  A URL
 with a third of all records is thus spread over the ranges.
 
@@ -23,14 +23,12 @@ rows are resolved each; without validators on both sides a revisit is
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearbid.llm.common import materialize
 
-MAX_CELLS = 4096
+CELL_ROWS, MAX_CELLS = 5000, 4096   # records of one time range, and how many ranges there are at most
 # headers that a 304 response may bring up to date
 UPDATABLE = ["cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary"]
 
@@ -67,7 +65,7 @@ def resolve(records: DataFrame) -> DataFrame:
     rows = records.select(
         "record_id", "url", canonical_url(F.col("url")).alias("canonical_url"), "ts", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"),
         F.coalesce(F.col("kind") == "response", F.lit(False)).alias("full"), lower_names(F.col("headers")).alias("headers"))
-    cells = min(MAX_CELLS, max(1, math.isqrt(records.count())))
+    cells = min(MAX_CELLS, max(1, records.count() // CELL_ROWS))
     # the ranges ascend, nulls first; the written number of a row's range does not change when a task runs again
     dealt = materialize(rows.filter(F.col("canonical_url").isNotNull()).repartitionByRange(cells, F.col("at").asc_nulls_first())
                         .withColumn("cell", F.spark_partition_id()), "records")
