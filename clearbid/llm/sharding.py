@@ -11,14 +11,17 @@ table most bundles are single groups.
 Defined results: a null text counts as empty (size 1) and groups with it;
 repeated rows are rows of their own; ties are broken by bundle number and row
 order; a group larger than an even share fills a shard alone, as it must stay
-together; an empty table gives an empty result.  Extra columns are ignored.
+together; an empty table gives an empty result.  ``shard_documents`` returns the
+placement alone; ``write_shards`` writes the documents with all their columns, the
+texts among them, one folder per shard.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearbid.llm.common import materialize, rank_in_groups
@@ -43,10 +46,25 @@ def shard_documents(docs: DataFrame, shards: int = 8, bundles: int = BUNDLES, la
 
     ``slot`` numbers the rows of a shard from 0 without gaps, bundle by bundle.
     """
-    spark = docs.sparkSession
+    rows = materialize(docs.select("doc_id", *text_facts()), "sizes")
+    plan, n = place_groups(rows, shards, bundles, large)
+    ranked = rank_in_groups(plan(rows, "group"), ["bundle"], ["group", "doc_id"], n, "place")
+    return ranked.select("doc_id", "size", "text_crc32", "group", "bundle", "shard",
+                         (F.col("first_slot") + F.col("place")).cast("long").alias("slot"))
+
+
+def text_facts() -> list[Column]:
     text = F.coalesce("text", F.lit(""))
-    rows = materialize(docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
-                                   F.crc32(text.cast("binary")).alias("text_crc32"), F.md5(text).alias("group")), "sizes")
+    return [(F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.md5(text).alias("group")]
+
+
+def place_groups(rows: DataFrame, shards: int, bundles: int, large: int) -> tuple[Callable[[DataFrame, str], DataFrame], int]:
+    """A function that adds (bundle, shard, first_slot) to rows by the column of their group, and the number of rows.
+
+    ``rows`` is a written table of (group, size).  The function joins two small
+    tables by broadcast, at most ``bundles`` + ``large`` rows, and moves no row.
+    """
+    spark = rows.sparkSession
     groups = materialize(rows.groupBy("group").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")), "groups")
     total = groups.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("b"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     alone = [r["group"] for r in groups.filter(F.col("bytes") * large > total["b"]).orderBy("group").collect()]   # fewer than ``large``
@@ -61,8 +79,21 @@ def shard_documents(docs: DataFrame, shards: int = 8, bundles: int = BUNDLES, la
         placed.append((r["bundle"], s, used[s]))
         used[s] += r["n"]
     places = F.broadcast(spark.createDataFrame(placed, "bundle int, shard int, first_slot long"))
-    marked = (rows.join(own, "group", "left").withColumn("bundle", F.coalesce("own", hashed)).drop("own")
-              .join(places, "bundle"))
-    ranked = rank_in_groups(marked, ["bundle"], ["group", "doc_id"], total["n"], "place")
-    return ranked.select("doc_id", "size", "text_crc32", "group", "bundle", "shard",
-                         (F.col("first_slot") + F.col("place")).cast("long").alias("slot"))
+
+    def plan(df: DataFrame, group: str) -> DataFrame:
+        marked = df.join(own.withColumnRenamed("group", group), group, "left")
+        return marked.withColumn("bundle", F.coalesce("own", F.pmod(F.xxhash64(group), F.lit(bundles)).cast("int"))).drop("own").join(places, "bundle")
+    return plan, total["n"]
+
+
+def write_shards(docs: DataFrame, path: str, shards: int = 8, bundles: int = BUNDLES, large: int = LARGE) -> None:
+    """Write ``docs`` whole, as ``path/part_of=<shard>``, by the same placement as ``shard_documents``.
+
+    Documents are written where they are read, without a shuffle; a column of
+    ``docs`` called ``part_of`` would be lost and is refused.
+    """
+    if "part_of" in {c.lower() for c in docs.columns}:
+        raise ValueError("documents already have a column part_of")
+    plan, _ = place_groups(materialize(docs.select(*text_facts()), "sizes"), shards, bundles, large)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.md5(F.coalesce("text", F.lit(""))).alias("group"))
+    plan(packed, "group").select("doc.*", F.col("shard").alias("part_of")).write.partitionBy("part_of").parquet(path)

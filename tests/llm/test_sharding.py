@@ -55,3 +55,19 @@ def test_few_bundles_and_a_hot_group(spark):
 
 def test_empty_table(spark):
     assert sharding.shard_documents(documents(spark, [])).count() == 0
+
+
+def test_written_shards_hold_whole_documents(spark, tmp_path):
+    """Every row with all its columns, copies together, where the placement says."""
+    told = [(i, None if i % 17 == 0 else f"text {i % 40} " * (i % 9)) for i in range(200)] + [(None, "no id"), (5, "again"), (5, "again")]
+    docs = documents(spark, told).withColumnsRenamed({"slot": "shard", "key": "group"})
+    sharding.write_shards(docs, f"{tmp_path}/shards", 4)
+    back = spark.read.schema(docs.schema).parquet(f"{tmp_path}/shards")
+    assert sorted(map(repr, back.select(*docs.columns).collect())) == sorted(map(repr, docs.collect()))
+    at = {}
+    for r in back.collect():
+        at.setdefault(r["text"] or "", set()).add(r["part_of"])
+    placed = {}
+    for r in docs.select("text").distinct().join(sharding.shard_documents(docs, 4).withColumnRenamed("group", "g"), F.col("g") == F.md5(F.coalesce("text", F.lit("")))).collect():
+        placed.setdefault(r["text"] or "", set()).add(r["shard"])
+    assert at == placed and all(len(s) == 1 for s in at.values()) and len(set().union(*at.values())) == 4

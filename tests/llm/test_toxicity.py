@@ -81,3 +81,71 @@ def test_a_repeated_row_takes_one_place_of_the_sample(spark, monkeypatch):
     for i in (1, 2, 3, 4, 6, 7, 8, 9):   # one row, whatever its hash, repeated beyond the sample
         repeated = toxicity.train(documents(spark, texts + [texts[i]] * 100), labels)
         assert all(np.array_equal(a, b) for a, b in zip(learnt, repeated))
+
+
+def slow_grams(text):
+    """Hashed n-grams of a text, one by one, in plain integers."""
+    codes, out = [ord(c) for c in text.lower()], set()
+    for n in toxicity.GRAMS:
+        for i in range(len(codes) - n + 1):
+            h = n
+            for c in codes[i:i + n]:
+                h = (h ^ c) * 0x9E3779B97F4A7C15 % 2**64
+                h ^= h >> 29
+            out.add(h >> (64 - toxicity.HASH_BITS))
+    return out
+
+
+def test_counts_ratios_and_scores_against_a_slow_form(spark):
+    """The features are the hashed grams, their scale the naive Bayes log-count ratio, the score what the weights sum to."""
+    rng = np.random.default_rng(3)
+    pick = lambda words, k: " ".join(rng.choice(words, k))
+    mild, harsh = ["river", "stone", "Garden", "window", "été", "paper"], ["vile", "Scum", "idiot", "stone", "paper"]
+    told = [(i, pick(harsh if i % 3 == 0 else mild, 12)) for i in range(90)] + [(90, ""), (91, None), (92, "ab"), (93, "river " * 3000), (0, None)]
+    marks = [(i, 1, int(i % 3 == 0)) for i in range(0, 90, 2)] + [(91, 0, 1), (92, 0, 0), (500, 0, 1)]
+    docs, labels = documents(spark, told), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    weights, squares, bias = toxicity.train(docs, labels)
+
+    toxic = {i: t for i, _, t in marks if zlib.crc32(str(i).encode()) % 5}
+    taught = {(i, text or "") for i, text in told if i in toxic}
+    counts, rows = ({}, {}), [0, 0]
+    for i, text in taught:
+        rows[toxic[i]] += 1
+        for g in slow_grams(text):
+            counts[toxic[i]][g] = counts[toxic[i]].get(g, 0) + 1
+    ratios = {}
+    for g in counts[0].keys() | counts[1].keys():
+        a, b = counts[0].get(g, 0), counts[1].get(g, 0)
+        r = np.log(b + 1) - np.log(rows[1] + 2) - np.log(a + 1) + np.log(rows[0] + 2)
+        if a + b >= toxicity.MIN_ROWS and abs(r) >= toxicity.MIN_RATIO:
+            ratios[g] = r
+    assert ratios and set(np.flatnonzero(squares)) == set(ratios)
+    assert all(abs(squares[g] - r * r) < 1e-4 for g, r in ratios.items())
+    assert set(np.flatnonzero(weights)) <= set(ratios)
+
+    got = {(r["doc_id"], r["text"]): r["s"] for r in toxicity.score(docs, labels, "s").collect()}
+    for i, text in told:
+        own = [g for g in slow_grams(text or "") if g in ratios]
+        norm = sum(ratios[g] ** 2 for g in own) ** 0.5
+        z = bias + (sum(float(weights[g]) for g in own) / norm if own else 0.0)
+        assert abs(got[i, text] - 1 / (1 + np.exp(-z))) < 1e-5
+    # the weights are those of a model that has learnt the two kinds of words
+    assert all((got[i, t] >= 0.5) == (i % 3 == 0) for i, t in told[:90] if i or t)
+
+
+def test_the_fitted_model_is_near_the_best_one():
+    """Steps of the optimizer against plain gradient descent on the same loss, run much longer."""
+    texts = ["vile scum here", "a vile idiot", "garden stone", "river stone here", "vile garden", "stone river"] * 4
+    y = np.array([1, 1, 0, 0, 1, 0] * 4, float)
+    weights, squares, bias = toxicity.fit(texts, y, np.ones(len(y)))
+    grams = sorted(set().union(*map(slow_grams, texts)) & set(np.flatnonzero(squares)))
+    x = np.array([[np.sqrt(squares[g]) if g in slow_grams(t) else 0.0 for g in grams] for t in texts])
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    loss = lambda z: float(np.mean(np.logaddexp(0, z) - y * z))
+    own = np.array([bias + sum(float(weights[g]) for g in slow_grams(t)) / np.sqrt(sum(float(squares[g]) for g in slow_grams(t))) for t in texts])
+    assert loss(own) < 0.05 and ((own > 0) == (y == 1)).all()
+    w, b = np.zeros(len(grams)), 0.0
+    for _ in range(2000):
+        err = 1 / (1 + np.exp(-(x @ w + b))) - y
+        w, b = w - 0.5 * x.T @ err / len(y), b - 0.5 * err.mean()
+    assert loss(own) < 1.2 * loss(x @ w + b) + 0.01
