@@ -40,6 +40,8 @@ SYNC_LIMIT = 1_000     # rows per aggregate table in the environment sync: below
 NEWEST_LIMIT = 3_000   # of the newest-N query: well inside the table at every scale, within an hour's rows
 DAMAGED = datetime(2024, 1, 12)   # the day that the verified migration finds damaged
 BLANK_CELL = 200       # rows of a key that one cell holds in the as-of of blank users: they hold far more at every scale
+KEYED_BUCKETS = 8      # buckets of the keyed daily table
+TOP_USERS = 20         # users of the week in the lookback by user (the feature: a report on a few)
 RETAIN = 5             # versions kept per key by retention
 
 
@@ -230,6 +232,35 @@ def q_daily_upsert(spark, sf):
     return _round(spark.read.schema(new.schema).parquet(path).drop("day"))
 
 
+def q_keyed_upsert(spark, sf):
+    """As ``daily_upsert``, into a table bucketed on its keys: the target is merged where it lies."""
+    from clearbid.schemas import DAILY_KEYS
+    from clearbid.session import scratch_dir
+    from clearbid.sources.layout import read_keyed, upsert_keyed
+    hourly = jobs.hourly_backfill(_tables(spark, sf))
+    old = daily_ad_stats(hourly.filter(F.hour("hour") < 12))
+    new = daily_ad_stats(hourly.filter(F.hour("hour") >= 6))
+    path = scratch_dir(spark, "keyed-daily")
+    for rows in (old, new):
+        upsert_keyed(rows.withColumn("date", F.to_date("date")), path, DAILY_KEYS, "date", KEYED_BUCKETS)
+    schema = T.StructType([T.StructField(f.name, T.DateType()) if f.name == "date" else f for f in new.schema.fields])
+    kept = read_keyed(spark, path, schema, "date")
+    return _round(kept.withColumn("date", F.col("date").cast("timestamp_ntz")).select(*new.columns))
+
+
+def q_user_lookback(spark, sf):
+    """Touches, within the lookback, of the users whose actions of the week are worth most."""
+    from clearbid.session import scratch_dir
+    from clearbid.sources.layout import lookback_of, write_events
+    t = _tables(spark, sf)
+    worth = src.time_range(t.actions, WEEK).groupBy("uuid").agg(F.sum(F.col("value").cast("decimal(38,6)")).alias("worth"))
+    top = [r["uuid"] for r in worth.orderBy(F.col("worth").desc_nulls_last(), "uuid").limit(TOP_USERS).collect()]
+    path = scratch_dir(spark, "impressions")
+    write_events(t.impressions.drop("eid", "slot"), path)
+    stored = spark.read.parquet(path)
+    return lookback_of(stored, top, WEEK.end, WEEK_LOOKBACK).drop("at_minute", "date")
+
+
 def q_latest_n_sync(spark, sf):
     """Newest rows of a stored aggregate table (the sync reads tables, not plans):
     the hourly backfill is written once to the shared scratch folder first."""
@@ -425,6 +456,7 @@ QUERIES.update({
     "dailyadstats": q_dailyadstats,
     "daily_backfill": q_daily_backfill,
     "daily_upsert": q_daily_upsert,
+    "keyed_upsert": q_keyed_upsert,
     "latest_n_sync": q_latest_n_sync,
     "retention_keep_n": q_retention_keep_n,
     "retention_by_prefix": q_retention_by_prefix,
@@ -435,6 +467,7 @@ QUERIES.update({
     "time_range_scan": q_time_range_scan,
     "widened_scan": q_widened_scan,
     "lookback_scan": q_lookback_scan,
+    "user_lookback": q_user_lookback,
     "copy_once": q_copy_once,
     "table_migration": q_table_migration,
     "environment_sync": q_environment_sync,
@@ -645,6 +678,12 @@ def _o_lookback() -> str:
                                 f"creative, adv_clique FROM impressions WHERE tstamp >= {lo}")
 
 
+def _o_user_lookback() -> str:
+    top = (f"SELECT uuid FROM actions WHERE tstamp >= {O.T(WEEK.start)} AND tstamp < {O.T(WEEK.end)} GROUP BY uuid "
+           f"ORDER BY sum(CAST(value AS DECIMAL(38, 6))) DESC NULLS LAST, uuid LIMIT {TOP_USERS}")
+    return _o_lookback() + f" AND uuid IN ({top})"
+
+
 def _contents_sql(plan: dict, sources: dict[str, str] | None = None) -> str:
     parts = []
     for name, (at, texts, amount) in plan.items():
@@ -697,6 +736,7 @@ ORACLES.update({
     "dailyadstats": _o_dailyadstats(),
     "daily_backfill": _o_daily_backfill(),
     "daily_upsert": _o_daily_upsert(),
+    "keyed_upsert": _o_daily_upsert(),
     "latest_n_sync": _o_latest_n(),
     "retention_keep_n": _o_retention(),
     "retention_by_prefix": _o_retention_by_prefix(),
@@ -711,6 +751,7 @@ FROM a LEFT JOIN i ON i.uuid = a.uuid AND i.advertiser = a.advertiser AND i.tsta
     "time_range_scan": _o_time_range(),
     "widened_scan": _o_widened(),
     "lookback_scan": _o_lookback(),
+    "user_lookback": _o_user_lookback(),
     "copy_once": "SELECT * FROM orders",
     "table_migration": _o_migration(),
     "environment_sync": _o_environment_sync(),

@@ -1,17 +1,18 @@
 """Table readers and the time-bounded scans (S1-S7).
 
-Bounds are written as plain comparisons on ``tstamp`` so Catalyst pushes them
-into the Parquet scan (``PushedFilters``).  Tables written by this package are
+Bounds are plain comparisons on ``tstamp``.  Tables written by this package are
 partitioned by ``date`` (the UTC day of ``tstamp``); for those the readers
 also add the matching ``date`` bounds, since Spark does not derive a
-partition filter from a filter on another column.
+partition filter from a filter on another column.  Tables of
+``layout.write_events`` carry ``at_minute`` as well, a whole number by which the
+Parquet reader skips row groups; it cannot by a ``timestamp_ntz``.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearbid.functions import Interval, ts_lit
@@ -26,14 +27,26 @@ def read_table(spark: SparkSession, root: str, name: str, check: bool = True) ->
     return df
 
 
+EPOCH = datetime(1970, 1, 1)
+
+
+def at_minute(col: str) -> Column:
+    """Minutes from 1970 on of a ``timestamp_ntz``, whatever the session's time zone."""
+    return F.unix_date(F.to_date(col)).cast("bigint") * 1440 + F.hour(col) * 60 + F.minute(col)
+
+
+def _minute(at: datetime) -> int:
+    return (at - EPOCH) // timedelta(minutes=1)
+
+
 def bounded(df: DataFrame, col: str = "tstamp", lo: datetime | None = None,
             hi: datetime | None = None) -> DataFrame:
     """``lo <= col < hi`` (either side optional), plus partition bounds.
 
     When ``df`` carries the ``date`` partition column (UTC day of ``col``),
     the same bounds are stated on ``date`` so the scan lists only the touched
-    day folders (``PartitionFilters``); the ``col`` bounds reach the Parquet
-    reader as ``PushedFilters``.
+    day folders (``PartitionFilters``); where it carries ``at_minute``, on that
+    too, which the Parquet reader compares with its row groups.
     """
     cond = F.lit(True)
     if lo is not None:
@@ -45,6 +58,11 @@ def bounded(df: DataFrame, col: str = "tstamp", lo: datetime | None = None,
             cond = cond & (F.col("date") >= F.lit(lo.date()))
         if hi is not None:
             cond = cond & (F.col("date") <= F.lit(hi.date()))
+    if "at_minute" in df.columns and col == "tstamp":
+        if lo is not None:
+            cond = cond & (F.col("at_minute") >= F.lit(_minute(lo)))
+        if hi is not None:
+            cond = cond & (F.col("at_minute") <= F.lit(_minute(hi)))
     return df.filter(cond)
 
 
