@@ -3,10 +3,11 @@
 Features are the hashed 3- to 5-grams of the lower-cased text that occur in
 it, each scaled by its naive Bayes log-count ratio; a logistic regression on
 them is trained on labelled rows.  The model is fitted on at most
-``TRAIN_PER_CLASS`` labelled documents of each class (those with the smallest
-hash of their id) and at most ``TRAIN_BYTES`` of whole texts of each class, so
-that the driver's part is bounded however long the texts are; everything else
-covers all rows: each whole text is scored.
+``TRAIN_PER_CLASS`` labelled documents of each class, those with the smallest
+hash of their id, whatever the length of their texts; everything else covers all
+rows: each whole text is scored.  Tasks turn the sample's whole texts into
+distinct features and count them; the driver gets the counts, of a fixed number
+of features, and then each sample row's features that the model uses, never a text.
 
 Defined results: a null or empty text has no feature and scores the bias alone;
 repeated rows score alike; rows labelled twice count as toxic if one label says
@@ -19,15 +20,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearbid.llm.common import ship
+from clearbid.llm.common import materialize, ship
 
 ship(__name__)
 
 TRAIN_PER_CLASS = 4000    # bound of the training sample, rows of each class
-TRAIN_BYTES = 64 << 20    # and bytes of their texts, shortest texts first
 GRAMS = (3, 4, 5)
 HASH_BITS = 20
 MIN_ROWS = 4              # training rows in which a feature must occur
@@ -63,25 +63,21 @@ def slots() -> np.ndarray:
     return np.zeros(1 << HASH_BITS, np.int32)
 
 
-def fit(texts: list[str], toxic: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Weight and squared ratio per hashed feature and the bias, from a bounded sample.
+def ratios(counts: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Naive Bayes log-count ratio of each feature that is used, else 0; ``counts`` has a line per class."""
+    share = np.log(counts[1] + 1.0) - np.log(rows[1] + 2.0) - np.log(counts[0] + 1.0) + np.log(rows[0] + 2.0)
+    return np.where((counts.sum(axis=0) >= MIN_ROWS) & (np.abs(share) >= MIN_RATIO), share, 0.0)
+
+
+def fit(kept: list[np.ndarray], ratio: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Weight and squared ratio per hashed feature and the bias, from the used features of each sample row.
 
     ``weights`` bring the sample's classes back to their shares among all
     labelled rows, so that 0.5 is the even point of the whole population.
     """
-    size, last = 1 << HASH_BITS, slots()
-    counts = np.zeros((2, size), np.int32)
-    for text, y in zip(texts, toxic):
-        counts[int(y)][gram_ids(text, last)] += 1
-    rows = np.array([(toxic == 0).sum(), (toxic == 1).sum()], float)
-    share = np.log(counts[1] + 1.0) - np.log(rows[1] + 2.0) - np.log(counts[0] + 1.0) + np.log(rows[0] + 2.0)
-    used = (counts.sum(axis=0) >= MIN_ROWS) & (np.abs(share) >= MIN_RATIO)
-    ratio = np.where(used, share, 0.0)
-    # sparse rows of the used features
-    kept = [ids[used[ids]] for ids in (gram_ids(t, last) for t in texts)]
-    starts = np.cumsum([0, *map(len, kept)])
+    size = 1 << HASH_BITS
     ids = np.concatenate([*kept, np.empty(0, np.int32)])
-    row_of = np.repeat(np.arange(len(kept)), np.diff(starts))
+    row_of = np.repeat(np.arange(len(kept), dtype=np.int32), [len(k) for k in kept])
     values = ratio[ids]
     # features of a text are scaled to length one, so that long texts do not saturate
     norm = np.sqrt(np.bincount(row_of, values * values, len(kept)))
@@ -101,6 +97,36 @@ def fit(texts: list[str], toxic: np.ndarray, weights: np.ndarray) -> tuple[np.nd
     return (w * ratio).astype(np.float32), (ratio * ratio).astype(np.float32), bias
 
 
+def grams(texts: pa.Array) -> pa.Array:
+    """The distinct feature ids of each whole text, 32 bits each."""
+    last = slots()
+    return pa.array([gram_ids(t.as_py() or "", last).tobytes() for t in texts], pa.binary())
+
+
+def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(toxic, grams) -> (toxic, gram, n): one row per feature that a task has seen in a class."""
+    counts = np.zeros((2, 1 << HASH_BITS), np.int64)
+    for batch in batches:
+        for y, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
+            counts[y][np.frombuffer(ids.as_py(), np.int32)] += 1   # ids of a text are distinct
+    for y in (0, 1):
+        at = np.flatnonzero(counts[y])
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), y, np.int32)), pa.array(at.astype(np.int32)), pa.array(counts[y][at])],
+                                         names=["toxic", "gram", "n"])
+
+
+def used_only(ratio):
+    """Arrow UDF: the feature ids whose ratio in the broadcast line is not 0."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        used = ratio.value != 0
+        for batch in batches:
+            rows = [np.frombuffer(b.as_py(), np.int32) for b in batch]
+            yield pa.array([ids[used[ids]].tobytes() for ids in rows], pa.binary())
+
+    return F.arrow_udf(run, "binary")
+
+
 def held_out(doc_id: Column) -> Column:
     """True where crc32(doc_id as text) mod 5 is 0; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
@@ -125,20 +151,26 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, f
         part = marked.filter(F.col("toxic") == y).orderBy(by_hash, "doc_id").limit(TRAIN_PER_CLASS)
         sample = part if sample is None else sample.union(part)
     picked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(   # at most 2 * TRAIN_PER_CLASS ids
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("toxic"), F.xxhash64("doc_id", "text").alias("h"))
-    # an id that many rows carry must not lift the bound, nor may long texts
-    distinct = picked.select("toxic", "h", F.octet_length("text").alias("bytes")).distinct()
+        F.coalesce("text", F.lit("")).alias("text"), F.col("toxic"), F.xxhash64("doc_id", "text").alias("h"))
+    # an id that many rows carry must not lift the bound, and repeated rows teach once
+    distinct = picked.select("toxic", "h").distinct()
     first = [distinct.filter(F.col("toxic") == y).orderBy("h").limit(TRAIN_PER_CLASS) for y in (0, 1)]
-    sizes = first[0].union(first[1])
-    so_far = Window.partitionBy("toxic").orderBy("bytes", "h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fitting = sizes.withColumn("sum", F.sum("bytes").over(so_far)).filter(F.col("sum") <= TRAIN_BYTES).select("h").distinct()
-    rows = (picked.join(F.broadcast(fitting), "h", "left_semi").dropDuplicates(["h"])   # repeated rows teach once
-            .select("text", "toxic", "h").orderBy("h").collect())
-    toxic = np.array([r["toxic"] for r in rows], float)
-    if len(set(toxic)) < 2:
+    teaching = picked.join(F.broadcast(first[0].union(first[1]).select("h").distinct()), "h", "left_semi")
+    sample_rows = materialize(teaching.select("toxic", "h", F.arrow_udf(grams, "binary")("text").alias("grams")).dropDuplicates(["h"]), "grams")
+    rows = {r["toxic"]: r["n"] for r in sample_rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(rows) < 2:
         return unlearnt(totals)
-    share = np.array([totals[int(y)] / (toxic == y).sum() for y in toxic])
-    return fit([r["text"] for r in rows], toxic, share)
+    counted = (sample_rows.select("toxic", "grams").mapInArrow(count_grams, "toxic int, gram int, n long")
+               .groupBy("toxic", "gram").agg(F.sum("n").alias("n")).toArrow())   # at most 2 rows per feature
+    counts = np.zeros((2, 1 << HASH_BITS), np.int64)
+    counts[counted["toxic"].to_numpy(), counted["gram"].to_numpy()] = counted["n"].to_numpy()
+    ratio = ratios(counts, np.array([rows[0], rows[1]], float))
+    shared = docs.sparkSession.sparkContext.broadcast(ratio)
+    taught = sample_rows.select("toxic", "h", used_only(shared)("grams").alias("grams")).orderBy("h").toArrow()   # at most 2 * TRAIN_PER_CLASS rows
+    toxic = taught["toxic"].to_numpy().astype(float)
+    kept = [np.frombuffer(b.as_py(), np.int32) for b in taught["grams"]]
+    share = np.array([totals[int(y)] / rows[int(y)] for y in toxic])
+    return fit(kept, ratio, toxic, share)
 
 
 def scorer(docs: DataFrame, labels: DataFrame) -> Column:

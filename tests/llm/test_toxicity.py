@@ -51,16 +51,17 @@ def test_empty_table(spark):
     assert toxicity.score(documents(spark, []), labels).count() == 0
 
 
-def test_training_texts_are_bounded_in_bytes(spark, monkeypatch):
-    texts = [(i, ("vile " if i % 2 else "kind ") * (1 + i % 7) + f"word{i}") for i in range(200)] + [(1000, "vile " * 50000), (1000, "vile " * 50000)]
-    docs = documents(spark, texts).withColumn("toxic", F.lit(9)).withColumn("h", F.lit(9))
-    labels = spark.createDataFrame([(i, 1, int("vile" in t)) for i, t in texts], "doc_id long, quality int, toxic int")
-    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 2000)   # the long texts are out, both classes stay
-    got = {r["doc_id"]: r["s"] for r in toxicity.score(docs, labels, "s").select("doc_id", "s").collect()}
-    assert got[1000] > 0.5 and min(got[i] for i in range(1, 200, 2)) > max(got[i] for i in range(0, 200, 2))
+def test_long_texts_teach_as_others_do(spark):
+    texts = [(i, ("vile " if i % 2 else "kind ") * (1 + i % 7) + f"word{i}") for i in range(200)]
+    long = [(1000 + i, "grim " * 20000 + f"word{i}") for i in range(40)]   # a word that only long texts hold
+    docs = documents(spark, texts + long).withColumn("toxic", F.lit(9)).withColumn("h", F.lit(9))
+    labels = spark.createDataFrame([(i, 1, int("kind" not in t)) for i, t in texts + long], "doc_id long, quality int, toxic int")
+    asked = documents(spark, [(-1, "grim"), (-2, "kind")])
+    got = {r["doc_id"]: r["s"] for r in asked.withColumn("s", toxicity.scorer(docs, labels)).collect()}
+    assert got[-1] > 0.5 > got[-2]
 
 
-def test_nothing_learnt_rejects_nothing(spark, monkeypatch):
+def test_nothing_learnt_rejects_nothing(spark):
     texts = [(i, ("vile " * 40 if i % 2 else "kind ") + f"word{i}") for i in range(60)]
     docs = documents(spark, texts)
     schema = "doc_id long, quality int, toxic int"
@@ -68,9 +69,6 @@ def test_nothing_learnt_rejects_nothing(spark, monkeypatch):
              [(i, 1, 0) for i in range(60)] + [(i, 1, 1) for i in range(1000, 1300)]]   # the toxic ids have no document
     for rows in cases:
         assert toxicity.score(docs, spark.createDataFrame(rows, schema), "s").filter("s >= 0.5").count() == 0
-    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 100)   # no toxic text fits
-    both = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], schema)
-    assert toxicity.score(docs, both, "s").filter("s >= 0.5").count() == 0
 
 
 def test_a_repeated_row_takes_one_place_of_the_sample(spark, monkeypatch):
@@ -137,7 +135,12 @@ def test_the_fitted_model_is_near_the_best_one():
     """Steps of the optimizer against plain gradient descent on the same loss, run much longer."""
     texts = ["vile scum here", "a vile idiot", "garden stone", "river stone here", "vile garden", "stone river"] * 4
     y = np.array([1, 1, 0, 0, 1, 0] * 4, float)
-    weights, squares, bias = toxicity.fit(texts, y, np.ones(len(y)))
+    rows = [toxicity.gram_ids(t, toxicity.slots()) for t in texts]
+    counts = np.zeros((2, 1 << toxicity.HASH_BITS))
+    for ids, toxic in zip(rows, y):
+        counts[int(toxic)][ids] += 1
+    ratio = toxicity.ratios(counts, np.bincount(y.astype(int)).astype(float))
+    weights, squares, bias = toxicity.fit([ids[ratio[ids] != 0] for ids in rows], ratio, y, np.ones(len(y)))
     grams = sorted(set().union(*map(slow_grams, texts)) & set(np.flatnonzero(squares)))
     x = np.array([[np.sqrt(squares[g]) if g in slow_grams(t) else 0.0 for g in grams] for t in texts])
     x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
