@@ -25,14 +25,19 @@ in the reference joins on bidid alone).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearbid.functions import Interval, hour_floor
+from clearbid.session import written
 from clearbid.sources.tables import bounded
 
 GROUP = ["auctionId", "impid", "adv_clique"]
 OUT_KEYS = ["tstamp", "auctionId", "uuid", "impid"]
+HOT_ROWS = 500_000   # bids of a group that one task takes without a thought
+PARTS = 2_000        # a group below 1/PARTS of the bids is never hot
 
 
 def bid_group_stats(bids: DataFrame, extra_keys: list[str] | None = None) -> DataFrame:
@@ -130,19 +135,31 @@ def auction_stats_defaults(auctions: DataFrame, interval: Interval | None) -> Da
     )
 
 
-def losing_bids(bids: DataFrame, interval: Interval | None = None, widen_hours: int = 1) -> DataFrame:
+def losing_bids(bids: DataFrame, interval: Interval | None = None, widen_hours: int = 1,
+                hot_rows: int | None = None) -> DataFrame:
     """Bids below their group maximum (the reference's anti-join marker).
 
-    Bids are partitioned by impid once; the group maximum and its join back
-    to the bids reuse that partitioning.
+    Groups are reduced map-side to their maximum and count and written; one whose prices
+    are all equal has no loser and goes there.  The maxima of hot groups, with more than
+    ``hot_rows`` bids and a ``PARTS``-th of all that were counted, are broadcast, so their
+    bids are not shuffled; at most ``PARTS`` groups are that big.  All other bids meet
+    their maximum in one join, whose skewed partitions AQE may split.
     """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     b = bids
     if interval is not None:
         wide = interval.widened(widen_hours)
         b = bounded(b, "tstamp", wide.start, wide.end)
-    b = b.select("bidid", *GROUP, "bid", "tstamp").repartition("impid")
-    mx = b.groupBy(*GROUP).agg(F.max("bid").alias("group_max"))
-    return (b.join(mx, GROUP)
-            .filter(F.col("bid") < F.col("group_max"))
+    b = b.select("bidid", *GROUP, "bid", "tstamp")
+    tops = written(b.groupBy(*GROUP).agg(F.max("bid").alias("group_max"), F.min("bid").alias("least"), F.count(F.lit(1)).alias("n"))
+                   .filter(F.col("least") < F.col("group_max")).drop("least"), "bid-maxima")
+    total = tops.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    limit = max(hot_rows, math.ceil(total / PARTS))
+    if total <= limit or tops.filter(F.col("n") > limit).isEmpty():
+        met = b.join(tops.drop("n"), GROUP)
+    else:
+        hot = F.broadcast(tops.filter(F.col("n") > limit).drop("n"))   # PARTS rows at most
+        light = b.join(hot, GROUP, "left_anti").join(tops.filter(F.col("n") <= limit).drop("n"), GROUP)
+        met = light.unionByName(b.join(hot, GROUP))
+    return (met.filter(F.col("bid") < F.col("group_max"))
             .select("tstamp", "bidid", *GROUP, "bid", "group_max"))
-

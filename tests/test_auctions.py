@@ -70,6 +70,37 @@ def test_losers_are_below_group_max(spark):
     assert got == [2.5]
 
 
+def _losers(groups):
+    return sorted(p for prices in groups for p in prices if p is not None and p < max(x for x in prices if x is not None))
+
+
+def test_losers_of_a_hot_group_are_the_same(spark):
+    groups = [[float(k % 7) for k in range(60)], [1.0, 2.0, None], [3.0, 3.0], [5.0], [None, None], [2.5, 9.0, 9.0, 1.0]]
+    bids = _frames(spark, groups)[2]
+    plain = losing_bids(bids)
+    split = losing_bids(bids, hot_rows=10)
+    assert sorted(r.bid for r in plain.collect()) == sorted(r.bid for r in split.collect()) == _losers(groups)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
+
+
+def test_bids_of_a_hot_group_are_not_shuffled(spark):
+    bids = _frames(spark, [[float(k % 7) for k in range(60)], [1.0, 2.0]])[2]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = losing_bids(bids, hot_rows=10)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the two sides of the light groups' join; hot groups and the anti-join need none
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("BroadcastHashJoin") == 2, plan
+
+
+def test_losers_without_bids_and_without_groups(spark):
+    bids = _frames(spark, [[1.0, 2.0]])[2]
+    assert losing_bids(bids.limit(0)).collect() == []
+    blank = spark.createDataFrame([(at(10), "b1", None, "i", "c", 1.0), (at(10), "b2", None, "i", "c", 2.0)], BIDS)
+    assert losing_bids(blank).collect() == losing_bids(blank, hot_rows=1).collect() == []
+
+
 def test_invariant_max_bid_vs_clearprice(spark):
     from clearbid.sources.fixtures import ad_tables
     t = ad_tables(spark, "/root/testdata/sf0.001")
