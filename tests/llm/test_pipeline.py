@@ -1,13 +1,17 @@
 """The stages against brute force, on a small table with the odd rows in it."""
 
+import hashlib
+from collections import Counter, defaultdict
+
 import pytest
 
 import corpus_pipeline
-from clearbid.llm import decontaminate
+from clearbid.llm import decontaminate, line_dedup
 from tests.llm.cases import LONG
 from tests.llm.test_simhash import slow_classes, slow_fingerprint
 
 SF = "/root/testdata/sf0.001"
+PASSAGE = " ".join(f"plain{k}" for k in range(51))
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +20,8 @@ def stages(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("pipeline"))
     base = spark.read.parquet(f"{SF}/documents.parquet")
     odd = [(9001, None, "en", "src0", None), (9002, "", "en", None, 0), (9003, LONG, "en", "src1", len(LONG)), (None, "no id at all here", "en", "src1", 17)]
+    odd += [(9010 + i, f"own page {i}\n {PASSAGE}\t\nend {i}", "en", f"src{i}", 1) for i in range(6)]
+    odd += [(9020 + i, f"site menu\nabout number {i}\n\n", "en", "small host", 1) for i in range(5)]
     docs = base.union(spark.createDataFrame(odd, base.schema)).union(base.limit(2))
     docs.write.parquet(f"{root}/documents.parquet")
     for t in ("labels", "benchmark"):
@@ -32,9 +38,38 @@ def stages(spark, tmp_path_factory):
     return dict(out)
 
 
-def test_line_stage_keeps_rows_and_counts_characters(stages):
-    assert len(stages["line_dedup"]) == len(stages["toxicity"])
-    assert all(r["text"] is None or r["n_chars"] == len(r["text"]) for r in stages["line_dedup"])
+def slow_line_stage(rows):
+    """The line rule row by row: which (doc_id, text, lang, source, n_chars) the stage returns."""
+    def keys(text):
+        return {x.strip(line_dedup.BLANKS) for x in (text or "").split("\n")} - {""}
+    pages, on_host, texts = Counter(r["source"] for r in rows), Counter(), defaultdict(set)
+    for r in rows:
+        for line in keys(r["text"]):
+            on_host[r["source"], line] += 1
+            if len(line.split()) > line_dedup.LONG_WORDS:
+                texts[line].add(r["text"])
+    keeper = {line: min(t, key=lambda x: hashlib.md5(b"v" + x.encode()).hexdigest()) for line, t in texts.items() if len(t) >= line_dedup.MIN_PAGES}
+    out = []
+    for r in rows:
+        text, n = r["text"], r["n_chars"]
+        if text is not None:
+            lost = {x for x in keys(text) if on_host[r["source"], x] >= line_dedup.MIN_PAGES and on_host[r["source"], x] > line_dedup.RATIO * pages[r["source"]]}
+            lost |= {x for x in keys(text) if x in keeper and keeper[x] != text}
+            if lost:
+                text = "\n".join(x for x in text.split("\n") if x.strip(line_dedup.BLANKS) not in lost)
+                n = len(text)
+        out.append((r["doc_id"], text, r["lang"], r["source"], n))
+    return out
+
+
+def test_line_stage_drops_what_the_rule_says(stages):
+    before, after = stages["toxicity"], stages["line_dedup"]
+    told = slow_line_stage(before)
+    assert Counter(told) == Counter((r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"]) for r in after)
+    # planted lines went: a passage of 51 words stays on one text, a menu on none
+    planted = [r["text"] for r in before if r["text"] and PASSAGE in r["text"]]
+    assert len(planted) >= line_dedup.MIN_PAGES and sum(PASSAGE in (r["text"] or "") for r in after) == 1
+    assert not any("site menu" in (r["text"] or "") for r in after)
 
 
 def test_one_document_of_each_class_stays(stages):
