@@ -46,9 +46,10 @@ def shard_documents(docs: DataFrame, shards: int = 8, bundles: int = BUNDLES, la
 
     ``slot`` numbers the rows of a shard from 0 without gaps, bundle by bundle.
     """
-    rows = materialize(docs.select("doc_id", *text_facts()), "sizes")
+    # the written number tells repeated rows apart, which would share one cell of the ranking otherwise
+    rows = materialize(docs.select("doc_id", *text_facts(), F.monotonically_increasing_id().alias("row")), "sizes")
     plan, n = place_groups(rows, shards, bundles, large)
-    ranked = rank_in_groups(plan(rows, "group"), ["bundle"], ["group", "doc_id"], n, "place")
+    ranked = rank_in_groups(plan(rows, "group"), ["bundle"], ["group", "doc_id", "row"], n, "place")
     return ranked.select("doc_id", "size", "text_crc32", "group", "bundle", "shard",
                          (F.col("first_slot") + F.col("place")).cast("long").alias("slot"))
 

@@ -1,4 +1,5 @@
 import heapq
+import math
 
 from pyspark.sql import functions as F
 
@@ -53,6 +54,25 @@ def test_few_bundles_and_a_hot_group(spark):
         assert slots == list(range(len(slots)))
 
 
+def test_repeated_rows_are_ranked_in_many_cells(spark, monkeypatch):
+    docs = documents(spark, [(None, "")] * 600 + [(7, "same")] * 600 + [(10 + i, f"text {i}") for i in range(600)])
+    seen = []
+    ranks = sharding.rank_in_groups
+
+    def watched(df, keys, order, n, name):
+        cell = F.pmod(F.xxhash64(*order), F.lit(math.isqrt(n)))
+        seen.append(df.groupBy(*keys, cell).count().agg(F.max("count")).first()[0])
+        return ranks(df, keys, order, n, name)
+
+    monkeypatch.setattr(sharding, "rank_in_groups", watched)
+    got = sharding.shard_documents(docs).collect()
+    slots = {}
+    for r in got:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert len(got) == 1800 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert seen[0] < 4 * math.isqrt(1800)
+
+
 def test_empty_table(spark):
     assert sharding.shard_documents(documents(spark, [])).count() == 0
 
