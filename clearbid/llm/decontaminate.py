@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearbid.llm.common import ALNUM_TABLE, content_key, fresh, materialize, ship
+from clearbid.llm.common import ALNUM_TABLE, content_key, fresh, materialize, ship, small_batches
 
 ship(__name__)
 
@@ -137,6 +137,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block
     A column of that name is replaced.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
                              F.coalesce("text", F.lit("")).alias("words")).distinct()   # copies would share a block
     total = items.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0)).alias("n")).first()["n"]

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clearbid.llm.common import components, content_key, fresh, LOWER_TABLE, materialize, ship
+from clearbid.llm.common import components, content_key, fresh, LOWER_TABLE, materialize, ship, small_batches
 
 ship(__name__)
 
@@ -67,6 +67,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, name: str = "fp") -> D
         for batch in batches:
             yield pa.array(np.array([fingerprint(t.as_py(), shingle) for t in batch], np.uint64).view(np.int64))
 
+    small_batches(docs.sparkSession)
     return docs.withColumn(name, F.arrow_udf(run, "bigint")(F.col("text")))
 
 

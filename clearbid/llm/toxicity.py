@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearbid.llm.common import materialize, ship
+from clearbid.llm.common import materialize, ship, small_batches
 
 ship(__name__)
 
@@ -140,6 +140,7 @@ def unlearnt(totals: dict[int, int]) -> tuple[np.ndarray, np.ndarray, float]:
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
     """(weights, squared ratios, bias) from a bounded sample of the labelled rows outside the held-out fold."""
+    small_batches(docs.sparkSession)
     marked = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic")))
     totals = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}

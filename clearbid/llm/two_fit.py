@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearbid.llm.common import id_width, materialize, rank_in_groups, ship, wide_ids
+from clearbid.llm.common import id_width, materialize, rank_in_groups, ship, small_batches, wide_ids
 from clearbid.llm.packing import byte_letters
 
 ship(__name__)
@@ -118,6 +118,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN, end
     with open(tokenizer_path, encoding="utf-8") as f:
         tokenizer_json = f.read()
     width = id_width(tokenizer_json, end_id)
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
     end = end_id.to_bytes(width, "little")
 

@@ -3,10 +3,12 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clearbid.llm import decontaminate, line_dedup
+from clearbid.llm import decontaminate, line_dedup, queries, simhash, toxicity
 from tests.llm.cases import LONG
 from tests.llm.test_simhash import slow_classes, slow_fingerprint
 
@@ -120,3 +122,21 @@ def test_documents_pass_without_usable_labels(spark, tmp_path, labels):
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.read.parquet(f"{SF}/benchmark.parquet").limit(0).write.parquet(f"{tmp_path}/benchmark.parquet")
     assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == list(range(9))
+
+
+def test_texts_reach_python_in_bounded_batches(spark):
+    # before, a task's 400 texts of 50 KB came as one batch
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 400, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('some text ', 5000)").alias("text"))
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    benchmark = spark.createDataFrame([("a", "some words")], "item_id string, text string")
+    rows_of = F.arrow_udf(lambda texts: pa.array([len(texts)] * len(texts), pa.int64()), "bigint")
+    for stage in (lambda: toxicity.score(docs, labels), lambda: simhash.fingerprints(docs),
+                  lambda: decontaminate.drop_documents(docs, benchmark), lambda: queries.packed(docs), lambda: queries.op13_two_fit(spark, SF)):
+        spark.conf.unset(key)
+        stage()
+        assert docs.select(rows_of("text").alias("n")).agg(F.max("n")).first()[0] * 50_000 <= 4_000_000
+    spark.conf.set(key, "1k")   # a size of the session's own stays
+    toxicity.score(docs, labels)
+    assert spark.conf.get(key) == "1k"
+    spark.conf.unset(key)
