@@ -181,13 +181,13 @@ def imps_clicks_sets(joined: DataFrame, grains: tuple[Grain, ...], pricing: str
     return sets.agg(*_imps_measures(pricing), F.grouping_id().alias("_set"))
 
 
-def _all_dims(grains: tuple[Grain, ...]) -> list[str]:
-    return list(dict.fromkeys(d for g in grains for d in g.imps_dims))
+def _all_dims(grains: tuple[Grain, ...], dims: str = "imps_dims") -> list[str]:
+    return list(dict.fromkeys(d for g in grains for d in getattr(g, dims)))
 
 
-def grain_set(grain: Grain, grains: tuple[Grain, ...]) -> int:
+def grain_set(grain: Grain, grains: tuple[Grain, ...], dims: str = "imps_dims") -> int:
     """``grouping_id`` of a grain among ``grains``: a bit for each dimension that it leaves out."""
-    bits = "".join("0" if d in grain.imps_dims else "1" for d in _all_dims(grains))
+    bits = "".join("0" if d in getattr(grain, dims) else "1" for d in _all_dims(grains, dims))
     return int("0" + bits, 2)
 
 
@@ -207,23 +207,52 @@ def conversions(imp_matched: DataFrame, click_matched: DataFrame, grain: Grain,
     attribution already required the auction to be at or after its own
     lookback bound); None scans all auctions.
     """
-    i = imp_matched if interval is None else imp_matched.filter(interval.contains("action_tstamp"))
-    i = i.select(_label(per_hour, interval, "action_tstamp"), "actionid", "imp_tstamp", "impid",
-                 *[d for d in grain.conv_dims if d not in grain.auction_extra])
+    j = joined_conversions(imp_matched, click_matched, (grain,), interval, per_hour)
     if grain.auction_extra:
-        au = auctions if auction_lo is None else bounded(auctions, "tstamp", auction_lo)
-        a = au.select("impid", *_auction_dims(au)).select("impid", *grain.auction_extra)
-        i = i.join(a, "impid")
-    c = click_matched.select("actionid", "click_tstamp")
-    j = i.join(c, "actionid", "left")
+        j = _with_auction_dims(j, (grain,), auctions, auction_lo)
+    return _conv_columns(j.groupBy("hour", *grain.conv_dims).agg(*_conv_measures()), grain)
+
+
+def joined_conversions(imp_matched: DataFrame, click_matched: DataFrame, grains: tuple[Grain, ...],
+                       interval: Interval | None, per_hour: bool = False) -> DataFrame:
+    """View matches with ``_view`` and ``_click``, whether each is a view or a click conversion; for all ``grains``."""
+    i = imp_matched if interval is None else imp_matched.filter(interval.contains("action_tstamp"))
+    own = list(dict.fromkeys(d for g in grains for d in g.conv_dims if d not in g.auction_extra))
+    i = i.select(_label(per_hour, interval, "action_tstamp"), "actionid", "imp_tstamp", "impid", *own)
+    j = i.join(click_matched.select("actionid", "click_tstamp"), "actionid", "left")
     ct, it = F.col("click_tstamp"), F.col("imp_tstamp")
     view = F.when(ct.isNull() | (ct <= it), F.lit(1)).otherwise(F.lit(0))
     click = F.when(ct.isNotNull() & (ct > it), F.lit(1)).otherwise(F.lit(0))
-    out = j.groupBy("hour", *grain.conv_dims).agg(
-        F.sum(view).cast("bigint").alias("view_convs"),
-        F.sum(click).cast("bigint").alias("click_convs"),
-    )
-    out = out.select("hour", *grain.conv_dims, *_zero_long("bids"),
+    return j.select("hour", "impid", *own, view.alias("_view"), click.alias("_click"))
+
+
+def _with_auction_dims(joined: DataFrame, grains: tuple[Grain, ...], auctions: DataFrame, auction_lo=None) -> DataFrame:
+    au = auctions if auction_lo is None else bounded(auctions, "tstamp", auction_lo)
+    extra = list(dict.fromkeys(d for g in grains for d in g.auction_extra))
+    return joined.join(au.select("impid", *_auction_dims(au)).select("impid", *extra), "impid")
+
+
+def conversions_sets(joined: DataFrame, grains: tuple[Grain, ...], auctions: DataFrame, auction_lo=None) -> DataFrame:
+    """Conversions of several grains that fetch dims from auctions: one join, one aggregation over ``joined_conversions``."""
+    rows = _with_auction_dims(joined, grains, auctions, auction_lo)
+    dims = _all_dims(grains, "conv_dims")
+    sets = rows.groupingSets([["hour", *g.conv_dims] for g in grains], "hour", *dims)
+    return sets.agg(*_conv_measures(), F.grouping_id().alias("_set"))
+
+
+def conversions_of(joined: DataFrame, sets: DataFrame | None, grain: Grain, fetching: tuple[Grain, ...]) -> DataFrame:
+    """The rows of one grain as ``conversions`` returns them; ``sets`` holds the grains ``fetching`` from auctions."""
+    if grain.auction_extra:
+        return _conv_columns(sets.filter(F.col("_set") == grain_set(grain, fetching, "conv_dims")), grain)
+    return _conv_columns(joined.groupBy("hour", *grain.conv_dims).agg(*_conv_measures()), grain)
+
+
+def _conv_measures() -> list[Column]:
+    return [F.sum("_view").cast("bigint").alias("view_convs"), F.sum("_click").cast("bigint").alias("click_convs")]
+
+
+def _conv_columns(rows: DataFrame, grain: Grain) -> DataFrame:
+    out = rows.select("hour", *grain.conv_dims, *_zero_long("bids"),
                      F.lit(0.0).cast("double").alias("spend"),
                      *_zero_long("imps", "uniques", "clicks"), "view_convs", "click_convs")
     return _finish(out, grain)
@@ -233,17 +262,41 @@ def defaults(auctions: DataFrame, auction_defaults: DataFrame, grain: Grain,
              interval: Interval | None, per_hour: bool = False,
              history_hours: int | None = None) -> DataFrame:
     """Default (no-fill) counts and unique users of one grain."""
+    joined = _joined_defaults(auctions, auction_defaults, interval, per_hour, history_hours)
+    return _default_columns(joined.groupBy("hour", *grain.default_dims).agg(*_default_measures()), grain)
+
+
+def defaults_sets(auctions: DataFrame, auction_defaults: DataFrame, grains: tuple[Grain, ...],
+                  interval: Interval | None, per_hour: bool = False, history_hours: int | None = None) -> DataFrame:
+    """Defaults of several grains: one join and one aggregation, as ``imps_clicks_sets``."""
+    joined = _joined_defaults(auctions, auction_defaults, interval, per_hour, history_hours)
+    dims = _all_dims(grains, "default_dims")
+    sets = joined.groupingSets([["hour", *g.default_dims] for g in grains], "hour", *dims)
+    return sets.agg(*_default_measures(), F.grouping_id().alias("_set"))
+
+
+def defaults_of(sets: DataFrame, grain: Grain, grains: tuple[Grain, ...]) -> DataFrame:
+    """The rows of one grain of ``defaults_sets``, as ``defaults`` returns them."""
+    return _default_columns(sets.filter(F.col("_set") == grain_set(grain, grains, "default_dims")), grain)
+
+
+def _joined_defaults(auctions: DataFrame, auction_defaults: DataFrame, interval: Interval | None, per_hour: bool,
+                     history_hours: int | None) -> DataFrame:
     lo = _history_lo(interval, history_hours)
     if lo is not None:
         auction_defaults = bounded(auction_defaults, "tstamp", lo)
     a = auctions if interval is None else bounded(auctions, "tstamp", interval.start, interval.end)
     a = a.select(_label(per_hour, interval, "tstamp"), "auctionId", "uuid", *_auction_dims(auctions))
     d = auction_defaults.select(F.col("auctionId"), F.col("auctionId").alias("_default_id"))
-    out = a.join(d, "auctionId").groupBy("hour", *grain.default_dims).agg(
-        F.count("_default_id").alias("defaults"),
-        F.countDistinct("uuid").alias("uniques"),
-    )
-    out = out.select("hour", *grain.default_dims, "defaults", "uniques")
+    return a.join(d, "auctionId")
+
+
+def _default_measures() -> list[Column]:
+    return [F.count("_default_id").alias("defaults"), F.countDistinct("uuid").alias("uniques")]
+
+
+def _default_columns(rows: DataFrame, grain: Grain) -> DataFrame:
+    out = rows.select("hour", *grain.default_dims, "defaults", "uniques")
     return _finish(out, grain)
 
 

@@ -6,7 +6,7 @@ One run for ``[start, end)``:
    click_matched_actions - are written;
 2. the imps/clicks join (auctions ⋈ impressions ⋈ auction_stats ⟕ clicks) is
    aggregated for the hourly, geo and keyword grains at once (grouping sets),
-   and the small result is written;
+   and the small result is written; conversions and defaults are joined once as well;
 3. each stats table gets its three row kinds in one write, ``kind`` being a
    plain column;
 4. the run's hours are reduced to mergeable partials, and every UTC day it
@@ -29,6 +29,8 @@ from __future__ import annotations
 
 import os
 import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +67,27 @@ def run(spark: SparkSession, tables: AdTables, out_root: str, interval: Interval
     if pricing not in (ru.CPM, ru.CPC):
         warnings.warn(f"pricing {pricing!r} is unknown, falling back to {ru.CPM}", stacklevel=2)
         pricing = ru.CPM
+    with _sharing_partitions(spark):
+        return _run(spark, tables, out_root, interval, pricing, per_hour, view_lookback, click_lookback, grains, history_hours)
+
+
+@contextmanager
+def _sharing_partitions(spark: SparkSession) -> Iterator[None]:
+    """Joins on more columns than the impid use a partitioning by impid, whatever the session says: all writes of a run fall inside."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, SESSION_DEFAULTS[name])
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def _run(spark: SparkSession, tables: AdTables, out_root: str, interval: Interval, pricing: str, per_hour: bool,
+         view_lookback: int, click_lookback: int, grains: tuple[ru.Grain, ...], history_hours: int | None) -> dict[str, str]:
     if per_hour and any((t.minute, t.second, t.microsecond) != (0, 0, 0) for t in (interval.start, interval.end)):
         raise ValueError("a per-hour run replaces whole hours: its bounds must be full hours")
     paths = {n: os.path.join(out_root, n) for n in
@@ -89,9 +112,20 @@ def run(spark: SparkSession, tables: AdTables, out_root: str, interval: Interval
                                    tables.clicks, interval, per_hour, history_hours)
     sets = written(ru.imps_clicks_sets(joined, grains, pricing), "imps-clicks")
 
+    # likewise the conversions and the defaults; only some grains fetch dims of conversions from auctions
+    fetching = tuple(g for g in grains if g.auction_extra)
+    convs = written(ru.joined_conversions(stored.imp_matched_actions, stored.click_matched_actions, grains, interval, per_hour),
+                    "conversions")
+    conv_sets = written(ru.conversions_sets(convs, fetching, tables.auctions, interval.start - timedelta(days=view_lookback)),
+                        "conversion-sets") if fetching else None
+    dflt_sets = written(ru.defaults_sets(tables.auctions, tables.auction_defaults, grains, interval, per_hour, history_hours),
+                        "default-sets")
+
     # 3. three row kinds per grain
     for g in grains:
         frames = grain_frames(tables, stored, g, interval, per_hour, pricing, imps=ru.of_set(sets, g, grains),
+                              convs=ru.conversions_of(convs, conv_sets, g, fetching),
+                              dflts=ru.defaults_of(dflt_sets, g, grains),
                               view_lookback=view_lookback, history_hours=history_hours)
         u = None
         for kind in ("imps", "convs", "defaults"):

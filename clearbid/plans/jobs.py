@@ -61,10 +61,10 @@ def intermediates(t: AdTables, interval: Interval | None, per_hour: bool,
 
 def grain_frames(t: AdTables, mid: Intermediates, grain: ru.Grain, interval: Interval | None,
                  per_hour: bool, pricing: str = ru.CPM,
-                 imps: DataFrame | None = None,
+                 imps: DataFrame | None = None, convs: DataFrame | None = None, dflts: DataFrame | None = None,
                  view_lookback: int = DEFAULT_LOOKBACK_DAYS,
                  history_hours: int | None = None) -> dict[str, DataFrame]:
-    """The three row kinds of one grain; ``imps`` if that kind is already at hand."""
+    """The three row kinds of one grain; ``imps``, ``convs``, ``dflts`` if that kind is already at hand."""
     if imps is None:
         joined = ru.joined_impressions(t.auctions, t.impressions, mid.auction_stats, t.clicks,
                                        interval, per_hour, history_hours)
@@ -73,9 +73,10 @@ def grain_frames(t: AdTables, mid: Intermediates, grain: ru.Grain, interval: Int
     auction_lo = None if interval is None else interval.start - timedelta(days=view_lookback)
     return {
         "imps": imps,
-        "convs": ru.conversions(mid.imp_matched_actions, mid.click_matched_actions, grain, interval,
-                                t.auctions, per_hour, auction_lo),
-        "defaults": ru.defaults(t.auctions, t.auction_defaults, grain, interval, per_hour, history_hours),
+        "convs": convs if convs is not None else ru.conversions(mid.imp_matched_actions, mid.click_matched_actions, grain,
+                                                                interval, t.auctions, per_hour, auction_lo),
+        "defaults": dflts if dflts is not None else ru.defaults(t.auctions, t.auction_defaults, grain, interval, per_hour,
+                                                                history_hours),
     }
 
 

@@ -109,3 +109,30 @@ def test_daily_sums_equal_hourly_sums(spark):
     hs = hourly.agg(F.sum("spend")).first()[0]
     ds = daily.agg(F.sum("spend")).first()[0]
     assert abs(hs - ds) < 1e-9
+
+
+def test_conversions_and_defaults_of_all_grains_come_from_one_join(spark):
+    """The job's shared forms equal those of each grain alone; slots that repeat, null dims and keys included."""
+    base = "tstamp timestamp_ntz, auctionId string, impid string, uuid string, publisher string, site string, page string, placement string, pub_clique string"
+    geo = "country string, region string, city string, metro bigint, zip string, keywords string"
+    t = datetime(2024, 1, 10, 12, 5)
+    auctions = spark.createDataFrame(
+        [(t, "a1", "i1", "u1", "p", "s", None, "pl", "pc", "US", "West", "c", 1, "z", "k,l"), (t, "a1", "i1", "u2", "p", "s", None, "pl", "pc", None, "West", "c", None, "z", None),
+         (t, "a2", "i2", "u1", "p", "s", "g", "pl", "pc", "US", None, None, 1, "z", ""), (t, None, None, "u3", None, "s", "g", "pl", None, "US", "West", "c", 1, None, "k")], f"{base}, {geo}")
+    slot = "imp_tstamp timestamp_ntz, action_tstamp timestamp_ntz, actionid string, impid string, publisher string, site string, page string, placement string, pub_clique string, " \
+           "advertiser string, campaign string, creativegroup string, creative string, adv_clique string, actionbeacon string"
+    dims = ("p", "s", None, "pl", "pc", "adv", None, "cg", "cr", "ac", "buy")
+    imp = spark.createDataFrame([(t, t, "x1", "i1", *dims), (t, t, "x2", "i1", *dims), (t, t, "x3", "gone", *dims), (t, t, None, "i2", *dims), (t, t, "x4", None, *dims)], slot)
+    click = spark.createDataFrame([("x1", t + timedelta(minutes=1)), ("x2", t), (None, t)], "actionid string, click_tstamp timestamp_ntz")
+    no_fill = spark.createDataFrame([(t, "a1"), (t + timedelta(seconds=1), "a1"), (t, "a2"), (t, None)], "tstamp timestamp_ntz, auctionId string")
+    grains = (ru.HOURLY, ru.GEO, ru.KEYWORD)
+    fetching = (ru.GEO, ru.KEYWORD)
+    joined = ru.joined_conversions(imp, click, grains, None, True)
+    convs, dflts = ru.conversions_sets(joined, fetching, auctions), ru.defaults_sets(auctions, no_fill, grains, None, True)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    for g in grains:
+        alone = ru.conversions(imp, click, g, None, auctions, True)
+        shared = ru.conversions_of(joined, convs, g, fetching)
+        assert shared.columns == alone.columns and rows(shared) == rows(alone) != []
+        alone, shared = ru.defaults(auctions, no_fill, g, None, True), ru.defaults_of(dflts, g, grains)
+        assert shared.columns == alone.columns and rows(shared) == rows(alone) != []
